@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,12 +32,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, for intermediate tables that are too large for checkpoint()'s row format."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, and its path, for intermediate tables that are too large for checkpoint()'s row format."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def done_with(spark: SparkSession, *paths: str) -> None:
+    """Removes tables that nothing reads any more, and has Spark's cleaner look for shuffle files that nothing refers to any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = 1024, megabytes: int = 16) -> None:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .session import LAST, cut, key_of, small_batches, written
+from .session import cut, done_with, key_of, small_batches, written
 from .text import column_bytes, first_least, last_fit, mix, pieces, windows, words
 
 U = np.uint64
@@ -95,14 +95,30 @@ def _extended(docs: DataFrame, base: int, length: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     """Of documents (key long, th long, text): key, th, spans array<struct<at int, n int>>: runs of n windows from word at on that start earlier too."""
-    base = max(1, length // 4)
-    anchors = written(_anchors(docs, base, length), "anchors")
+    spark, base = docs.sparkSession, max(1, length // 4)
+    places = _places(docs, base, length)
+    rows, path = written(_extended(docs.join(places, "key"), base, length), "runs")
+    del places
+    done_with(spark)
+    spans, classes_path = _spans(rows)
+    done_with(spark, path, classes_path)
+    return spans
+
+
+def _places(docs: DataFrame, base: int, length: int) -> DataFrame:
+    """Level 1: key, places array<int> of the anchors whose words occur more than once."""
+    anchors, path = written(_anchors(docs, base, length), "anchors")
     again = cut(anchors.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"))
     places = cut(anchors.join(again, "h", "left_semi").groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("places")))
-    rows = written(_extended(docs.join(places, "key"), base, length), "runs")
+    del anchors, again
+    done_with(docs.sparkSession, path)
+    return places
 
+
+def _spans(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Levels 2 and 3, of the runs on anchors that repeat; and the path of a table that the caller may remove."""
     origin = F.struct("key", "th", "at")
-    classes = cut(rows.groupBy("h2", "alike").agg(F.min(origin).alias("origin"), F.count("*").alias("c")))
+    classes, path = written(rows.groupBy("h2", "alike").agg(F.min(origin).alias("origin"), F.count("*").alias("c")), "classes")
     later = rows.select("h2", "alike", "key", "th", "at", "n").join(classes.where("c > 1").select("h2", "alike", "origin"), ["h2", "alike"]).where(origin > F.col("origin")).select("key", "th", "at", "n")
 
     shared = cut(classes.groupBy("h2").agg(F.count("*").alias("c")).where("c > 1").select("h2"))
@@ -111,7 +127,7 @@ def repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     opened = cut(opened.select("h2", "whole", "key", "th", (F.col("at") + F.col("step")).alias("at")).distinct())
     starts = cut(opened.groupBy("h2", "whole").agg(F.min(origin).alias("origin"), F.count("*").alias("c")).where("c > 1").drop("c"))
     within = opened.join(starts, ["h2", "whole"]).where(origin > F.col("origin")).select("key", "th", "at", F.lit(1).alias("n"))
-    return later.unionByName(within).groupBy("key", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    return cut(later.unionByName(within).groupBy("key", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans"))), path
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -129,7 +145,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", len
     spark = docs.sparkSession
     small_batches(spark)
     keyed = docs.select(F.col(id).alias("_id"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("text"), key_of(id).alias("key"), F.xxhash64(text).alias("th"))
-    spans = cut(repeats(keyed.where("text is not null").select("key", "th", "text"), length)).withColumnsRenamed({"key": "_k", "th": "_h"})
+    spans = repeats(keyed.where("text is not null").select("key", "th", "text"), length).withColumnsRenamed({"key": "_k", "th": "_h"})
     wide = keyed.join(spans, (keyed.key == spans._k) & (keyed.th == spans._h), "left")
     kept_columns = ["_id", *[f"_c{k}" for k in range(len(carry))]]
     wide = wide.select(*kept_columns, "text", "spans")
