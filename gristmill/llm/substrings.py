@@ -119,24 +119,22 @@ def _places(docs: DataFrame, base: int, length: int) -> DataFrame:
 def _spans(rows: DataFrame) -> tuple[DataFrame, str]:
     """Levels 2 and 3, of the runs on anchors that repeat; and the path of a table that the caller may remove."""
     origin = F.struct("key", "th", "at")
-    classes, path = written(rows.groupBy("h2", "alike").agg(F.min(origin).alias("origin"), F.count("*").alias("c")), "classes")
+    classes, path = written(rows.groupBy("h2", "alike").agg(F.min(origin).alias("origin"), F.count("*").alias("c"), F.first("whole").alias("whole")), "classes")
     done_with(rows.sparkSession)
     narrow, several = rows.select("h2", "alike", "key", "th", "at", "n"), classes.where("c > 1").select("h2", "alike", "origin")
     later = cut(narrow.join(several, ["h2", "alike"]).where(origin > F.col("origin")).groupBy("key", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans")))
     del narrow, several
     done_with(rows.sparkSession)
-    within = cut(_within(rows, classes).groupBy("key", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans")))
+    within = cut(_within(classes).groupBy("key", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans")))
     done_with(rows.sparkSession)
     return later.unionByName(within).groupBy("key", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), path
 
 
-def _within(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _within(classes: DataFrame) -> DataFrame:
     """Of the first of equal runs, where other runs have the same middle level: the single windows that start earlier."""
     origin = F.struct("key", "th", "at")
     shared = cut(classes.groupBy("h2").agg(F.count("*").alias("c")).where("c > 1").select("h2"))
-    firsts = cut(classes.join(shared, "h2").select("h2", "alike", "origin.*"))
-    done_with(rows.sparkSession)
-    opened = rows.join(firsts, ["h2", "alike", "key", "th", "at"], "left_semi").select("h2", "key", "th", "at", F.posexplode("whole").alias("step", "whole"))
+    opened = classes.join(shared, "h2").select("h2", "origin.*", F.posexplode("whole").alias("step", "whole"))
     opened = cut(opened.select("h2", "whole", "key", "th", (F.col("at") + F.col("step")).alias("at")).distinct())
     starts = cut(opened.groupBy("h2", "whole").agg(F.min(origin).alias("origin"), F.count("*").alias("c")).where("c > 1").drop("c"))
     return opened.join(starts, ["h2", "whole"]).where(origin > F.col("origin")).select("key", "th", "at", F.lit(1).alias("n"))
