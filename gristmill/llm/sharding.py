@@ -53,7 +53,7 @@ def fixed_number(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int
     return runs
 
 
-def _ranked(df: DataFrame, by: str, tie: tuple[str, ...], name: str, n: int, block: int = 100_000) -> DataFrame:
+def _ranked(df: DataFrame, by: str, tie: tuple[str, ...], name: str, n: int, block: int = 20_000) -> DataFrame:
     """Numbers rows from 0 within by, without bringing all rows of one value together: rows are dealt over blocks by a hash, each block starts where those before it end."""
     if n <= block:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*tie)) - 1)

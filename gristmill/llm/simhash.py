@@ -229,9 +229,11 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     staying = cut(_grouped(rows).where("_id = component_id").groupBy("_id").agg(F.min("fp").alias("_fp"), F.count("*").alias("_n")))
     if staying.where("_n > 1").isEmpty():
         return docs.join(staying.select(F.col("_id").alias("_stays")), key_of(id) == F.col("_stays"), "left_semi")
-    named = docs.withColumns({"_id": key_of(id), "_text": F.col(text), "_no": F.monotonically_increasing_id()})
-    printed = fingerprints(named, "_text", tuple(c for c in named.columns if c != "_text"), shingle, seed)
-    return printed.join(staying, (printed._id == staying._id) & (printed.fp == staying._fp), "left_semi").dropDuplicates(["_id"]).select(*docs.columns)
+    columns = [f"d{k}" for k in range(len(docs.columns))]
+    named = docs.select(*[F.col(c).alias(d) for c, d in zip(docs.columns, columns, strict=True)], key_of(id).alias("_key"), F.col(text).alias("_text"))
+    printed = fingerprints(named, "_text", (*columns, "_key"), shingle, seed)
+    kept = printed.join(staying, (printed._key == staying._id) & (printed.fp == staying._fp), "left_semi").dropDuplicates(["_key"])
+    return kept.select(*[F.col(d).alias(c) for c, d in zip(docs.columns, columns, strict=True)])
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
