@@ -129,13 +129,18 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tupl
     """A network of a bounded sample of labelled rows: of the MOST_LANGUAGES most frequent languages, the SAMPLE_DOCS rows each with the smallest
     hash of their order columns, and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no row has a label and a text."""
     rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(F.col(text)) > 0))
-    wanted = [r[0] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()]
-    if not wanted:
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
+    if not counts:
         return None
+    wanted, place = list(counts), F.xxhash64(*order, F.lit(seed))
+    # Only rows that can be among the smallest hashes are sorted: of a language with n rows, the share 4 * SAMPLE_DOCS / n of all hashes.
+    near = F.lit(False)
+    for name, n in counts.items():
+        near = near | ((F.col(lang) == name) & (place < int(-(2**63) + min(1.0, 4 * SAMPLE_DOCS / n) * (2**64 - 1)) if n > 4 * SAMPLE_DOCS else F.col(lang) == name))
     n_windows = F.ceil(F.octet_length(text) / WINDOW)
     raw = F.col(text).cast("binary")
     spread = F.transform(F.sequence(F.lit(0), F.least(F.lit(SAMPLE_WINDOWS), n_windows) - 1), lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(SAMPLE_WINDOWS), n_windows)) * WINDOW + 1).cast("int"), F.lit(WINDOW)))
-    picked = rows.where(F.col(lang).isin(wanted)).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(*order, F.lit(seed)), *order))).where(F.col("_r") <= SAMPLE_DOCS)
+    picked = rows.where(near).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(place, *order))).where(F.col("_r") <= SAMPLE_DOCS)
     got = picked.select(F.col(lang).alias("lang"), "_r", F.posexplode(spread).alias("_k", "w")).orderBy("lang", "_r", "_k").select("lang", "w").collect()
     languages = sorted(set(wanted))
     offsets = np.concatenate([[0], np.cumsum([len(r["w"]) for r in got])])
