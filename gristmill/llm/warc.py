@@ -142,14 +142,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, RECORD)
 
 
-def assemble(found: DataFrame) -> DataFrame:
-    """One row per capture: record_id, type, uri, refers_to, payload_digest, body of the response or revisit, request struct, metadata array.
+def assemble(found: DataFrame, columns: tuple[str, ...] = ("type", "uri", "refers_to", "payload_digest", "head", "body")) -> DataFrame:
+    """One row per capture: record_id and the columns of the response or revisit, request struct, metadata array.
 
     Requests and metadata are joined to the response that they name in WARC-Concurrent-To (of several, the first); a request or metadata
     record that names none that is there has no capture and is left out. A capture without a request has a null one, without metadata an
     empty array.
     """
-    mains = found.where("type in ('response', 'revisit')").select("record_id", "type", "uri", "refers_to", "payload_digest", "head", "body")
+    mains = found.where("type in ('response', 'revisit')").select("record_id", *columns)
     others = found.where("type not in ('response', 'revisit')").select(F.element_at("concurrent_to", 1).alias("record_id"), F.struct("type", F.col("record_id").alias("id"), "uri", "head", "body").alias("part"))
     parts = others.where("record_id is not null").groupBy("record_id").agg(F.collect_list("part").alias("parts"))
     met = mains.join(parts, "record_id", "left").withColumn("parts", F.coalesce("parts", F.array().cast("array<struct<type:string,id:string,uri:string,head:string,body:binary>>")))
@@ -160,7 +160,8 @@ def assemble(found: DataFrame) -> DataFrame:
 def resolved(found: DataFrame) -> DataFrame:
     """assemble()'s rows with page_id (from the metadata), and for revisits the payload's bytes and the page of the response they refer to."""
     fields = F.get(F.col("metadata"), 0)["body"].cast("string")
-    named = assemble(found).withColumn("page_id", F.regexp_extract(fields, r"(?m)^pageId: (-?\d+)", 1).try_cast("long")).withColumn("own", F.octet_length("body").cast("long"))
+    sized = found.withColumn("own", F.octet_length("body").cast("long"))  # before the join, which then needs no payloads
+    named = assemble(sized, ("type", "uri", "refers_to", "payload_digest", "own")).withColumn("page_id", F.regexp_extract(fields, r"(?m)^pageId: (-?\d+)", 1).try_cast("long"))
     slim = cut(named.select("record_id", "type", "uri", "refers_to", F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "page_id", "own", F.col("request").isNotNull().alias("has_request")))
     targets = slim.where("type = 'response'").join(slim.where("refers_to is not null").select(F.col("refers_to").alias("record_id")).distinct(), "record_id", "left_semi")
     targets = cut(targets.select(F.col("record_id").alias("_to"), F.col("page_id").alias("to_page"), F.col("own").alias("to_bytes")))
