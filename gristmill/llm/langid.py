@@ -194,8 +194,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, network).select("doc_id", _held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, least: float = 0.5, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of docs, with all their columns, whose language is told with at least that score; und goes."""
+def accepted(docs: DataFrame, least: float = 0.0, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of docs, with all their columns, whose language is told with at least that score; und goes.
+
+    By default a text that mixes languages stays, however the score is divided; only null texts and texts without a letter go.
+    """
     columns = docs.columns
     flat = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)])
     found = predict(flat, fit(docs.where(~_held_out(id)), text, lang, (id,)), f"c{columns.index(text)}", tuple(flat.columns))
