@@ -9,6 +9,7 @@ A WARC record ends with two CR LF pairs, so Spark's text writer with that as its
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -89,10 +90,10 @@ def captures(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
 
 
 def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, per_file: int = 20_000) -> None:
-    """Writes the archives of all pages to a folder, in files of at most so many records."""
+    """Writes the archives of all pages to a folder, in gzipped files of at most so many records."""
     small_batches(pages.sparkSession)
     raw = records(captures(pages, id, url, html, least))
-    raw.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    raw.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def _parse(data: bytes) -> Iterator[tuple]:
@@ -130,7 +131,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 rows: list[tuple] = []
                 size = 0
-                for row in _parse(batch.column(0)[k].as_py()):
+                content = batch.column(0)[k].as_py()
+                for row in _parse(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
                     rows.append(row)
                     size += len(row[-1])
                     if len(rows) == 2000 or size > 1 << 23:
