@@ -94,3 +94,9 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """field, n, n_null (null or ''), rate."""
     counts = df.agg(F.count("*").alias("n"), *[F.sum((F.col(c).isNull() | (F.col(c).cast("string") == "")).cast("long")).alias(c) for c in columns])
     return counts.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("n_null")) for c in columns])).alias("x")).select("x.field", "n", "x.n_null", F.round(F.col("x.n_null") / F.col("n"), 6).alias("rate"))
+
+
+def first_distinct(df: DataFrame, by: Sequence[str], value: str, n: int, name: str, separator: str = ",") -> DataFrame:
+    """The n smallest different values of each group, joined in order. A group is cut to n values before it is gathered."""
+    few = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("string").alias("_v")).distinct().withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v"))).where(F.col("_r") <= n)
+    return few.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list("_v")), separator).alias(name))

@@ -2,31 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import physics, text as fn
 from ..operators import graph, tables as ops
 from ..streaming import events as streams
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from . import graph_queries, record_queries  # noqa: F401  (they register their queries)
+from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 _DISTRIBUTION = """
 select l_returnflag, l_linestatus, count(*) as n, min(v) as min, {q5} as p5, {q25} as p25, {q50} as median, {q75} as p75, {q95} as p95, max(v) as max,
