@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut
+
 
 def degrees(edges: DataFrame) -> DataFrame:
     """node, degree: how many ends of edges a node is."""
@@ -28,10 +30,26 @@ def siblings(edges: DataFrame) -> DataFrame:
 
 def acyclic_part(edges: DataFrame, most_rounds: int = 100) -> tuple[DataFrame, DataFrame]:
     """Splits edges into those that are on no path back and those that lie between cycles: nodes without an edge in or out are peeled, round by round."""
-    left = edges.distinct().checkpoint()
+    left = cut(edges.distinct())
     for _ in range(most_rounds):
-        inner = left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst").checkpoint()
+        inner = cut(left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
         if inner.count() == left.count():
             break
         left = inner
     return edges.distinct().join(left, ["src", "dst"], "left_anti"), left
+
+
+def redirected(redirects: DataFrame) -> DataFrame:
+    """src, root, steps: where each src of redirects (src, dst; one dst for each src) ends after all redirects, and after how many.
+
+    Each round joins the redirects with themselves and doubles the steps that they take, so a chain of n takes log2(n) rounds; one that is
+    still open after that is a cycle and raises an error.
+    """
+    left = cut(redirects.select("src", F.col("dst").alias("root"), F.lit(1).cast("long").alias("steps")))
+    for _ in range(left.count().bit_length() + 1):
+        ahead = left.select(F.col("src").alias("root"), F.col("root").alias("_next"), F.col("steps").alias("_more"))
+        met = cut(left.join(ahead, "root", "left"))
+        if met.where(F.col("_next").isNotNull()).isEmpty():
+            return left
+        left = met.select("src", F.coalesce("_next", "root").alias("root"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps"))
+    raise ValueError("redirects form a cycle")

@@ -1 +1,321 @@
+"""Queries over records: rule chains, gates, decision trees, merges, batches, quotas and tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from ..functions import text as fn
+from ..operators import graph, records, tables as ops
+from ..streaming import events as streams
 from .registry import query, read
+
+
+@query("""
+select p_partkey, case when regexp_matches(p_name, 'noise|junk') then 'noise' when regexp_matches(p_name, '^[0-9]') or p_brand in ('Brand#1', 'Brand#2') then 'brand' when p_type in ('PROMO') then 'abstract'
+  when contains(p_name, 'steel') and (p_size > 40 or p_retailprice < 950) then 'chemical' when p_size < 3 then 'data_incomplete' else 'active' end as status from part
+""")
+def hard_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("p_name")
+    rules = [
+        (name.rlike("noise|junk"), "noise"), (name.rlike("^[0-9]") | F.col("p_brand").isin("Brand#1", "Brand#2"), "brand"), (F.col("p_type").isin("PROMO"), "abstract"),
+        (F.contains(name, F.lit("steel")) & ((F.col("p_size") > 40) | (F.col("p_retailprice") < 950)), "chemical"), (F.col("p_size") < 3, "data_incomplete"),
+    ]
+    return read(spark, sf_dir, "part").select("p_partkey", ops.first_rule(rules, "active").alias("status"))
+
+
+@query(r"""
+select page_id, reason not like 'veto%' and reason <> 'drop' as keep, reason from (select page_id, case when contains(url, '/en/') then 'exempt' when length(html) < 400 then 'veto: short' when len(regexp_extract_all(html, '<a ')) >= 10 then 'veto: index'
+  when regexp_matches(html, '[0-9]+ ?(kg|mg|°C)') then 'unit' when len(string_split(html, '|')) > 6 then 'table' when contains(html, '<p>') then 'prose' else 'drop' end as reason from pages)
+""")
+def page_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exempt pages first, then vetoes, then signals; the first rule that holds is the reason."""
+    html = F.col("html")
+    rules = [
+        (F.contains("url", F.lit("/en/")), "exempt"), (F.char_length(html) < 400, "veto: short"), (F.regexp_count(html, F.lit("<a ")) >= 10, "veto: index"), (html.rlike("[0-9]+ ?(kg|mg|°C)"), "unit"),
+        (F.size(F.split(html, r"\|")) > 6, "table"), (F.contains(html, F.lit("<p>")), "prose"),
+    ]
+    told = read(spark, sf_dir, "pages").select("page_id", ops.first_rule(rules, "drop").alias("reason"))
+    return told.select("page_id", (~F.col("reason").startswith("veto") & (F.col("reason") != "drop")).alias("keep"), "reason")
+
+
+@query("""
+with b as (select item_id, array_to_string(string_split(text, ' ')[1:8], ' ') as quote from benchmark where len(string_split(text, ' ')) >= 8)
+select doc_id, item_id from documents join b on contains(text, quote)
+""")
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that quote the first eight words of a benchmark item. Six inner words of a quote are whole words wherever it occurs, so they are the join's key."""
+    b = read(spark, sf_dir, "benchmark").withColumn("w", F.split("text", " ")).where(F.size("w") >= 8).select("item_id", F.array_join(F.slice("w", 1, 8), " ").alias("quote"), F.array_join(F.slice("w", 2, 6), " ").alias("key"))
+    d = read(spark, sf_dir, "documents").where(F.col("text").isNotNull()).withColumn("w", F.split("text", " ")).where(F.size("w") >= 8)
+    at = F.sequence(F.lit(1), F.size("w") - 5)
+    keys = d.select("doc_id", F.explode(F.transform(at, lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(6)), " "))).alias("key"))
+    met = keys.join(b, "key").select("doc_id", "item_id", "quote").distinct()
+    return met.join(d.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("quote"))).select("doc_id", "item_id").distinct()
+
+
+@query("""
+select doc_id, concat_ws(';', case when lang is null or lang = '' then 'missing field: lang' end, case when source is null or source = '' then 'missing field: source' end, case when text is null or text = '' then 'missing field: text' end) as errors from documents
+""")
+def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(records.field_errors(["lang", "source", "text"]), ";").alias("errors"))
+
+
+@query("""
+select p_brand, n_variants, string_agg(p_name, ',' order by length(p_name), p_name) as kept from
+(select p_brand, p_name, count(*) over (partition by p_brand) as n_variants, row_number() over (partition by p_brand order by length(p_name), p_name) as r from (select distinct p_brand, p_name from part where p_name not like 'red %')) where r <= 5 group by 1, 2
+""")
+def trimmed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junk variants go; of the others the five shortest stay."""
+    v = read(spark, sf_dir, "part").where(~F.col("p_name").startswith("red ")).select("p_brand", "p_name").distinct()
+    five = ops.top_n(v, ["p_brand"], [F.char_length("p_name"), F.col("p_name")], 5).groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("rank", "p_name"))).alias("k"))
+    return v.groupBy("p_brand").agg(F.count("*").alias("n_variants")).join(five, "p_brand").select("p_brand", "n_variants", F.array_join(F.transform("k", lambda x: x["p_name"]), ",").alias("kept"))
+
+
+@query(r"""
+select conv_id, turn, array_to_string(list_filter([case when regexp_matches(lower(text), 'tion') then 'oxidation' end, case when regexp_matches(lower(text), 'the|les') then 'article' end, case when regexp_matches(text, '[0-9]') then 'number' end], lambda x: x is not null), ',') as routes,
+  array_to_string(regexp_extract_all(lower(text), '[a-z]{3,20}')[1:6], ' ') as tokens from conversations
+""")
+def keyword_router(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, low = F.col("text"), F.lower("text")
+    routes = F.array_compact(F.array(F.when(low.rlike("tion"), "oxidation"), F.when(low.rlike("the|les"), "article"), F.when(t.rlike("[0-9]"), "number")))
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(routes, ",").alias("routes"), F.array_join(F.slice(F.regexp_extract_all(low, F.lit("[a-z]{3,20}"), F.lit(0)), 1, 6), " ").alias("tokens"))
+
+
+@query("""
+select source, n, blank_pct, mean_chars, case when blank_pct < 20 and mean_chars > 200 then 'pass' when blank_pct < 40 then 'warn' else 'fail' end as status from (select source, count(*) as n,
+  round(100.0 * (count(*) filter (where text is null or length(text) < 50)) / count(*), 1) as blank_pct, round(avg(length(text)), 4) as mean_chars from documents group by 1)
+""")
+def ocr_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = F.char_length("text")
+    g = read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.round(100.0 * F.count_if(length.isNull() | (length < 50)) / F.count("*"), 1).alias("blank_pct"), F.round(F.avg(length), 4).alias("mean_chars"))
+    return g.withColumn("status", ops.first_rule([((F.col("blank_pct") < 20) & (F.col("mean_chars") > 200), "pass"), (F.col("blank_pct") < 40, "warn")], "fail"))
+
+
+@query("""
+select c_custkey, case when n = 0 then 'not_started' when n_f = n then 'done' when n_p > 0 then 'review' when n_f > 0 then 'running' else 'queued' end as phase from (select c_custkey, count(o_orderkey) as n, count(*) filter (where o_orderstatus = 'F') as n_f, count(*) filter (where o_orderstatus = 'P') as n_p
+from customer left join orders on o_custkey = c_custkey group by 1)
+""")
+def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderstatus") == "P").alias("p"))
+    rules = [(F.col("n").isNull(), "not_started"), (F.col("f") == F.col("n"), "done"), (F.col("p") > 0, "review"), (F.col("f") > 0, "running")]
+    return read(spark, sf_dir, "customer").select("c_custkey").join(o, "c_custkey", "left").select("c_custkey", ops.first_rule(rules, "queued").alias("phase"))
+
+
+@query("""
+with v1(b, t, field, conf) as (values ('Brand#1', 'ECONOMY', 'k', 0.9), ('Brand#2', 'PROMO', 'cp', 0.6), ('Brand#3', 'ECONOMY', 'ea', 0.87)), v2(t, field, conf) as (values ('PROMO', 'cp', 0.95), ('STANDARD', 'rho', 0.5))
+select p_partkey, case when v1.conf >= 0.85 then v1.field when v1.conf is null and v2.conf >= 0.85 then v2.field end as field, case when v1.conf >= 0.85 then 'accept' when v1.conf is not null then 'review' when v2.conf >= 0.85 then 'rescued' when v2.conf is not null then 'low' else 'no_match' end as outcome
+from part left join v1 on b = p_brand and v1.t = p_type left join v2 on v2.t = p_type
+""")
+def fallback_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first map's answer, or else the second map's; how sure they are decides what becomes of it."""
+    v1 = spark.createDataFrame([("Brand#1", "ECONOMY", "k", 0.9), ("Brand#2", "PROMO", "cp", 0.6), ("Brand#3", "ECONOMY", "ea", 0.87)], "p_brand string, p_type string, f1 string, c1 double")
+    v2 = spark.createDataFrame([("PROMO", "cp", 0.95), ("STANDARD", "rho", 0.5)], "p_type string, f2 string, c2 double")
+    met = read(spark, sf_dir, "part").join(v1, ["p_brand", "p_type"], "left").join(v2, "p_type", "left")
+    rules = [(F.col("c1") >= 0.85, "accept"), (F.col("c1").isNotNull(), "review"), (F.col("c2") >= 0.85, "rescued"), (F.col("c2").isNotNull(), "low")]
+    return met.select("p_partkey", F.when(F.col("c1") >= 0.85, F.col("f1")).when(F.col("c1").isNull() & (F.col("c2") >= 0.85), F.col("f2")).alias("field"), ops.first_rule(rules, "no_match").alias("outcome"))
+
+
+@query("""
+with x as (select p_name as item, 'part' as src, 1 as f from part union all select 'Small ' || p_type, 'type', 0 from part)
+select lower(item) as item_key, sum(f)::bigint as frequency, string_agg(distinct src, ',' order by src) as sources from x group by 1
+""")
+def external_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items met by their lower-cased name; external ones add a source, and new ones begin at frequency 0."""
+    p = read(spark, sf_dir, "part")
+    every = p.select(F.col("p_name").alias("item"), F.lit("part").alias("src"), F.lit(1).alias("f")).unionByName(p.select(F.concat(F.lit("Small "), "p_type").alias("item"), F.lit("type").alias("src"), F.lit(0).alias("f")))
+    return every.groupBy(F.lower("item").alias("item_key")).agg(F.sum("f").alias("frequency"), F.array_join(F.sort_array(F.collect_set("src")), ",").alias("sources"))  # two sources
+
+
+@query("""
+with t as (select *, row_number() over (partition by conv_id, role order by turn) as k from conversations), q as (select * from t where role = 'user'), a as (select * from t where role = 'assistant')
+select conv_id, k, q.turn as asked, a.turn as answered, case when a.turn is null then 'open' when q.turn is null then 'leftover' else 'filled' end as state from q full join a using (conv_id, k)
+""")
+def placeholder_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The i-th user turn of a conversation takes its i-th answer; what is left over on either side stays."""
+    t = read(spark, sf_dir, "conversations").withColumn("k", F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")).cast("long"))
+    q, a = t.where("role = 'user'").select("conv_id", "k", F.col("turn").alias("asked")), t.where("role = 'assistant'").select("conv_id", "k", F.col("turn").alias("answered"))
+    return q.join(a, ["conv_id", "k"], "full").withColumn("state", ops.first_rule([(F.col("answered").isNull(), "open"), (F.col("asked").isNull(), "leftover")], "filled"))
+
+
+@query("""
+select o_orderkey, case when r.done is not null then 'done' when o_orderdate < timestamp '1998-01-01' then 'expired' when o_orderstatus = 'O' then 'pending' else 'nudge' end as state
+from orders left join (select l_orderkey, min(l_shipdate) as done from lineitem where l_linestatus = 'F' group by 1) r on l_orderkey = o_orderkey
+""")
+def task_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = read(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("done"))
+    rules = [(F.col("done").isNotNull(), "done"), (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"), "expired"), (F.col("o_orderstatus") == "O", "pending")]
+    return read(spark, sf_dir, "orders").join(r, "o_orderkey", "left").select("o_orderkey", ops.first_rule(rules, "nudge").alias("state"))
+
+
+@query("""
+select o_orderkey, count(l_partkey) as n_deps, coalesce(bool_and(coalesce(p_size > 5, false)) filter (where l_partkey is not null), true) as ready from orders left join lineitem on l_orderkey = o_orderkey left join part on p_partkey = l_partkey where o_orderstatus = 'P' group by 1
+""")
+def dependency_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending tasks with the number of their dependencies and whether all are done; a task without any is ready."""
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") > 5).alias("ok"))
+    deps = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").join(p, "l_partkey", "left").groupBy("o_orderkey").agg(F.count("l_partkey").alias("n"), F.bool_and(F.coalesce("ok", F.lit(False))).alias("all"))
+    return read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").join(deps, "o_orderkey", "left").select("o_orderkey", F.coalesce("n", F.lit(0)).cast("long").alias("n_deps"), F.coalesce("all", F.lit(True)).alias("ready"))
+
+
+@query("""
+with recursive r as (select o_orderkey as src, o_orderkey // 2 as root, 1 as steps from orders where o_orderstatus = 'F' and o_orderkey > 0 union all select r.src, o_orderkey // 2, steps + 1 from r join orders on o_orderkey = r.root where o_orderstatus = 'F' and o_orderkey > 0)
+select src, min(root) as root, max(steps)::bigint as steps from r group by 1
+""")
+def redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_orderkey > 0")
+    return graph.redirected(o.select(F.col("o_orderkey").alias("src"), F.floor(F.col("o_orderkey") / 2).alias("dst")))
+
+
+@query("select p_brand, p_type, count(*) as n, min(p_partkey) as first_row, arg_min(p_name, p_partkey) filter (where p_size > 10) as sample from part group by 1, 2")
+def unique_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first_row"), F.min_by("p_name", F.when(F.col("p_size") > 10, F.col("p_partkey"))).alias("sample"))
+
+
+@query("""
+select *, case when n = 1 then 'noop' when n_types > 3 then 'identity_conflict' when n_types > 1 then 'split' else 'merge' end as decision from
+(select lower(trim(p_name)) as cluster, count(*) as n, count(distinct p_type) as n_types, min(p_partkey) filter (where p_size = m) as canonical from (select *, max(p_size) over (partition by lower(trim(p_name))) as m from part) group by 1)
+""")
+def cluster_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of one name: merged, split or in conflict; the most complete one, first on a tie, is canonical."""
+    best = F.max_by("p_partkey", F.struct("p_size", -F.col("p_partkey")))
+    g = read(spark, sf_dir, "part").groupBy(F.lower(F.trim("p_name")).alias("cluster")).agg(F.count("*").alias("n"), F.countDistinct("p_type").alias("n_types"), best.alias("canonical"))
+    return g.withColumn("decision", ops.first_rule([(F.col("n") == 1, "noop"), (F.col("n_types") > 3, "identity_conflict"), (F.col("n_types") > 1, "split")], "merge"))
+
+
+@query("""
+select lang, lower(split_part(text, ' ', 1)) as statement, count(*) as frequency, round(avg(n_chars), 3) as mean_chars, count(distinct source) as n_sources, min(doc_id) as first_doc from documents group by 1, 2
+""")
+def statement_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").groupBy("lang", F.lower(F.split_part("text", F.lit(" "), F.lit(1))).alias("statement"))
+    return d.agg(F.count("*").alias("frequency"), F.round(F.avg("n_chars"), 3).alias("mean_chars"), F.countDistinct("source").alias("n_sources"), F.min("doc_id").alias("first_doc"))
+
+
+@query("""
+select conv_id, unnest(string_split(text, '. ')) as step, generate_subscripts(string_split(text, '. '), 1) - 1 as pos, turn, conv_id || '_r' || turn || '_' || left(md5(conv_id || '|' || turn || '|' || role), 6) as recipe_id from conversations
+""")
+def recipe_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each step, under an id made of place and hash."""
+    c = read(spark, sf_dir, "conversations")
+    hashed = F.substring(F.md5(F.concat_ws("|", "conv_id", "turn", "role")), 1, 6)
+    return c.select("conv_id", "turn", F.concat(F.concat_ws("_r", "conv_id", "turn"), F.lit("_"), hashed).alias("recipe_id"), F.posexplode(F.split("text", r"\. ")).alias("pos", "step")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("select o_orderpriority, count(*) filter (where o_orderstatus = 'F') as F, count(*) filter (where o_orderstatus = 'O') as O, count(*) filter (where o_orderstatus = 'P') as P from orders group by 1")
+def pivot_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("o_orderstatus")).na.fill(0)
+
+
+@query("""
+select source, count(*) as n, round(avg(length(text)), 2) as mean, min(length(text)) as shortest, max(length(text)) as longest, count(*) filter (where length(text) < 50) as under_50, count(*) filter (where length(text) < 150) as under_150 from documents where text is not null and trim(text) <> '' group by 1
+""")
+def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.char_length("text").cast("long")
+    return read(spark, sf_dir, "documents").where("text is not null and trim(text) <> ''").groupBy("source").agg(F.count("*").alias("n"), F.round(F.avg(n), 2).alias("mean"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.count_if(n < 50).alias("under_50"), F.count_if(n < 150).alias("under_150"))
+
+
+@query("""
+select p_brand, count(*) as n, count(*) filter (where dev <= 10) as passed, round(avg(dev), 4) as mean_deviation from (select p_brand, abs(p_retailprice - 950) / 950 * 100 as dev, row_number() over (partition by p_brand order by p_partkey) as r from part) where r <= 30 group by 1
+""")
+def benchmark_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each group the first 30 rows, as the benchmark has it."""
+    first = ops.top_n(read(spark, sf_dir, "part"), ["p_brand"], [F.col("p_partkey")], 30).withColumn("dev", F.abs(F.col("p_retailprice") - 950) / 950 * 100)
+    return first.groupBy("p_brand").agg(F.count("*").alias("n"), F.count_if(F.col("dev") <= 10).alias("passed"), F.round(F.avg("dev"), 4).alias("mean_deviation"))
+
+
+@query("select o_orderpriority, arg_min(o_orderkey, (o_orderdate, o_orderkey)) as claimed, count(*) as waiting from orders where o_orderstatus = 'O' group by 1")
+def queue_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").where("o_orderstatus = 'O'").groupBy("o_orderpriority").agg(F.min_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("claimed"), F.count("*").alias("waiting"))
+
+
+@query("select conv_id, turn, (row_number() over (partition by conv_id order by turn) - 1) // 3 as batch, conv_id || '_' || ((row_number() over (partition by conv_id order by turn) - 1) // 3) as batch_key from conversations")
+def fixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = F.floor((F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1) / 3)
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", batch.alias("batch")).withColumn("batch_key", F.concat_ws("_", "conv_id", "batch"))
+
+
+@query("select lang, doc_id, rank from (select lang, doc_id, row_number() over (partition by lang order by md5(doc_id || ':42'), doc_id) as rank from documents) where rank <= 5")
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five documents of each language, in the order of a seeded hash."""
+    d = read(spark, sf_dir, "documents").select("lang", "doc_id", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":42"))).alias("h"))
+    return ops.top_n(d, ["lang"], [F.col("h"), F.col("doc_id")], 5).drop("h")
+
+
+@query("""
+select user_id, count(*) as calls, round(max(day), 4) as dearest_day, count(*) filter (where day > 200) as over_budget from (select user_id, sum(value) over (partition by user_id order by ts range between interval 1 day preceding and current row) as day from events) group by 1
+""")
+def rolling_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select("user_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    day = F.sum("value").over(Window.partitionBy("user_id").orderBy("us").rangeBetween(-86_400_000_000, 0))
+    return e.select("user_id", day.alias("day")).groupBy("user_id").agg(F.count("*").alias("calls"), F.round(F.max("day"), 4).alias("dearest_day"), F.count_if(F.col("day") > 200).alias("over_budget"))
+
+
+@query("""
+select o_custkey, count(*) as n, count(*) filter (where used <= 5e5) as admitted from (select o_custkey, sum(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows unbounded preceding) as used from orders) group by 1
+""")
+def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs in order of their time, until a customer's quota is used up."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    return read(spark, sf_dir, "orders").withColumn("used", F.sum("o_totalprice").over(w)).groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("used") <= 5e5).alias("admitted"))
+
+
+@query("""
+with t as (select max(ts) as now from events) select user_id, arg_max(event_type, (ts, event_id)) as last_event, max(ts) as last_seen, max(ts) < any_value(now) - interval 2 hour as stale from events, t group by 1
+""")
+def stale_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events")
+    last = e.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("last_event"), F.max("ts").alias("last_seen"))
+    now = e.agg(F.max("ts").alias("now"))  # one row
+    return last.join(F.broadcast(now), F.lit(True)).withColumn("stale", F.col("last_seen") < F.col("now") - F.expr("interval 2 hours")).drop("now")
+
+
+@query("""
+with g as (select user_id, ts, case when ts - lag(ts) over w >= interval 30 minute or lag(ts) over w is null then 1 else 0 end as new from events window w as (partition by user_id order by ts)),
+s as (select user_id, ts, sum(new) over (partition by user_id order by ts rows unbounded preceding) as k from g)
+select user_id, min(ts) as first_event, count(*) as n from s group by user_id, k
+""")
+def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = lambda e: e.groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").cast("timestamp_ntz").alias("first_event"), "n")
+    return streams.run_once(spark, f"{sf_dir}/events.parquet", plan, "complete")
+
+
+@query(r"""
+select doc_id, len(regexp_extract_all(text, '[0-9A-Za-z_]+')) as n_words, len(regexp_extract_all(text, '[\x{4e00}-\x{9fff}]')) as n_cjk, left(sha256(source || ':' || doc_id || ':' || left(text, 80)), 16) as hash_id from documents where text is not null and source is not null
+""")
+def text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    hashed = F.substring(F.sha2(F.concat_ws(":", "source", "doc_id", F.substring(t, 1, 80)), 256), 1, 16)
+    return read(spark, sf_dir, "documents").where("text is not null and source is not null").select("doc_id", F.regexp_count(t, F.lit("[0-9A-Za-z_]+")).cast("long").alias("n_words"), F.regexp_count(t, F.lit(r"[\x{4e00}-\x{9fff}]")).cast("long").alias("n_cjk"), hashed.alias("hash_id"))
+
+
+@query("""
+with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
+n as (select *, sum(case when length(line) between 1 and 30 then 1 else 0 end) over (partition by doc_id order by pos rows unbounded preceding) as section from l)
+select doc_id, section::bigint as section, min(line) filter (where length(line) between 1 and 30) as title, count(*) as n_lines, sum(length(line))::bigint as n_chars from n group by 1, 2
+""")
+def heading_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of up to 30 characters are headings."""
+    return records.sections(read(spark, sf_dir, "documents"), "doc_id", "text", r"^.{1,30}$")
+
+
+@query()
+def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = records.packed(F.split("text", "\n"), 800)
+    return read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.posexplode(chunks).alias("chunk", "text"))
+
+
+@query()
+def heat_slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") / 2000 + 0.005).alias("half"), F.lit(1.4e-7).alias("alpha"), F.lit(0.5).alias("k"), F.lit(50.0).alias("h"), F.lit(5.0).alias("T0"), (F.col("p_retailprice") / 20 + 40).alias("Tinf"), F.lit(600.0).alias("t"))
+    return records.heat_slab(p, "p_partkey")
+
+
+@query("""
+select vec_id, similarity, rank from (select vec_id, label, similarity, row_number() over (order by similarity desc, vec_id) as rank from (select e.vec_id, e.label, round(list_cosine_similarity(e.embedding::double[], q.embedding::double[]), 6) as similarity from embeddings e, (select embedding from embeddings where vec_id = 0) q)
+order by similarity desc, vec_id limit 50) where label <= 3
+""")
+def knn_post_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 nearest of one vector first, and of those the wanted labels: there may be fewer than 50."""
+    e = read(spark, sf_dir, "embeddings")
+    q = F.broadcast(e.where("vec_id = 0").select(F.col("embedding").alias("q")))  # one row
+    scored = e.join(q, F.lit(True)).select("vec_id", "label", F.round(fn.cosine(F.col("embedding"), F.col("q")), 6).alias("similarity"))
+    top = scored.orderBy(F.desc("similarity"), "vec_id").limit(50)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("similarity"), "vec_id")).cast("long")).where("label <= 3").select("vec_id", "similarity", "rank")  # fifty rows in one window

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -30,3 +30,15 @@ def session(master: str = "local[*]", partitions: int | None = None) -> SparkSes
     builder = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
     builder = builder.master(master) if "SPARK_MASTER" not in os.environ else builder
     return (builder.config("spark.sql.shuffle.partitions", str(partitions)) if partitions else builder).getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once into the checkpoint folder; where none is set, a single machine takes one of its own."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gristmill-"))
+    return df.checkpoint()

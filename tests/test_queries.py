@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import physics, text
-from gristmill.operators import graph, tables
+from gristmill.operators import graph, records, tables
 from gristmill.plans.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -29,7 +29,7 @@ def rows(df):
     return sorted(tuple(plain(None if str(v) in ("<NA>", "NaT") else v) for v in r) for r in df[sorted(df.columns)].astype(object).values.tolist())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, DATA).toPandas()
     want = duck.execute(ORACLES[name]).df()
@@ -74,3 +74,42 @@ def test_peeling(spark):
 def test_upsert(spark):
     old, new = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, t int"), spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, "e", 1)], "k int, v string, t int")
     assert sorted(map(tuple, tables.upsert(old, new, ["k"], [F.desc("t")]).collect())) == [(1, "a", 0), (2, "d", 2), (3, "e", 1)]
+
+
+def test_chunks(spark):
+    def brute(text, most):
+        out = []
+        for part in text.split("\n"):
+            if out and len(out[-1]) + 1 + len(part) <= most:
+                out[-1] += "\n" + part
+            else:
+                out.append(part)
+        return out
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = {}
+    for r in QUERIES["chunk_pack"](spark, DATA).orderBy("doc_id", "chunk").collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert got == {k: brute(t, 800) for k, t in texts.items() if t is not None}
+
+
+def test_heat(spark):
+    df = spark.createDataFrame([(1, 0.01, 1.4e-7, 0.5, 5000.0, 0.0, 100.0, 300.0), (2, 0.01, 1.4e-7, 0.5, 50.0, 20.0, 20.0, 300.0), (3, 0.01, 1.4e-7, 0.5, None, 20.0, 20.0, 300.0)], "id long, half double, alpha double, k double, h double, T0 double, Tinf double, t double")
+    got = {r.id: r for r in records.heat_slab(df, "id").collect()}
+    fo, biot = 1.4e-7 * 300 / 1e-4, 5000 * 0.01 / 0.5
+    roots = []
+    for n in range(6):  # z tan z = Bi
+        low, high = n * math.pi + 1e-9, n * math.pi + math.pi / 2 - 1e-9
+        for _ in range(80):
+            z = (low + high) / 2
+            low, high = (z, high) if z * math.tan(z) < biot else (low, z)
+        roots.append(z)
+    series = sum(4 * math.sin(z) / (2 * z + math.sin(2 * z)) * math.exp(-z * z * fo) for z in roots)
+    assert sorted(got) == [1, 2] and got[1].centre == pytest.approx(100 * (1 - series), abs=0.5) and got[2].mean == pytest.approx(20.0)
+
+
+def test_redirects(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(50, 51)], "src long, dst long")
+    assert {(r.src, r.root, r.steps) for r in graph.redirected(chain).collect()} == {(k, 20, 20 - k) for k in range(20)} | {(50, 51, 1)}
+    with pytest.raises(ValueError):
+        graph.redirected(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long"))
