@@ -36,6 +36,8 @@ def acyclic_part(edges: DataFrame, most_rounds: int = 100) -> tuple[DataFrame, D
         if inner.count() == left.count():
             break
         left = inner
+    else:
+        raise RuntimeError(f"edges are still being peeled after {most_rounds} rounds")
     return edges.distinct().join(left, ["src", "dst"], "left_anti"), left
 
 

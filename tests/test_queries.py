@@ -1,13 +1,14 @@
 """Every registered query with SQL against DuckDB on the smallest tables, and formulas against known answers."""
 
 import math
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.functions import physics, text
-from gristmill.operators import graph, records, tables
+from gristmill.functions import physics, text, unicode
+from gristmill.operators import graph, identity, records, tables
 from gristmill.plans.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -113,3 +114,47 @@ def test_redirects(spark):
     assert {(r.src, r.root, r.steps) for r in graph.redirected(chain).collect()} == {(k, 20, 20 - k) for k in range(20)} | {(50, 51, 1)}
     with pytest.raises(ValueError):
         graph.redirected(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long"))
+
+
+def test_citation_fit(spark):
+    def brute(quote, whole):
+        strip = lambda x: re.sub(rf"[{re.escape(unicode.MARKS)}]", "", re.sub(r"\s+", "", x)).lower()
+        q, t = strip(quote), strip(whole)
+        if quote in whole:
+            return "exact"
+        if q in t:
+            return "normalised"
+        near = any(sum(a != b for a, b in zip(q, t[s:], strict=False)) <= max(1, len(q) // 10) for s in range(len(t) - len(q) + 1))
+        return "near" if len(q) >= 5 and near else "none"
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    quotes = {r.item_id: r.text[:100] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
+    got = QUERIES["citation_fuzzy"](spark, DATA).collect()
+    assert got and all(r.fit == brute(quotes[r.item_id], docs[r.doc_id]) for r in got)
+    pairs = {(r.doc_id, r.item_id) for r in got if r.fit == "exact"}
+    assert pairs == {(d, i) for d, t in docs.items() for i, q in quotes.items() if t and q in t and len(q.split(" ")) >= 6}
+    cases = [("abcdefghij", "xxabcdeXghij--", "near"), ("ab cd", "zzAB，CDzz", "normalised"), ("abcd", "abxd", "none"), ("", "abc", "none"), (None, "abc", "none"), ("abc", None, "none"), ("abcdefghij", "abXdefXhij", "none")]
+    df = spark.createDataFrame([(q, t) for q, t, _ in cases], "q string, t string")
+    assert [r[0] for r in df.select(unicode.fit(F.col("q"), F.col("t"))).collect()] == [c[2] for c in cases]
+
+
+def test_unicode(spark):
+    df = spark.createDataFrame([("ｆｕｌｌ",), ("café",), ("plain",), (None,)], "n string")
+    got = [tuple(r) for r in df.select(unicode.unicode_form(F.col("n")), unicode.without_accents(F.col("n"))).collect()]
+    assert got == [("full", "ｆｕｌｌ"), ("café", "cafe"), ("plain", "plain"), (None, None)]
+
+
+def test_resolve(spark):
+    known = spark.createDataFrame([(1, "p1", "c1", "salt"), (2, "p2", None, "sugar"), (3, "p1", "c3", "")], "id long, p string, c string, n string")
+    new = spark.createDataFrame([(10, "p1", "c1", None), (11, "p2", "c1", None), (12, None, None, "salt"), (13, "", "c9", ""), (14, None, "c3", "other")], "row int, p string, c string, n string")
+    got = {r.row: (r.match_id, r.match) for r in identity.resolve(new, known, "id", ["p", "c"], ["n"]).collect()}
+    assert got == {10: (1, "strong"), 11: (None, "conflict"), 12: (1, "weak"), 13: (None, "none"), 14: (3, "strong")}
+    assert {r.match_id for r in identity.resolve(new, known, "id", ["p", "c"], ["n"], strict=True).where("match = 'weak'").collect()} == {None}
+
+
+def test_nearest_blocks(spark):
+    known = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, [1.0, 0.0, 0.0]), (5, None)], "id long, v array<double>")
+    new = spark.createDataFrame([(10, [3.0, 0.0]), (11, [0.1, 1.0]), (12, None), (13, [0.0, 0.0]), (14, [1.0]), (15, [0.0, 1.0, 0.0])], "id long, v array<double>")
+    got = {r.id: (r.nearest_id, round(r.similarity, 4)) for r in identity.nearest(new, known, "id", "v", many=2, rows=2).collect()}
+    assert got == {10: (1, 1.0), 11: (3, 0.995), 12: (None, 0.0), 13: (None, 0.0), 14: (None, 0.0), 15: (4, 0.0)}
+    assert {r.nearest_id for r in identity.nearest(new, known.limit(0), "id", "v").collect()} == {None}
