@@ -100,3 +100,10 @@ def first_distinct(df: DataFrame, by: Sequence[str], value: str, n: int, name: s
     """The n smallest different values of each group, joined in order. A group is cut to n values before it is gathered."""
     few = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("string").alias("_v")).distinct().withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v"))).where(F.col("_r") <= n)
     return few.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list("_v")), separator).alias(name))
+
+
+def multimap(df: DataFrame, by: str, source: str, value: str) -> DataFrame:
+    """by, ids map<source, array of different values in order>; rows without a source or value are left out. Pairs are made distinct before they are gathered."""
+    pairs = df.select(by, source, value).dropna().distinct()
+    lists = pairs.groupBy(by, source).agg(F.sort_array(F.collect_list(value)).alias("_v"))
+    return lists.groupBy(by).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(source, "_v")))).alias("ids"))

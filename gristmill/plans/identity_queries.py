@@ -112,3 +112,26 @@ def bounds_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that brings every event twice; keyed state lets the first through."""
     return streams.run_once(spark, f"{sf_dir}/events.parquet", lambda e: streams.first_of_each(e.unionByName(e), ["event_id"]).select("event_id", "event_type"))
+
+
+@query("""
+with recursive t as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_id) as k from events where event_type in ('view', 'click', 'purchase')),
+m as (select distinct user_id, 0::bigint as k, 'pending' as state, 0::bigint as attempts from t union all
+  select m.user_id, t.k, case when state in ('pending', 'failed') and event_type = 'view' then 'in_progress' when state = 'in_progress' and event_type = 'purchase' then 'done'
+    when state = 'in_progress' and event_type = 'click' then case when attempts <= 2 then 'failed' else 'dead_letter' end else state end, attempts + (state in ('pending', 'failed') and event_type = 'view')::bigint
+  from m join t on t.user_id = m.user_id and t.k = m.k + 1)
+select user_id, arg_max(state, k) as state, max(attempts) as attempts from m group by 1
+""")
+def stream_task_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as tasks: a view begins one, a click fails it, a purchase ends it; the last update of each."""
+    updates = streams.run_once(spark, f"{sf_dir}/events.parquet", lambda e: streams.tasks(e, "user_id", "event_type", ["ts", "event_id"], "view", "click", "purchase"), "update")
+    return updates.groupBy("user_id").agg(F.max_by("state", "seen").alias("state"), F.max("attempts").alias("attempts"))
+
+
+@query("""
+select l_partkey, l_returnflag as source, string_agg(distinct l_suppkey::varchar, ',' order by l_suppkey::varchar) as ids from lineitem group by 1, 2
+""")
+def external_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers of each part by return flag, as a map that is laid out in rows again."""
+    items = read(spark, sf_dir, "lineitem").withColumn("supplier", F.col("l_suppkey").cast("string"))
+    return ops.multimap(items, "l_partkey", "l_returnflag", "supplier").select("l_partkey", F.explode("ids").alias("source", "v")).select("l_partkey", "source", F.array_join("v", ",").alias("ids"))

@@ -1,12 +1,14 @@
-"""Structured Streaming over event files: windows, deduplication by state, and running a stream to its end."""
+"""Structured Streaming over event files: windows, deduplication and task states kept by key, and running a stream to its end."""
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.state import GroupState
 
 
 def source(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -34,3 +36,29 @@ def run_once(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFra
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{shared}/state-{name}").trigger(availableNow=True).foreachBatch(keep).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def tasks(stream: DataFrame, key: str, event: str, order: list[str], begins: str, fails: str, ends: str, retries: int = 2) -> DataFrame:
+    """Updates of each task's state: key, state, attempts, seen (events so far), one row for each trigger that has events of the task.
+
+    pending and failed tasks begin (in_progress, one attempt more); one in progress ends (done) or fails (failed, or dead_letter once all
+    retries are used); done and dead_letter stay; other events change nothing. Between triggers a task is three small values in the state
+    store. A task's events of one trigger are put in order together, so maxFilesPerTrigger bounds them; later triggers count as later.
+    """
+    narrow = stream.where(F.col(event).isin(begins, fails, ends)).select(key, event, *order)
+    kind = narrow.schema[key].dataType.simpleString()
+
+    def run(found: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        status, attempts, seen = state.get if state.exists else ("pending", 0, 0)
+        rows = pd.concat(list(frames)).sort_values(order)
+        for what in rows[event]:
+            if status in ("pending", "failed") and what == begins:
+                status, attempts = "in_progress", attempts + 1
+            elif status == "in_progress" and what == ends:
+                status = "done"
+            elif status == "in_progress" and what == fails:
+                status = "failed" if attempts <= retries else "dead_letter"
+        state.update((status, attempts, seen + len(rows)))
+        yield pd.DataFrame({key: [found[0]], "state": [status], "attempts": [attempts], "seen": [seen + len(rows)]})
+
+    return narrow.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, state string, attempts long, seen long", "state string, attempts long, seen long", "update", "NoTimeout")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import physics, text, unicode
 from gristmill.operators import graph, identity, records, tables
 from gristmill.plans.catalog import ORACLES, QUERIES
+from gristmill.streaming import events as streams
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -158,3 +159,15 @@ def test_nearest_blocks(spark):
     got = {r.id: (r.nearest_id, round(r.similarity, 4)) for r in identity.nearest(new, known, "id", "v", many=2, rows=2).collect()}
     assert got == {10: (1, 1.0), 11: (3, 0.995), 12: (None, 0.0), 13: (None, 0.0), 14: (None, 0.0), 15: (4, 0.0)}
     assert {r.nearest_id for r in identity.nearest(new, known.limit(0), "id", "v").collect()} == {None}
+
+
+def test_task_state_over_triggers(spark, tmp_path):
+    steps = [(1, "b"), (1, "f"), (1, "b"), (1, "e"), (2, "b"), (2, "f"), (2, "b"), (2, "f"), (2, "b"), (2, "f"), (2, "b"), (3, "e"), (4, "b"), (4, "x")]
+    for k, (task, what) in enumerate(steps):
+        spark.createDataFrame([(task, what, k)], "task long, what string, n long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events")
+    stream = spark.readStream.schema("task long, what string, n long").option("maxFilesPerTrigger", 5).parquet(f"{tmp_path}/events")
+    found = []
+    q = streams.tasks(stream, "task", "what", ["n"], "b", "f", "e").writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).foreachBatch(lambda b, _: found.extend(b.collect())).start()
+    q.awaitTermination()
+    last = {r.task: (r.state, r.attempts, r.seen) for r in sorted(found, key=lambda r: r.seen)}
+    assert last == {1: ("done", 2, 4), 2: ("dead_letter", 3, 7), 3: ("pending", 0, 1), 4: ("in_progress", 1, 1)} and len(found) > len(last)
