@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, langid, mixing, sharding, simhash
+from gristmill.llm import decontaminate, langid, mixing, nearcopies, sharding
 from gristmill.llm.session import shared_dir
 
 
@@ -16,8 +16,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies: five-word shingles of similarity 0.8 or more."""
+    return nearcopies.one_of_each(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
