@@ -99,8 +99,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     or have another length than the most frequent one (of equally frequent ones the longest) take no part; nor do null ids. Of rows that
     share an id but not the vector, each is a candidate; a query is never its own answer by id. Empty input gives no rows.
 
-    Rows are scanned in groups of about BLOCK: small lists together, large ones in parts by a hash, so no list is one task's. A group sends,
-    of each query, twice its share of the rerank * k candidates and k more. What is sent to tasks is the fitted index, whose size has a bound (see Index).
+    Rows are scanned in groups of about BLOCK: small lists together, large ones in parts by a hash, so no list is one task's. Groups
+    are scanned twice: first each tells, of each query, the scores at every k / 2-th place, from which follows a score that at least
+    rerank * k candidates of all groups reach; then each sends its candidates that reach it, so none of the best rerank * k is left out.
+    What is sent to tasks is the fitted index, whose size has a bound (see Index).
     """
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
@@ -156,29 +158,44 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     sent = goes.join(asked, "query_id").select("part", "query_id", F.col("v").alias("q"))
     most = rerank * k
 
-    n_parts = group + 1
+    step = max(1, k // 2)
 
-    def scan(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        """A group of rows against the queries that visit it: the best candidates of each by the distance tables."""
-        rows_, lists = left.column("row").combine_chunks(), left.column("list").to_numpy()
+    def best_of(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """A group of rows against the queries that visit it, 64 at a time: the queries' places, the rows of the best candidates of each by the distance tables, and their scores."""
+        lists = left.column("list").to_numpy()
         codes = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(left.num_rows, -1).T.astype(np.int64) if left.num_rows else None
-        ids = right.column("query_id").to_numpy()
-        got_q, got_r, got_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-        take = min(most, k + 2 * most // n_parts, left.num_rows)
-        for a in range(0, len(ids) if left.num_rows else 0, 64):
+        take = min(most, left.num_rows)
+        for a in range(0, right.num_rows if left.num_rows else 0, 64):
             part = _matrix(right.column("q").slice(a, 64).combine_chunks(), dim)
             table = index.tables(part)
             score = visited(part)[1].take(lists, axis=1)
             for j in range(len(codes)):
                 score += table[:, j].take(codes[j], axis=1)
             best = np.argpartition(-score, take - 1, axis=1)[:, :take]
-            value = np.take_along_axis(score, best, axis=1)
-            some = np.isfinite(value)
-            got_q.append(np.repeat(ids[a : a + 64], take)[some.ravel()])
+            yield np.arange(a, a + len(part)), best, np.take_along_axis(score, best, axis=1)
+
+    def tell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        at, tops = [np.zeros(0, np.int64)], []
+        for some, _, value in best_of(left, right):
+            at.append(some)
+            tops += [v[np.isfinite(v)].astype(np.float32) for v in -np.sort(-value, axis=1)[:, step - 1 :: step]]
+        return pa.table({"query_id": right.column("query_id").take(pa.array(np.concatenate(at))), "v": right.column("q").take(pa.array(np.concatenate(at))), "top": pa.array(tops, pa.list_(pa.float32()))})
+
+    def scan(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        got_q, got_r, got_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        ids, least = right.column("query_id").to_numpy(), right.column("least").to_numpy()
+        for at, best, value in best_of(left, right):
+            some = np.isfinite(value) & (value >= least[at][:, None])
+            got_q.append(np.repeat(ids[at], some.sum(axis=1)))
             got_r.append(best[some])
             got_s.append(value[some])
-        return pa.table({"query_id": np.concatenate(got_q), "row": rows_.take(pa.array(np.concatenate(got_r))), "about": np.concatenate(got_s).astype(np.float32)})
+        return pa.table({"query_id": np.concatenate(got_q), "row": left.column("row").combine_chunks().take(pa.array(np.concatenate(got_r))), "about": np.concatenate(got_s).astype(np.float32)})
 
+    told = placed.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(tell, "query_id long, v array<float>, top array<float>")
+    reached = F.try_element_at(F.sort_array(F.flatten(F.collect_list("top")), False), F.lit(-(-most // step)))
+    # Sums of a second scan may be off in the last places, so the bound is a little lower; where fewer candidates are known, all are sent.
+    least = cut(told.groupBy("query_id", "v").agg(F.coalesce(reached - F.abs(reached) * 1e-5 - 1e-6, F.lit(float("-inf"))).alias("least")))
+    sent = sent.join(least.withColumnRenamed("v", "q"), ["query_id", "q"])
     met = placed.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(scan, "query_id long, row struct<uid:long,h:long>, about float")
     best = met.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("about"), "row"))).where(F.col("r") <= most).select("query_id", "row")
 
