@@ -94,13 +94,24 @@ def shard(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "tex
 
 
 def sharded(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs with all their columns, and size, text_crc32, law, shard and slot."""
-    rows, bins, _ = assigned(docs, shards, id, text)
-    clash = {"size", "text_crc32", "law", "shard", "slot", "_h"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"docs has columns that the result adds: {sorted(clash)}")
-    placed = _measured(docs, text, [F.col(c) for c in docs.columns]).join(bins, ["size", "text_crc32", "_h"])
-    return _ranked(placed, "shard", (id, "_h"), "slot", rows.count()).select(*docs.columns, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"))
+    """The rows of docs with all their columns, and size, text_crc32, law, shard and slot.
+
+    Columns of docs keep their names. An added column whose name docs has already (in either case) gets the first free one of shard_size,
+    shard_size_2, shard_size_3 and so on (likewise the others).
+    """
+    columns, taken, added = docs.columns, {c.lower() for c in docs.columns}, {}
+    for name in ("size", "text_crc32", "law", "shard", "slot"):
+        new, k = name, 1
+        while new in taken:
+            new, k = f"shard_{name}" if k == 1 else f"shard_{name}_{k}", k + 1
+        taken.add(new)
+        added[name] = new
+    flat = docs.toDF(*[f"c{k}" for k in range(len(columns))])
+    id, text = (f"c{columns.index(c)}" for c in (id, text))
+    rows, bins, _ = assigned(flat, shards, id, text)
+    placed = _measured(flat, text, [F.col(c) for c in flat.columns]).join(bins, ["size", "text_crc32", "_h"])
+    made = {"size": F.col("size"), "text_crc32": F.col("text_crc32"), "law": F.lit("bytes"), "shard": F.col("shard"), "slot": F.col("slot").cast("long")}
+    return _ranked(placed, "shard", (id, "_h"), "slot", rows.count()).select(*[F.col(f).alias(c) for f, c in zip(flat.columns, columns, strict=True)], *[c.alias(added[n]) for n, c in made.items()])
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
