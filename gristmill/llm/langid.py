@@ -125,9 +125,23 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 8, b
     return Network(languages, params[: len(WIDTHS)], *params[len(WIDTHS) :])
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tuple[str, ...] = ("doc_id",), seed: int = 42) -> Network | None:
+def no_language(windows: list[bytes], seed: int = 42) -> list[bytes]:
+    """A text of no language for every fifth window, as long as it: its characters in any order, table debris, letters by chance, other scripts' letters by chance."""
+    rng, out = np.random.default_rng(seed), []
+    debris, letters = list("|-=+.,;:#$%&*/()[]{}<>_~^ \t\n0123456789" * 3 + "abxyz"), list("abcdefghijklmnopqrstuvwxyz    ")
+    scripts = [[chr(c) for c in range(a, a + n)] + [" "] * (n // 6) for a, n in ((0x391, 57), (0x410, 64), (0x5D0, 27), (0x621, 42), (0x905, 50), (0x3041, 86), (0x4E00, 2000), (0xAC00, 2000))]
+    for k, window in enumerate(windows[::5]):
+        kind = k % 4 if len(window) >= 100 else 1 + k % 3
+        among = list(window.decode("utf-8", "ignore")) if kind == 0 else debris if kind == 1 else letters if kind == 2 else scripts[int(rng.integers(len(scripts)))]
+        made = rng.permutation(among) if kind == 0 else rng.choice(among, len(window))
+        out.append("".join(made.tolist()).encode()[: len(window)])
+    return out
+
+
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tuple[str, ...] = ("doc_id",), seed: int = 42, noise: bool = False) -> Network | None:
     """A network of a bounded sample of labelled rows: of the MOST_LANGUAGES most frequent languages, the SAMPLE_DOCS rows each with the smallest
-    hash of their order columns, and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no row has a label and a text."""
+    hash of their order columns, and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no row has a label and a text.
+    With noise, it also learns texts of no language, as und."""
     rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(F.col(text)) > 0))
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
     if not counts:
@@ -142,10 +156,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tupl
     spread = F.transform(F.sequence(F.lit(0), F.least(F.lit(SAMPLE_WINDOWS), n_windows) - 1), lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(SAMPLE_WINDOWS), n_windows)) * WINDOW + 1).cast("int"), F.lit(WINDOW)))
     picked = rows.where(near).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(place, *order))).where(F.col("_r") <= SAMPLE_DOCS)
     got = picked.select(F.col(lang).alias("lang"), "_r", F.posexplode(spread).alias("_k", "w")).orderBy("lang", "_r", "_k").select("lang", "w").collect()
-    languages = sorted(set(wanted))
-    offsets = np.concatenate([[0], np.cumsum([len(r["w"]) for r in got])])
-    x, _, _ = windows_of(np.frombuffer(b"".join(bytes(r["w"]) for r in got), np.uint8), offsets)
-    return train(x, np.array([languages.index(r["lang"]) for r in got]), languages, seed=seed)
+    texts, names = [bytes(r["w"]) for r in got], [r["lang"] for r in got]
+    if noise:
+        extra = no_language(texts, seed)
+        texts, names = texts + extra, names + ["und"] * len(extra)
+    languages = sorted({*wanted, *names})
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in texts])])
+    x, _, _ = windows_of(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    return train(x, np.array([languages.index(n) for n in names]), languages, seed=seed)
 
 
 def predict(docs: DataFrame, network: Network | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -194,12 +212,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, network).select("doc_id", _held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, least: float = 0.0, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, least: float = 0.0, id: str = "doc_id", text: str = "text", lang: str = "lang", junk: float = 0.9) -> DataFrame:
     """The rows of docs, with all their columns, whose language is told with at least that score; und goes.
 
-    By default a text that mixes languages stays, however the score is divided; only null texts and texts without a letter go.
+    By default a text that mixes languages stays, however the score is divided. Null texts, texts without a letter, and texts that the network
+    takes for no language (und) with a score above junk go; without any labelled row there is no network, and all go.
     """
     columns = docs.columns
     flat = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)])
-    found = predict(flat, fit(docs.where(~_held_out(id)), text, lang, (id,)), f"c{columns.index(text)}", tuple(flat.columns))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)])
+    found = predict(flat, fit(docs.where(~_held_out(id)), text, lang, (id,), noise=True), f"c{columns.index(text)}", tuple(flat.columns))
+    told = F.when(F.col("lang_pred") == "und", (F.col("score") > 0) & (F.col("score") <= junk)).otherwise(True) & (F.col("score") >= least)
+    return found.where(told).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)])
