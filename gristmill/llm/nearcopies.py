@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .session import cut, key_of, small_batches
+from .session import cut, done_with, key_of, small_batches
 from .text import FOLD, column_bytes
 
 U = np.uint64
@@ -94,8 +94,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(pairs.join(one, "a").join(other, "b").select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long"))
 
 
-def links(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Of rows (_id, fp, bands) of docs, links (a long, b long) of different sets of similarity 0.8 or more, enough to connect all candidates that are."""
+def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """Of rows (_id, fp, bands) of docs, the components (node, component) of links between different sets of similarity 0.8 or more; every candidate pair that could connect two is compared."""
     spread = cut(rows.select("fp", F.explode("bands").alias("band")).distinct())
     leads = spread.groupBy("band").agg(F.min("fp").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = cut(spread.join(leads, "band"))
@@ -104,18 +104,24 @@ def links(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     texts = docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")).join(firsts, "_id", "left_semi")
     sets = cut(_sets(texts, "_t", (), "set").join(known, "fp", "left_semi").dropDuplicates(["fp"]))
     found = _verified(members.where("fp != lead").groupBy("fp").agg(F.min("lead").alias("a")).withColumnRenamed("fp", "b"), sets)
+    nodes = cut(components(found))
     for step in ("leads", "all"):
-        nodes = components(found)
+        done_with(docs.sparkSession)  # the driver's memory has a bound
         placed = cut(members.join(nodes, members.fp == nodes.node, "left").select("band", "fp", "lead", F.coalesce("component", "fp").alias("c")))
         mixed = placed.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.struct("lead")).alias("x")).where("low != high").select("band", F.col("x.lead").alias("at"))
         open_ = cut(placed.join(mixed, "band").join(placed.where("fp = lead").select("band", F.col("c").alias("lead_c")), "band"))
+        if open_.isEmpty():
+            break
         apart = open_.where("c != lead_c").select("band", F.col("fp").alias("b"), F.col("c").alias("cb"), "lead")
         if step == "leads":
             pairs = apart.select(F.col("lead").alias("a"), "b")
         else:
             pairs = open_.select("band", F.col("fp").alias("a"), "c", "lead_c").join(apart, "band").where("c != cb and (c = lead_c or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = cut(found.unionByName(_verified(pairs.distinct(), sets)))
-    return found
+        new = _verified(pairs.distinct(), sets)
+        if not new.isEmpty():
+            found = cut(found.unionByName(new))
+            nodes = cut(components(found))
+    return nodes
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,7 +130,7 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     Texts without words are copies of each other. Of rows that share that id, those with the smallest digest are looked at, and of these one stays.
     """
     rows = cut(_sets(docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")), "_t", ("_id",), "bands"))
-    nodes = components(links(rows, docs, id, text))
+    nodes = linked(rows, docs, id, text)
     prints = rows.groupBy("fp").agg(F.min("_id").alias("low"))
     named = cut(prints.join(nodes, prints.fp == nodes.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("c")))
     lows = named.groupBy("c").agg(F.min("low").alias("low"))
