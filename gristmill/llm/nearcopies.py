@@ -1,9 +1,16 @@
-"""Near copies by the Jaccard similarity of five-word shingles: candidates by MinHash bands, links only after an exact comparison.
+"""Near copies by SimHash and anchor-point covering: fingerprints of five-word shingles propose pairs, an exact comparison of the shingle sets decides.
 
-A text's shingles are hashed to a set; equal sets are one node. Of each set BANDS keys are made of ROWS minima each; two sets of similarity s
-share a key with probability 1 - (1 - s**ROWS)**BANDS: 0.9993 at 0.8, 0.99999 at 0.85. Sets that share a key are candidates. First each is
-compared with one other, then with the least of each of its keys, then with all under its keys that it isn't connected to by then; so
-a large group of near copies costs a few comparisons of each member, and no candidate pair that could connect two groups is left out.
+A link is a similarity (shared shingles over all shingles of both) of 0.8 or more. Two sets of that similarity differ in 15 % of the bits of
+a SimHash fingerprint, far more than op9's three of 64, so fingerprints are wider (1024 bits) and the blocks that anchors cover are shorter
+and more: BLOCKS blocks of 23 bits. In a block the anchors are the words of the Hamming code of length 15, each with all values of the
+other 8 bits: the code is perfect, so with a threshold of 0 every block lies within the covering radius plus threshold (1 + 0) of exactly
+one anchor. Fingerprints that agree in a block, or that differ from it on the same side, meet there. A pair of similarity 0.8 meets at one
+anchor at least with probability 0.9947, one of 0.85 with 0.9998, one of 0.9 always but for 1e-7; whole fingerprints that differ in
+at most 43 bits always do, because 44 blocks are disjoint.
+
+Per anchor, members are compared by 96 further bits of their fingerprints, and what is near is a candidate. Candidates are compared exactly
+in an order that spares work: first each set with one other, then those that are not connected by then. An anchor whose near pairs are many
+proposes one for each member; if that leaves members of several components there, it is visited again for the pairs between these.
 """
 
 from __future__ import annotations
@@ -16,15 +23,34 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .session import cut, done_with, key_of, small_batches
-from .text import FOLD, column_bytes
+from .session import cut, key_of, small_batches
+from .text import FOLD, column_bytes, mix
 
 U = np.uint64
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 6
+SHINGLE, SIMILARITY = 5, 0.8
+WORDS, BLOCKS, CODED, PLAIN = 16, 128, 15, 8
+#: Of 96 bits, how many may differ: 14.5 on the average at a similarity of 0.8, 27 is 3.5 standard deviations more.
+NEAR = 27
+#: Members of an anchor that are compared each with each, and near pairs for each member that it proposes on its first visit.
+EACH, PAIRS = 256, 4
 _FOLD = FOLD.tobytes()
 _RNG = np.random.default_rng(42)
-_MULTIPLY, _ADD = (_RNG.integers(0, 2**63, BANDS * ROWS, dtype=U) * U(2) + U(1) for _ in range(2))
-_MIX = _RNG.integers(0, 2**63, (BANDS, ROWS), dtype=U) * U(2) + U(1)
+_SEEDS = _RNG.integers(0, 2**63, (WORDS, 1), dtype=U)
+# The first 44 blocks are disjoint, and so are the next 44 and the rest: each takes 23 bits of a shuffled list of all 1024.
+_BITS = np.concatenate([_RNG.permutation(64 * WORDS)[: 44 * (CODED + PLAIN)] for _ in range(3)])[: BLOCKS * (CODED + PLAIN)]
+_LANES = U(0x0101010101010101)
+_POWERS = 1 << np.arange(CODED + PLAIN)
+
+
+def _homes() -> np.ndarray:
+    """Of each of 2 ** 15 values, the word of the Hamming code within distance 1."""
+    value, syndrome = np.arange(1 << CODED), np.zeros(1 << CODED, np.int64)
+    for bit in range(CODED):
+        syndrome ^= np.where(value >> bit & 1, bit + 1, 0)
+    return value ^ np.where(syndrome > 0, 1 << np.maximum(syndrome - 1, 0), 0)
+
+
+_HOME = _homes()
 
 
 def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -40,16 +66,23 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)), U, len(starts)))
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """The keys of a set of hashes; none of an empty one."""
-    if not len(found):
-        return np.zeros(0, U)
-    least = np.full(BANDS * ROWS, ~U(0))
-    for a in range(0, len(found), 512):
-        mixed = found[a : a + 512, None] * _MULTIPLY + _ADD
-        least = np.minimum(least, (mixed ^ (mixed >> U(32))).min(axis=0))
-    keys = (least.reshape(BANDS, ROWS) * _MIX).sum(axis=1)
-    return (keys ^ (keys >> U(29))) * _MIX[:, 0]
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """The wide fingerprint of a set of hashes: WORDS words of 64 bits, each the majority over the set mixed with the word's seed."""
+    counts = np.zeros((WORDS, 8, 8), np.int64)  # words, bytes, bits
+    for a in range(0, len(found), 255 * 256):
+        part = mix(found[None, a : a + 255 * 256] ^ _SEEDS)
+        blocks = -(-part.shape[1] // 255)  # a byte of a word counts one bit of up to 255 hashes at once
+        part = np.pad(part, ((0, 0), (0, blocks * 255 - part.shape[1]))).reshape(WORDS, blocks, 255)
+        for bit in range(8):
+            counts[:, :, bit] += ((part >> U(bit)) & _LANES).sum(axis=2).view(np.uint8).reshape(WORDS, blocks, 8).sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * counts > len(found), axis=2, bitorder="little").ravel().view(U)
+
+
+def anchors(prints: np.ndarray) -> np.ndarray:
+    """Rows, BLOCKS: each block's number and its anchor (the plain bits and the home of the coded ones) in one number below 2 ** 30."""
+    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+    value = bits[:, _BITS].reshape(len(prints), BLOCKS, -1) @ _POWERS
+    return np.arange(BLOCKS) << (CODED + PLAIN) | value >> CODED << CODED | _HOME[value & ((1 << CODED) - 1)]
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -58,12 +91,11 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sets(docs: DataFrame, text: str, keep: tuple[str, ...], more: str = "") -> DataFrame:
-    """The kept columns, fp long (a digest of the text's set), and with more its bands (array<long>) or its set (binary)."""
+    """The kept columns, fp long (a digest of the text's set), and with more the set's wide fingerprint (wide) or the set itself (set), binary; null for a text without words."""
     small_batches(docs.sparkSession)
     narrow = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
-    kinds = {"bands": "array<bigint>", "set": "binary"}
     schema = narrow.drop("_text").withColumn("fp", F.lit(0).cast("long"))
-    schema = (schema.withColumn(more, F.lit(None).cast(kinds[more])) if more else schema).schema
+    schema = (schema.withColumn(more, F.lit(None).cast("binary")) if more else schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,14 +106,114 @@ def _sets(docs: DataFrame, text: str, keep: tuple[str, ...], more: str = "") ->
                 found = shingles(whole[a:b])
                 fps[i] = np.array(xxhash.xxh64_intdigest(found.tobytes(), 42), U).view(np.int64)
                 if more:
-                    extra.append(bands(found).view(np.int64) if more == "bands" else found.tobytes())
+                    extra.append(None if not len(found) else fingerprint(found).tobytes() if more == "wide" else found.tobytes())
             columns = [*batch.columns[:-1], pa.array(fps)]
-            columns += [pa.array(extra, pa.list_(pa.int64()) if more == "bands" else pa.binary())] if more else []
+            columns += [pa.array(extra, pa.binary())] if more else []
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "fp", *([more] if more else [])])
 
     return narrow.mapInArrow(run, schema)
 
 
+def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (fp, c, wide): fp, c, at (the anchor, and below it 32 bits of the fingerprint) and more (64 bits of it)."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1024):
+            part = batch.slice(a, 1024)
+            prints = np.frombuffer(b"".join(part.column(2).to_pylist()), U).reshape(-1, WORDS)
+            rows = pa.array(np.repeat(np.arange(len(prints)), BLOCKS))
+            at = anchors(prints) << 32 | (prints[:, -1:] >> U(32)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.ravel()), pa.array(np.repeat(prints[:, 0].view(np.int64), BLOCKS))], names=["fp", "c", "at", "more"])
+
+
+_FOUND = {"a": pa.int64(), "b": pa.int64(), "crowded": pa.int64()}
+
+
+def _found(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
+    """Pairs, and after them, with null ends, the anchors that have more pairs than they propose."""
+    some, rest = pa.nulls(len(crowded), pa.int64()), pa.nulls(len(a), pa.int64())
+    columns = [pa.concat_arrays([pa.array(a), some]), pa.concat_arrays([pa.array(b), some]), pa.concat_arrays([rest, pa.array(crowded)])]
+    return pa.RecordBatch.from_arrays(columns, names=list(_FOUND))
+
+
+def _one_anchor(fp: np.ndarray, c: np.ndarray, near, again: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Near pairs of an anchor's many members, from a lead to all others that are near it and have no lead yet; again: every near pair of different components, in blocks."""
+    a, b, left, dropped = [fp[:0]], [fp[:0]], np.arange(len(fp)), False
+    if again:
+        for i in range(0, len(fp), 64):
+            for j in range(i, len(fp), 4096):
+                rows, columns = left[i : i + 64, None], left[None, j : j + 4096]
+                x, y = np.nonzero((c[rows] != c[columns]) & (rows < columns) & near(rows, columns))
+                a.append(fp[i + x])
+                b.append(fp[j + y])
+        return np.concatenate(a), np.concatenate(b), False
+    while len(left) > 1:
+        hit = near(left[0], left)
+        a.append(np.repeat(fp[left[0]], hit.sum() - 1))
+        b.append(fp[left[hit][1:]])
+        dropped |= hit.sum() > 2
+        left = left[~hit]
+    return np.concatenate(a), np.concatenate(b), dropped
+
+
+def _compare(again: bool):
+    """Members come sorted by anchor; what is left of the last anchor is carried over to the next batch. Yields near pairs, see _found."""
+
+    def done(fp: np.ndarray, c: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((fp, at >> 32))  # leads are the least members, whatever the anchor
+        fp, c, key, low, more = fp[order], c[order], at[order] >> 32, (at[order] & 0xFFFFFFFF).view(U), more[order].view(U)
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(begin, len(key)))
+        near = lambda i, j: np.bitwise_count(more[i] ^ more[j]) + np.bitwise_count(low[i] ^ low[j]) <= NEAR
+        few = np.repeat(size <= EACH, size)
+        left, right = [fp[:0].astype(np.int64)], [fp[:0].astype(np.int64)]
+        for gap in range(1, int(size[size <= EACH].max(initial=1))):
+            i = np.flatnonzero(few[:-gap] & (key[:-gap] == key[gap:]))
+            i = i[near(i, i + gap) & (c[i] != c[i + gap])]
+            left.append(i)
+            right.append(i + gap)
+        i, j = np.concatenate(left), np.concatenate(right)
+        group = np.repeat(np.arange(len(size)), size)
+        many = np.bincount(group[i], minlength=len(size)) > (len(fp) ** 2 if again else PAIRS * size)
+        lead = np.full(len(fp), len(fp))
+        np.minimum.at(lead, j, i)
+        keep = ~many[group[i]] | (lead[j] == i)
+        i, j = i[keep], j[keep]
+        a, b, crowded = [fp[i]], [fp[j]], [key[begin[many]]]
+        for g in np.flatnonzero(size > EACH).tolist():
+            s, e = begin[g], begin[g] + size[g]
+            x, y, dropped = _one_anchor(fp[s:e], c[s:e], lambda p, q, s=s: near(s + p, s + q), again)
+            a.append(x)
+            b.append(y)
+            crowded.append(key[s : s + dropped])
+        return _found(np.concatenate(a), np.concatenate(b), np.concatenate(crowded))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[list[np.ndarray]] = []
+        for batch in batches:
+            now = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+            if not len(now[0]):
+                continue
+            rest.append(now)
+            if now[2][-1] >> 32 != rest[0][2][0] >> 32 and sum(len(x[0]) for x in rest) >= 1 << 17:
+                whole = [np.concatenate(x) for x in zip(*rest, strict=True)]
+                last = int(np.searchsorted(whole[2], whole[2][-1] >> 32 << 32))
+                yield done(*(x[:last] for x in whole))
+                rest = [[x[last:] for x in whole]]
+        if rest:
+            yield done(*(np.concatenate(x) for x in zip(*rest, strict=True)))
+
+    return run
+
+
+def _candidates(prints: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
+    """Of sets (fp, c, wide), near pairs of different c: a, b, or crowded, an anchor that has more. With crowded (one column, of the same name): all pairs at these anchors."""
+    spread = prints.select("fp", "c", "wide").mapInArrow(_replicate, "fp long, c long, at long, more long")
+    key = F.shiftright("at", 32)
+    if crowded is not None:
+        spread = spread.join(crowded, key == F.col("crowded"), "left_semi")
+    return spread.repartition(key).sortWithinPartitions("at").mapInArrow(_compare(crowded is not None), "a long, b long, crowded long")
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = (batch.column(k).to_pylist() for k in (2, 3))
@@ -95,41 +227,50 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Of rows (_id, fp, bands) of docs, the components (node, component) of links between different sets of similarity 0.8 or more; every candidate pair that could connect two is compared."""
-    spread = cut(rows.select("fp", F.explode("bands").alias("band")).distinct())
-    leads = spread.groupBy("band").agg(F.min("fp").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = cut(spread.join(leads, "band"))
-    known = members.select("fp").distinct()
-    firsts = rows.join(known, "fp", "left_semi").groupBy("fp").agg(F.min("_id").alias("_id")).select("_id").distinct()
-    texts = docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")).join(firsts, "_id", "left_semi")
-    sets = cut(_sets(texts, "_t", (), "set").join(known, "fp", "left_semi").dropDuplicates(["fp"]))
-    found = _verified(members.where("fp != lead").groupBy("fp").agg(F.min("lead").alias("a")).withColumnRenamed("fp", "b"), sets)
+    """Of rows (_id, fp, wide) of docs, the components (node, component) of links between different sets of similarity 0.8 or more; every candidate that could connect two is compared."""
+    prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide")).withColumn("c", F.col("fp"))
+    met = cut(_candidates(prints))
+    pairs, crowded = _ordered(met), met.where("crowded is not null").select("crowded").distinct()
+    lead, sets = pairs.groupBy("b").agg(F.min("a").alias("a")), _sets_of(pairs, prints, docs, id, text)
+    found = _verified(lead, sets)
     nodes = cut(components(found))
-    for step in ("leads", "all"):
-        done_with(docs.sparkSession)  # the driver's memory has a bound
-        placed = cut(members.join(nodes, members.fp == nodes.node, "left").select("band", "fp", "lead", F.coalesce("component", "fp").alias("c")))
-        mixed = placed.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.struct("lead")).alias("x")).where("low != high").select("band", F.col("x.lead").alias("at"))
-        open_ = cut(placed.join(mixed, "band").join(placed.where("fp = lead").select("band", F.col("c").alias("lead_c")), "band"))
-        if open_.isEmpty():
-            break
-        apart = open_.where("c != lead_c").select("band", F.col("fp").alias("b"), F.col("c").alias("cb"), "lead")
-        if step == "leads":
-            pairs = apart.select(F.col("lead").alias("a"), "b")
-        else:
-            pairs = open_.select("band", F.col("fp").alias("a"), "c", "lead_c").join(apart, "band").where("c != cb and (c = lead_c or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        new = _verified(pairs.distinct(), sets)
-        if not new.isEmpty():
-            found = cut(found.unionByName(new))
-            nodes = cut(components(found))
+    found, nodes = _joined(pairs.join(lead, ["a", "b"], "left_anti"), found, nodes, sets)
+    if not crowded.isEmpty():
+        named = prints.drop("c").join(nodes, prints.fp == nodes.node, "left").withColumn("c", F.coalesce("component", "fp"))
+        more = _ordered(_candidates(named, crowded)).join(pairs, ["a", "b"], "left_anti")
+        found, nodes = _joined(more, found, nodes, _sets_of(more, prints, docs, id, text))
     return nodes
 
 
+def _ordered(met: DataFrame) -> DataFrame:
+    return cut(met.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _sets_of(pairs: DataFrame, prints: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """The shingle sets (fp, set) of both ends of pairs."""
+    known = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    firsts = prints.join(known, "fp", "left_semi").select("_id").distinct()
+    texts = docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")).join(firsts, "_id", "left_semi")
+    return cut(_sets(texts, "_t", (), "set").join(known, "fp", "left_semi").dropDuplicates(["fp"]))
+
+
+def _joined(pairs: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links and components after those of pairs that lie in different components have been compared."""
+    one, other = (nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    apart = pairs.join(one, "a", "left").join(other, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    new = _verified(apart.select("a", "b"), sets)
+    if new.isEmpty():
+        return found, nodes
+    found = found.unionByName(new)
+    return found, cut(components(found))
+
+
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns: of texts connected by links, that with the smallest id (a null id counts as the largest).
 
     Texts without words are copies of each other. Of rows that share that id, those with the smallest digest are looked at, and of these one stays.
     """
-    rows = cut(_sets(docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")), "_t", ("_id",), "bands"))
+    rows = cut(_sets(docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")), "_t", ("_id",), "wide"))
     nodes = linked(rows, docs, id, text)
     prints = rows.groupBy("fp").agg(F.min("_id").alias("low"))
     named = cut(prints.join(nodes, prints.fp == nodes.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("c")))

@@ -277,16 +277,32 @@ def test_estimate():
 def test_pipeline(spark):
     import corpus_pipeline
 
+    from test_nearcopies import firsts
+
     source = spark.read.parquet(f"{DATA}/documents.parquet")
     out = corpus_pipeline.run(spark, DATA).toPandas()
-    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
-    stages = source
-    known = langid.accepted(source)
-    one = simhash.one_of_each(known)
-    clean = decontaminate.clean(one, bench)
-    copies = {r.doc_id: r.copies for r in mixing.mix(clean).collect()}
-    assert out.doc_id.value_counts().to_dict() == {k: v for k, v in copies.items() if v}
-    groups = simhash.near_duplicates(known).select("component_id").distinct().count()
-    assert one.count() == groups and stages.count() >= known.count() >= one.count() >= clean.count()
+    known = [(r.doc_id, r.text, r.source) for r in corpus_pipeline.known_language(spark, source, DATA).collect()]
+    assert {i for i, _, _ in known} <= {r.doc_id for r in source.collect() if re.search("[^\\W\\d_]", r.text or "")}
+    one = {*firsts([(i, t) for i, t, _ in known])}
+    windows = lambda t: [tuple(w[k : k + min(10, len(w))]) for w in [re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))] if w for k in range(len(w) - min(10, len(w)) + 1)]
+    bench = {w for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect() for w in windows(r.text)}
+    assert {len(w) for w in bench} == {10}
+    clean = {i: (len(WORD.findall(t)), s) for i, t, s in known if i in one and not bench & {*windows(t)}}
+    copies = out.doc_id.value_counts().to_dict()
+    assert set(copies) <= set(clean) and max(copies.values()) <= 2
+    total, weight, size = sum(n for n, _ in clean.values()), {}, {}
+    for k, name in enumerate(sorted({s for _, s in clean.values()})):
+        weight[name], size[name] = (3, 1, 2)[k % 3], sum(n for n, s in clean.values() if s == name)
+    aim, open_ = {}, set(size)
+    while open_:  # what a cap cuts off is shared again
+        level = (1.5 * total - sum(aim.values())) / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 2 * size[s]}
+        aim |= {s: 2 * size[s] if s in over else level * weight[s] for s in over or open_}
+        open_ -= over or open_
+    for name, goal in aim.items():
+        taken = sum(clean[i][0] * c for i, c in copies.items() if clean[i][1] == name)
+        assert abs(taken - goal) <= max(0.02 * goal, max(n for n, s in clean.values() if s == name)), (name, taken, goal)
     for _, part in out.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
+    load = out.assign(n=[len((t or "").encode()) + 1 for t in out.text]).groupby("shard").n.sum()
+    assert load.max() - load.min() <= 0.02 * load.mean() and out.groupby("text").shard.nunique().max() == 1
