@@ -10,7 +10,7 @@ from .session import cut
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Every node's neighbours (the larger ones, or all smaller ones and itself) are linked to its least neighbour instead."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     met = both.join(least, "a")
     if large:
         return met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()

@@ -8,9 +8,9 @@ one anchor. Fingerprints that agree in a block, or that differ from it on the sa
 anchor at least with probability 0.9947, one of 0.85 with 0.9998, one of 0.9 always but for 1e-7; whole fingerprints that differ in
 at most 43 bits always do, because 44 blocks are disjoint.
 
-Per anchor, members are compared by 96 further bits of their fingerprints, and what is near is a candidate. Candidates are compared exactly
-in an order that spares work: first each set with one other, then those that are not connected by then. An anchor whose near pairs are many
-proposes one for each member; if that leaves members of several components there, it is visited again for the pairs between these.
+Per anchor, members are compared by 96 further bits, and each proposes the member that is nearest to it, if it is clearly near. What is
+proposed is compared exactly, first the nearest pair of each set, then those that are not connected by then. Anchors at which more pairs may be
+near than were proposed are visited again, now with fingerprints of 4096 bits: there all near pairs of sets that are still apart are compared.
 """
 
 from __future__ import annotations
@@ -28,14 +28,16 @@ from .text import FOLD, column_bytes, mix
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
-WORDS, BLOCKS, CODED, PLAIN = 16, 128, 15, 8
-#: Of 96 bits, how many may differ: 14.5 on the average at a similarity of 0.8, 27 is 3.5 standard deviations more.
-NEAR = 27
-#: Members of an anchor that are compared each with each, and near pairs for each member that it proposes on its first visit.
-EACH, PAIRS = 256, 4
+WORDS, FINE, BLOCKS, CODED, PLAIN = 16, 64, 128, 15, 8
+#: How many bits may differ of 96 and of 4096: 14.5 and 620 on the average at a similarity of 0.8, and 3.5 standard deviations more.
+NEAR, NEAR_FINE = 27, 700
+#: How many of the 96 bits of what is clearly near may differ.
+CLEAR = 16
+#: Members of an anchor that are compared each with each at once.
+EACH = 256
 _FOLD = FOLD.tobytes()
 _RNG = np.random.default_rng(42)
-_SEEDS = _RNG.integers(0, 2**63, (WORDS, 1), dtype=U)
+_SEEDS = _RNG.integers(0, 2**63, (FINE, 1), dtype=U)
 # The first 44 blocks are disjoint, and so are the next 44 and the rest: each takes 23 bits of a shuffled list of all 1024.
 _BITS = np.concatenate([_RNG.permutation(64 * WORDS)[: 44 * (CODED + PLAIN)] for _ in range(3)])[: BLOCKS * (CODED + PLAIN)]
 _LANES = U(0x0101010101010101)
@@ -66,15 +68,15 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)), U, len(starts)))
 
 
-def fingerprint(found: np.ndarray) -> np.ndarray:
-    """The wide fingerprint of a set of hashes: WORDS words of 64 bits, each the majority over the set mixed with the word's seed."""
-    counts = np.zeros((WORDS, 8, 8), np.int64)  # words, bytes, bits
-    for a in range(0, len(found), 255 * 256):
-        part = mix(found[None, a : a + 255 * 256] ^ _SEEDS)
+def fingerprint(found: np.ndarray, width: int = WORDS) -> np.ndarray:
+    """The fingerprint of a set of hashes: so many words of 64 bits, each the majority over the set mixed with the word's seed."""
+    counts = np.zeros((width, 8, 8), np.int64)  # words, bytes, bits
+    for a in range(0, len(found), 255 * 64):
+        part = mix(found[None, a : a + 255 * 64] ^ _SEEDS[:width])
         blocks = -(-part.shape[1] // 255)  # a byte of a word counts one bit of up to 255 hashes at once
-        part = np.pad(part, ((0, 0), (0, blocks * 255 - part.shape[1]))).reshape(WORDS, blocks, 255)
+        part = np.pad(part, ((0, 0), (0, blocks * 255 - part.shape[1]))).reshape(width, blocks, 255)
         for bit in range(8):
-            counts[:, :, bit] += ((part >> U(bit)) & _LANES).sum(axis=2).view(np.uint8).reshape(WORDS, blocks, 8).sum(axis=1, dtype=np.int64)
+            counts[:, :, bit] += ((part >> U(bit)) & _LANES).sum(axis=2).view(np.uint8).reshape(width, blocks, 8).sum(axis=1, dtype=np.int64)
     return np.packbits(2 * counts > len(found), axis=2, bitorder="little").ravel().view(U)
 
 
@@ -125,78 +127,84 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.ravel()), pa.array(np.repeat(prints[:, 0].view(np.int64), BLOCKS))], names=["fp", "c", "at", "more"])
 
 
-_FOUND = {"a": pa.int64(), "b": pa.int64(), "crowded": pa.int64()}
+def _found(a: np.ndarray, b: np.ndarray, d: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
+    """Pairs and their distances, and after them, with null ends, the anchors that have more pairs than they propose."""
+    some, rest = pa.nulls(len(crowded), pa.int64()), pa.nulls(len(a), pa.int64())
+    columns = [pa.concat_arrays([pa.array(x), some]) for x in (a, b, d)] + [pa.concat_arrays([rest, pa.array(crowded)])]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "d", "crowded"])
 
 
-def _found(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
-    """Pairs, and after them, with null ends, the anchors that have more pairs than they propose."""
-    some, rest = pa.nulls(len(crowded), pa.int64()), pa.nulls(len(a), pa.int64())
-    columns = [pa.concat_arrays([pa.array(a), some]), pa.concat_arrays([pa.array(b), some]), pa.concat_arrays([rest, pa.array(crowded)])]
-    return pa.RecordBatch.from_arrays(columns, names=list(_FOUND))
-
-
-def _one_anchor(fp: np.ndarray, c: np.ndarray, near, again: bool) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Near pairs of an anchor's many members, from a lead to all others that are near it and have no lead yet; again: every near pair of different components, in blocks."""
-    a, b, left, dropped = [fp[:0]], [fp[:0]], np.arange(len(fp)), False
-    if again:
-        for i in range(0, len(fp), 64):
-            for j in range(i, len(fp), 4096):
-                rows, columns = left[i : i + 64, None], left[None, j : j + 4096]
-                x, y = np.nonzero((c[rows] != c[columns]) & (rows < columns) & near(rows, columns))
-                a.append(fp[i + x])
-                b.append(fp[j + y])
-        return np.concatenate(a), np.concatenate(b), False
-    while len(left) > 1:
-        hit = near(left[0], left)
-        a.append(np.repeat(fp[left[0]], hit.sum() - 1))
-        b.append(fp[left[hit][1:]])
-        dropped |= hit.sum() > 2
-        left = left[~hit]
-    return np.concatenate(a), np.concatenate(b), dropped
+def _proposed(i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Of near pairs (i, j) at a distance, which are proposed: those that lead from either end to the nearest other, the first of equally near ones."""
+    owner, other, pair = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((other, np.tile(far, 2), owner))
+    first = np.append(True, owner[order][1:] != owner[order][:-1])[: len(order)]
+    return np.unique(pair[order][first])
+
+
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = [fingerprint(np.frombuffer(x, U), FINE).tobytes() for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], names=["fp", "fine"])
+
+
+def _members(again: bool):
+    """Reads batches of members as arrays: fp, c, anchor and fingerprint bits (rows, words)."""
+
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        fp, c, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        if again:
+            return [fp, c, at >> 32, np.frombuffer(b"".join(batch.column(3).to_pylist()), U).reshape(-1, FINE)]
+        return [fp, c, at >> 32, np.stack([(at & 0xFFFFFFFF).view(U), batch.column(3).to_numpy(zero_copy_only=False).view(U)], axis=1)]
+
+    return read
 
 
 def _compare(again: bool):
     """Members come sorted by anchor; what is left of the last anchor is carried over to the next batch. Yields near pairs, see _found."""
+    most, read = NEAR_FINE if again else NEAR, _members(again)
 
-    def done(fp: np.ndarray, c: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((fp, at >> 32))  # leads are the least members, whatever the anchor
-        fp, c, key, low, more = fp[order], c[order], at[order] >> 32, (at[order] & 0xFFFFFFFF).view(U), more[order].view(U)
+    def done(fp: np.ndarray, c: np.ndarray, key: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((fp, key))
+        fp, c, key, bits = (x[order] for x in (fp, c, key, bits))
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(begin, len(key)))
-        near = lambda i, j: np.bitwise_count(more[i] ^ more[j]) + np.bitwise_count(low[i] ^ low[j]) <= NEAR
-        few = np.repeat(size <= EACH, size)
-        left, right = [fp[:0].astype(np.int64)], [fp[:0].astype(np.int64)]
+        apart = lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(axis=-1, dtype=np.int64)
+        few, left, right, far = np.repeat(size <= EACH, size), [begin[:0]], [begin[:0]], [begin[:0]]
         for gap in range(1, int(size[size <= EACH].max(initial=1))):
             i = np.flatnonzero(few[:-gap] & (key[:-gap] == key[gap:]))
-            i = i[near(i, i + gap) & (c[i] != c[i + gap])]
-            left.append(i)
-            right.append(i + gap)
-        i, j = np.concatenate(left), np.concatenate(right)
-        group = np.repeat(np.arange(len(size)), size)
-        many = np.bincount(group[i], minlength=len(size)) > (len(fp) ** 2 if again else PAIRS * size)
-        lead = np.full(len(fp), len(fp))
-        np.minimum.at(lead, j, i)
-        keep = ~many[group[i]] | (lead[j] == i)
-        i, j = i[keep], j[keep]
-        a, b, crowded = [fp[i]], [fp[j]], [key[begin[many]]]
+            i = i[c[i] != c[i + gap]]
+            d = apart(i, i + gap)
+            left.append(i[d <= most])
+            right.append(left[-1] + gap)
+            far.append(d[d <= most])
+        i, j, d = (np.concatenate(x) for x in (left, right, far))
+        group, crowded = np.repeat(np.arange(len(size)), size), np.zeros(len(size), bool)
+        if not again:
+            clear = np.flatnonzero(d <= CLEAR)
+            keep = clear[_proposed(i[clear], j[clear], d[clear])]
+            crowded[group[np.delete(i, keep)]] = True
+            i, j, d = i[keep], j[keep], d[keep]
+        pairs = [(i, j, d)]
         for g in np.flatnonzero(size > EACH).tolist():
-            s, e = begin[g], begin[g] + size[g]
-            x, y, dropped = _one_anchor(fp[s:e], c[s:e], lambda p, q, s=s: near(s + p, s + q), again)
-            a.append(x)
-            b.append(y)
-            crowded.append(key[s : s + dropped])
-        return _found(np.concatenate(a), np.concatenate(b), np.concatenate(crowded))
+            todo = np.arange(begin[g], begin[g] + size[g])
+            while len(todo) > 1:  # the first against all others; on the first visit, what is near it is done with
+                far = np.concatenate([apart(todo[:1], todo[a : a + 4096]) for a in range(1, len(todo), 4096)])
+                near = (far <= most) & (c[todo[0]] != c[todo[1:]])
+                pairs.append((np.full(near.sum(), todo[0]), todo[1:][near], far[near]))
+                crowded[g] |= not again and near.sum() > 1
+                todo = todo[1:] if again else todo[1:][~near]
+        i, j, d = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        return _found(fp[i], fp[j], d, key[begin[crowded]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list[np.ndarray]] = []
         for batch in batches:
-            now = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
-            if not len(now[0]):
-                continue
-            rest.append(now)
-            if now[2][-1] >> 32 != rest[0][2][0] >> 32 and sum(len(x[0]) for x in rest) >= 1 << 17:
+            if batch.num_rows:
+                rest.append(read(batch))
+            if rest and rest[-1][2][-1] != rest[0][2][0] and sum(len(x[0]) for x in rest) >= 1 << 17:
                 whole = [np.concatenate(x) for x in zip(*rest, strict=True)]
-                last = int(np.searchsorted(whole[2], whole[2][-1] >> 32 << 32))
+                last = int(np.searchsorted(whole[2], whole[2][-1]))
                 yield done(*(x[:last] for x in whole))
                 rest = [[x[last:] for x in whole]]
         if rest:
@@ -205,13 +213,15 @@ def _compare(again: bool):
     return run
 
 
-def _candidates(prints: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
-    """Of sets (fp, c, wide), near pairs of different c: a, b, or crowded, an anchor that has more. With crowded (one column, of the same name): all pairs at these anchors."""
-    spread = prints.select("fp", "c", "wide").mapInArrow(_replicate, "fp long, c long, at long, more long")
-    key = F.shiftright("at", 32)
-    if crowded is not None:
-        spread = spread.join(crowded, key == F.col("crowded"), "left_semi")
-    return spread.repartition(key).sortWithinPartitions("at").mapInArrow(_compare(crowded is not None), "a long, b long, crowded long")
+_KEY = "shiftright(at, 32)"
+
+
+def _spread(prints: DataFrame) -> DataFrame:
+    return prints.select("fp", "c", "wide").mapInArrow(_replicate, "fp long, c long, at long, more long")
+
+
+def _by_anchor(members: DataFrame, again: bool) -> DataFrame:
+    return members.repartition(F.expr(_KEY)).sortWithinPartitions("at").mapInArrow(_compare(again), "a long, b long, d long, crowded long")
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,40 +239,41 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     """Of rows (_id, fp, wide) of docs, the components (node, component) of links between different sets of similarity 0.8 or more; every candidate that could connect two is compared."""
     prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide")).withColumn("c", F.col("fp"))
-    met = cut(_candidates(prints))
+    met = cut(_by_anchor(_spread(prints), False))
     pairs, crowded = _ordered(met), met.where("crowded is not null").select("crowded").distinct()
-    lead, sets = pairs.groupBy("b").agg(F.min("a").alias("a")), _sets_of(pairs, prints, docs, id, text)
-    found = _verified(lead, sets)
-    nodes = cut(components(found))
-    found, nodes = _joined(pairs.join(lead, ["a", "b"], "left_anti"), found, nodes, sets)
-    if not crowded.isEmpty():
-        named = prints.drop("c").join(nodes, prints.fp == nodes.node, "left").withColumn("c", F.coalesce("component", "fp"))
-        more = _ordered(_candidates(named, crowded)).join(pairs, ["a", "b"], "left_anti")
-        found, nodes = _joined(more, found, nodes, _sets_of(more, prints, docs, id, text))
-    return nodes
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), prints, docs, id, text)
+    ends = pairs.select("a", "b", "d", F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.min(F.struct("d", "a", "b")).alias("x"))
+    lead = ends.select("x.a", "x.b").distinct()
+    nodes = cut(components(_verified(lead, sets)))
+    nodes = _joined(pairs.join(lead, ["a", "b"], "left_anti"), nodes, sets)
+    if crowded.isEmpty():
+        return nodes
+    named = prints.drop("c").join(nodes, prints.fp == nodes.node, "left").withColumn("c", F.coalesce("component", "fp"))
+    members = _spread(named).drop("more").join(crowded, F.expr(f"{_KEY} = crowded"), "left_semi")
+    several = members.groupBy(F.expr(_KEY).alias("crowded")).agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("crowded")
+    members = cut(members.join(several, F.expr(f"{_KEY} = crowded"), "left_semi"))
+    sets = _sets_of(members.select("fp").distinct(), prints, docs, id, text)
+    fine = members.join(sets.mapInArrow(_fine, "fp long, fine binary"), "fp").select("fp", "c", "at", "fine")
+    return _joined(_ordered(_by_anchor(fine, True)).join(pairs, ["a", "b"], "left_anti"), nodes, sets)
 
 
 def _ordered(met: DataFrame) -> DataFrame:
-    return cut(met.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return cut(met.where("a is not null").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d")))
 
 
-def _sets_of(pairs: DataFrame, prints: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
-    """The shingle sets (fp, set) of both ends of pairs."""
-    known = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    firsts = prints.join(known, "fp", "left_semi").select("_id").distinct()
+def _sets_of(nodes: DataFrame, prints: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """The shingle sets (fp, set) of nodes (fp)."""
+    firsts = prints.join(nodes, "fp", "left_semi").select("_id").distinct()
     texts = docs.select(key_of(id).alias("_id"), F.col(text).alias("_t")).join(firsts, "_id", "left_semi")
-    return cut(_sets(texts, "_t", (), "set").join(known, "fp", "left_semi").dropDuplicates(["fp"]))
+    return cut(_sets(texts, "_t", (), "set").join(nodes, "fp", "left_semi").dropDuplicates(["fp"]))
 
 
-def _joined(pairs: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The links and components after those of pairs that lie in different components have been compared."""
+def _joined(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The components after those of pairs that lie in different ones have been compared."""
     one, other = (nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     apart = pairs.join(one, "a", "left").join(other, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
     new = _verified(apart.select("a", "b"), sets)
-    if new.isEmpty():
-        return found, nodes
-    found = found.unionByName(new)
-    return found, cut(components(found))
+    return nodes if new.isEmpty() else cut(components(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)))
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
