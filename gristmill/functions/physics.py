@@ -1,12 +1,14 @@
 """Physical and kinetic formulas as column expressions, and bounds checks on their inputs.
 
-Every formula takes columns (or numbers) by name and returns a double column; a null input gives null. Nothing leaves the JVM.
+Every formula takes columns (or numbers, or the name of a shape or form) by name and returns a double column. Inputs with a default may be
+left out; any other null input gives null. Nothing leaves the JVM.
 """
 
 from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -23,8 +25,14 @@ CHOI_OKOS = {
 }
 
 
-def _c(x: Column | float) -> Column:
-    return x if isinstance(x, Column) else F.lit(float(x))
+#: Plank's P and R by shape.
+PLANK = {"slab": (1 / 2, 1 / 8), "cylinder": (1 / 4, 1 / 16), "sphere": (1 / 6, 1 / 24)}
+#: Antoine's A, B, C of water (mmHg, degrees Celsius, 1 to 100), metres in a mil.
+WATER, MIL = (8.07131, 1730.63, 233.426), 2.54e-5
+
+
+def _c(x: Column | float | str | None) -> Column | None:
+    return x if isinstance(x, Column) or x is None else F.lit(x if isinstance(x, str) else float(x))
 
 
 def erfc(x: Column) -> Column:
@@ -59,7 +67,9 @@ def _composition(kind: str, t: Column, x: dict[str, Column]) -> Column:
     return 1 / whole if kind == "rho" else sum((v / whole * _choi("k", k, t) for k, v in volume.items()), F.lit(0.0))
 
 
-def fourier_1d(T0, Tb, alpha, x, t):
+def fourier_1d(T0, Tb, x, t, alpha=None, k=None, rho=None, Cp=None):
+    """With the diffusivity alpha, or with k / (rho Cp) for it."""
+    alpha = k / (rho * Cp) if alpha is None else alpha
     return F.when(t == 0, T0).otherwise(T0 + (Tb - T0) * erfc(x / (2 * F.sqrt(alpha * t))))
 
 
@@ -83,7 +93,11 @@ def nusselt(C, Re, m, Pr, n):
     return C * F.pow(Re, m) * F.pow(Pr, n)
 
 
-def plank_freezing(rho, L, d, Tf, Tinf, h, k, P, Rg):
+def plank_freezing(rho, L, d, Tf, Tinf, h, k, geometry=None, P=None, Rg=None):
+    """P and R are given, or those of the geometry (a slab unless it is named)."""
+    shape = F.lit("slab") if geometry is None else F.lower(geometry)
+    of = lambda n: F.coalesce(*[F.when(shape == name, F.lit(v[n])) for name, v in PLANK.items()])
+    P, Rg = of(0) if P is None else P, of(1) if Rg is None else Rg
     return rho * L * d / (Tf - Tinf) * (P / h + Rg * d / k)
 
 
@@ -126,28 +140,42 @@ def f_value(T, Tref, z, seconds):
 
 
 def f_value_profile(times, temperatures, Tref, z):
-    """Trapezoidal integral over a sampled profile: two arrays of equal length."""
-    rate = F.transform(temperatures, lambda t: F.pow(F.lit(10.0), (t - Tref) / z))
-    steps = F.transform(F.sequence(F.lit(1), F.size(times) - 1), lambda i: (F.get(times, i) - F.get(times, i - 1)) * (F.get(rate, i) + F.get(rate, i - 1)) / 2)
-    return F.when(F.size(times) > 1, F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / 60).otherwise(0.0)
+    """Simpson's rule over a sampled profile: two arrays of equal length, at any distances. Of an even number of samples, the last interval takes
+    the parabola through the last three; two samples make a trapezoid."""
+    rate, n = F.transform(temperatures, lambda t: F.pow(F.lit(10.0), (t - Tref) / z)), F.size(times)
+    gap = lambda i: F.get(times, i + 1) - F.get(times, i)
+    y = lambda i: F.get(rate, i)
 
+    def pair(i):
+        h0, h1 = gap(i), gap(i + 1)
+        return (h0 + h1) / 6 * ((2 - h1 / h0) * y(i) + (h0 + h1) * (h0 + h1) / (h0 * h1) * y(i + 1) + (2 - h0 / h1) * y(i + 2))
 
-def gompertz(A, mu, lam, t):
-    return A * F.exp(-F.exp(mu * F.exp(F.lit(1.0)) / A * (lam - t) + 1))
+    whole = F.aggregate(F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0)), F.lit(2)), pair), F.lit(0.0), lambda s, x: s + x)
+    h0, h1 = gap(n - 3), gap(n - 2)
+    rest = (2 * h1 * h1 + 3 * h0 * h1) / (6 * (h0 + h1)) * y(n - 1) + (h1 * h1 + 3 * h0 * h1) / (6 * h0) * y(n - 2) - h1 * h1 * h1 / (6 * h0 * (h0 + h1)) * y(n - 3)
+    even = F.aggregate(F.transform(F.sequence(F.lit(0), F.greatest(n - 4, F.lit(0)), F.lit(2)), pair), F.lit(0.0), lambda s, x: s + x) + rest
+    return F.when(n < 2, 0.0).when(n == 2, gap(F.lit(0)) * (y(F.lit(0)) + y(F.lit(1))) / 2).when(n % 2 == 1, whole).otherwise(even) / 60
 
 
-def growth_limit(pH, pH_min, aw, aw_min, T, T_min):
-    hurdle = F.coalesce(pH < pH_min, F.lit(False)) | F.coalesce(aw < aw_min, F.lit(False)) | F.coalesce(T < T_min, F.lit(False))
-    return F.when(hurdle, 1.0).otherwise(0.0)
+def gompertz(A, mu, lam, t):
+    return A * F.exp(-F.exp(mu * F.exp(F.lit(1.0)) / A * (lam - t) + 1))
 
 
-def binding_fraction(K, L):
-    return K * L / (1 + K * L)
+def growth_limit(pH=None, pH_min=None, aw=None, aw_min=None, T=None, T_min=None, conc=None, MIC=None):
+    """1 if a value lies below its minimum, or the concentration reaches the MIC; else 0. Only pairs that are given count; null if one of those lacks a value, or none is given."""
+    pairs = [(v, limit, name) for v, limit, name in ((pH, pH_min, "low"), (aw, aw_min, "low"), (T, T_min, "low"), (conc, MIC, "high")) if v is not None and limit is not None]
+    lacking = reduce(lambda x, y: x | y, [v.isNull() | limit.isNull() for v, limit, _ in pairs], F.lit(not pairs))
+    hurdle = reduce(lambda x, y: x | y, [(v < limit) if name == "low" else (v >= limit) for v, limit, name in pairs], F.lit(False))
+    return F.when(~lacking, F.when(hurdle, 1.0).otherwise(0.0))
 
 
-def binding_quadratic(P, L, Kd):
-    b = P + L + Kd
-    return (b - F.sqrt(b * b - 4 * P * L)) / (2 * P)
+def binding(L, K=None, Kd=None, P=None):
+    """The bound share of P by the exact quadratic; without P, K L / (1 + K L). K or Kd = 1 / K."""
+    if P is None:
+        K = 1 / Kd if K is None else K
+        return K * L / (1 + K * L)
+    b = P + L + (1 / K if Kd is None else Kd)
+    return (b - F.sqrt(F.greatest(b * b - 4 * P * L, F.lit(0.0)))) / (2 * P)
 
 
 def fick_second(Ci, Cb, D, x, t):
@@ -158,7 +186,9 @@ def gab_isotherm(Wm, C, K, aw):
     return Wm * C * K * aw / ((1 - K * aw) * (1 - K * aw + C * K * aw))
 
 
-def antoine(A, B, C, T):
+def antoine(T, A=WATER[0], B=WATER[1], C=WATER[2]):
+    """Water's constants unless others are given."""
+    A, B, C = _c(A), _c(B), _c(C)
     return F.pow(F.lit(10.0), A - B / (T + C)) * 133.322
 
 
@@ -166,8 +196,11 @@ def henderson_hasselbalch(pKa, acid, base):
     return pKa + F.log10(base / acid)
 
 
-def henry(H, p):
-    return H * p
+def henry(H, p, form=None, T_K=None):
+    """The concentration: H p (form c/p, the default), p / H (form p/c), or H c_gas with c_gas = p / (R T) (form c/c)."""
+    direct, inverse = H * p, p / H
+    gas = F.lit(None).cast("double") if T_K is None else H * p / (R * T_K)
+    return direct if form is None else F.when(form == "c/p", direct).when(form == "p/c", inverse).when(form == "c/c", gas)
 
 
 def latent_heat_water(T_K):
@@ -179,8 +212,10 @@ def partition(logP):
     return F.pow(F.lit(10.0), logP)
 
 
-def gas_permeability(P, dp, thickness):
-    return P * dp / thickness
+def gas_permeability(dp, thickness, P=None, P_O2=None, P_CO2=None):
+    """With P in SI units; a permeability of O2 or CO2 is per mil of thickness, which is given in m."""
+    film = P_O2 if P_O2 is not None else P_CO2
+    return P * dp / thickness if film is None else film * dp / (thickness / MIL)
 
 
 def osmotic_pressure(i, M, T_K):
@@ -249,7 +284,7 @@ FORMULAS: dict[str, Callable[..., Column]] = {
     "MF-T01": fourier_1d, "MF-T02-CP": specific_heat, "MF-T02-K": conductivity, "MF-T02-RHO": density, "MF-T03": arrhenius, "MF-T04": nusselt,
     "MF-T05": plank_freezing, "MF-T06": protein_denaturation, "MF-T07": dielectric_power, "MF-T08": ohmic_heating, "MF-T09": respiration_heat,
     "MF-T10": starch_gelatinization, "MF-K01": michaelis_menten, "MF-K02": d_value, "MF-K03": z_value, "MF-K04": f_value, "MF-K05": gompertz,
-    "MF-K06": growth_limit, "MF-K07": binding_fraction, "MF-M01": fick_second, "MF-M02": gab_isotherm, "MF-M03": antoine,
+    "MF-K06": growth_limit, "MF-K07": binding, "MF-M01": fick_second, "MF-M02": gab_isotherm, "MF-M03": antoine,
     "MF-M04": henderson_hasselbalch, "MF-M05": henry, "MF-M06": latent_heat_water, "MF-M07": partition, "MF-M08": gas_permeability,
     "MF-M09": osmotic_pressure, "MF-M10": membrane_transport, "MF-M11": scf_solubility, "MF-R01": power_law, "MF-R02": herschel_bulkley,
     "MF-R03": casson, "MF-R04": gordon_taylor, "MF-R05": wlf, "MF-R06": stevens, "MF-R07": griffith, "MF-C01": stokes, "MF-C02": hlb,
@@ -266,13 +301,38 @@ def evaluate(formula: str, **inputs: Column | float) -> Column:
     return f(**{k: _c(v) for k, v in inputs.items()})
 
 
-def bounds_issues(bounds: dict[str, tuple[float | None, float | None, bool]]) -> Column:
-    """An array of issues, one for each bounded column that is missing, not finite or out of range; soft bounds give issues that begin with WARN:."""
+def solved(formula: str, unit: str, symbol: str, bounds: dict[str, tuple[float | None, float | None, bool]], **inputs: Column | float) -> Column:
+    """What a solver answers: a struct of result, valid, issues (of inputs out of bounds, of a result that is no finite number), inputs (name to value), formula, unit and summary."""
+    given = {k: _c(v) for k, v in inputs.items() if not isinstance(v, str)}
+    value = evaluate(formula, **inputs)
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    issues = F.concat(_issues({k: (given[k], *b) for k, b in bounds.items()}), F.when(finite, F.array().cast("array<string>")).otherwise(F.array(F.lit("result is not finite"))))
+    inputs_used = F.map_from_arrays(F.array(*map(F.lit, given)), F.array(*[v.cast("double") for v in given.values()]))
+    summary = F.concat_ws(" ", F.lit(symbol), F.lit("="), F.format_string("%.4e", value), F.lit(unit))
+    return F.struct(F.when(finite, value).alias("result"), passed(issues).alias("valid"), issues.alias("issues"), inputs_used.alias("inputs"), F.lit(formula).alias("formula"), F.lit(unit).alias("unit"), F.when(finite, summary).alias("summary"))
+
+
+def _issues(bounds: dict[str, tuple[Column, float | None, float | None, bool]]) -> Column:
     found = []
-    for name, (low, high, soft) in bounds.items():
-        c, prefix = F.col(name).cast("double"), "WARN: " if soft else ""
-        found.append(F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), F.lit(f"{prefix}{name} missing")).when((c < low) if low is not None else F.lit(False), F.lit(f"{prefix}{name} below {low}")).when((c > high) if high is not None else F.lit(False), F.lit(f"{prefix}{name} above {high}")))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+    for name, (column, low, high, soft) in bounds.items():
+        c, prefix = column.cast("double"), "WARN: " if soft else ""
+        missing = F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), F.lit(f"{prefix}{name} missing"))
+        found.append(missing.when((c < low) if low is not None else F.lit(False), F.lit(f"{prefix}{name} below {low}")).when((c > high) if high is not None else F.lit(False), F.lit(f"{prefix}{name} above {high}")))
+    return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<string>")
+
+
+def bounds_issues(bounds: dict[str, tuple[float | None, float | None, bool]], derived: dict[str, Column] | None = None) -> Column:
+    """An array of issues, one for each bounded value that is missing, not finite or out of range; soft bounds give issues that begin with WARN:.
+
+    A name is a column, a field of a struct by its dotted path, or one of the derived values.
+    """
+    return _issues({name: ((derived or {}).get(name, F.col(name)), *b) for name, b in bounds.items()})
+
+
+def as_shares(parts: dict[str, Column]) -> dict[str, Column]:
+    """Parts of a composition as shares of 1: percents (a sum above 10) are divided by 100."""
+    percents = reduce(lambda x, y: x + y, [F.coalesce(v, F.lit(0.0)) for v in parts.values()]) > 10
+    return {k: F.when(percents, v / 100).otherwise(v) for k, v in parts.items()}
 
 
 def passed(issues: Column) -> Column:

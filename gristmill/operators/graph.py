@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 
@@ -28,16 +31,17 @@ def siblings(edges: DataFrame) -> DataFrame:
     return edges.distinct().join(count, "dst").groupBy("src").agg(F.sum(F.col("children") - 1).alias("n_siblings"))
 
 
-def acyclic_part(edges: DataFrame, most_rounds: int = 100) -> tuple[DataFrame, DataFrame]:
-    """Splits edges into those that are on no path back and those that lie between cycles: nodes without an edge in or out are peeled, round by round."""
+def acyclic_part(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Splits edges into those that are on no path back and those that lie between cycles: nodes without an edge in or out are peeled, round by round.
+
+    Every round but the last removes an edge at both ends of each open path, so a chain of n edges takes n / 2 rounds.
+    """
     left = cut(edges.distinct())
-    for _ in range(most_rounds):
+    while True:
         inner = cut(left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
         if inner.count() == left.count():
             break
         left = inner
-    else:
-        raise RuntimeError(f"edges are still being peeled after {most_rounds} rounds")
     return edges.distinct().join(left, ["src", "dst"], "left_anti"), left
 
 
@@ -55,3 +59,94 @@ def redirected(redirects: DataFrame) -> DataFrame:
             return left
         left = met.select("src", F.coalesce("_next", "root").alias("root"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps"))
     raise ValueError("redirects form a cycle")
+
+
+def typed_edges(records: DataFrame, source: str, candidates: dict[str, tuple[list[str], Column]], among: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """source, target, type, detail: of each type, the first of its target columns that is filled, with a detail column; without loops, each edge once.
+
+    among: types whose targets must be one of these.
+    """
+    filled = lambda c: F.when(F.col(c) != "", F.col(c))
+    made = []
+    for name, (columns, detail) in candidates.items():
+        target = F.coalesce(*map(filled, columns))
+        allowed = target.isin(*among[name]) if among and name in among else F.lit(True)
+        made.append(F.when(allowed & (target != F.col(source)), F.struct(target.alias("target"), F.lit(name).alias("type"), detail.alias("detail"))))
+    return records.where(F.col(source) != "").select(F.col(source).alias("source"), F.explode(F.array_compact(F.array(*made))).alias("e")).select("source", "e.*").distinct()
+
+
+def stubs(edges: DataFrame, nodes: DataFrame, id: str) -> DataFrame:
+    """A record for each target of edges that is no node: canonical_id, display_name_en, tree_status, n_edges (that lead to it)."""
+    lost = edges.join(nodes.select(F.col(id).alias("target")).distinct(), "target", "left_anti").groupBy("target").agg(F.count("*").alias("n_edges"))
+    return lost.select(F.col("target").alias("canonical_id"), F.replace("target", F.lit("_"), F.lit(" ")).alias("display_name_en"), F.lit("stub").alias("tree_status"), "n_edges")
+
+
+def _found_cycles(edges: list[tuple[str, str]]) -> list[list[str]]:
+    """The cycles that a depth-first search meets, from the least node on, in the order of names; one for each set of nodes."""
+    out: dict[str, list[str]] = {}
+    for a, b in sorted(set(edges)):
+        out.setdefault(a, []).append(b)
+    done, found, sets = set(), [], set()
+    for root in sorted(out):
+        if root in done:
+            continue
+        path, place, todo = [root], {root: 0}, [iter(out[root])]
+        while todo:
+            node = next(todo[-1], None)
+            if node is None:
+                done.add(path[-1])
+                del place[path.pop()]
+                todo.pop()
+            elif node in place:
+                cycle = path[place[node] :]
+                if frozenset(cycle) not in sets:
+                    sets.add(frozenset(cycle))
+                    found.append([*cycle, node])
+            elif node not in done:
+                place[node] = len(path)
+                path.append(node)
+                todo.append(iter(out.get(node, ())))
+    return found
+
+
+def _by_core(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges on no cycle, and the others (src, dst, core), where those that hang together share a core."""
+    free, left = acyclic_part(edges.select("src", "dst"))
+    label = cut(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("core", F.col("node")))
+    both = cut(left.unionByName(left.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    while True:  # the least name travels along edges, and from each node to the node whose name it bears
+        near = both.join(label.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("core").alias("c"))
+        low = label.unionByName(near.withColumnRenamed("c", "core")).groupBy("node").agg(F.min("core").alias("core"))
+        new = cut(low.join(low.select(F.col("node").alias("core"), F.col("core").alias("low")), "core", "left").select("node", F.least("core", "low").alias("core")))
+        if new.exceptAll(label).isEmpty():
+            return free, left.join(label.withColumnRenamed("node", "src"), "src")
+        label = new
+
+
+def cycles(edges: DataFrame) -> DataFrame:
+    """cycle (array of names, from its first node back to it): what a depth-first search of each cyclic core finds, from the core's least node on.
+
+    Edges that lie on no cycle are peeled off first, and the rest falls into cores that have no edge between them; a core is searched whole, in
+    one task.
+    """
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"cycle": _found_cycles(list(zip(frame.src, frame.dst)))})
+
+    return _by_core(edges)[1].groupBy("core").applyInPandas(search, "cycle array<string>")
+
+
+def without_cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges that stay when every cycle is broken, and those that are removed: of each cycle the first edge to a longer name, or the last one, until none is left."""
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        left, gone = dict.fromkeys(zip(frame.src, frame.dst)), []
+        while found := _found_cycles(list(left)):
+            for cycle in found:
+                steps = list(zip(cycle, cycle[1:]))
+                worst = next((s for s in steps if len(s[1]) > len(s[0])), steps[-1])
+                if worst in left:
+                    del left[worst]
+                    gone.append(worst)
+        return pd.DataFrame(gone, columns=["src", "dst"])
+
+    removed = cut(_by_core(edges)[1].groupBy("core").applyInPandas(search, "src string, dst string"))
+    return edges.join(removed, ["src", "dst"], "left_anti"), removed

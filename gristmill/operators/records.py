@@ -61,3 +61,27 @@ def heat_slab(df: DataFrame, id: str, nodes: int = 21, fo: float = 0.4) -> DataF
 
     usable = df.select(F.col(id).cast("long").alias(id), *[F.col(c).cast("double").alias(c) for c in names]).dropna()
     return usable.mapInArrow(solve, f"{id} long, centre double, surface double, mean double")
+
+
+def topped_up(df: DataFrame, by: Sequence[str], stratum: str, wanted: dict, order: Sequence[str]) -> DataFrame:
+    """So many rows of each stratum of a group, the first in an order; a group that stays short is filled up with its next rows of any stratum. Adds topped_up."""
+    most = sum(wanted.values())
+    share = F.coalesce(*[F.when(F.col(stratum) == F.lit(k), F.lit(n)) for k, n in wanted.items()], F.lit(0))
+    # No more than the first `most` rows of a stratum can be taken, and Spark cuts each group to them before it moves them.
+    ranked = df.withColumn("_k", F.row_number().over(Window.partitionBy(*by, stratum).orderBy(*order))).where(F.col("_k") <= most)
+    taken, rest = ranked.where(F.col("_k") <= share), ranked.where(F.col("_k") > share)
+    lacking = taken.groupBy(*by).agg((F.lit(most) - F.count("*")).alias("_lack"))
+    more = rest.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).join(lacking, list(by)).where(F.col("_r") <= F.col("_lack"))
+    return taken.drop("_k").withColumn("topped_up", F.lit(False)).unionByName(more.drop("_k", "_r", "_lack").withColumn("topped_up", F.lit(True)))
+
+
+def gapped_sections(df: DataFrame, id: str, text: str, heading: str, gap: int) -> DataFrame:
+    """id, begins, n_lines: sections between headings, where a heading counts only so many lines or more after the last that counted; lines before the first are no section.
+
+    Only the numbers of a text's headings and of its lines are gathered.
+    """
+    lines = F.split(text, "\n")
+    heads = F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(heading), i)), lambda i: i.isNotNull())
+    counted = F.aggregate(heads, F.array().cast("array<int>"), lambda s, i: F.when((F.size(s) == 0) | (i - F.try_element_at(s, F.lit(-1)) >= gap), F.array_append(s, i)).otherwise(s))
+    found = df.select(id, F.size(lines).alias("_n"), counted.alias("_s"))
+    return found.select(id, "_n", "_s", F.posexplode("_s").alias("_k", "begins")).select(id, F.col("begins").cast("long").alias("begins"), (F.coalesce(F.get("_s", F.col("_k") + 1), F.col("_n")) - F.col("begins")).cast("long").alias("n_lines"))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut
+
 
 def first_rule(rules: Sequence[tuple[Column, str]], otherwise: str | None = None) -> Column:
     """The label of the first rule that holds."""
@@ -15,28 +18,61 @@ def first_rule(rules: Sequence[tuple[Column, str]], otherwise: str | None = None
     return out
 
 
-def distribution(df: DataFrame, by: Sequence[str], value: str, places: int = 6) -> DataFrame:
-    """n, min, nearest-rank p5, p25, median, p75, p95, max, mean and sample deviation (0 for one value) of each group.
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """df, to be broadcast if it has at most so many rows (counted first); larger tables are left to the optimizer."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """df with the sum of a long column over all rows of its group up to and with this one, in an order that no two rows of a group share.
+
+    Rows are range-partitioned by group and order, summed within each range, and each range starts where those before it end; so a group
+    that holds most of the rows is many tasks' work. What meets in one task is one sum for each range of a group.
+    """
+    ranged = cut(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*by, "_range").agg(F.sum(value).alias("_sum")).withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    within = F.sum(value).over(Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    starts = starts.withColumnsRenamed({c: f"_{c}_" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in by]
+    met = ranged.withColumn("_within", within).join(small(starts.withColumnRenamed("_range", "_r")), reduce(lambda x, y: x & y, same, F.col("_range") == F.col("_r")))
+    return met.withColumn(name, F.col("_within") + F.col("_start")).drop("_range", "_r", "_within", "_start", *[f"_{c}_" for c in by])
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """df with its rows numbered from 1 within each group, in an order that no two rows of a group share; a group may hold most of the rows."""
+    return running(df.withColumn("_one", F.lit(1).cast("long")), by, order, "_one", name).drop("_one")
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def distribution(df: DataFrame, by: Sequence[str], value: str, books: str | None = None, places: int = 6) -> DataFrame:
+    """n, min, nearest-rank p5, p25, median, p75, p95, max, mean and sample deviation (0 for one value) of each group; with books, n_books (its different values).
 
     Nearest rank: the value at place floor(q * n / 100) of the sorted values, at most the last. The values are counted before they are
-    shuffled, and ranks are running sums of counts over the distinct values of a group.
+    shuffled, and ranks are running sums of counts over the distinct values of a group, see running().
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    whole = Window.partitionBy(*by)
-    ranked = counted.withColumns({"_n": F.sum("_c").over(whole), "_to": F.sum("_c").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))})
+    known = df.where(F.col(value).isNotNull())
+    spread = F.coalesce(F.stddev_samp(value), F.lit(0.0))
+    stats = known.groupBy(*by).agg(F.count("*").alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.round(F.avg(value), places).alias("mean"), F.round(spread, places).alias("stdev"))
+    counted = known.groupBy(*by, value).agg(F.count("*").alias("_c"))
+    whole = stats.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("n").alias("_n"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    ranked = running(counted, by, [value], "_c", "_to").join(whole, same)
     at = lambda q: F.min(F.when(F.col("_to") > F.least(F.floor(F.lit(q) * F.col("_n") / 100), F.col("_n") - 1), F.col(value)))
-    mean = F.sum(F.col(value) * F.col("_c")) / F.sum("_c")
-    stats = ranked.groupBy(*by).agg(
-        F.sum("_c").alias("n"), F.min(value).alias("min"), at(5).alias("p5"), at(25).alias("p25"), at(50).alias("median"), at(75).alias("p75"), at(95).alias("p95"), F.max(value).alias("max"), F.round(mean, places).alias("mean"),
-        F.sum(F.col(value) * F.col(value) * F.col("_c")).alias("_s2"), F.sum(F.col(value) * F.col("_c")).alias("_s1"),
-    )
-    spread = F.when(F.col("n") > 1, F.sqrt(F.greatest(F.lit(0.0), (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / (F.col("n") - 1)))).otherwise(0.0)
-    return stats.withColumn("stdev", F.round(spread, places)).drop("_s1", "_s2")
+    ranks = ranked.groupBy(*[f"_{c}" for c in by]).agg(at(5).alias("p5"), at(25).alias("p25"), at(50).alias("median"), at(75).alias("p75"), at(95).alias("p95"))
+    out = stats.join(ranks, same).drop(*[f"_{c}" for c in by])
+    if books is None:
+        return out
+    several = known.select(*[F.col(c).alias(f"_{c}") for c in by], books).distinct().groupBy(*[f"_{c}" for c in by]).agg(F.count(books).alias("n_books"))
+    return out.join(several, same).drop(*[f"_{c}" for c in by])
 
 
 def within_bounds(df: DataFrame, bounds: DataFrame, on: Sequence[str], value: str) -> DataFrame:
-    """Rows without a rule, without a value, or with a value inside their rule's (low, high)."""
-    return df.join(bounds, list(on), "left").where(F.col("low").isNull() | F.col(value).isNull() | F.col(value).between(F.col("low"), F.col("high"))).drop("low", "high")
+    """Rows without a rule, without a value, or with a value inside their rule's (low, high). A small table of bounds is sent to the rows."""
+    return df.join(small(bounds), list(on), "left").where(F.col("low").isNull() | F.col(value).isNull() | F.col(value).between(F.col("low"), F.col("high"))).drop("low", "high")
 
 
 def cascade(df: DataFrame, levels: Sequence[tuple[Column, DataFrame, float]], method: Sequence[str]) -> DataFrame:
@@ -58,12 +94,27 @@ def conflicts(df: DataFrame, id: str, keys: Sequence[str]) -> DataFrame:
     return pairs.groupBy("k.name", "k.value").agg(F.countDistinct(id).alias("n_ids"), F.min(id).alias("least_id")).where("n_ids > 1")
 
 
-def in_interval(points: DataFrame, point: str, intervals: DataFrame, width: int) -> DataFrame:
-    """Each point with the last interval (start, end, name, ord) that holds it, or none. Points and intervals meet in cells of a width."""
-    cells = intervals.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
-    keyed = points.withColumn("_cell", F.floor(F.col(point) / width)).withColumn("_row", F.monotonically_increasing_id())
-    met = keyed.join(cells, (keyed._cell == cells._cell) & (keyed[point] >= cells.start) & (keyed[point] <= cells.end), "left").select(keyed["*"], "name", "ord")
-    return met.groupBy("_row", *points.columns).agg(F.max_by("name", "ord").alias("name")).drop("_row")
+def in_interval(points: DataFrame, point: str, intervals: DataFrame) -> DataFrame:
+    """Each point with the last (by ord) of the intervals (start, end, name, ord) that hold it, or none.
+
+    Intervals are first cut into segments that don't overlap, each with the last interval there; a point is then in one segment at most. A
+    small table of segments is sent to the points; a larger one is met by equality of cells (the segments' starts, found by a sorted sweep
+    over ranges of both), so that points are moved once.
+    """
+    edges = intervals.select(F.explode(F.array("start", F.col("end") + 1)).alias("from")).distinct()
+    cuts = edges.withColumn("to", F.lead("from").over(Window.orderBy("from"))).where("to is not null")  # interval ends alone meet in one task
+    over = cuts.join(small(intervals), (F.col("from") >= F.col("start")) & (F.col("from") <= F.col("end")))
+    segments = cut(over.groupBy("from", "to").agg(F.max_by("name", "ord").alias("name")))
+    if segments.limit(10_001).count() <= 10_000:
+        return points.join(F.broadcast(segments), (F.col(point) >= F.col("from")) & (F.col(point) < F.col("to")), "left").drop("from", "to")
+    both = points.withColumns({"_at": F.col(point).cast("long"), "_kind": F.lit(1), "_seg": F.lit(None).cast("struct<to:bigint,name:string>")})
+    marks = segments.select(F.col("from").cast("long").alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col("to").cast("long").alias("to"), "name").alias("_seg"))
+    ranged = cut(both.unionByName(marks, allowMissingColumns=True).repartitionByRange("_at", "_kind").withColumn("_range", F.spark_partition_id()))
+    last = ranged.groupBy("_range").agg(F.max_by("_seg", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
+    carried = last.withColumn("_carried", F.last("_last", True).over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))).select("_range", "_carried")  # a row for each range
+    sweep = Window.partitionBy("_range").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    swept = ranged.withColumn("_begun", F.last("_seg", True).over(sweep)).where("_kind = 1").join(carried, "_range").withColumn("_s", F.coalesce("_begun", "_carried"))
+    return swept.select(*points.columns, F.when(F.col("_at") < F.col("_s.to"), F.col("_s.name")).alias("name"))
 
 
 def by_priority(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -107,3 +158,19 @@ def multimap(df: DataFrame, by: str, source: str, value: str) -> DataFrame:
     pairs = df.select(by, source, value).dropna().distinct()
     lists = pairs.groupBy(by, source).agg(F.sort_array(F.collect_list(value)).alias("_v"))
     return lists.groupBy(by).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(source, "_v")))).alias("ids"))
+
+
+def offenders(rules: dict[str, DataFrame]) -> DataFrame:
+    """rule, atom_id, n: of each rule's offending rows (atom_id), how many there are of each id."""
+    parts = [df.groupBy("atom_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("rule"), "atom_id", "n") for name, df in rules.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def audited(checks: Sequence[tuple[str, DataFrame, float, DataFrame]]) -> DataFrame:
+    """check_, n (offending rows) and status of each check (name, offending rows, share that is bearable, all rows): PASS for none, WARN within the share, FAIL beyond it."""
+    out = []
+    for name, bad, bound, whole in checks:
+        n, total = bad.agg(F.count("*").alias("n")), whole.agg(F.count("*").alias("_all"))  # one row each
+        status = F.when(F.col("n") == 0, "PASS").when(F.col("n") <= bound * F.col("_all"), "WARN").otherwise("FAIL")
+        out.append(n.join(F.broadcast(total), F.lit(True)).select(F.lit(name).alias("check_"), "n", status.alias("status")))
+    return reduce(lambda a, b: a.unionByName(b), out)

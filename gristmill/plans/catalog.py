@@ -5,28 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import physics, text as fn
-from ..operators import graph, tables as ops
+from ..operators import graph, identity, tables as ops
 from ..streaming import events as streams
-from . import graph_queries, identity_queries, record_queries  # noqa: F401  (they register their queries)
+from . import file_queries, formula_queries, graph_queries, identity_queries, ingredient_queries, lookup_queries, record_queries, stat_queries, text_queries  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 _DISTRIBUTION = """
-select l_returnflag, l_linestatus, count(*) as n, min(v) as min, {q5} as p5, {q25} as p25, {q50} as median, {q75} as p75, {q95} as p95, max(v) as max,
+select l_returnflag, l_linestatus, count(*) as n, count(distinct l_suppkey) as n_books, min(v) as min, {q5} as p5, {q25} as p25, {q50} as median, {q75} as p75, {q95} as p95, max(v) as max,
   round(avg(v), 6) as mean, round(case when count(*) > 1 then stddev_samp(v) else 0 end, 6) as stdev
-from (select l_returnflag, l_linestatus, l_quantity as v from lineitem{where}) group by 1, 2
+from (select l_returnflag, l_linestatus, l_suppkey, l_quantity as v from lineitem{where}) group by 1, 2
 """
 _Q = {f"q{q}": f"list_sort(list(v))[least(count(*) - 1, floor({q} * count(*) / 100))::int + 1]" for q in (5, 25, 50, 75, 95)}
 
 
 @query(_DISTRIBUTION.format(where="", **_Q))
 def value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.distribution(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity")
+    return ops.distribution(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity", "l_suppkey")
 
 
-@query(_DISTRIBUTION.format(where=" where not (l_returnflag = 'R' and (l_quantity < 5 or l_quantity > 40))", **_Q))
+@query("""
+with kept as (select * from lineitem where not (l_returnflag = 'R' and (l_quantity < 5 or l_quantity > 40))), d as (select l_returnflag, l_linestatus, count(*) as dropped from lineitem where l_returnflag = 'R' and (l_quantity < 5 or l_quantity > 40) group by 1, 2)
+select x.*, coalesce(dropped, 0) as dropped_by_rule from (""" + _DISTRIBUTION.format(where="", **_Q).replace("from lineitem", "from kept") + ") x left join d using (l_returnflag, l_linestatus)")
 def outlier_filter_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = spark.createDataFrame([("R", 5.0, 40.0)], "l_returnflag string, low double, high double")
-    return ops.distribution(ops.within_bounds(read(spark, sf_dir, "lineitem"), bounds, ["l_returnflag"], "l_quantity"), ["l_returnflag", "l_linestatus"], "l_quantity")
+    """The distribution after a rule has dropped values, and how many it dropped."""
+    bounds, by = spark.createDataFrame([("R", 5.0, 40.0)], "l_returnflag string, low double, high double"), ["l_returnflag", "l_linestatus"]
+    lines = read(spark, sf_dir, "lineitem")
+    kept = ops.within_bounds(lines, bounds, ["l_returnflag"], "l_quantity")
+    n = lines.groupBy(*by).agg(F.count("l_quantity").alias("_all"))
+    return ops.distribution(kept, by, "l_quantity", "l_suppkey").join(n, by).withColumn("dropped_by_rule", F.col("_all") - F.col("n")).drop("_all")
 
 
 _RULES = ((1, "view", 50.0, None, "browning"), (2, "click", None, 80.0, "drying"), (3, "purchase", 20.0, 90.0, "freezing"), (4, "view", 90.0, None, "browning"), (5, "click", 10.0, None, "browning"))
@@ -40,7 +46,7 @@ from events join r on event_type = action and (low is null or value >= low) and
 def step_rule_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(_RULES, "rule int, action string, low double, high double, phenomenon string")
     e = read(spark, sf_dir, "events")
-    met = e.join(rules, (e.event_type == rules.action) & (rules.low.isNull() | (e.value >= rules.low)) & (rules.high.isNull() | (e.value <= rules.high)))
+    met = e.join(ops.small(rules), (e.event_type == rules.action) & (rules.low.isNull() | (e.value >= rules.low)) & (rules.high.isNull() | (e.value <= rules.high)))
     return met.groupBy("user_id", "phenomenon").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set(F.col("rule").cast("string"))), "+").alias("rules"), F.max("value").alias("most"))
 
 
@@ -73,7 +79,7 @@ from (select o_orderkey, (select name from c where o_orderkey between start_ and
 """)
 def page_chapter_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     chapters = spark.createDataFrame([(1, 900, "roots", 1), (800, 5000, "leaves", 2), (6000, 12000, "seeds", 3), (10000, 14000, "oils", 4)], "start long, end long, name string, ord int")
-    found = ops.in_interval(read(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", chapters, 1000)
+    found = ops.in_interval(read(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", chapters)
     return found.groupBy(F.col("name").alias("chapter")).agg(F.count("*").alias("n_orders"), F.min("o_orderkey").alias("first_order"))
 
 
@@ -83,13 +89,18 @@ from region join nation on n_regionkey = r_regionkey join customer on c_nationke
 where r_name <> 'EUROPE' group by 1 having count(distinct o_orderkey) >= 5
 """)
 def path_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass: an order's different parts are gathered first (a few), each (nation, part) is met once, then each (nation, type); no distinct count expands the joined lines."""
     t = {n: read(spark, sf_dir, n) for n in ("region", "nation", "customer", "orders", "lineitem", "part")}
+    lines = t["lineitem"].select("l_orderkey", "l_partkey").join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    orders = lines.groupBy("l_orderkey").agg(F.collect_set(F.struct("p_partkey", "p_type")).alias("parts"))
+    nations = t["nation"].join(t["region"].where("r_name <> 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("nation"))
     path = (
-        t["lineitem"].select("l_orderkey", "l_partkey").join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t["region"].where("r_name <> 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey")).join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        orders.join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    return path.groupBy(F.col("n_name").alias("nation")).agg(F.countDistinct("o_orderkey").alias("n_orders"), F.countDistinct("l_partkey").alias("n_parts"), F.countDistinct("p_type").alias("n_types")).where("n_orders >= 5")
+    each = path.select("nation", F.posexplode("parts").alias("at", "part")).groupBy("nation", "part.p_partkey", "part.p_type").agg(F.count_if(F.col("at") == 0).alias("n_orders"))
+    types = each.groupBy("nation", "p_type").agg(F.sum("n_orders").alias("n_orders"), F.count("*").alias("n_parts"))
+    return types.groupBy("nation").agg(F.sum("n_orders").alias("n_orders"), F.sum("n_parts").alias("n_parts"), F.count("*").alias("n_types")).where("n_orders >= 5")
 
 
 @query("""
@@ -150,9 +161,11 @@ def node_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.degrees(read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 10000000).alias("dst")))
 
 
-@query("select text, doc_id, source, lang from (select *, row_number() over (partition by text order by source, doc_id) as k from documents) where k = 1")
+@query("select text, doc_id, source, lang from (select *, row_number() over (partition by text order by source nulls first, doc_id, lang) as k from documents) where k = 1")
 def source_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.by_priority(read(spark, sf_dir, "documents"), ["text"], [F.col("source"), F.col("doc_id")]).select("text", "doc_id", "source", "lang")
+    """Of equal texts the first by source and id. Texts meet by their digest; of those that are equal in a task, one is moved."""
+    d = read(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("_h")).agg(F.first("text").alias("text"), F.min(F.struct("source", "doc_id", "lang")).alias("x"))
+    return d.select("text", "x.doc_id", "x.source", "x.lang")
 
 
 @query("""
@@ -209,37 +222,22 @@ select vec_id, anchor, round(s, 6) as similarity, rank from (select *, row_numbe
 def anchor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
     means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    anchors = means.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("v")).select(F.struct(F.col("label").alias("anchor"), "v").alias("a")).agg(F.collect_list("a").alias("anchors"))
-    if (n := e.select("label").distinct().count()) > 4096:
-        raise ValueError(f"{n} anchors: anchor_topk carries all anchors with each row and is for at most 4096")
-    # One row of anchors, checked above, is put beside every vector.
-    scored = e.join(F.broadcast(anchors), F.lit(True)).select("vec_id", F.transform("anchors", lambda a: F.struct((-F.round(fn.cosine(F.col("embedding"), a["v"]), 6)).alias("less"), a["anchor"].alias("anchor"))).alias("s"))
-    return scored.select("vec_id", F.posexplode(F.slice(F.sort_array("s"), 1, 3)).alias("k", "x")).select("vec_id", "x.anchor", (-F.col("x.less")).alias("similarity"), (F.col("k") + 1).cast("long").alias("rank"))
+    anchors = means.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("v"))
+    best = identity.nearest_of(e.select("vec_id", "embedding"), anchors, "vec_id", "embedding", "label", "v", 3)
+    return best.select("vec_id", F.col("known").alias("anchor"), "similarity", "rank")
 
 
 @query("""
-with k as (select doc_id, row_number() over (partition by lang order by n_chars desc, doc_id) as rank from documents where contains(lower(text), 'tion')),
-v as (select doc_id, row_number() over (partition by source order by n_chars, doc_id) as rank from documents where contains(lower(text), 'en')),
-u as (select doc_id, 1.0 / (60 + rank) as s, 'keyword' as m from k where rank <= 50 union all select doc_id, 1.0 / (60 + rank), 'length' from v where rank <= 50)
-select doc_id, round(sum(s), 9) as score, string_agg(distinct m, '+' order by m) as method from u group by 1
+with k as (select *, lower(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))) as k from documents where text is not null)
+select min(doc_id) as doc_id, count(*) as n, left(string_agg(distinct source, ',' order by source), 500) as sources, max(length(text)) as longest, arg_min(lang, (-length(text), doc_id)) as lang_of_longest, sha256(k) as key from k group by k
 """)
-def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").withColumn("low", F.lower("text"))
-    keyword = ops.top_n(d.where(F.contains("low", F.lit("tion"))), ["lang"], [F.desc("n_chars"), F.col("doc_id")], 50)
-    length = ops.top_n(d.where(F.contains("low", F.lit("en"))), ["source"], [F.col("n_chars"), F.col("doc_id")], 50)
-    return ops.fused([("keyword", keyword), ("length", length)], "doc_id").withColumn("score", F.round("score", 9))
-
-
-@query("select doc_id, 0.5 as score from documents where contains(lower(text), 'the') or contains(lower(text), 'ción') order by doc_id limit 20")
-def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low = F.lower("text")
-    return read(spark, sf_dir, "documents").where(F.contains(low, F.lit("the")) | F.contains(low, F.lit("ción"))).select("doc_id", F.lit(0.5).alias("score")).orderBy("doc_id").limit(20)
-
-
-@query("select min(doc_id) as doc_id, count(*) as n, string_agg(distinct source, ',' order by source) as sources, max(length(text)) as longest from documents group by lower(left(text, 40))")
 def glossary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.lower(F.substring("text", 1, 40))
-    return read(spark, sf_dir, "documents").groupBy(key.alias("_k")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("sources"), F.max(F.char_length("text").cast("long")).alias("longest")).drop("_k")
+    """Entries of one term (the whole text, without case and white space) are merged: all sources, and what the longest one says, the first of equally long ones."""
+    key = F.sha2(F.lower(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " "))), 256)
+    n = F.char_length("text").cast("long")
+    d = read(spark, sf_dir, "documents").where("text is not null").groupBy(key.alias("key"))
+    out = d.agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("sources"), F.max(n).alias("longest"), F.min_by("lang", F.struct(-n, "doc_id")).alias("lang_of_longest"))
+    return out.withColumn("sources", F.substring("sources", 1, 500))
 
 
 @query("""
@@ -269,8 +267,8 @@ def physics_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
 select conv_id, turn, role, printf('%d_r%04d', conv_id, row_number() over (partition by conv_id order by turn)) as seq_id from conversations
 """)
 def sequential_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    return read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.format_string("%d_r%04d", "conv_id", seq).alias("seq_id"))
+    turns = ops.numbered(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "seq")
+    return turns.select("conv_id", "turn", "role", F.format_string("%d_r%04d", "conv_id", "seq").alias("seq_id"))
 
 
 @query("select * from (select o_custkey, o_orderkey, o_totalprice, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rank from orders) where rank <= 10")

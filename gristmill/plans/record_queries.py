@@ -10,19 +10,6 @@ from ..streaming import events as streams
 from .registry import query, read
 
 
-@query("""
-select p_partkey, case when regexp_matches(p_name, 'noise|junk') then 'noise' when regexp_matches(p_name, '^[0-9]') or p_brand in ('Brand#1', 'Brand#2') then 'brand' when p_type in ('PROMO') then 'abstract'
-  when contains(p_name, 'steel') and (p_size > 40 or p_retailprice < 950) then 'chemical' when p_size < 3 then 'data_incomplete' else 'active' end as status from part
-""")
-def hard_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.col("p_name")
-    rules = [
-        (name.rlike("noise|junk"), "noise"), (name.rlike("^[0-9]") | F.col("p_brand").isin("Brand#1", "Brand#2"), "brand"), (F.col("p_type").isin("PROMO"), "abstract"),
-        (F.contains(name, F.lit("steel")) & ((F.col("p_size") > 40) | (F.col("p_retailprice") < 950)), "chemical"), (F.col("p_size") < 3, "data_incomplete"),
-    ]
-    return read(spark, sf_dir, "part").select("p_partkey", ops.first_rule(rules, "active").alias("status"))
-
-
 @query(r"""
 select page_id, reason not like 'veto%' and reason <> 'drop' as keep, reason from (select page_id, case when contains(url, '/en/') then 'exempt' when length(html) < 400 then 'veto: short' when len(regexp_extract_all(html, '<a ')) >= 10 then 'veto: index'
   when regexp_matches(html, '[0-9]+ ?(kg|mg|°C)') then 'unit' when len(string_split(html, '|')) > 6 then 'table' when contains(html, '<p>') then 'prose' else 'drop' end as reason from pages)
@@ -109,7 +96,7 @@ def fallback_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first map's answer, or else the second map's; how sure they are decides what becomes of it."""
     v1 = spark.createDataFrame([("Brand#1", "ECONOMY", "k", 0.9), ("Brand#2", "PROMO", "cp", 0.6), ("Brand#3", "ECONOMY", "ea", 0.87)], "p_brand string, p_type string, f1 string, c1 double")
     v2 = spark.createDataFrame([("PROMO", "cp", 0.95), ("STANDARD", "rho", 0.5)], "p_type string, f2 string, c2 double")
-    met = read(spark, sf_dir, "part").join(v1, ["p_brand", "p_type"], "left").join(v2, "p_type", "left")
+    met = read(spark, sf_dir, "part").join(ops.small(v1), ["p_brand", "p_type"], "left").join(ops.small(v2), "p_type", "left")
     rules = [(F.col("c1") >= 0.85, "accept"), (F.col("c1").isNotNull(), "review"), (F.col("c2") >= 0.85, "rescued"), (F.col("c2").isNotNull(), "low")]
     return met.select("p_partkey", F.when(F.col("c1") >= 0.85, F.col("f1")).when(F.col("c1").isNull() & (F.col("c2") >= 0.85), F.col("f2")).alias("field"), ops.first_rule(rules, "no_match").alias("outcome"))
 
@@ -131,7 +118,7 @@ select conv_id, k, q.turn as asked, a.turn as answered, case when a.turn is null
 """)
 def placeholder_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The i-th user turn of a conversation takes its i-th answer; what is left over on either side stays."""
-    t = read(spark, sf_dir, "conversations").withColumn("k", F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")).cast("long"))
+    t = ops.numbered(read(spark, sf_dir, "conversations").select("conv_id", "role", "turn"), ["conv_id", "role"], ["turn"], "k")
     q, a = t.where("role = 'user'").select("conv_id", "k", F.col("turn").alias("asked")), t.where("role = 'assistant'").select("conv_id", "k", F.col("turn").alias("answered"))
     return q.join(a, ["conv_id", "k"], "full").withColumn("state", ops.first_rule([(F.col("answered").isNull(), "open"), (F.col("asked").isNull(), "leftover")], "filled"))
 
@@ -181,11 +168,14 @@ def cluster_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.withColumn("decision", ops.first_rule([(F.col("n") == 1, "noop"), (F.col("n_types") > 3, "identity_conflict"), (F.col("n_types") > 1, "split")], "merge"))
 
 
-@query("""
-select lang, lower(split_part(text, ' ', 1)) as statement, count(*) as frequency, round(avg(n_chars), 3) as mean_chars, count(distinct source) as n_sources, min(doc_id) as first_doc from documents group by 1, 2
+@query(r"""
+with k as (select *, regexp_replace(lower(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))), '[ .;!?]+$', '') as s from documents where text is not null)
+select lang, sha256(s) as statement, count(*) as frequency, round(avg(n_chars), 3) as mean_chars, count(distinct source) as n_sources, min(doc_id) as first_doc from k group by lang, s
 """)
 def statement_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read(spark, sf_dir, "documents").groupBy("lang", F.lower(F.split_part("text", F.lit(" "), F.lit(1))).alias("statement"))
+    """How often each whole statement occurs, without case, white space and end marks. Statements meet by their digest."""
+    s = F.regexp_replace(F.lower(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " "))), r"[ .;!?]+$", "")
+    d = read(spark, sf_dir, "documents").where("text is not null").groupBy("lang", F.sha2(s, 256).alias("statement"))
     return d.agg(F.count("*").alias("frequency"), F.round(F.avg("n_chars"), 3).alias("mean_chars"), F.countDistinct("source").alias("n_sources"), F.min("doc_id").alias("first_doc"))
 
 
@@ -228,8 +218,8 @@ def queue_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select conv_id, turn, (row_number() over (partition by conv_id order by turn) - 1) // 3 as batch, conv_id || '_' || ((row_number() over (partition by conv_id order by turn) - 1) // 3) as batch_key from conversations")
 def fixed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = F.floor((F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1) / 3)
-    return read(spark, sf_dir, "conversations").select("conv_id", "turn", batch.alias("batch")).withColumn("batch_key", F.concat_ws("_", "conv_id", "batch"))
+    turns = ops.numbered(read(spark, sf_dir, "conversations").select("conv_id", "turn"), ["conv_id"], ["turn"], "seq")
+    return turns.select("conv_id", "turn", F.floor((F.col("seq") - 1) / 3).alias("batch")).withColumn("batch_key", F.concat_ws("_", "conv_id", "batch"))
 
 
 @query("select lang, doc_id, rank from (select lang, doc_id, row_number() over (partition by lang order by md5(doc_id || ':42'), doc_id) as rank from documents) where rank <= 5")
@@ -306,16 +296,3 @@ def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def heat_slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") / 2000 + 0.005).alias("half"), F.lit(1.4e-7).alias("alpha"), F.lit(0.5).alias("k"), F.lit(50.0).alias("h"), F.lit(5.0).alias("T0"), (F.col("p_retailprice") / 20 + 40).alias("Tinf"), F.lit(600.0).alias("t"))
     return records.heat_slab(p, "p_partkey")
-
-
-@query("""
-select vec_id, similarity, rank from (select vec_id, label, similarity, row_number() over (order by similarity desc, vec_id) as rank from (select e.vec_id, e.label, round(list_cosine_similarity(e.embedding::double[], q.embedding::double[]), 6) as similarity from embeddings e, (select embedding from embeddings where vec_id = 0) q)
-order by similarity desc, vec_id limit 50) where label <= 3
-""")
-def knn_post_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 50 nearest of one vector first, and of those the wanted labels: there may be fewer than 50."""
-    e = read(spark, sf_dir, "embeddings")
-    q = F.broadcast(e.where("vec_id = 0").select(F.col("embedding").alias("q")))  # one row
-    scored = e.join(q, F.lit(True)).select("vec_id", "label", F.round(fn.cosine(F.col("embedding"), F.col("q")), 6).alias("similarity"))
-    top = scored.orderBy(F.desc("similarity"), "vec_id").limit(50)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("similarity"), "vec_id")).cast("long")).where("label <= 3").select("vec_id", "similarity", "rank")  # fifty rows in one window

@@ -23,19 +23,35 @@ def first_of_each(stream: DataFrame, keys: list[str], late: str = "1 hour") -> D
     return stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
+def _shared(spark: SparkSession) -> str:
+    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "streams")
+
+
+def _append(spark: SparkSession, stream: DataFrame, out: str, state: str, mode: str = "append") -> None:
+    def keep(batch: DataFrame, number: int) -> None:
+        # A batch that is tried again writes the same folder again, so no row is there twice.
+        batch.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+
+
 def run_once(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """Runs a plan over all files that are there, and returns the result as a batch table in the shared folder."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "streams")
+    shared = _shared(spark)
     name = uuid.uuid4().hex
     out = f"{shared}/stream-{name}"
 
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
-
     stream = plan(source(spark, path))
-    q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{shared}/state-{name}").trigger(availableNow=True).foreachBatch(keep).start()
-    q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    _append(spark, stream, out, f"{shared}/state-{name}", mode)
+    return spark.read.schema(stream.schema).parquet(out if mode == "complete" else f"{out}/batch=*")
+
+
+def run_twice(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Runs a plan that appends, to its end, and again with the same checkpoint: the second run finds nothing new, as after a restart."""
+    shared, name = _shared(spark), uuid.uuid4().hex
+    for _ in range(2):
+        _append(spark, plan(source(spark, path)), f"{shared}/stream-{name}", f"{shared}/state-{name}")
+    return spark.read.schema(plan(source(spark, path)).schema).parquet(f"{shared}/stream-{name}/batch=*")
 
 
 def tasks(stream: DataFrame, key: str, event: str, order: list[str], begins: str, fails: str, ends: str, retries: int = 2) -> DataFrame:
