@@ -8,9 +8,10 @@ one anchor. Fingerprints that agree in a block, or that differ from it on the sa
 anchor at least with probability 0.9947, one of 0.85 with 0.9998, one of 0.9 always but for 1e-7; whole fingerprints that differ in
 at most 43 bits always do, because 44 blocks are disjoint.
 
-Per anchor, members are compared by 96 further bits, and each proposes the member that is nearest to it, if it is clearly near. What is
-proposed is compared exactly, first the nearest pair of each set, then those that are not connected by then. Anchors at which more pairs may be
-near than were proposed are visited again, now with fingerprints of 4096 bits: there all near pairs of sets that are still apart are compared.
+Per anchor, members are compared by 96 further bits. What is near there hangs together in clusters, of which each task passes on a spanning
+forest of its nearest pairs only. Of these the clearly near ones are compared exactly, first the nearest of each set, then those that are not
+connected by then. What a cluster still holds apart is compared exactly with the rest of its cluster, in blocks of shingle sets that meet in
+tasks; no pair of a cluster is left out, and none becomes a row.
 """
 
 from __future__ import annotations
@@ -23,21 +24,19 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .session import cut, key_of, small_batches
-from .text import FOLD, column_bytes, mix
+from .session import cut, key_of, ship
+from .text import FOLD, column_bytes, in_pieces, mix
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
-WORDS, FINE, BLOCKS, CODED, PLAIN = 16, 64, 128, 15, 8
-#: How many bits may differ of 96 and of 4096: 14.5 and 620 on the average at a similarity of 0.8, and 3.5 standard deviations more.
-NEAR, NEAR_FINE = 27, 700
-#: How many of the 96 bits of what is clearly near may differ.
-CLEAR = 16
-#: Members of an anchor that are compared each with each at once.
-EACH = 256
+WORDS, BLOCKS, CODED, PLAIN = 16, 128, 15, 8
+#: How many of 96 bits may differ: 14.5 on the average at a similarity of 0.8, and 3.5 standard deviations more; and of what is clearly near.
+NEAR, CLEAR = 27, 16
+#: Members of an anchor that are compared each with each at once; sets of a block and of a part of a cluster that meet in a task.
+EACH, BLOCK, PART = 256, 256, 1024
 _FOLD = FOLD.tobytes()
 _RNG = np.random.default_rng(42)
-_SEEDS = _RNG.integers(0, 2**63, (FINE, 1), dtype=U)
+_SEEDS = _RNG.integers(0, 2**63, (WORDS, 1), dtype=U)
 # The first 44 blocks are disjoint, and so are the next 44 and the rest: each takes 23 bits of a shuffled list of all 1024.
 _BITS = np.concatenate([_RNG.permutation(64 * WORDS)[: 44 * (CODED + PLAIN)] for _ in range(3)])[: BLOCKS * (CODED + PLAIN)]
 _LANES = U(0x0101010101010101)
@@ -68,15 +67,15 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)), U, len(starts)))
 
 
-def fingerprint(found: np.ndarray, width: int = WORDS) -> np.ndarray:
-    """The fingerprint of a set of hashes: so many words of 64 bits, each the majority over the set mixed with the word's seed."""
-    counts = np.zeros((width, 8, 8), np.int64)  # words, bytes, bits
-    for a in range(0, len(found), 255 * 64):
-        part = mix(found[None, a : a + 255 * 64] ^ _SEEDS[:width])
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """The wide fingerprint of a set of hashes: WORDS words of 64 bits, each the majority over the set mixed with the word's seed."""
+    counts = np.zeros((WORDS, 8, 8), np.int64)  # words, bytes, bits
+    for a in range(0, len(found), 255 * 256):
+        part = mix(found[None, a : a + 255 * 256] ^ _SEEDS)
         blocks = -(-part.shape[1] // 255)  # a byte of a word counts one bit of up to 255 hashes at once
-        part = np.pad(part, ((0, 0), (0, blocks * 255 - part.shape[1]))).reshape(width, blocks, 255)
+        part = np.pad(part, ((0, 0), (0, blocks * 255 - part.shape[1]))).reshape(WORDS, blocks, 255)
         for bit in range(8):
-            counts[:, :, bit] += ((part >> U(bit)) & _LANES).sum(axis=2).view(np.uint8).reshape(width, blocks, 8).sum(axis=1, dtype=np.int64)
+            counts[:, :, bit] += ((part >> U(bit)) & _LANES).sum(axis=2).view(np.uint8).reshape(WORDS, blocks, 8).sum(axis=1, dtype=np.int64)
     return np.packbits(2 * counts > len(found), axis=2, bitorder="little").ravel().view(U)
 
 
@@ -94,13 +93,13 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 def _sets(docs: DataFrame, text: str, keep: tuple[str, ...], more: str = "") -> DataFrame:
     """The kept columns, fp long (a digest of the text's set), and with more the set's wide fingerprint (wide) or the set itself (set), binary; null for a text without words."""
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     narrow = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
     schema = narrow.drop("_text").withColumn("fp", F.lit(0).cast("long"))
     schema = (schema.withColumn(more, F.lit(None).cast("binary")) if more else schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             data, offsets = column_bytes(batch.column(batch.num_columns - 1))
             whole = data.tobytes()
             fps, extra = np.zeros(batch.num_rows, np.int64), []
@@ -117,115 +116,124 @@ def _sets(docs: DataFrame, text: str, keep: tuple[str, ...], more: str = "") ->
 
 
 def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (fp, c, wide): fp, c, at (the anchor, and below it 32 bits of the fingerprint) and more (64 bits of it)."""
+    """Of (fp, wide): fp, at (the anchor, and below it 32 bits of the fingerprint) and more (64 bits of it)."""
+    for part in in_pieces(batches):
+        prints = np.frombuffer(b"".join(part.column(1).to_pylist()), U).reshape(-1, WORDS)
+        rows = pa.array(np.repeat(np.arange(len(prints)), BLOCKS))
+        at = anchors(prints) << 32 | (prints[:, -1:] >> U(32)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([part.column(0).take(rows), pa.array(at.ravel()), pa.array(np.repeat(prints[:, 0].view(np.int64), BLOCKS))], names=["fp", "at", "more"])
+
+
+def forest(i: np.ndarray, j: np.ndarray, d: np.ndarray, nodes: int) -> np.ndarray:
+    """The places of edges (i, j) of a spanning forest, nearest first: in rounds, each tree takes its nearest edge to another."""
+    order = np.argsort(d, kind="stable")
+    tree, taken = np.arange(nodes), [order[:0]]
+    while len(order := order[tree[i[order]] != tree[j[order]]]):
+        ends = np.concatenate([tree[i[order]], tree[j[order]]])
+        place = np.tile(np.arange(len(order)), 2)
+        first = np.full(nodes, len(order))
+        np.minimum.at(first, ends, place)
+        new = order[np.unique(first[first < len(order)])]
+        taken.append(new)
+        while True:  # trees that an edge joins take the least name
+            a, b = tree[i[new]], tree[j[new]]
+            if (a == b).all():
+                break
+            low = np.arange(nodes)
+            np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+            tree = low[low[tree]]
+    return np.concatenate(taken)
+
+
+def _near_pairs(key: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of members sorted by anchor: near pairs (places, distances), at anchors of very many members enough to hold together what is near."""
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    size = np.diff(np.append(begin, len(key)))
+    apart = lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(axis=-1, dtype=np.int64)
+    few, found = np.repeat(size <= EACH, size), [(begin[:0],) * 3]
+    for gap in range(1, int(size[size <= EACH].max(initial=1))):
+        i = np.flatnonzero(few[:-gap] & (key[:-gap] == key[gap:]))
+        d = apart(i, i + gap)
+        found.append((i[d <= NEAR], i[d <= NEAR] + gap, d[d <= NEAR]))
+    for g in np.flatnonzero(size > EACH).tolist():
+        left, reached = np.arange(begin[g], begin[g] + size[g]), []
+        while len(left):  # from each member that is reached to all that aren't yet
+            if not reached:
+                reached, left = [left[0]], left[1:]
+            one = reached.pop()
+            d = np.concatenate([apart(np.array([one]), left[a : a + 65536]) for a in range(0, len(left), 65536)] or [left])
+            found.append((np.full((d <= NEAR).sum(), one), left[d <= NEAR], d[d <= NEAR]))
+            reached += left[d <= NEAR].tolist()
+            left = left[d > NEAR]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members (fp, at, more) come sorted by anchor; what is left of the last anchor is carried over. Yields a, b, d: a spanning forest of near pairs for each run of anchors."""
+
+    def done(fp: np.ndarray, at: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        i, j, d = _near_pairs(at >> 32, np.stack([(at & 0xFFFFFFFF).view(U), more.view(U)], axis=1))
+        names, node = np.unique(fp, return_inverse=True)
+        keep = forest(node[i], node[j], d, len(names))
+        a, b = fp[i[keep]], fp[j[keep]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(d[keep])], names=["a", "b", "d"])
+
+    rest: list[list[np.ndarray]] = []
     for batch in batches:
-        for a in range(0, batch.num_rows, 1024):
-            part = batch.slice(a, 1024)
-            prints = np.frombuffer(b"".join(part.column(2).to_pylist()), U).reshape(-1, WORDS)
-            rows = pa.array(np.repeat(np.arange(len(prints)), BLOCKS))
-            at = anchors(prints) << 32 | (prints[:, -1:] >> U(32)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.ravel()), pa.array(np.repeat(prints[:, 0].view(np.int64), BLOCKS))], names=["fp", "c", "at", "more"])
+        if batch.num_rows:
+            rest.append([x.to_numpy(zero_copy_only=False) for x in batch.columns])
+        if rest and rest[-1][1][-1] >> 32 != rest[0][1][0] >> 32 and sum(len(x[0]) for x in rest) >= 1 << 18:
+            whole = [np.concatenate(x) for x in zip(*rest, strict=True)]
+            last = int(np.searchsorted(whole[1], whole[1][-1] >> 32 << 32))
+            yield done(*(x[:last] for x in whole))
+            rest = [[x[last:] for x in whole]]
+    if rest:
+        yield done(*(np.concatenate(x) for x in zip(*rest, strict=True)))
+
+
+def _links_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of the askers and members of a group (node, c, asks, set): for each asker a link to each other component (c) that has a set alike."""
+    node, c, asks = (rows.column(k).to_numpy() for k in ("node", "c", "asks"))
+    sets = [np.frombuffer(x, U) for x in rows.column("set").to_pylist()]
+    others, found = np.flatnonzero(~asks), []
+    if not len(others) or not asks.any():
+        return node[:0], node[:0]
+    size = np.array([len(sets[k]) for k in others])
+    every, starts = np.concatenate([sets[k] for k in others]), np.cumsum(size) - size
+    for k in np.flatnonzero(asks).tolist():
+        own = sets[k]
+        both = np.add.reduceat(own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every, starts, dtype=np.int64)
+        hit = others[(both >= SIMILARITY * (len(own) + size - both)) & (c[others] != c[k])]
+        _, one = np.unique(c[hit], return_index=True)
+        found.append((np.full(len(one), k), hit[one]))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return node[a], node[b]
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, node, c, asks, set) come sorted by group; what is left of the last group is carried over."""
+    rest: pa.Table | None = None
+
+    def done(rows: pa.Table) -> pa.RecordBatch:
+        group = rows.column("group").to_numpy()
+        edge = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+        links = [_links_of(rows.slice(a, b - a)) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*links, strict=True)], names=["a", "b"])
 
-
-def _found(a: np.ndarray, b: np.ndarray, d: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
-    """Pairs and their distances, and after them, with null ends, the anchors that have more pairs than they propose."""
-    some, rest = pa.nulls(len(crowded), pa.int64()), pa.nulls(len(a), pa.int64())
-    columns = [pa.concat_arrays([pa.array(x), some]) for x in (a, b, d)] + [pa.concat_arrays([rest, pa.array(crowded)])]
-    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "d", "crowded"])
-
-
-def _proposed(i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
-    """Of near pairs (i, j) at a distance, which are proposed: those that lead from either end to the nearest other, the first of equally near ones."""
-    owner, other, pair = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(np.arange(len(i)), 2)
-    order = np.lexsort((other, np.tile(far, 2), owner))
-    first = np.append(True, owner[order][1:] != owner[order][:-1])[: len(order)]
-    return np.unique(pair[order][first])
-
-
-def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(np.frombuffer(x, U), FINE).tobytes() for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], names=["fp", "fine"])
-
-
-def _members(again: bool):
-    """Reads batches of members as arrays: fp, c, anchor and fingerprint bits (rows, words)."""
-
-    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
-        fp, c, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        if again:
-            return [fp, c, at >> 32, np.frombuffer(b"".join(batch.column(3).to_pylist()), U).reshape(-1, FINE)]
-        return [fp, c, at >> 32, np.stack([(at & 0xFFFFFFFF).view(U), batch.column(3).to_numpy(zero_copy_only=False).view(U)], axis=1)]
-
-    return read
-
-
-def _compare(again: bool):
-    """Members come sorted by anchor; what is left of the last anchor is carried over to the next batch. Yields near pairs, see _found."""
-    most, read = NEAR_FINE if again else NEAR, _members(again)
-
-    def done(fp: np.ndarray, c: np.ndarray, key: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((fp, key))
-        fp, c, key, bits = (x[order] for x in (fp, c, key, bits))
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(begin, len(key)))
-        apart = lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(axis=-1, dtype=np.int64)
-        few, left, right, far = np.repeat(size <= EACH, size), [begin[:0]], [begin[:0]], [begin[:0]]
-        for gap in range(1, int(size[size <= EACH].max(initial=1))):
-            i = np.flatnonzero(few[:-gap] & (key[:-gap] == key[gap:]))
-            i = i[c[i] != c[i + gap]]
-            d = apart(i, i + gap)
-            left.append(i[d <= most])
-            right.append(left[-1] + gap)
-            far.append(d[d <= most])
-        i, j, d = (np.concatenate(x) for x in (left, right, far))
-        group, crowded = np.repeat(np.arange(len(size)), size), np.zeros(len(size), bool)
-        if not again:
-            clear = np.flatnonzero(d <= CLEAR)
-            keep = clear[_proposed(i[clear], j[clear], d[clear])]
-            crowded[group[np.delete(i, keep)]] = True
-            i, j, d = i[keep], j[keep], d[keep]
-        pairs = [(i, j, d)]
-        for g in np.flatnonzero(size > EACH).tolist():
-            todo = np.arange(begin[g], begin[g] + size[g])
-            while len(todo) > 1:  # the first against all others; on the first visit, what is near it is done with
-                far = np.concatenate([apart(todo[:1], todo[a : a + 4096]) for a in range(1, len(todo), 4096)])
-                near = (far <= most) & (c[todo[0]] != c[todo[1:]])
-                pairs.append((np.full(near.sum(), todo[0]), todo[1:][near], far[near]))
-                crowded[g] |= not again and near.sum() > 1
-                todo = todo[1:] if again else todo[1:][~near]
-        i, j, d = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        return _found(fp[i], fp[j], d, key[begin[crowded]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[list[np.ndarray]] = []
-        for batch in batches:
-            if batch.num_rows:
-                rest.append(read(batch))
-            if rest and rest[-1][2][-1] != rest[0][2][0] and sum(len(x[0]) for x in rest) >= 1 << 17:
-                whole = [np.concatenate(x) for x in zip(*rest, strict=True)]
-                last = int(np.searchsorted(whole[2], whole[2][-1]))
-                yield done(*(x[:last] for x in whole))
-                rest = [[x[last:] for x in whole]]
-        if rest:
-            yield done(*(np.concatenate(x) for x in zip(*rest, strict=True)))
-
-    return run
-
-
-_KEY = "shiftright(at, 32)"
-
-
-def _spread(prints: DataFrame) -> DataFrame:
-    return prints.select("fp", "c", "wide").mapInArrow(_replicate, "fp long, c long, at long, more long")
-
-
-def _by_anchor(members: DataFrame, again: bool) -> DataFrame:
-    return members.repartition(F.expr(_KEY)).sortWithinPartitions("at").mapInArrow(_compare(again), "a long, b long, d long, crowded long")
+        if batch.num_rows:
+            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            group = rest.column("group").to_numpy()
+            last = int(np.searchsorted(group, group[-1]))
+            if last:
+                yield done(rest.slice(0, last))
+                rest = rest.slice(last)
+    if rest is not None:
+        yield done(rest)
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_pieces(batches):
         left, right = (batch.column(k).to_pylist() for k in (2, 3))
         near = np.fromiter((similarity(np.frombuffer(x, U), np.frombuffer(y, U)) >= SIMILARITY for x, y in zip(left, right, strict=True)), bool, batch.num_rows)
         yield batch.select(["a", "b"]).filter(pa.array(near))
@@ -238,27 +246,37 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     """Of rows (_id, fp, wide) of docs, the components (node, component) of links between different sets of similarity 0.8 or more; every candidate that could connect two is compared."""
-    prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide")).withColumn("c", F.col("fp"))
-    met = cut(_by_anchor(_spread(prints), False))
-    pairs, crowded = _ordered(met), met.where("crowded is not null").select("crowded").distinct()
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), prints, docs, id, text)
-    ends = pairs.select("a", "b", "d", F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.min(F.struct("d", "a", "b")).alias("x"))
+    prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide"))
+    spread = prints.select("fp", "wide").mapInArrow(_replicate, "fp long, at long, more long")
+    met = cut(spread.repartition(F.shiftright("at", 32)).sortWithinPartitions("at").mapInArrow(_compare, "a long, b long, d long").groupBy("a", "b").agg(F.min("d").alias("d")))
+    clusters = components(met)
+    sets = _sets_of(clusters.select(F.col("node").alias("fp")), prints, docs, id, text)
+    clear = met.where(F.col("d") <= CLEAR)
+    ends = clear.select("a", "b", "d", F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.min(F.struct("d", "a", "b")).alias("x"))
     lead = ends.select("x.a", "x.b").distinct()
     nodes = cut(components(_verified(lead, sets)))
-    nodes = _joined(pairs.join(lead, ["a", "b"], "left_anti"), nodes, sets)
-    if crowded.isEmpty():
-        return nodes
-    named = prints.drop("c").join(nodes, prints.fp == nodes.node, "left").withColumn("c", F.coalesce("component", "fp"))
-    members = _spread(named).drop("more").join(crowded, F.expr(f"{_KEY} = crowded"), "left_semi")
-    several = members.groupBy(F.expr(_KEY).alias("crowded")).agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("crowded")
-    members = cut(members.join(several, F.expr(f"{_KEY} = crowded"), "left_semi"))
-    sets = _sets_of(members.select("fp").distinct(), prints, docs, id, text)
-    fine = members.join(sets.mapInArrow(_fine, "fp long, fine binary"), "fp").select("fp", "c", "at", "fine")
-    return _joined(_ordered(_by_anchor(fine, True)).join(pairs, ["a", "b"], "left_anti"), nodes, sets)
+    one, other = (nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    rest = clear.join(lead, ["a", "b"], "left_anti").join(one, "a", "left").join(other, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    nodes = _joined(nodes, _verified(rest.select("a", "b"), sets))
+    return _joined(nodes, cut(_met_in_blocks(clusters.withColumnRenamed("component", "cluster"), nodes, sets)))
 
 
-def _ordered(met: DataFrame) -> DataFrame:
-    return cut(met.where("a is not null").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("d").alias("d")))
+def _joined(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return nodes if links.isEmpty() else cut(components(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
+
+
+def _met_in_blocks(clusters: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between sets of one cluster (node, cluster) that are in different components: all but the largest component of a cluster ask, in blocks, and meet all members, in parts."""
+    named = cut(clusters.join(nodes, "node", "left").select("node", "cluster", F.coalesce("component", "node").alias("c")))
+    counts = named.groupBy("cluster", "c").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("most")).where("n > most.n")
+    parted = counts.select("cluster", F.col("most.c").alias("big"), F.floor((F.col("n") - F.col("most.n") - 1) / BLOCK).alias("blocks"), F.floor((F.col("n") - 1) / PART).alias("parts"))
+    members = named.join(parted, "cluster").join(sets.withColumnRenamed("fp", "node"), "node")
+    place = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n) + 1)
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n)))
+    asking = members.where("c != big").withColumns({"block": place("blocks", 1), "asks": F.lit(True)}).withColumn("part", spread("parts"))
+    met = members.withColumns({"part": place("parts", 2), "asks": F.lit(False)}).withColumn("block", spread("blocks"))
+    every = asking.unionByName(met).select(F.xxhash64("cluster", "block", "part").alias("group"), "node", "c", "asks", "set")
+    return every.repartition("group").sortWithinPartitions("group").mapInArrow(_meet, "a long, b long").distinct()
 
 
 def _sets_of(nodes: DataFrame, prints: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -268,14 +286,6 @@ def _sets_of(nodes: DataFrame, prints: DataFrame, docs: DataFrame, id: str, text
     return cut(_sets(texts, "_t", (), "set").join(nodes, "fp", "left_semi").dropDuplicates(["fp"]))
 
 
-def _joined(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The components after those of pairs that lie in different ones have been compared."""
-    one, other = (nodes.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    apart = pairs.join(one, "a", "left").join(other, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-    new = _verified(apart.select("a", "b"), sets)
-    return nodes if new.isEmpty() else cut(components(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)))
-
-
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns: of texts connected by links, that with the smallest id (a null id counts as the largest).
 

@@ -1,4 +1,4 @@
-"""What the operators ask of a Spark session: a shared folder, cut lineage and small Arrow batches."""
+"""What the operators ask of a Spark session: a shared folder, cut lineage and keys."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import ship
+from ..session import ship  # noqa: F401  (for the operators)
 
 LAST = 2**63 - 1
 

@@ -42,6 +42,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024, bytes_: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into parts of at most so many rows and about so many bytes, without copying them; what a worker makes of a batch stays small whatever the session's batch size."""
+    for batch in batches:
+        step = max(1, min(rows, bytes_ * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def pieces(offsets: np.ndarray, most: int = _PIECE) -> Iterator[tuple[int, int]]:
     """Runs of rows of at most so many bytes, or of one row that is longer."""
     i, n = 0, len(offsets) - 1
