@@ -1,14 +1,15 @@
-"""What the operators ask of a Spark session: a shared folder, cut lineage and keys."""
+"""What the operators ask of a Spark session: a shared folder, cut lineage, small Arrow batches and keys."""
 
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import ship  # noqa: F401  (for the operators)
+from ..session import ship
 
 LAST = 2**63 - 1
 
@@ -50,10 +51,17 @@ def done_with(spark: SparkSession, *paths: str) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1024, megabytes: int = 16) -> None:
-    """Bounds what an Arrow batch of texts holds, and sends the package to the executors that are to work on it."""
+    """Sends the package to the executors, and lowers what an Arrow batch of the session may hold, if it is more; a smaller setting stays.
+
+    The setting is read when a plan runs, long after an operator has returned it, so it can't be put back. Workers cut batches up themselves
+    (in_pieces) and don't depend on it; it bounds what the JVM holds for them.
+    """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    size = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if not 0 < int(re.sub(r"\D", "", size)) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(size.lower().rstrip("b")[-1:], 1) <= megabytes << 20:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
 
 
 def key_of(column: str):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .components import components
 from .session import LAST, cut, key_of, small_batches
-from .text import FOLD, column_bytes
+from .text import FOLD, column_bytes, in_pieces
 
 U = np.uint64
 THRESHOLD = 3
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     schema = narrow.drop("_text").withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             data, offsets = column_bytes(batch.column(batch.num_columns - 1))
             whole = data.tobytes()
             fps = np.fromiter((fingerprint(whole[a:b], shingle, seed) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)), U, batch.num_rows)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .session import cut, done_with, key_of, small_batches, written
-from .text import column_bytes, first_least, last_fit, mix, pieces, windows, words
+from .text import column_bytes, first_least, in_pieces, last_fit, mix, pieces, windows, words
 
 U = np.uint64
 
@@ -46,7 +46,7 @@ def _changes(*arrays: np.ndarray) -> np.ndarray:
 
 def _anchors(docs: DataFrame, base: int, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, hashes, first in _hashed(batch.column(1)):
                 short, _, anchor = _runs(hashes, first, base, length)
@@ -62,7 +62,7 @@ def _extended(docs: DataFrame, base: int, length: int) -> DataFrame:
     """Of documents (key, th, text, places of anchors that repeat): a row for each run of windows on such an anchor, with the hash of twice its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             keys, ths = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             places, ends = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64), batch.column(3).offsets.to_numpy().astype(np.int64)
             ends = ends - ends[0]
@@ -162,7 +162,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", len
     schema = wide.drop("text", "spans").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             at = batch.num_columns - 2
             data, offsets = column_bytes(batch.column(at))
             whole, spans_of = data.tobytes(), batch.column(at + 1)
