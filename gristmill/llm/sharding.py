@@ -1,40 +1,114 @@
 """Shards of nearly equal bytes by best-fit-decreasing bin packing of indivisible groups.
 
-Groups of one size are interchangeable, so the packing needs no more than the number of groups of each size: at most 2 * sqrt(total bytes)
-sizes can occur, and that table, not the groups, is what the driver packs. It takes the sizes from the largest down; each group enters the
-bin with the least room that still holds it, found in a balanced order of the bins' remaining room, and a run of equal groups enters at
-once. The result is a short list of (size, from rank, to rank, bin), which Spark joins to the groups by size and rank.
+Groups of one size are interchangeable, so the packing needs no more than the number of groups of each size. Sizes are counted with 13 binary
+digits, larger ones rounded up in the last (by 1 / 4096 at most), so there are at most 4096 of them for each doubling, however many bytes there
+are; that table, not the groups, is what the driver packs. It takes the sizes from the largest down; each group enters the bin with the least
+room that still holds it, found in a balanced tree of the bins' remaining room, and a run of equal groups enters at once. The result is a
+short list of (size, from rank, to rank, bin), which Spark joins to the groups by size and rank.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .session import cut
 
 
+class Rooms:
+    """A balanced (AA) tree of bins by their remaining room: put, and take the bin with the least room of at least so much, in logarithmic time."""
+
+    def __init__(self) -> None:
+        self.root: list | None = None  # [level, (room, bin), left, right]
+
+    def put(self, room: int, box: int) -> None:
+        self.root = self._put(self.root, (room, box))
+
+    def take(self, least: int) -> tuple[int, int] | None:
+        node, found = self.root, None
+        while node:
+            if node[1][0] >= least:
+                found, node = node[1], node[2]
+            else:
+                node = node[3]
+        if found:
+            self.root = self._drop(self.root, found)
+        return found
+
+    @staticmethod
+    def _skew(t: list) -> list:
+        left = t[2]
+        if left and left[0] == t[0]:
+            t[2], left[3] = left[3], t
+            return left
+        return t
+
+    @staticmethod
+    def _split(t: list) -> list:
+        right = t[3]
+        if right and right[3] and right[3][0] == t[0]:
+            t[3], right[2] = right[2], t
+            right[0] += 1
+            return right
+        return t
+
+    def _put(self, t: list | None, key: tuple[int, int]) -> list:
+        if t is None:
+            return [1, key, None, None]
+        side = 2 if key < t[1] else 3
+        t[side] = self._put(t[side], key)
+        return self._split(self._skew(t))
+
+    def _drop(self, t: list | None, key: tuple[int, int]) -> list | None:
+        if t is None:
+            return None
+        if key != t[1]:
+            side = 2 if key < t[1] else 3
+            t[side] = self._drop(t[side], key)
+        elif t[2] is None and t[3] is None:
+            return None
+        else:  # the next key on one side takes its place
+            side, back = (3, 2) if t[2] is None else (2, 3)
+            near = t[side]
+            while near[back]:
+                near = near[back]
+            t[1] = near[1]
+            t[side] = self._drop(t[side], near[1])
+        level = min(t[2][0] if t[2] else 0, t[3][0] if t[3] else 0) + 1
+        if level < t[0]:
+            t[0] = level
+            if t[3] and t[3][0] > level:
+                t[3][0] = level
+        t = self._skew(t)
+        if t[3]:
+            t[3] = self._skew(t[3])
+            if t[3][3]:
+                t[3][3] = self._skew(t[3][3])
+        t = self._split(t)
+        if t[3]:
+            t[3] = self._split(t[3])
+        return t
+
+
 def best_fit_decreasing(sizes: Iterable[tuple[int, int]], capacity: int, bins: int | None = None) -> list[tuple[int, int, int, int]] | None:
     """Packs (size, count) into bins of one capacity: runs (size, first rank, rank after the last, bin). None if more than bins would be needed."""
-    order: list[tuple[int, int]] = []  # (room, bin), sorted
-    runs, opened = [], 0
+    rooms, runs, opened = Rooms(), [], 0
     for size, count in sorted(sizes, reverse=True):
         rank = 0
         while rank < count:
-            at = bisect_left(order, (size, -1))
-            if at == len(order):
+            found = rooms.take(size)
+            if found is None:
                 if size > capacity or opened == bins:
                     return None
-                insort(order, (capacity, opened))
+                rooms.put(capacity, opened)
                 opened += 1
                 continue
-            room, box = order.pop(at)
+            room, box = found
             fits = min(count - rank, room // size)
             runs.append((size, rank, rank + fits, box))
             rank += fits
-            insort(order, (room - fits * size, box))
+            rooms.put(room - fits * size, box)
     return runs
 
 
@@ -54,14 +128,23 @@ def fixed_number(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int
 
 
 def _ranked(df: DataFrame, by: str, tie: tuple[str, ...], name: str, n: int, block: int = 20_000) -> DataFrame:
-    """Numbers rows from 0 within by, without bringing all rows of one value together: rows are dealt over blocks by a hash, each block starts where those before it end."""
-    if n <= block:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*tie)) - 1)
-    dealt = df.withColumn("_b", F.pmod(F.xxhash64(*tie), F.lit(n // block + 1)))
+    """Numbers rows from 0 within by, in the order of a hash of tie and then of tie, whatever the number of rows.
+
+    Ranges of the hash are blocks of about so many rows, each numbered by itself from where those before it end; so no value of by is one task's.
+    """
+    bits = max(1, (n // block).bit_length())
+    dealt = df.withColumn("_x", F.xxhash64(*tie)).withColumn("_b", F.shiftrightunsigned("_x", 64 - bits))
     before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(dealt.groupBy(by, "_b").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    within = F.row_number().over(Window.partitionBy(by, "_b").orderBy(*tie)) - 1
-    return dealt.withColumn(name, within).join(starts, [by, "_b"]).withColumn(name, F.col(name) + F.col("_start")).drop("_b", "_start")
+    within = F.row_number().over(Window.partitionBy(by, "_b").orderBy("_x", *tie)) - 1
+    return dealt.withColumn(name, within).join(starts, [by, "_b"]).withColumn(name, F.col(name) + F.col("_start")).drop("_x", "_b", "_start")
+
+
+def _class_of(size: Column) -> Column:
+    """A size with 13 binary digits, rounded up; sizes below 8192 as they are."""
+    low = F.greatest(F.lit(0), F.floor(F.log2(size)).cast("int") - 12)
+    step = F.pow(F.lit(2.0), low).cast("long")
+    return F.ceil(size / step).cast("long") * step
 
 
 def _measured(docs: DataFrame, text: str, columns: list) -> DataFrame:
@@ -72,8 +155,8 @@ def _measured(docs: DataFrame, text: str, columns: list) -> DataFrame:
 def assigned(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, int]:
     """The rows as (id, size, text_crc32, _h), the bin of each group of equal texts as (size, text_crc32, _h, shard), and the number of rows."""
     rows = cut(_measured(docs, text, [F.col(id)]))
-    groups = cut(rows.groupBy("size", "text_crc32", "_h").agg(F.count("*").alias("n")).withColumn("bytes", F.col("size") * F.col("n")))
-    sizes = [(r[0], r[1]) for r in groups.groupBy("bytes").count().collect()]  # at most 2 * sqrt(total bytes) rows, see above
+    groups = cut(rows.groupBy("size", "text_crc32", "_h").agg(F.count("*").alias("n")).withColumn("bytes", _class_of(F.col("size") * F.col("n"))))
+    sizes = [(r[0], r[1]) for r in groups.groupBy("bytes").count().collect()]  # at most 4096 rows for each doubling of the size, see above
     spark = docs.sparkSession
     runs = spark.createDataFrame(fixed_number(sizes, shards), "bytes long, first long, after long, shard int")
     ranked = _ranked(groups, "bytes", ("_h", "text_crc32"), "rank", sum(n for _, n in sizes))
@@ -85,8 +168,7 @@ def shard(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "tex
     """Per row its id, size, text_crc32, shard and slot (gapless from 0 in each shard); equal texts share a shard.
 
     A null text has no bytes and is in one group with the empty text; its size is 1 like theirs, its crc32 0. A group that is larger than an
-    equal share has a shard of its own size. Repeated rows are rows of one group. A null id sorts first among the slots. An empty table
-    gives no rows.
+    equal share has a shard of its own size. Repeated rows are rows of one group. Slots follow a hash of the id. An empty table gives no rows.
     """
     rows, bins, _ = assigned(docs, shards, id, text)
     placed = rows.join(bins, ["size", "text_crc32", "_h"])
