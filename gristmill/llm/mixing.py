@@ -34,14 +34,17 @@ def targets(per_source: DataFrame, weights: tuple[float, ...], share: float, mos
     return numbered.withColumn("_level", level).withColumn("target", F.least(F.col("cap"), F.max("_level").over(every) * F.col("weight"))).drop("_level")
 
 
-def multipliers(histogram: DataFrame, state: DataFrame, most: float, tolerance: float = 1e-9, most_steps: int = 80) -> DataFrame:
-    """Newton iterations. histogram: sid, size, n; state: sid, tokens, docs, target. Adds lambda to state; null where the cap itself is the target."""
+def multipliers(histogram: DataFrame, state: DataFrame, most: float, tolerance: float = 1e-9, newton_steps: int = 40) -> DataFrame:
+    """Newton iterations. histogram: sid, size, n; state: sid, tokens, docs, target. Adds lambda (to 12 places) to state; 0 where the cap itself is the target.
+
+    A source that so many Newton steps have not solved is finished by bisection: its bracket is doubled until it is closed, and then halved.
+    """
     unit = F.col("tokens") / F.col("docs")  # sizes are measured in means, so multipliers are comparable
     state = cut(state.withColumns({"unit": unit, "lam": F.lit(0.0), "lo": F.lit(float("-inf")), "hi": F.lit(float("inf")), "open": (F.col("tokens") > 0) & (F.col("target") < most * F.col("tokens") * (1 - 1e-12))}))
     log_most = F.log(F.lit(float(most)))
-    for _ in range(most_steps):
-        if state.where("open").isEmpty():
-            return state
+    steps = 0
+    while not state.where("open").isEmpty():
+        steps += 1
         size = F.col("size") / F.col("unit")
         tilt = F.col("lam") * size
         rate = F.exp(F.least(tilt, log_most))
@@ -52,16 +55,18 @@ def multipliers(histogram: DataFrame, state: DataFrame, most: float, tolerance:
         met = met.withColumns({"lo": lo, "hi": hi, "_newton": F.col("lam") - F.col("_gap") / F.when(F.col("_bend") > 0, F.col("_bend"))})
         beyond = F.when(F.col("lo") == float("-inf"), F.col("hi") - 1 - F.abs("hi")).when(F.col("hi") == float("inf"), F.col("lo") + 1 + F.abs("lo")).otherwise((F.col("lo") + F.col("hi")) / 2)
         inside = (F.col("_newton") > F.col("lo")) & (F.col("_newton") < F.col("hi")) & (F.abs(F.col("_newton") - F.col("lam")) <= 4 + 4 * F.abs("lam"))
+        inside = inside if steps <= newton_steps else F.lit(False)
         done = F.abs("_gap") <= tolerance * F.col("target") / F.col("unit")
         narrow = (F.col("hi") - F.col("lo")) <= 1e-13 * (1 + F.abs("lam"))
         state = cut(met.select("sid", "tokens", "docs", "target", "unit", F.when(F.col("open") & ~done, F.when(inside, F.col("_newton")).otherwise(beyond)).otherwise(F.col("lam")).alias("lam"), "lo", "hi", (F.col("open") & ~F.coalesce(done | narrow, F.lit(False))).alias("open")))
-    return state
+    # Sums come in the order of the shuffle, so their last digits differ between runs; the multipliers' don't.
+    return state.withColumn("lam", F.round("lam", 12))
 
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", order: tuple[str, ...] = ("doc_id",), keep: tuple[str, ...] = ("doc_id",), weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, most: int = 2, block: int = 512) -> DataFrame:
     """Per row the kept columns and size, source_size, target, rate and copies (0 to most).
 
-    Rounding: a source's rows are dealt over blocks of about so many rows by a hash, and in a block, from the largest to the smallest, each
+    Rounding: a source's rows are dealt over blocks of about so many rows by a hash (of order and text), and in a block, from the largest to the smallest, each
     row gets the number of copies that brings what the block took closest to what the rates owe so far. What a block is off in the end is
     about half its smallest documents. Blocks are rows of the shuffle; a source of any size is only more blocks.
 
@@ -69,7 +74,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", order: tupl
     one by one. A null in order sorts first. An empty table gives no rows. The sources, one small row each, meet in one task; documents don't.
     """
     size = sizes(text)
-    named = docs.select(F.struct(*keep).alias("row"), F.struct(*order).alias("_o"), F.col(source).alias("source"), size.alias("size"))
+    named = docs.select(F.struct(*keep).alias("row"), F.struct(*order, F.xxhash64(text).alias("_text_hash")).alias("_o"), F.col(source).alias("source"), size.alias("size"))
     light = set(keep) <= set(order)
     rows = cut(named) if light else named
     histogram = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
