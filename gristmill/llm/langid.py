@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .session import small_batches
-from .text import column_bytes
+from .text import column_bytes, in_pieces
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 8
-#: Bounds of the training sample: documents of each language, languages, and windows of each document.
-SAMPLE_DOCS, MOST_LANGUAGES, SAMPLE_WINDOWS = 800, 64, 4
+#: Bounds of the training sample: documents of each language, of all languages (but each has LEAST_DOCS), and windows of each document.
+SAMPLE_DOCS, ALL_DOCS, LEAST_DOCS, SAMPLE_WINDOWS = 800, 51_200, 8, 4
 
 
 def _classes() -> tuple[np.ndarray, int]:
@@ -139,22 +139,23 @@ def no_language(windows: list[bytes], seed: int = 42) -> list[bytes]:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tuple[str, ...] = ("doc_id",), seed: int = 42, noise: bool = False) -> Network | None:
-    """A network of a bounded sample of labelled rows: of the MOST_LANGUAGES most frequent languages, the SAMPLE_DOCS rows each with the smallest
-    hash of their order columns, and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no row has a label and a text.
+    """A network of a bounded sample of labelled rows: of each language, however many there are, the rows with the smallest hash of their order columns
+    (SAMPLE_DOCS, or fewer if ALL_DOCS must do for all languages), and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no
+    row has a label and a text.
     With noise, it also learns texts of no language, as und."""
     rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(F.col(text)) > 0))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).collect()}  # one row for each language
     if not counts:
         return None
     wanted, place = list(counts), F.xxhash64(*order, F.lit(seed))
-    # Only rows that can be among the smallest hashes are sorted: of a language with n rows, the share 4 * SAMPLE_DOCS / n of all hashes.
-    near = F.lit(False)
-    for name, n in counts.items():
-        near = near | ((F.col(lang) == name) & (place < int(-(2**63) + min(1.0, 4 * SAMPLE_DOCS / n) * (2**64 - 1)) if n > 4 * SAMPLE_DOCS else F.col(lang) == name))
+    most = max(LEAST_DOCS, min(SAMPLE_DOCS, ALL_DOCS // len(counts)))
+    # Only rows that can be among the smallest hashes are sorted: of a language with n rows, the share 4 * most / n of all hashes (all hashes, if that is more than 1).
+    bound = labelled.sparkSession.createDataFrame([(name, -(2**63) + min(n, 4 * most) * (2**64 - 1) // n) for name, n in counts.items()], "_lang string, _bound long")
     n_windows = F.ceil(F.octet_length(text) / WINDOW)
     raw = F.col(text).cast("binary")
     spread = F.transform(F.sequence(F.lit(0), F.least(F.lit(SAMPLE_WINDOWS), n_windows) - 1), lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(SAMPLE_WINDOWS), n_windows)) * WINDOW + 1).cast("int"), F.lit(WINDOW)))
-    picked = rows.where(near).withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(place, *order))).where(F.col("_r") <= SAMPLE_DOCS)
+    near = rows.join(F.broadcast(bound), F.col(lang) == F.col("_lang")).where(place <= F.col("_bound"))  # as many rows as languages, counted above
+    picked = near.withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(place, *order))).where(F.col("_r") <= most)
     got = picked.select(F.col(lang).alias("lang"), "_r", F.posexplode(spread).alias("_k", "w")).orderBy("lang", "_r", "_k").select("lang", "w").collect()
     texts, names = [bytes(r["w"]) for r in got], [r["lang"] for r in got]
     if noise:
@@ -178,7 +179,7 @@ def predict(docs: DataFrame, network: Network | None, text: str = "text", keep:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prepared = network.prepared() if network else []
-        for batch in batches:
+        for batch in in_pieces(batches):
             data, offsets = column_bytes(batch.column(at))
             names, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             if network and len(data):
