@@ -3,7 +3,8 @@
 A capture is a request, a response (or a revisit of an earlier one with the same payload) and a metadata record. Each record has its own
 WARC-Record-ID; the request and the metadata name the response's in WARC-Concurrent-To.
 
-A WARC record ends with two CR LF pairs, so Spark's text writer with that as its line separator writes archives as they should be.
+Each record is a gzip member of its own, as readers that seek expect it. Spark's text writer takes the members' bytes as they are; what it must
+write between two rows is an empty gzip member, which every reader passes over.
 """
 
 from __future__ import annotations
@@ -11,16 +12,20 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .session import cut, key_of, shared_dir, small_batches
-from .text import column_bytes
+from .text import column_bytes, in_pieces
 
-END = "\r\n\r\n"
+END = b"\r\n\r\n"
+#: An empty gzip member.
+BETWEEN = gzip.compress(b"", mtime=0)
 WRITTEN = "WARC-Date: 2024-01-01T00:00:00Z"
 RECORD = "record_id string, type string, uri string, concurrent_to array<string>, refers_to string, payload_digest string, content_type string, head string, body binary"
 
@@ -35,7 +40,7 @@ def _base32_sha1(payload: bytes) -> str:
 
 def _record(kind: str, record_id: str, fields: list[tuple[str, str | None]], content_type: str, block: bytes) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", WRITTEN, *[f"{k}: {v}" for k, v in fields if v is not None], f"Content-Type: {content_type}", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
+    return "\r\n".join(lines).encode() + END + block + END
 
 
 def _line(text: str | None) -> str | None:
@@ -44,13 +49,13 @@ def _line(text: str | None) -> str | None:
 
 
 def records(captures: DataFrame) -> DataFrame:
-    """Of captures (id long, no long, sha string, url string, body binary, first_id long, first_no long): the raw records, three for each, as record binary.
+    """Of captures (id long, no long, sha string, url string, body binary, first_id long, first_no long): the records, three for each, as record binary, a gzip member each.
 
     first_id and first_no name the capture that this one revisits, or are null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             ids, nos, shas, urls, bodies, first_ids, first_nos = (batch.column(k) for k in range(7))
             data, offsets = column_bytes(bodies)
             out: list[bytes] = []
@@ -67,7 +72,7 @@ def records(captures: DataFrame) -> DataFrame:
                 out.append(_record("request", _id("request", page, no, sha), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", main)], "application/http;msgtype=request", f"GET {uri or ''} HTTP/1.1\r\n\r\n".encode()))
                 about = "" if page is None else f"pageId: {page}\r\n"
                 out.append(_record("metadata", _id("metadata", page, no, sha), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", main)], "application/warc-fields", about.encode()))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+            yield pa.RecordBatch.from_arrays([pa.array([gzip.compress(r, 6, mtime=0) for r in out], pa.binary())], names=["record"])
 
     return captures.select("id", "no", "sha", "url", "body", "first_id", "first_no").mapInArrow(run, "record binary")
 
@@ -89,57 +94,58 @@ def captures(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
     return met.select("id", "no", "sha", "url", "body", F.when(again, F.col("first_id")).alias("first_id"), F.when(again, F.lit(1).cast("long")).alias("first_no"))
 
 
-def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, per_file: int = 20_000) -> None:
-    """Writes the archives of all pages to a folder, in gzipped files of at most so many records."""
+def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, per_file: int = 1 << 26) -> None:
+    """Writes the archives of all pages to a folder, in files of about so many bytes before they are compressed, a gzip member for each record."""
     small_batches(pages.sparkSession)
+    mean = pages.agg(F.avg(F.octet_length(html))).first()[0] or 0.0
     raw = records(captures(pages, id, url, html, least))
-    raw.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    most = max(3, 3 * int(per_file / (mean + 1500)))  # a capture is three records, with about 1500 bytes beside its payload
+    raw.select(F.col("record").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", BETWEEN.decode("latin-1")).option("maxRecordsPerFile", most).text(path)
 
 
-def _parse(data: bytes) -> Iterator[tuple]:
-    at = 0
-    while (at := data.find(b"WARC/1.", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode("utf-8", "replace")
+def _parse(archive: BinaryIO) -> Iterator[tuple]:
+    """The records of an archive, one after the other; what is held is one record."""
+    while line := archive.readline():
+        if not line.startswith(b"WARC/1."):
+            continue
         fields: dict[str, list[str]] = {}
-        for line in head.split("\r\n")[1:]:
-            name, _, value = line.partition(":")
+        while (line := archive.readline()) not in (b"\r\n", b"\n", b""):
+            name, _, value = line.decode("utf-8", "replace").rstrip("\r\n").partition(":")
             fields.setdefault(name.strip().lower(), []).append(value.strip())
         one = lambda name, f=fields: f.get(name, [None])[0]
-        n = int(one("content-length") or 0)
-        block = data[end + 4 : end + 4 + n]
-        kind, content, inner = one("warc-type"), one("content-type") or "", ""
+        block, content, inner = archive.read(int(one("content-length") or 0)), one("content-type") or "", ""
         if content.startswith("application/http"):
-            top, _, block = block.partition(b"\r\n\r\n")
+            top, _, block = block.partition(END)
             inner = top.decode("utf-8", "replace")
-        yield one("warc-record-id"), kind, one("warc-target-uri"), fields.get("warc-concurrent-to", []), one("warc-refers-to"), one("warc-payload-digest"), content, inner, block
-        at = end + 4 + n
+        yield one("warc-record-id"), one("warc-type"), one("warc-target-uri"), fields.get("warc-concurrent-to", []), one("warc-refers-to"), one("warc-payload-digest"), content, inner, block
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives of a folder; body is the payload (of an HTTP record, what follows its head, which is in head).
 
-    Files are read whole, one at a time in a task, and handed on record by record. Fields are found by name in any case; a record is as long
-    as its Content-Length says, so payloads may hold anything, line ends and WARC headers included.
+    Spark hands a task the compressed files one by one; they are inflated and handed on record by record, so no archive is ever in memory as a
+    whole. Archives may be gzipped by record, gzipped as a whole, or plain. Fields are found by name in any case; a record is as long as its
+    Content-Length says, so payloads may hold anything, line ends and WARC headers included.
     """
-    small_batches(spark, 1)
+    small_batches(spark)
     names = [f.name for f in spark.createDataFrame([], RECORD).schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
-        for batch in batches:
-            for k in range(batch.num_rows):
-                rows: list[tuple] = []
-                size = 0
-                content = batch.column(0)[k].as_py()
-                for row in _parse(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
-                    rows.append(row)
-                    size += len(row[-1])
-                    if len(rows) == 2000 or size > 1 << 23:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        packed = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        for batch in in_pieces(batches, 1):
+            rows: list[tuple] = []
+            size = 0
+            content = io.BytesIO(batch.column(0)[0].as_py())
+            gzipped = content.getbuffer()[:2] == b"\x1f\x8b"
+            for row in _parse(io.BufferedReader(gzip.GzipFile(fileobj=content), 1 << 16) if gzipped else content):
+                rows.append(row)
+                size += len(row[-1])
+                if len(rows) == 2000 or size > 1 << 23:
+                    yield packed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield packed(rows)
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, RECORD)
 
