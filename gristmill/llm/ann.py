@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .session import cut, small_batches
+from .text import in_pieces
 
 SAMPLE, MOST_LISTS, PARTS, WORDS = 16_384, 1024, 16, 256
-BLOCK = 8192  # rows that are scanned together, about
+BLOCK, QUERIES = 8192, 4096  # rows that are scanned together, and queries that meet them in a task, about
 
 
 def usable(vector: str) -> Column:
@@ -99,15 +100,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     or have another length than the most frequent one (of equally frequent ones the longest) take no part; nor do null ids. Of rows that
     share an id but not the vector, each is a candidate; a query is never its own answer by id. Empty input gives no rows.
 
-    Rows are scanned in groups of about BLOCK: small lists together, large ones in parts by a hash, so no list is one task's. Groups
-    are scanned twice: first each tells, of each query, the scores at every k / 2-th place, from which follows a score that at least
+    Rows are scanned in groups of about BLOCK: small lists together, large ones in parts by a hash, so no list is one task's. The queries that
+    visit a group meet it in blocks of about QUERIES, so what a task holds is bounded. Groups are scanned twice: first each tells, of each query, the scores at every k / 2-th place, from which follows a score that at least
     rerank * k candidates of all groups reach; then each sends its candidates that reach it, so none of the best rerank * k is left out.
     What is sent to tasks is the fitted index, whose size has a bound (see Index).
     """
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
-    small_batches(spark, 4096)
-    good = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).where(F.col("id").isNotNull() & usable("v"))
+    small_batches(spark)
+    element = vectors.select(vector).schema[0].dataType.elementType.simpleString()
+    kind = "array<float>" if element == "float" else "array<double>"  # the vectors themselves, never rounded
+    good = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast(kind).alias("v")).where(F.col("id").isNotNull() & usable("v"))
     sizes = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     if sizes is None:
         return spark.createDataFrame([], out)
@@ -122,7 +125,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     visit = min(n_lists, max(8, int(np.ceil(probe * n_lists))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, 4096):
             lists, codes = index.encode(_matrix(batch.column(1), dim))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], names=["row", "list", "code"])
 
@@ -132,10 +135,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     parts, group, filled = [], 0, 0
     for name, count in sorted(counts.items()):
         blocks = -(-count // BLOCK)
-        for _ in range(blocks):
+        for block in range(blocks):
             group, filled = (group + 1, 0) if filled and filled + count // blocks > BLOCK else (group, filled)
             filled += count // blocks
-            parts.append((name, len([p for p in parts if p[0] == name]) if blocks > 1 else 0, blocks, group))
+            parts.append((name, block, blocks, group))
     placing = spark.createDataFrame(parts, "list int, block int, blocks int, part int")
     blocks = placing.select("list", "blocks").distinct()
     placed = coded.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).join(placing.drop("blocks"), ["list", "block"]).select("part", "list", "row", "code")
@@ -149,13 +152,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
         return at, seen
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, 4096):
             at, _ = visited(_matrix(batch.column(1), dim))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(at)), visit))), pa.array(at.ravel().astype(np.int32))], names=["query_id", "list"])
 
-    asked = cut(queries.select(F.col(id).cast("long").alias("query_id"), F.col(vector).cast("array<float>").alias("v")).where(F.col("query_id").isNotNull() & usable("v")).where(F.size("v") == dim).distinct())
+    asked = cut(queries.select(F.col(id).cast("long").alias("query_id"), F.col(vector).cast(kind).alias("v")).where(F.col("query_id").isNotNull() & usable("v")).where(F.size("v") == dim).distinct())
+    n_blocks = asked.count() // QUERIES + 1
+    placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     goes = asked.mapInArrow(visits, "query_id long, list int").join(placing, "list").select("query_id", "part").distinct()
-    sent = goes.join(asked, "query_id").select("part", "query_id", F.col("v").alias("q"))
+    sent = goes.join(asked, "query_id").select("part", "query_id", F.col("v").alias("q"), F.pmod(F.xxhash64("query_id", "v"), F.lit(n_blocks)).cast("int").alias("block"))
     most = rerank * k
 
     step = max(1, k // 2)
@@ -191,16 +196,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
             got_s.append(value[some])
         return pa.table({"query_id": np.concatenate(got_q), "row": left.column("row").combine_chunks().take(pa.array(np.concatenate(got_r))), "about": np.concatenate(got_s).astype(np.float32)})
 
-    told = placed.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(tell, "query_id long, v array<float>, top array<float>")
+    told = placed.groupBy("part", "block").cogroup(sent.groupBy("part", "block")).applyInArrow(tell, f"query_id long, v {kind}, top array<float>")
     reached = F.try_element_at(F.sort_array(F.flatten(F.collect_list("top")), False), F.lit(-(-most // step)))
     # Sums of a second scan may be off in the last places, so the bound is a little lower; where fewer candidates are known, all are sent.
     least = cut(told.groupBy("query_id", "v").agg(F.coalesce(reached - F.abs(reached) * 1e-5 - 1e-6, F.lit(float("-inf"))).alias("least")))
     sent = sent.join(least.withColumnRenamed("v", "q"), ["query_id", "q"])
-    met = placed.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(scan, "query_id long, row struct<uid:long,h:long>, about float")
+    met = placed.groupBy("part", "block").cogroup(sent.groupBy("part", "block")).applyInArrow(scan, "query_id long, row struct<uid:long,h:long>, about float")
     best = met.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("about"), "row"))).where(F.col("r") <= most).select("query_id", "row")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, 4096):
             score = np.einsum("ij,ij->i", _matrix(batch.column(2), dim, np.float64), _matrix(batch.column(3), dim, np.float64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], names=["query_id", "ids", "score"])
 
