@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .session import cut, key_of, small_batches
-from .text import ALNUM, FOLD, column_bytes, pieces, words
+from .session import cut, done_with, key_of, small_batches, written
+from .text import ALNUM, FOLD, column_bytes, in_pieces, pieces, words
 
 U = np.uint64
 LENGTH, KEYS, SLOP = 10, 3, 5
@@ -52,7 +52,7 @@ class Terms:
 
 def _tokens(items: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             for i, hashes, first in _words(batch.column(1)):
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(first) - 1), lists], names=["item", "tokens"])
@@ -65,7 +65,7 @@ def _frequencies(docs: DataFrame, terms: Terms) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(terms.sorted), np.int64)
-        for batch in batches:
+        for batch in in_pieces(batches):
             for _, hashes, _ in _words(batch.column(0)):
                 counts += np.bincount(terms.find(hashes)[1], minlength=len(counts))
         met = np.flatnonzero(counts)
@@ -81,7 +81,7 @@ def postings(docs: DataFrame, terms: Terms) -> DataFrame:
     """The positional index of the documents (_key long, _text) for these terms: term int, doc long, pos int."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, hashes, first in _words(batch.column(1)):
                 at, number = terms.find(hashes)
@@ -103,8 +103,8 @@ def window_keys(tokens: np.ndarray, numbers: np.ndarray, counts: np.ndarray, len
     return out
 
 
-def _candidates(docs: DataFrame, slice_: list[tuple[int, np.ndarray]], length: int, keys: int, slop: int) -> DataFrame:
-    """doc, and found: an array of struct<item int, hits array<struct<at, off>>, tokens, keys> for each item that may occur in the document."""
+def _candidates(docs: DataFrame, slice_: list[tuple[int, np.ndarray]], length: int, keys: int, slop: int) -> tuple[DataFrame, str]:
+    """The path of the stored postings, and doc, and found: an array of struct<item int, hits array<struct<at, off>>, tokens, keys> for each item that may occur in the document."""
     spark = docs.sparkSession
     terms = Terms(np.concatenate([t for _, t in slice_]))
     counts = _frequencies(docs, terms)
@@ -115,11 +115,12 @@ def _candidates(docs: DataFrame, slice_: list[tuple[int, np.ndarray]], length: i
     place = {int(h): k for k, h in enumerate(index.sorted)}
     offsets = spark.createDataFrame([(place[int(terms.sorted[t])], i, o) for t, i, o in wanted], "term int, item int, off int")
     items = spark.createDataFrame([(i, t.view(np.int64).tolist(), ks, min(len(k) for k in ks)) for i, t, _, ks in plan], "item int, tokens array<long>, keys array<array<int>>, least int")
-    met = postings(docs, index).join(offsets, "term").groupBy("doc", "item").agg(F.collect_list(F.struct((F.col("pos") - F.col("off")).alias("at"), "off")).alias("hits"))
+    stored, path = written(postings(docs, index), "postings")
+    met = stored.join(offsets, "term").groupBy("doc", "item").agg(F.collect_list(F.struct((F.col("pos") - F.col("off")).alias("at"), "off")).alias("hits"))
     near = lambda hits, at: F.size(F.array_distinct(F.transform(F.filter(hits, lambda h: F.abs(h["at"] - at) <= slop), lambda h: h["off"])))
     met = met.join(items, "item").where(F.size("hits") >= F.col("least"))
     met = met.where(F.exists(F.array_distinct(F.col("hits.at")), lambda at: near(F.col("hits"), at) >= F.col("least")))
-    return met.select("doc", F.struct("item", "hits", "tokens", "keys").alias("found"))
+    return cut(met.select("doc", F.struct("item", "hits", "tokens", "keys").alias("found"))), path
 
 
 def _judge(hashes: np.ndarray, found: list[dict], length: int, slop: int, hit: np.ndarray) -> tuple[set[int], set[int]]:
@@ -165,12 +166,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     n_slices = -(-n_tokens // most_tokens)
     parts = []
     for k in range(n_slices):
-        rows = tokens.where(F.pmod(F.xxhash64("item"), F.lit(n_slices)) == k).orderBy("item", "tokens").collect()
+        rows = tokens.where(F.pmod(F.xxhash64("item", "tokens"), F.lit(n_slices)) == k).orderBy("item", "tokens").collect()
         names = [r["item"] for r in rows]
         if rows:
-            found = _candidates(keyed, [(i, np.array(r["tokens"], np.int64).view(U)) for i, r in enumerate(rows)], length, keys, slop)
+            found, path = _candidates(keyed, [(i, np.array(r["tokens"], np.int64).view(U)) for i, r in enumerate(rows)], length, keys, slop)
             named = spark.createDataFrame(list(enumerate(names)), "no int, name string")
             parts.append(found.join(named, found["found.item"] == named.no).select("doc", F.struct(F.col("name").alias("item"), "found.hits", "found.tokens", "found.keys").alias("found")))
+            done_with(spark, path)
     wide = keyed
     if parts:
         every = parts[0]
@@ -185,7 +187,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     schema = wide.drop("_text", "_found").withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array(F.lit("")), "near_items": F.array(F.lit(""))}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             text_at, found_at = batch.num_columns - 2, batch.num_columns - 1
             n, hits, items, near = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [[]] * batch.num_rows, [[]] * batch.num_rows
             some = batch.column(found_at)
