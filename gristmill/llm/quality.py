@@ -11,39 +11,46 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .session import cut, small_batches
-from .text import ALNUM, CLASS_SPACE, column_bytes, pieces, words
+from .text import ALNUM, CLASS_SPACE, NOT_SPACE, column_bytes, in_pieces, mix, pieces, words
 
 U = np.uint64
 BITS = 16
 #: Bound of the training sample: documents with the smallest hash of their id, for each side of the posterior.
 SAMPLE_DOCS = 3000
-LABELLERS = ("symbols", "shouting", "repetition", "columns", "endings", "length", "variety")
+#: Bound of what is fitted of a sampled text: longer ones give so many pieces of so many bytes, spread evenly. Texts are scored whole.
+PIECES, PIECE = 8, 4096
+LABELLERS = ("symbols", "shouting", "repetition", "columns", "endings", "length", "variety", "plain", "letters", "pairs")
 
 
 def measures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns and, of each whole text, n (words) and per word: symbols, capitals, repeats of the word before, bars, sentence ends, bytes, distinct words."""
+    """The kept columns and, of each whole text, n (words) and per word: symbols, capitals, repeats of the word before, bars, sentence ends, bytes, distinct words, words that end plainly, distinct pairs of neighbours, and letters per byte that is no white space."""
     small_batches(docs.sparkSession)
-    names = ["n", "symbols", "capitals", "again", "bars", "ends", "bytes", "distinct"]
+    names = ["n", "symbols", "capitals", "again", "bars", "ends", "bytes", "distinct", "plain", "pairs", "letters"]
     narrow = docs.select(*keep, F.col(text).alias("_text"))
     schema = narrow.drop("_text").withColumns({c: F.lit(0.0) for c in names}).schema
     at = len(keep)
-    kinds = np.zeros((4, 256), np.int64)
+    kinds = np.zeros((6, 256), np.int64)
     kinds[0, [ord(c) for c in "#$%&*!<>{}[]^~=+@\\_"]] = 1
     kinds[1, range(0x41, 0x5B)] = 1
     kinds[2, ord("|")] = 1
     kinds[3, [ord(c) for c in ".?!"]] = 1
+    kinds[4] = NOT_SPACE
+    kinds[5, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 256)]] = 1
+    plainly = np.zeros(256, np.int64)
+    plainly[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 256), *map(ord, ".,;:?)'\"")]] = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             data, offsets = column_bytes(batch.column(at))
             out = np.zeros((len(names), batch.num_rows))
             for i, j in pieces(offsets):
                 part, edge = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                _, _, hashes, first = words(part, edge)
+                _, last, hashes, first = words(part, edge)
                 n = np.diff(first)
+                plain = np.concatenate([[0], np.cumsum(plainly[part[last - 1]])])
                 same = np.concatenate([[0], np.cumsum(hashes[1:] == hashes[:-1]), [0]]) if len(hashes) else np.zeros(1, np.int64)
                 again = np.where(n > 1, same[np.maximum(first[1:] - 1, 0)] - same[np.minimum(first[:-1], max(len(hashes) - 1, 0))], 0)
                 row = np.repeat(np.arange(j - i), n)
@@ -53,7 +60,12 @@ def measures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
                 sums = [np.concatenate([[0], np.cumsum(k[part])]) for k in kinds]
                 per = [s[edge[1:]] - s[edge[:-1]] for s in sums]
                 distinct = np.bincount(row[order][new], minlength=j - i)
-                out[:, i:j] = np.stack([n, *[x / np.maximum(n, 1) for x in (per[0], per[1], again, per[2], per[3], np.diff(edge), distinct)]])
+                inner = np.flatnonzero(row[1:] == row[:-1])
+                pair = mix(hashes[inner] * U(3) + hashes[inner + 1])
+                _, once = np.unique(pair ^ mix(row[inner].astype(U)), return_index=True)
+                pairs = np.bincount(row[inner][once], minlength=j - i)
+                shares = [x / np.maximum(n, 1) for x in (per[0], per[1], again, per[2], per[3], np.diff(edge), distinct, plain[first[1:]] - plain[first[:-1]], pairs)]
+                out[:, i:j] = np.stack([n, *shares, per[5] / np.maximum(per[4], 1)])
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *map(pa.array, out)], names=[*batch.schema.names[:at], *names])
 
     return narrow.mapInArrow(run, schema)
@@ -70,7 +82,10 @@ def votes() -> list[Column]:
         F.when(c("bars") > 0.2, 0).when((c("bars") == 0) & (c("n") >= 50), 1),
         F.when((c("ends") < 0.01) & (c("n") >= 20), 0).when(c("ends").between(0.03, 0.3), 1),
         F.when((c("bytes") > 12) | (c("bytes") < 2.5), 0).when(c("bytes").between(4, 8) & (c("n") >= 30), 1),
-        F.when((c("distinct") < 0.1) & (c("n") >= 50), 0).when((c("distinct") > 0.35) & (c("n") >= 50), 1),
+        F.when((c("distinct") < 0.2) & (c("n") >= 50), 0).when((c("distinct") > 0.35) & (c("n") >= 50), 1),
+        F.when(c("plain") < 0.7, 0).when(c("plain") > 0.9, 1),
+        F.when(c("letters") < 0.87, 0).when(c("letters") > 0.93, 1),
+        F.when((c("pairs") < 0.3) & (c("n") >= 20), 0).when((c("pairs") > 0.6) & (c("n") >= 20), 1),
     ]
     return [F.when(some, rule).otherwise(F.lit(0) if k == 0 else F.lit(None)).cast("int").alias(name) for k, (name, rule) in enumerate(zip(LABELLERS, rules, strict=True))]
 
@@ -79,9 +94,10 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, prior: float = 0.8, round
     """EM for conditionally independent labellers that may abstain. patterns: 1, 0 or -1 (no vote). Posterior of good for each pattern,
     each labeller's (chance to vote good on a good document, to vote good on a bad one), and the share of good documents.
 
-    Starts from labellers that are right 4 times of 5, so that good means good; smoothing keeps all chances off 0 and 1.
+    Each kind of bad document is seen by a few labellers and approved by the others. So it starts from objections that are seldom wrong and approvals
+    that say little, which also makes good mean good; smoothing keeps all chances off 0 and 1.
     """
-    rates = np.tile([0.8, 0.2], (patterns.shape[1], 1))
+    rates = np.tile([0.95, 0.6], (patterns.shape[1], 1))
     good, voted = patterns == 1, patterns >= 0
     for _ in range(rounds):
         logs = [np.where(voted, np.where(good, np.log(rates[:, s]), np.log(1 - rates[:, s])), 0).sum(axis=1) for s in (0, 1)]
@@ -143,7 +159,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
     at = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             data, offsets = column_bytes(batch.column(at))
             out = np.zeros(batch.num_rows)
             for i, bucket, row, n in _features(data, offsets):
@@ -165,16 +181,21 @@ def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: in
     spark = docs.sparkSession
     measured = cut(measures(docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text")), "_text", ("_id", "_h")).select("_id", "_h", *votes()))
     code = sum((F.coalesce(F.col(v), F.lit(-1)) + 1) * 3**k for k, v in enumerate(LABELLERS)).cast("int")
-    seen = {r[0]: r[1] for r in measured.groupBy(code.alias("code")).count().collect()}  # at most 3 ** 7 rows
+    seen = {r[0]: r[1] for r in measured.groupBy(code.alias("code")).count().collect()}  # at most 3 ** 10 rows
     codes = np.array(sorted(seen), np.int64)
     patterns = np.stack([codes // 3**k % 3 - 1 for k in range(len(LABELLERS))], axis=1) if len(codes) else np.zeros((0, len(LABELLERS)), np.int64)
     posterior, _, _ = estimate(patterns, np.array([seen[c] for c in codes.tolist()], float))
     known = spark.createDataFrame([(int(c), float(p)) for c, p in zip(codes, posterior, strict=True)], "code int, posterior double")
-    labelled = measured.withColumn("code", code).join(F.broadcast(known), "code").drop("code")  # at most 3 ** 7 rows
+    labelled = measured.withColumn("code", code).join(F.broadcast(known), "code").drop("code")  # at most 3 ** 10 rows
     order = F.xxhash64("_id", "_h", F.lit(seed))
-    picked = labelled.select("_id", "_h", "posterior", (F.col("posterior") >= 0.5).alias("side")).distinct().withColumn("r", F.row_number().over(Window.partitionBy("side").orderBy(order, "_id", "_h"))).where(F.col("r") <= sample)
-    named = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).cast("binary").alias("_text"))
-    got = named.join(F.broadcast(picked.drop("r", "side")), named._id.eqNullSafe(picked._id) & named._h.eqNullSafe(picked._h)).select(named._id, "_text", "posterior").where("octet_length(_text) > 0").dropDuplicates(["_id", "_text"]).orderBy("_id", "_text").collect()
+    once = labelled.select("_id", "_h", "posterior").distinct()
+    sides = [once.where(side).orderBy(order, "_id", "_h").limit(sample) for side in ("posterior >= 0.5", "posterior < 0.5")]
+    picked = cut(sides[0].unionByName(sides[1]))  # at most 2 * sample rows
+    raw = F.col(text).cast("binary")
+    size = F.octet_length(raw)
+    spread = F.concat(*[F.substring(raw, (F.floor((size - PIECE) * k / (PIECES - 1)) + 1).cast("int"), F.lit(PIECE)) for k in range(PIECES)])
+    named = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.when(size <= PIECES * PIECE, raw).otherwise(spread).alias("_text"))
+    got = named.join(F.broadcast(picked), named._id.eqNullSafe(picked._id) & named._h.eqNullSafe(picked._h)).select(named._id, "_text", "posterior").where("octet_length(_text) > 0").dropDuplicates(["_id", "_text"]).orderBy("_id", "_text").collect()
     weights, bias = train([bytes(r["_text"]) for r in got], np.array([r["posterior"] for r in got])) if got else (np.zeros(1 << BITS, np.float32), 0.0)
     scored = score(docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text")), weights, bias, "_text", ("_id", "_h")).withColumnsRenamed({"_id": "_i", "_h": "_t"})
     once = labelled.dropDuplicates(["_id", "_h"])
