@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import physics, text as fn, unicode as forms
-from ..operators import graph, identity, tables as ops
+from ..operators import graph, identity, quotations, tables as ops
 from ..streaming import events as streams
 from .registry import query, read
 
@@ -48,14 +48,9 @@ def identity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def citation_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How the first hundred characters of a benchmark item fit the documents that have four words in a row in common with it."""
-    b = read(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 100).alias("quote")).withColumn("w", F.split("quote", " ")).where(F.size("w") >= 6)
-    runs = F.transform(F.sequence(F.lit(1), F.size("w") - 4, F.lit(4)), lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(4)), " "))
-    keys = b.select("item_id", F.explode(runs).alias("key")).distinct()
-    d = read(spark, sf_dir, "documents").where("text is not null")
-    all_runs = F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(4)), " "))
-    met = d.select("doc_id", F.split("text", " ").alias("w")).where(F.size("w") >= 4).select("doc_id", F.explode(F.array_distinct(all_runs)).alias("key")).join(keys, "key").select("doc_id", "item_id").distinct()
-    return met.join(b.select("item_id", "quote"), "item_id").join(d.select("doc_id", "text"), "doc_id").select("doc_id", "item_id", forms.fit(F.col("quote"), F.col("text")).alias("fit"))
+    """How whole benchmark items fit the documents that quote them: as they stand, in normal form, or with up to a tenth of other characters."""
+    found = quotations.quoted(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return found.withColumn("item_id", F.col("item_id").cast("long"))
 
 
 @query(r"""

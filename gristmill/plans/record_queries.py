@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as fn
-from ..operators import graph, records, tables as ops
+from ..operators import graph, quotations, records, tables as ops
 from ..streaming import events as streams
 from .registry import query, read
 
@@ -25,18 +25,11 @@ def page_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("page_id", (~F.col("reason").startswith("veto") & (F.col("reason") != "drop")).alias("keep"), "reason")
 
 
-@query("""
-with b as (select item_id, array_to_string(string_split(text, ' ')[1:8], ' ') as quote from benchmark where len(string_split(text, ' ')) >= 8)
-select doc_id, item_id from documents join b on contains(text, quote)
-""")
+@query("select doc_id, item_id from documents d join benchmark b on b.text <> '' and contains(d.text, b.text)")
 def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that quote the first eight words of a benchmark item. Six inner words of a quote are whole words wherever it occurs, so they are the join's key."""
-    b = read(spark, sf_dir, "benchmark").withColumn("w", F.split("text", " ")).where(F.size("w") >= 8).select("item_id", F.array_join(F.slice("w", 1, 8), " ").alias("quote"), F.array_join(F.slice("w", 2, 6), " ").alias("key"))
-    d = read(spark, sf_dir, "documents").where(F.col("text").isNotNull()).withColumn("w", F.split("text", " ")).where(F.size("w") >= 8)
-    at = F.sequence(F.lit(1), F.size("w") - 5)
-    keys = d.select("doc_id", F.explode(F.transform(at, lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(6)), " "))).alias("key"))
-    met = keys.join(b, "key").select("doc_id", "item_id", "quote").distinct()
-    return met.join(d.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("quote"))).select("doc_id", "item_id").distinct()
+    """Documents that quote a whole benchmark item as it stands."""
+    found = quotations.quoted(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return found.where("fit = 'exact'").select("doc_id", F.col("item_id").cast("long").alias("item_id"))
 
 
 @query("""

@@ -4,11 +4,12 @@ import math
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import physics, text, unicode
-from gristmill.operators import graph, identity, records, tables
+from gristmill.operators import graph, identity, quotations, records, tables
 from gristmill.plans.catalog import ORACLES, QUERIES
 from gristmill.streaming import events as streams
 
@@ -129,16 +130,37 @@ def test_citation_fit(spark):
         return "near" if len(q) >= 5 and near else "none"
 
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    quotes = {r.item_id: r.text[:100] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
+    quotes = {r.item_id: r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
     got = QUERIES["citation_fuzzy"](spark, DATA).collect()
-    assert got and all(r.fit == brute(quotes[r.item_id], docs[r.doc_id]) for r in got)
-    pairs = {(r.doc_id, r.item_id) for r in got if r.fit == "exact"}
-    assert pairs == {(d, i) for d, t in docs.items() for i, q in quotes.items() if t and q in t and len(q.split(" ")) >= 6}
+    assert {(r.doc_id, r.item_id) for r in got if r.fit == "exact"} == {(d, i) for d, t in docs.items() for i, q in quotes.items() if t and q in t}
+    assert all(r.fit == brute(quotes[r.item_id], docs[r.doc_id]) for r in got)
     cases = [("abcdefghij", "xxabcdeXghij--", "near"), ("ab cd", "zzAB，CDzz", "normalised"), ("abcd", "abxd", "none"), ("", "abc", "none"), (None, "abc", "none"), ("abc", None, "none"), ("abcdefghij", "abXdefXhij", "none")]
     df = spark.createDataFrame([(q, t) for q, t, _ in cases], "q string, t string")
     assert [r[0] for r in df.select(unicode.fit(F.col("q"), F.col("t"))).collect()] == [c[2] for c in cases]
 
 
+def test_quotations_are_complete(spark):
+    """Every pair of mutated quotations and texts against the comparison of all pairs."""
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}{c}" for a in "bdgkl" for b in "aeiou" for c in "mnrst"]
+    quotes, texts = [], []
+    for k in range(40):
+        quote = " ".join(rng.choice(words, int(rng.integers(1, 30))).tolist())
+        quotes.append((f"q{k}", quote))
+        said = list(quote)
+        for at in rng.choice(len(said), min(len(said), k % 7 * max(1, len(said) // 25)), replace=False):
+            said[at] = "x"
+        spaced = "".join(said).replace(" ", "  \n" if k % 3 == 0 else " ")
+        texts.append((k, " ".join(rng.choice(words, 20).tolist()) + " " + spaced.upper() * (k % 2) + spaced * (1 - k % 2) + "，ende"))
+    quotes += [("short", "ab"), ("marks", "—"), ("empty", ""), ("null", None)]
+    texts += [(100, None), (101, ""), (102, "zzAB — ab"), (103, "—")]
+    q, t = spark.createDataFrame(quotes, "i string, q string"), spark.createDataFrame(texts, "d long, t string")
+    want = {(r.d, r.i, r.fit) for r in t.crossJoin(q).select("d", "i", unicode.fit(F.col("q"), F.col("t")).alias("fit")).where("fit <> 'none'").collect()}
+    for most in (4_000_000, 300):
+        assert {(r.d, r.i, r.fit) for r in quotations.quoted(t, q, "d", "t", "i", "q", most_chars=most).collect()} == want
+    assert {f for _, _, f in want} == {"exact", "normalised", "near"}
+
+
 def test_unicode(spark):
     df = spark.createDataFrame([("ｆｕｌｌ",), ("café",), ("plain",), (None,)], "n string")
     got = [tuple(r) for r in df.select(unicode.unicode_form(F.col("n")), unicode.without_accents(F.col("n"))).collect()]
