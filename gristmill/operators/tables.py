@@ -44,6 +44,18 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str)
     return running(df.withColumn("_one", F.lit(1).cast("long")), by, order, "_one", name).drop("_one")
 
 
+def lagged(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """df with the value of the row before in its group, in an order that no two rows of a group share; a group may hold most of the rows (see running())."""
+    ranged = cut(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    last = ranged.groupBy(*by, "_range").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
+    before = last.withColumn("_before", F.lag("_last").over(Window.partitionBy(*by).orderBy("_range"))).drop("_last")  # a row for each range of a group
+    before = before.withColumnsRenamed({c: f"_{c}_" for c in by} | {"_range": "_r"})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in by]
+    inner = Window.partitionBy(*by, "_range").orderBy(*order)
+    met = ranged.withColumns({"_first": F.row_number().over(inner) == 1, "_lag": F.lag(value).over(inner)}).join(small(before), reduce(lambda x, y: x & y, same, F.col("_range") == F.col("_r")))
+    return met.withColumn(name, F.when(F.col("_first"), F.col(f"_before.{value}")).otherwise(F.col("_lag"))).drop("_range", "_r", "_first", "_lag", "_before", *[f"_{c}_" for c in by])
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 

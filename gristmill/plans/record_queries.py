@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions import text as fn
 from ..operators import graph, quotations, records, tables as ops
 from ..streaming import events as streams
 from .registry import query, read
@@ -236,8 +235,8 @@ select o_custkey, count(*) as n, count(*) filter (where used <= 5e5) as admitted
 """)
 def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs in order of their time, until a customer's quota is used up."""
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
-    return read(spark, sf_dir, "orders").withColumn("used", F.sum("o_totalprice").over(w)).groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("used") <= 5e5).alias("admitted"))
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    return ops.running(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "used").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("used") <= 5e5).alias("admitted"))
 
 
 @query("""
@@ -279,6 +278,12 @@ def heading_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.sections(read(spark, sf_dir, "documents"), "doc_id", "text", r"^.{1,30}$")
 
 
+@query()
+def gapped_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short lines are headings, but only six lines or more after the last that counted."""
+    return records.gapped_sections(read(spark, sf_dir, "documents"), "doc_id", "text", r"^.{1,30}$", 6)
+
+
 @query()
 def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = records.packed(F.split("text", "\n"), 800)

@@ -178,3 +178,12 @@ def test_documents_per_file(spark, tmp_path):
     (tmp_path / "x.json").write_text('[{"page": 1},\n {"page": 2}]')
     (tmp_path / "y.json").write_text('{"page":\n 3}')
     assert {(r.file_id, r.page) for r in files.documents_per_file(spark, str(tmp_path), "page int").collect()} == {("x", 1), ("x", 2), ("y", 3)}
+
+
+def test_lag_over_a_hot_group(spark):
+    rows = [("hot", k, k * 3 if k % 5 else None) for k in range(4000)] + [("cold", 1, 7), (None, 2, 8), (None, 3, 9)]
+    got = tables.lagged(spark.createDataFrame(rows, "g string, k int, v int").repartition(6), ["g"], ["k"], "v", "last").collect()
+    want, last = {}, {}
+    for g, k, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        want[g, k], last[g] = last.get(g), v
+    assert {(r.g, r.k): r.last for r in got} == want
