@@ -9,7 +9,6 @@ runs the first one stays, and only it is opened into windows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
