@@ -129,9 +129,10 @@ def siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.siblings(read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").cast("long").alias("dst")))
 
 
-@query("select c_custkey as id from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey as id from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P')")
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("src"), F.col("o_custkey").alias("dst"))
+    """Customers that no pending order leads to."""
+    edges = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("src"), F.col("o_custkey").alias("dst"))
     return graph.orphans(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), edges)
 
 

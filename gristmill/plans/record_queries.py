@@ -51,12 +51,12 @@ def trimmed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 select conv_id, turn, array_to_string(list_filter([case when regexp_matches(lower(text), 'tion') then 'oxidation' end, case when regexp_matches(lower(text), 'the|les') then 'article' end, case when regexp_matches(text, '[0-9]') then 'number' end], lambda x: x is not null), ',') as routes,
-  array_to_string(regexp_extract_all(lower(text), '[a-z]{3,20}')[1:6], ' ') as tokens from conversations
+  array_to_string(regexp_extract_all(lower(text), '[a-z]{3,20}'), ' ') as tokens from conversations
 """)
 def keyword_router(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, low = F.col("text"), F.lower("text")
     routes = F.array_compact(F.array(F.when(low.rlike("tion"), "oxidation"), F.when(low.rlike("the|les"), "article"), F.when(t.rlike("[0-9]"), "number")))
-    return read(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(routes, ",").alias("routes"), F.array_join(F.slice(F.regexp_extract_all(low, F.lit("[a-z]{3,20}"), F.lit(0)), 1, 6), " ").alias("tokens"))
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(routes, ",").alias("routes"), F.array_join(F.regexp_extract_all(low, F.lit("[a-z]{3,20}"), F.lit(0)), " ").alias("tokens"))
 
 
 @query("""
