@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from gristmill.llm import decontaminate, langid, mixing, nearcopies, sharding
-from gristmill.llm.session import shared_dir
+from gristmill.llm.session import remove, shared_dir
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")  # the stage's own rows are written; the last table stays, as the result is read from it
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,7 +9,7 @@ anchor at least with probability 0.9947, one of 0.85 with 0.9998, one of 0.9 alw
 at most 43 bits always do, because 44 blocks are disjoint.
 
 Per anchor, members are compared by 96 further bits. What is near there hangs together in clusters, of which each task passes on a spanning
-forest of its nearest pairs only. Of these the clearly near ones are compared exactly, first the nearest of each set, then those that are not
+forest of its nearest pairs only, and the forests of tasks are thinned once more. Of these the clearly near ones are compared exactly, first the nearest of each set, then those that are not
 connected by then. What a cluster still holds apart is compared exactly with the rest of its cluster, in blocks of shingle sets that meet in
 tasks; no pair of a cluster is left out, and none becomes a row.
 """
@@ -34,6 +34,8 @@ WORDS, BLOCKS, CODED, PLAIN = 16, 128, 15, 8
 NEAR, CLEAR = 27, 16
 #: Members of an anchor that are compared each with each at once; sets of a block and of a part of a cluster that meet in a task.
 EACH, BLOCK, PART = 256, 256, 1024
+#: Edges of forests of many tasks that are thinned to a forest together, about.
+EDGES = 2_000_000
 _FOLD = FOLD.tobytes()
 _RNG = np.random.default_rng(42)
 _SEEDS = _RNG.integers(0, 2**63, (WORDS, 1), dtype=U)
@@ -191,6 +193,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(*(np.concatenate(x) for x in zip(*rest, strict=True)))
 
 
+def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of all edges (a, b, d) of a task, nearest first."""
+    whole = [b for b in batches if b.num_rows]
+    if whole:
+        a, b, d = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in whole]) for k in range(3))
+        names, node = np.unique(np.concatenate([a, b]), return_inverse=True)
+        keep = forest(node[: len(a)], node[len(a) :], d, len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (a, b, d)], names=["a", "b", "d"])
+
+
 def _links_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Of the askers and members of a group (node, c, asks, set): for each asker a link to each other component (c) that has a set alike."""
     node, c, asks = (rows.column(k).to_numpy() for k in ("node", "c", "asks"))
@@ -249,6 +261,7 @@ def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide"))
     spread = prints.select("fp", "wide").mapInArrow(_replicate, "fp long, at long, more long")
     met = cut(spread.repartition(F.shiftright("at", 32)).sortWithinPartitions("at").mapInArrow(_compare, "a long, b long, d long").groupBy("a", "b").agg(F.min("d").alias("d")))
+    met = cut(met.repartition(met.count() // EDGES + 1, "a").mapInArrow(_thinned, "a long, b long, d long"))
     clusters = components(met)
     sets = _sets_of(clusters.select(F.col("node").alias("fp")), prints, docs, id, text)
     clear = met.where(F.col("d") <= CLEAR)

@@ -41,11 +41,16 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.parquet(path), path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def done_with(spark: SparkSession, *paths: str) -> None:
     """Removes tables that nothing reads any more, and has Spark's cleaner look for shuffle files that nothing refers to any more."""
     for path in paths:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        remove(spark, path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

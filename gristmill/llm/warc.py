@@ -177,7 +177,7 @@ def resolved(found: DataFrame) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"  # stays: it is what the operator makes
     write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     return resolved(read(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
