@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut
+from ..session import cut, ship
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -111,6 +111,7 @@ def _found_cycles(edges: list[tuple[str, str]]) -> list[list[str]]:
 
 def _by_core(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The edges on no cycle, and the others (src, dst, core), where those that hang together share a core."""
+    ship(edges.sparkSession)  # for the search
     free, left = acyclic_part(edges.select("src", "dst"))
     label = cut(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("core", F.col("node")))
     both = cut(left.unionByName(left.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
