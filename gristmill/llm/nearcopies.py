@@ -204,7 +204,7 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Of the askers and members of a group (node, c, asks, set): for each asker a link to each other component (c) that has a set alike."""
+    """Of the askers and members of a group (node, c, asks, set): links between components (c) that have sets alike, enough to hold together all that are linked."""
     node, c, asks = (rows.column(k).to_numpy() for k in ("node", "c", "asks"))
     sets = [np.frombuffer(x, U) for x in rows.column("set").to_pylist()]
     others, found = np.flatnonzero(~asks), []
@@ -219,7 +219,9 @@ def _links_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, one = np.unique(c[hit], return_index=True)
         found.append((np.full(len(one), k), hit[one]))
     a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    return node[a], node[b]
+    names, at = np.unique(np.concatenate([c[a], c[b]]), return_inverse=True)
+    keep = forest(at[: len(a)], at[len(a) :], np.zeros(len(a)), len(names))  # as many links as hold the components together
+    return node[a[keep]], node[b[keep]]
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
