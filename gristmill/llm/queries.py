@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, langid, merkle, mixing, quality, sharding, simhash, substrings, url_filter, warc
+from . import ann, decontaminate, divergence, langid, merkle, mixing, quality, sharding, simhash, substrings, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ivfpq": ann.op1,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.op9,
     "op10_sharding": sharding.op10,
     "op11_merkle": merkle.op11,
+    "op12_divergence": divergence.op12,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op7_warc": warc.OP7_SQL,
     "op8_url_filters": url_filter.OP8_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_divergence": divergence.OP12_SQL,
 }
