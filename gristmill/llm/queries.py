@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, divergence, langid, merkle, mixing, quality, sharding, simhash, substrings, url_filter, warc
+from . import ann, decontaminate, divergence, langid, merkle, mixing, packing, quality, sharding, simhash, substrings, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ivfpq": ann.op1,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": sharding.op10,
     "op11_merkle": merkle.op11,
     "op12_divergence": divergence.op12,
+    "op13_packing": packing.op13,
 }
 
 ORACLES: dict[str, str] = {
