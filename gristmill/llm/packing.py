@@ -284,10 +284,10 @@ def placements(items: DataFrame, capacity: int = LENGTH, islands: int = 3, epoch
     while True:
         blocks = max(1, -(-left.count() // members))
         dealt = left.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(step)), F.lit(blocks)).cast("long"))
-        members = cut(_blocks(dealt))
+        held = cut(_blocks(dealt))
         island = F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island")
         none = F.lit(None).cast("binary").alias("elite")
-        state = members.select("block", island, "lengths", F.array().cast("array<binary>").alias("packings"), none)
+        state = held.select("block", island, "lengths", F.array().cast("array<binary>").alias("packings"), none)
         for epoch in range(epochs):
             state = cut(_epoch(state, capacity, generations, population, 1000 * step + epoch))
             best = state.groupBy("block").agg(F.min("boxes").alias("boxes"), F.min("least").alias("least"))
@@ -296,7 +296,7 @@ def placements(items: DataFrame, capacity: int = LENGTH, islands: int = 3, epoch
             elites = state.select("block", ((F.col("island") + 1) % islands).alias("island"), F.get("packings", F.lit(0)).alias("elite"))
             state = state.join(elites, ["block", "island"])
         best = state.groupBy("block").agg(F.min_by(F.get("packings", F.lit(0)), F.struct("boxes", "island")).alias("packing"))
-        placed = cut(_placed(members.join(best, "block"), capacity, blocks > 1))
+        placed = cut(_placed(held.join(best, "block"), capacity, blocks > 1))
         done = done.unionByName(placed.where("sequence_id is not null").select("uid", "sequence_id", "offset"))
         if blocks == 1:
             return done
