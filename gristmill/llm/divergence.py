@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.tables import small
-from .session import cut, small_batches
+from .session import cut, small_batches, written
 from .text import FOLD, column_bytes, in_pieces
 
 #: Bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after folding; in UTF-8, bytes from 0x80 are parts of non-ASCII characters.
@@ -39,8 +39,8 @@ def terms(text: bytes) -> Counter:
     return found
 
 
-def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", most: int = 150_000) -> DataFrame:
-    """lang, source, term, count, docs (texts that have it), with nulls read as ''; a row with a null term for each (lang, source) there is.
+def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", most: int = 400_000) -> DataFrame:
+    """lang, source, term, count, docs (texts that have it), with nulls read as ''; rows are dealt by (lang, term).
 
     A task counts in memory, up to so many different (lang, source, term), before it hands on what it has.
     """
@@ -52,9 +52,10 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
 
         def flushed() -> Iterator[pa.RecordBatch]:
             for (a, b), (many, some) in found.items():
-                keys = [None, *(k.decode() for k in many)]
-                rows = [pa.array([v] * len(keys), pa.string()) for v in (a, b)] + [pa.array(keys, pa.string()), pa.array([0, *many.values()], pa.int64()), pa.array([0, *(some[k] for k in many)], pa.int64())]
-                yield pa.RecordBatch.from_arrays(rows, names=["lang", "source", "term", "count", "docs"])
+                keys, values = pa.array(many.keys(), pa.binary()).cast(pa.string()), pa.array(many.values(), pa.int64())
+                texts = pa.array(map(some.__getitem__, many), pa.int64())
+                same = [pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(keys), np.int32)), [v]).cast(pa.string()) for v in (a, b)]
+                yield pa.RecordBatch.from_arrays([*same, keys, values, texts], names=["lang", "source", "term", "count", "docs"])
             found.clear()
 
         for batch in in_pieces(batches):
@@ -70,9 +71,14 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
                     held = 0
         yield from flushed()
 
-    empty = F.lit("")
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), empty).alias("lang"), F.coalesce(F.col(source).cast("string"), empty).alias("source"), F.coalesce(F.col(text).cast("string"), empty).alias("text"))
-    return rows.mapInArrow(run, "lang string, source string, term string, count long, docs long").groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    rows = docs.select(*named(docs, lang, source), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    found = rows.mapInArrow(run, "lang string, source string, term string, count long, docs long")
+    dealt = found.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+
+
+def named(docs: DataFrame, lang: str, source: str) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))]
 
 
 def share(count: np.ndarray, mass: np.ndarray) -> np.ndarray:
@@ -118,6 +124,14 @@ class Tree:
             above = here
         return cls(height, bits, counts[order])
 
+    def rows(self) -> np.ndarray:
+        """The row of each leaf, read from the tree down."""
+        out = np.zeros(min(1, len(self.counts)), np.int64)
+        for b in self.bits:
+            at = np.flatnonzero(b)
+            out = 2 * out[at >> 2] + (at >> 1 & 1)
+        return out
+
     def packed(self) -> bytes:
         return np.packbits(np.concatenate([*self.bits, np.zeros(0, bool)])).tobytes()
 
@@ -138,10 +152,14 @@ class Tree:
         return np.where((nodes >= 0) & self.bits[level][at], self.ranks[level][at], -1)
 
 
-def walked(a: Tree, b: Tree, masses_a: np.ndarray, masses_b: np.ndarray, width: int) -> np.ndarray:
-    """For each row of a and each of b, the surplus of the first over the second, summed over the terms of both."""
+def walked(a: Tree, b: Tree, masses_a: np.ndarray, masses_b: np.ndarray, width: int, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a and each of b, the surplus of the first over the second, and of the second over the first, summed over the terms of both.
+
+    If b is the same tree as a, only pairs whose first row comes before the second are walked, and only their values are given.
+    """
     m, n, height = len(masses_a), len(masses_b), a.height
-    out, empty = np.zeros((m, n), np.int64), np.zeros((m + 1, n + 1), np.int64)
+    sums, empty = np.zeros((2, m * n), np.int64), np.zeros((m + 1) * (n + 1), np.int64)
+    shares, zeros = zip(*((share(t.counts, masses[t.rows()]), share(np.zeros(len(masses), np.int64), masses)) for t, masses in ((a, masses_a), (b, masses_b))), strict=True)
     root = [np.array([0 if len(t.counts) else -1]) for t in (a, b)]
     todo = [(0, np.stack([*root, *[np.zeros(1, np.int64)] * 3]))]  # nodes of a and b, their first rows and their first term, counted in sides
     while todo:
@@ -156,23 +174,28 @@ def walked(a: Tree, b: Tree, masses_a: np.ndarray, masses_b: np.ndarray, width:
             ra, rb, c = f[2:, none] * side
             span, ra2, rb2 = np.minimum(width, c + side) - c, np.minimum(m, ra + side), np.minimum(n, rb + side)
             for x, y, sign in ((ra, rb, 1), (ra2, rb, -1), (ra, rb2, -1), (ra2, rb2, 1)):
-                np.add.at(empty, (x, y), sign * span)
+                np.add.at(empty, x * (n + 1) + y, sign * span)
             f = f[:, ~none]
         if not f.shape[1]:
             continue
         if level == height:
-            ca, cb = (np.where(nodes >= 0, t.counts[np.maximum(nodes, 0)] if len(t.counts) else 0, 0) for t, nodes in ((a, f[0]), (b, f[1])))
-            np.add.at(out, (f[2], f[3]), surplus(share(ca, masses_a[f[2]]), share(cb, masses_b[f[3]])))
+            p, q = (np.where(nodes >= 0, known[np.maximum(nodes, 0)], zero[rows]) if len(known) else zero[rows] for known, zero, nodes, rows in zip(shares, zeros, f[:2], f[2:4], strict=True))
+            square, at = (p - q) ** 2, f[2] * n + f[3]
+            np.add.at(sums[0], at, square // q)
+            np.add.at(sums[1], at, square // p)
             continue
-        below = []
+        below, half = [], side // 2
         for up, low, right in np.ndindex(2, 2, 2):
             ra, rb, c = 2 * f[2] + up, 2 * f[3] + low, 2 * f[4] + right
-            fits = (ra * (side // 2) < m) & (rb * (side // 2) < n) & (c * (side // 2) < width)
-            nodes = [t.below(level, x[fits], 2 * half + right) for t, x, half in ((a, f[0], up), (b, f[1], low))]
+            fits = (ra * half < m) & (rb * half < n) & (c * half < width)
+            if same:
+                fits &= ra < rb if half == 1 else ra <= rb
+            nodes = [t.below(level, x[fits], 2 * k + right) for t, x, k in ((a, f[0], up), (b, f[1], low))]
             below.append(np.stack([*nodes, ra[fits], rb[fits], c[fits]]))
         todo.append((level + 1, np.concatenate(below, axis=1)))
-    zeros_a, zeros_b = share(np.zeros(m, np.int64), masses_a), share(np.zeros(n, np.int64), masses_b)
-    return out + empty.cumsum(0).cumsum(1)[:m, :n] * surplus(zeros_a[:, None], zeros_b[None, :])
+    many = empty.reshape(m + 1, n + 1).cumsum(0).cumsum(1)[:m, :n]
+    p, q = zeros[0][:, None], zeros[1][None, :]
+    return sums[0].reshape(m, n) + many * surplus(p, q), sums[1].reshape(m, n) + many * surplus(q, p)
 
 
 def _height(sources: int, width: int) -> int:
@@ -180,28 +203,38 @@ def _height(sources: int, width: int) -> int:
 
 
 def tiles(entries: DataFrame, frame: DataFrame) -> DataFrame:
-    """lang, block, part, width, masses, bits, counts: the tiles of entries (lang, block, part, row, col, count), each a K-squared tree.
+    """lang, block, part, width, masses, bits, counts: the tiles of entries (lang, block, source, term, count), each a K-squared tree.
 
-    frame (lang, block, part, row, width, mass) has each row of each tile, those without a count in it as well.
+    frame (lang, block, source, no, mass) has each source of each block, numbered by language. A block is of so many terms that it stays small
+    however many sources there are; its sources are cut into parts.
     """
-    both = entries.select("lang", "block", "part", "row", "col", "count", F.lit(0).alias("width")).unionByName(frame.select("lang", "block", "part", "row", F.lit(-1).alias("col"), F.col("mass").alias("count"), "width"))
-
-    def run(table: pa.Table) -> pa.Table:
-        row, col, count = (table[n].to_numpy() for n in ("row", "col", "count"))
-        real = col >= 0
-        masses, width = count[~real][np.argsort(row[~real])], int(table["width"].to_numpy().max())
-        tree = Tree.of(_height(SOURCES, width), row[real].astype(np.int64), col[real].astype(np.int64), count[real])
-        packed = {"masses": masses, "bits": tree.packed(), "counts": tree.counts}
-        out = {n: table[n][:1] for n in ("lang", "block", "part")} | {"width": pa.array([width], pa.int32())}
-        return pa.table(out | {k: pa.array([v if isinstance(v, bytes) else v.astype(np.int64).tobytes()], pa.binary()) for k, v in packed.items()})
 
-    return both.groupBy("lang", "block", "part").applyInArrow(run, "lang string, block long, part int, width int, masses binary, bits binary, counts binary")
+    def run(table: pa.Table, sources: pa.Table) -> pa.Table:
+        sources = sources.sort_by("no")
+        masses, parts = sources["mass"].to_numpy(), -(-sources.num_rows // SOURCES)
+        number = lambda column: column.combine_chunks().dictionary_encode()
+        rows, cols = number(table["source"]), number(table["term"])
+        row = np.zeros(0, np.int64)
+        if table.num_rows:
+            order = {v: k for k, v in enumerate(sources["source"].to_pylist())}
+            row = np.array([order[v] for v in rows.dictionary.to_pylist()], np.int64)[rows.indices.to_numpy()]
+        col, count, width = cols.indices.to_numpy().astype(np.int64), table["count"].to_numpy(), len(cols.dictionary)
+        made = []
+        for part in range(parts):
+            own = row // SOURCES == part
+            tree = Tree.of(_height(SOURCES, width), row[own] % SOURCES, col[own], count[own])
+            made.append((masses[part * SOURCES : (part + 1) * SOURCES].astype(np.int64).tobytes(), tree.packed(), tree.counts.astype(np.int64).tobytes()))
+        same = {n: pa.array(sources[n].to_pylist()[:1] * parts, t) for n, t in (("lang", pa.string()), ("block", pa.int64()))}
+        return pa.table(same | {"part": pa.array(range(parts), pa.int32()), "width": pa.array([width] * parts, pa.int32())} | {k: pa.array(v, pa.binary()) for k, v in zip(("masses", "bits", "counts"), zip(*made, strict=True), strict=True)})
+
+    both = entries.groupBy("lang", "block").cogroup(frame.groupBy("lang", "block"))
+    return both.applyInArrow(run, "lang string, block long, part int, width int, masses binary, bits binary, counts binary")
 
 
 def pair_values(made: DataFrame) -> DataFrame:
     """lang, one, other (numbers of two sources), value: of the tiles of a language, summed over its terms."""
     right = made.select("lang", "block", F.col("part").alias("part2"), *[F.col(c).alias(f"{c}2") for c in ("masses", "bits", "counts")])
-    met = made.join(right, ["lang", "block"]).select("lang", "part", "part2", "width", "masses", "bits", "counts", "masses2", "bits2", "counts2")
+    met = made.join(right, ["lang", "block"]).where("part <= part2").select("lang", "part", "part2", "width", "masses", "bits", "counts", "masses2", "bits2", "counts2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long = lambda b: np.frombuffer(b, np.int64)
@@ -209,11 +242,12 @@ def pair_values(made: DataFrame) -> DataFrame:
             lang, part, part2, width, *parts = (c[0].as_py() for c in batch.columns)
             masses, other = long(parts[0]), long(parts[3])
             a, b = (Tree.unpacked(_height(SOURCES, width), bits, long(counts)) for _, bits, counts in (parts[:3], parts[3:]))
-            value = walked(a, b, masses, other, width)
-            one, two = (x.ravel() for x in np.indices(value.shape))
-            one, two, flat = one + part * SOURCES, two + part2 * SOURCES, value.ravel()
-            there = one != two
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * int(there.sum()), pa.string()), pa.array(one[there], pa.int64()), pa.array(two[there], pa.int64()), pa.array(flat[there], pa.int64())], names=["lang", "one", "other", "value"])
+            there, back = walked(a, b, masses, other, width, part == part2)
+            one, two = np.triu_indices(len(masses), 1) if part == part2 else (x.ravel() for x in np.indices(there.shape))
+            values = np.concatenate([there[one, two], back[one, two]])
+            one, two = one + part * SOURCES, two + part2 * SOURCES
+            ends = [pa.array(np.concatenate(x), pa.int64()) for x in ((one, two), (two, one))]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), *ends, pa.array(values)], names=["lang", "one", "other", "value"])
 
     return met.mapInArrow(run, "lang string, one long, other long, value long").groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
 
@@ -225,35 +259,31 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     share p of a source is 1 + floor(UNIT * (count + 1) / (all + terms)), likewise q of another source or of the language; the value is
     (p - q) ** 2 / q, rounded down, over all terms for a pair. Of marked terms (there, and p > q) those of the first so many ranks are given.
     Null texts, languages and sources are read as ''. A language without terms gives pairs of value 0, an empty table no rows. Repeated rows
-    count as often as they are there; other columns are not read. A source's number and its rows of the result meet in one task: they are
-    as many as the language has sources. A term that is everywhere is a row for each source by then.
+    count as often as they are there; other columns are not read. A language's sources are numbered in one task, and a term that is everywhere is a
+    row for each source by then. The table of kept counts stays in the shared folder, as the result is read from it.
     """
-    counts = cut(term_counts(docs, lang, source, text))
-    kept = counts.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("in_lang")).where(F.col("docs") >= least_docs)
-    langs = counts.select("lang").distinct().join(kept.groupBy("lang").agg(F.count("*").alias("n_terms"), F.sum("in_lang").alias("n_lang")), "lang", "left").fillna(0)
-    langs = small(cut(langs.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("n_terms") / TERMS)).cast("long"))))
-    placed = kept.join(langs, "lang").withColumn("block", F.expr("pmod(xxhash64(term), blocks)"))
-    own = Window.partitionBy("lang", "block")
-    placed = cut(placed.select("lang", "term", "in_lang", "block", (F.row_number().over(own.orderBy("term")) - 1).alias("col"), F.count("*").over(own).cast("int").alias("width")))
-    entries = counts.where("term is not null").select("lang", "source", "term", "count").join(placed, ["lang", "term"])
-    entries = cut(entries)
-
-    masses = counts.select("lang", "source").distinct().join(entries.groupBy("lang", "source").agg(F.sum("count").alias("n")), ["lang", "source"], "left")
+    own = Window.partitionBy("lang", "term")  # a row for each source
+    counts = term_counts(docs, lang, source, text).withColumns({"in_lang": F.sum("count").over(own), "_docs": F.sum("docs").over(own)})
+    entries, _ = written(counts.where(F.col("_docs") >= least_docs).select("lang", "source", "term", "count", "in_lang"), "term-counts")
+    masses = entries.groupBy("lang", "source").agg(F.sum("count").alias("n"))
+    groups = docs.select(*named(docs, lang, source)).distinct().join(masses, ["lang", "source"], "left")
+    kept = entries.groupBy("lang", "term").agg(F.min("in_lang").alias("in_lang")).groupBy("lang").agg(F.count("*").alias("n_terms"), F.sum("in_lang").alias("n_lang"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = masses.join(langs, "lang").select("lang", "source", "blocks", "n_lang", "n_terms", (F.coalesce("n", F.lit(0)) + F.col("n_terms")).alias("mass"), number.cast("long").alias("no"))
-    groups = cut(groups.withColumns({"part": F.floor(F.col("no") / SOURCES).cast("int"), "row": (F.col("no") % SOURCES).cast("int")}))
-
-    widths = placed.groupBy("lang", "block").agg(F.max("width").alias("width"))
-    frame = groups.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).join(widths, ["lang", "block"], "left").fillna(0, ["width"])
-    dealt = entries.join(small(groups.select("lang", "source", "part", "row")), ["lang", "source"])
+    groups = groups.join(kept, "lang", "left").fillna(0, ["n", "n_terms", "n_lang"]).withColumns({"no": number.cast("long"), "of": F.count("*").over(Window.partitionBy("lang"))})
+    at_once = F.greatest(F.lit(16), F.least(F.lit(TERMS), F.floor(F.lit(1 << 20) / F.col("of"))))  # terms of a block
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_terms") / at_once)).cast("long")
+    groups = cut(groups.select("lang", "source", "no", "n_lang", "n_terms", (F.col("n") + F.col("n_terms")).alias("mass"), blocks.alias("blocks")))
+
+    frame = groups.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "source", "no", "mass")
+    dealt = entries.join(small(groups), ["lang", "source"])
+    blocked = dealt.select("lang", F.expr("pmod(xxhash64(term), blocks)").alias("block"), "source", "term", "count")
     names = groups.select("lang", F.col("no").alias("one"), "source")
-    pairs = pair_values(cut(tiles(dealt, frame))).join(small(names), ["lang", "one"])
+    pairs = pair_values(cut(tiles(blocked, frame))).join(small(names), ["lang", "one"])
     pairs = pairs.join(small(names.withColumnsRenamed({"one": "other", "source": "item"})), ["lang", "other"])
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
-    shares = entries.join(small(groups.select("lang", "source", "mass", "n_lang", "n_terms")), ["lang", "source"])
     p, q = share_of(F.col("count"), F.col("mass")), share_of(F.col("in_lang"), F.col("n_lang") + F.col("n_terms"))
-    marked = shares.select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q")
+    marked = dealt.select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q")
     marked = marked.select("lang", "source", F.lit("term").alias("part"), "item", F.expr("((p - q) * (p - q)) div q").alias("value"))
     order = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     return pairs.withColumn("rank", order).unionByName(marked.withColumn("rank", order).where(F.col("rank") <= ranks))
