@@ -17,7 +17,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Of edges (a long, b long), each node's component: (node long, component long), the least node that it reaches.
 
     Nulls and loops in edges are ignored; nodes without an edge aren't listed. Each round costs two small shuffles and is written to the
@@ -28,14 +28,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = state(edges)
-    for _ in range(most_rounds):
-        if not before[0]:
-            break
+    while before[0]:  # each round takes stars nearer to the least nodes, until none changes
         edges = cut(_star(cut(_star(edges, True)), False))
         now = state(edges)
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components not found in {most_rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .session import cut, done_with, key_of, small_batches, written
 from .text import ALNUM, FOLD, column_bytes, in_pieces, pieces, words
@@ -113,13 +113,15 @@ def _candidates(docs: DataFrame, slice_: list[tuple[int, np.ndarray]], length: i
     wanted = sorted({(int(n[o]), i, o) for i, _, n, ks in plan for k in ks for o in k})
     index = Terms(terms.sorted[np.unique([w[0] for w in wanted])] if wanted else terms.sorted[:0])
     place = {int(h): k for k, h in enumerate(index.sorted)}
-    offsets = spark.createDataFrame([(place[int(terms.sorted[t])], i, o) for t, i, o in wanted], "term int, item int, off int")
-    items = spark.createDataFrame([(i, t.view(np.int64).tolist(), ks, min(len(k) for k in ks)) for i, t, _, ks in plan], "item int, tokens array<long>, keys array<array<int>>, least int")
+    least = {i: min(map(len, ks)) for i, _, _, ks in plan}
+    offsets = spark.createDataFrame([(place[int(terms.sorted[t])], i, o, least[i]) for t, i, o in wanted], "term int, item int, off int, least int")
+    items = spark.createDataFrame([(i, t.view(np.int64).tolist(), ks) for i, t, _, ks in plan], "item int, tokens array<long>, keys array<array<int>>")
     stored, path = written(postings(docs, index), "postings")
-    met = stored.join(offsets, "term").groupBy("doc", "item").agg(F.collect_list(F.struct((F.col("pos") - F.col("off")).alias("at"), "off")).alias("hits"))
-    near = lambda hits, at: F.size(F.array_distinct(F.transform(F.filter(hits, lambda h: F.abs(h["at"] - at) <= slop), lambda h: h["off"])))
-    met = met.join(items, "item").where(F.size("hits") >= F.col("least"))
-    met = met.where(F.exists(F.array_distinct(F.col("hits.at")), lambda at: near(F.col("hits"), at) >= F.col("least")))
+    hits = stored.join(offsets, "term").select("doc", "item", (F.col("pos") - F.col("off")).alias("at"), "off", "least")
+    around = Window.partitionBy("doc", "item").orderBy("at").rangeBetween(-slop, slop)  # a few hits, however many the document has
+    near = hits.withColumn("_enough", F.size(F.collect_set("off").over(around)) >= F.col("least"))
+    near = near.withColumn("_near", F.max("_enough").over(around)).where("_near")
+    met = near.groupBy("doc", "item").agg(F.collect_list(F.struct("at", "off")).alias("hits")).join(items, "item")
     return cut(met.select("doc", F.struct("item", "hits", "tokens", "keys").alias("found"))), path
 
 
@@ -127,21 +129,26 @@ def _judge(hashes: np.ndarray, found: list[dict], length: int, slop: int, hit: n
     """Marks the words of one document that item windows cover; the items that occur, and those that are met within the slop alone."""
     exact, close = set(), set()
     for f in found:
-        tokens, at = np.array(f["tokens"], np.int64).view(U), np.array([h["at"] for h in f["hits"]])
-        off = np.array([h["off"] for h in f["hits"]])
-        width = min(length, len(tokens))
-        for d in np.unique(at).tolist():
-            if len(np.unique(off[at == d])) < min(map(len, f["keys"])):
-                continue
+        tokens, ways = np.array(f["tokens"], np.int64).view(U), [frozenset(k) for k in f["keys"]]
+        at, off = (np.array([h[n] for h in f["hits"]]) for n in ("at", "off"))
+        order = np.lexsort((off, at))
+        at, off = at[order], off[order].tolist()
+        width, least = min(length, len(tokens)), min(map(len, ways))
+        places, first = np.unique(at, return_index=True)
+        last = [*first[1:].tolist(), len(at)]
+        for d, a, b in zip(places.tolist(), first.tolist(), last, strict=True):
             lo, hi = max(0, d), min(len(hashes), d + len(tokens))
-            if hi - lo < width:
+            if hi - lo < width or len(set(off[a:b])) < least:
                 continue
             same = np.concatenate([[0], np.cumsum(hashes[lo:hi] == tokens[lo - d : hi - d])])
             for s in np.flatnonzero(same[width:] - same[:-width] == width).tolist():
                 hit[lo + s : lo + s + width] = True
                 exact.add(f["item"])
-        if f["item"] not in exact and any(set(off[abs(at - d) <= slop]) >= set(k) for d in np.unique(at).tolist() for k in f["keys"]):
-            close.add(f["item"])
+        if f["item"] not in exact:
+            spans = zip(np.searchsorted(at, places - slop).tolist(), np.searchsorted(at, places + slop, "right").tolist(), strict=True)
+            met = {frozenset(off[a:b]) for a, b in spans}
+            if any(k <= m for m in met if len(m) >= least for k in ways):
+                close.add(f["item"])
     return exact, close
 
 

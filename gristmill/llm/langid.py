@@ -138,25 +138,34 @@ def no_language(windows: list[bytes], seed: int = 42) -> list[bytes]:
     return out
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tuple[str, ...] = ("doc_id",), seed: int = 42, noise: bool = False) -> Network | None:
-    """A network of a bounded sample of labelled rows: of each language, however many there are, the rows with the smallest hash of their order columns
-    (SAMPLE_DOCS, or fewer if ALL_DOCS must do for all languages), and of each text SAMPLE_WINDOWS windows spread evenly over it. None if no
-    row has a label and a text.
-    With noise, it also learns texts of no language, as und."""
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tuple[str, ...] = ("doc_id",), seed: int = 42, noise: bool = False, docs_each: int = SAMPLE_DOCS, docs_all: int = ALL_DOCS, windows_each: int = SAMPLE_WINDOWS) -> Network | None:
+    """A network of a bounded sample of labelled rows, None if no row has a label and a text.
+
+    Of each language, however many there are, the rows with the smallest hash of their order columns and text are learned: docs_each, or fewer
+    if docs_all must do for all languages, but LEAST_DOCS at least; of each text windows_each windows, spread evenly over it. Rows may share
+    or lack an id; every language that has a row with a text has one in the sample. With noise, it also learns texts of no language, as und.
+    """
     rows = labelled.where(F.col(lang).isNotNull() & (F.octet_length(F.col(text)) > 0))
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).collect()}  # one row for each language
     if not counts:
         return None
-    wanted, place = list(counts), F.xxhash64(*order, F.lit(seed))
-    most = max(LEAST_DOCS, min(SAMPLE_DOCS, ALL_DOCS // len(counts)))
+    wanted, place = list(counts), F.xxhash64(*order, F.lit(seed), text)
+    most = max(LEAST_DOCS, min(docs_each, docs_all // len(counts)))
     # Only rows that can be among the smallest hashes are sorted: of a language with n rows, the share 4 * most / n of all hashes (all hashes, if that is more than 1).
     bound = labelled.sparkSession.createDataFrame([(name, -(2**63) + min(n, 4 * most) * (2**64 - 1) // n) for name, n in counts.items()], "_lang string, _bound long")
     n_windows = F.ceil(F.octet_length(text) / WINDOW)
     raw = F.col(text).cast("binary")
-    spread = F.transform(F.sequence(F.lit(0), F.least(F.lit(SAMPLE_WINDOWS), n_windows) - 1), lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(SAMPLE_WINDOWS), n_windows)) * WINDOW + 1).cast("int"), F.lit(WINDOW)))
+    spread = F.transform(F.sequence(F.lit(0), F.least(F.lit(windows_each), n_windows) - 1), lambda i: F.substring(raw, (F.floor(i * n_windows / F.least(F.lit(windows_each), n_windows)) * WINDOW + 1).cast("int"), F.lit(WINDOW)))
     near = rows.join(F.broadcast(bound), F.col(lang) == F.col("_lang")).where(place <= F.col("_bound"))  # as many rows as languages, counted above
-    picked = near.withColumn("_r", F.row_number().over(Window.partitionBy(lang).orderBy(place, *order))).where(F.col("_r") <= most)
-    got = picked.select(F.col(lang).alias("lang"), "_r", F.posexplode(spread).alias("_k", "w")).orderBy("lang", "_r", "_k").select("lang", "w").collect()
+    own = Window.partitionBy(lang).orderBy(place, *order, text)
+
+    def taken(some: DataFrame) -> list:
+        picked = some.withColumn("_r", F.row_number().over(own)).where(F.col("_r") <= most)
+        return picked.select(F.col(lang).alias("lang"), "_r", F.posexplode(spread).alias("_k", "w")).orderBy("lang", "_r", "_k").select("lang", "w").collect()
+
+    got = taken(near)
+    if lost := sorted(set(wanted) - {r["lang"] for r in got}):  # equal rows share a hash; a language made of few such groups may have none within its share
+        got += taken(rows.join(F.broadcast(labelled.sparkSession.createDataFrame([(x,) for x in lost], "_lang string")), F.col(lang) == F.col("_lang")))
     texts, names = [bytes(r["w"]) for r in got], [r["lang"] for r in got]
     if noise:
         extra = no_language(texts, seed)
@@ -170,6 +179,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: tupl
 def predict(docs: DataFrame, network: Network | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, lang_pred and score (0 to 1). Null texts and texts without a letter are und, with score 0; so are all if there is no network.
 
+    Each row is judged by its text alone: rows with null or shared ids, and repeated rows, are rows like others. Empty tables give no rows.
     Texts of any length: windows are made and applied a few thousand at a time, and only their sums are kept.
     """
     small_batches(docs.sparkSession)
@@ -217,7 +227,8 @@ def accepted(docs: DataFrame, least: float = 0.0, id: str = "doc_id", text: str
     """The rows of docs, with all their columns, whose language is told with at least that score; und goes.
 
     By default a text that mixes languages stays, however the score is divided. Null texts, texts without a letter, and texts that the network
-    takes for no language (und) with a score above junk go; without any labelled row there is no network, and all go.
+    takes for no language (und) with a score above junk go; without any labelled row there is no network, and all go. Rows
+    with null or shared ids and repeated rows are judged one by one; an empty table gives no rows.
     """
     columns = docs.columns
     flat = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)])

@@ -171,12 +171,13 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
     return narrow.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS, seed: int = 42) -> DataFrame:
+def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS, seed: int = 42, pieces: int = PIECES, piece: int = PIECE) -> DataFrame:
     """Per row: id, the labellers' votes, posterior (of being good, from the votes), score (of the trained scorer), keep (score of at least 0.5).
 
     Null texts and texts without words are bad (posterior by the first labeller's vote, score 0). Repeated rows come out repeated. If all
     documents of the sample fall on one side, the scorer learns that side. An empty table gives no rows. sample: the bound of the rows of
-    each side that the scorer is fitted on, those with the smallest hash of id and text; everything else covers all rows.
+    each side that the scorer is fitted on, those with the smallest hash of id and text; of a text longer than pieces * piece bytes it learns
+    that many pieces, spread evenly over it. Everything else covers all rows and whole texts.
     """
     spark = docs.sparkSession
     measured = cut(measures(docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text")), "_text", ("_id", "_h")).select("_id", "_h", *votes()))
@@ -193,8 +194,8 @@ def classify(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: in
     picked = cut(sides[0].unionByName(sides[1]))  # at most 2 * sample rows
     raw = F.col(text).cast("binary")
     size = F.octet_length(raw)
-    spread = F.concat(*[F.substring(raw, (F.floor((size - PIECE) * k / (PIECES - 1)) + 1).cast("int"), F.lit(PIECE)) for k in range(PIECES)])
-    named = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.when(size <= PIECES * PIECE, raw).otherwise(spread).alias("_text"))
+    spread = F.concat(*[F.substring(raw, (F.floor((size - piece) * k / max(1, pieces - 1)) + 1).cast("int"), F.lit(piece)) for k in range(pieces)])
+    named = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.when(size <= pieces * piece, raw).otherwise(spread).alias("_text"))
     got = named.join(F.broadcast(picked), named._id.eqNullSafe(picked._id) & named._h.eqNullSafe(picked._h)).select(named._id, "_text", "posterior").where("octet_length(_text) > 0").dropDuplicates(["_id", "_text"]).orderBy("_id", "_text").collect()
     weights, bias = train([bytes(r["_text"]) for r in got], np.array([r["posterior"] for r in got])) if got else (np.zeros(1 << BITS, np.float32), 0.0)
     scored = score(docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text")), weights, bias, "_text", ("_id", "_h")).withColumnsRenamed({"_id": "_i", "_h": "_t"})

@@ -48,13 +48,15 @@ def _line(text: str | None) -> str | None:
     return None if text is None else text.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def records(captures: DataFrame) -> DataFrame:
+def records(captures: DataFrame, per_file: int = 1 << 26) -> DataFrame:
     """Of captures (id long, no long, sha string, url string, body binary, first_id long, first_no long): the records, three for each, as record binary, a gzip member each.
 
-    first_id and first_no name the capture that this one revisits, or are null.
+    first_id and first_no name the capture that this one revisits, or are null. archive counts the archives of a task, from 0: a new one begins
+    once the records of the last one have so many bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive = filled = 0
         for batch in in_pieces(batches):
             ids, nos, shas, urls, bodies, first_ids, first_nos = (batch.column(k) for k in range(7))
             data, offsets = column_bytes(bodies)
@@ -72,9 +74,15 @@ def records(captures: DataFrame) -> DataFrame:
                 out.append(_record("request", _id("request", page, no, sha), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", main)], "application/http;msgtype=request", f"GET {uri or ''} HTTP/1.1\r\n\r\n".encode()))
                 about = "" if page is None else f"pageId: {page}\r\n"
                 out.append(_record("metadata", _id("metadata", page, no, sha), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", main)], "application/warc-fields", about.encode()))
-            yield pa.RecordBatch.from_arrays([pa.array([gzip.compress(r, 6, mtime=0) for r in out], pa.binary())], names=["record"])
+            members, archives = [gzip.compress(r, 6, mtime=0) for r in out], []
+            for member in members:
+                if filled >= per_file:
+                    archive, filled = archive + 1, 0
+                filled += len(member)
+                archives.append(archive)
+            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()), pa.array(archives, pa.int32())], names=["record", "archive"])
 
-    return captures.select("id", "no", "sha", "url", "body", "first_id", "first_no").mapInArrow(run, "record binary")
+    return captures.select("id", "no", "sha", "url", "body", "first_id", "first_no").mapInArrow(run, "record binary, archive int")
 
 
 def captures(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
@@ -95,12 +103,15 @@ def captures(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
 
 
 def write(pages: DataFrame, path: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0, per_file: int = 1 << 26) -> None:
-    """Writes the archives of all pages to a folder, in files of about so many bytes before they are compressed, a gzip member for each record."""
+    """Writes the archives of all pages to a folder (archive=0, 1, ...), a gzip member for each record.
+
+    A file is closed once it has so many bytes, so it has at most one record more, however pages of different sizes follow each other. An empty
+    table gives a folder without archives.
+    """
     small_batches(pages.sparkSession)
-    mean = pages.agg(F.avg(F.octet_length(html))).first()[0] or 0.0
-    raw = records(captures(pages, id, url, html, least))
-    most = max(3, 3 * int(per_file / (mean + 1500)))  # a capture is three records, with about 1500 bytes beside its payload
-    raw.select(F.col("record").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option("lineSep", BETWEEN.decode("latin-1")).option("maxRecordsPerFile", most).text(path)
+    raw = records(captures(pages, id, url, html, least), per_file)
+    lines = raw.select(F.col("record").cast("string").alias("value"), "archive").write.partitionBy("archive")
+    lines.option("encoding", "ISO-8859-1").option("lineSep", BETWEEN.decode("latin-1")).text(path)
 
 
 def _parse(archive: BinaryIO) -> Iterator[tuple]:
@@ -121,7 +132,7 @@ def _parse(archive: BinaryIO) -> Iterator[tuple]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives of a folder; body is the payload (of an HTTP record, what follows its head, which is in head).
+    """The records of all archives of a folder and those within it, whatever their names; body is the payload (of an HTTP record, what follows its head, which is in head).
 
     Spark hands a task the compressed files one by one; they are inflated and handed on record by record, so no archive is ever in memory as a
     whole. Archives may be gzipped by record, gzipped as a whole, or plain. Fields are found by name in any case; a record is as long as its
@@ -147,7 +158,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             if rows:
                 yield packed(rows)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").mapInArrow(run, RECORD)
 
 
 def assemble(found: DataFrame, columns: tuple[str, ...] = ("type", "uri", "refers_to", "payload_digest", "head", "body")) -> DataFrame:
