@@ -14,6 +14,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,24 +29,55 @@ LENGTH, END = 4096, 1
 MEMBERS = 4096
 #: White space that the tokenizer drops whatever stands around it; no merge and no normalisation reaches across it.
 WORD, SPACE = re.compile("[^\t\n\x0b\x0c\r ]+"), re.compile("[\t\n\x0b\x0c\r ]")
+#: Words of ASCII (no apostrophes) and Latin-1 letters, which normalisation only lower-cases, and the parts that the tokenizer cuts these into.
+PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
 PIECE = 1 << 20
 
 
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, word by word; ids of short words are kept, up to so many words."""
+    """Token ids of texts as little-endian unsigned 32-bit numbers, word by word. Ids of short words and of their parts are kept, up to so many of each."""
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, words: int = 600_000, parts: int = 900_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        listed = list(words)
-        found = dict(zip(listed, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(listed, add_special_tokens=False)), strict=True))
-        if len(self.known) + len(found) > self.most:
-            self.known = {}
-        self.known |= {w: ids for w, ids in found.items() if len(w) <= 64}
+        self.tokenizer, self.most, self.words, self.parts = Tokenizer.from_file(path), (words, parts), {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that end a part
+        self.last[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+
+    @classmethod
+    @lru_cache(2)
+    def of(cls, path: str) -> Ids:
+        """One for all tasks of a worker, so that what it knows serves the next task too."""
+        return cls(path)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _encoded_parts(self, parts: list[str]) -> list[bytes]:
+        """As _encoded, but as one text, which is cut after each token that ends a part."""
+        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(parts):  # a vocabulary without such tokens
+            return self._encoded(parts)
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        plain = {w: PARTS.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and "<|" not in w}
+        fresh = list({p for parts in plain.values() for p in parts}.difference(self.parts))
+        new = dict(zip(fresh, self._encoded_parts(fresh), strict=True)) if fresh else {}
+        known = self.parts
+        found = {w: b"".join([known[p] if p in known else new[p] for p in parts]) for w, parts in plain.items()}
+        odd = [w for w in words if w not in plain]
+        found |= zip(odd, self._encoded(odd), strict=True) if odd else {}
+        kept, limit = [self.words, self.parts], self.most
+        for k, more in enumerate((found, new)):
+            if len(kept[k]) + len(more) > limit[k]:
+                kept[k].clear()
+            kept[k].update((w, ids) for w, ids in more.items() if len(w) <= 64)
         return found
 
     def chunks(self, text: str) -> Iterator[bytes]:
@@ -54,10 +86,12 @@ class Ids:
         while at < len(text):
             edge = SPACE.search(text, at + PIECE)  # a chunk ends after a word
             end = edge.start() if edge else len(text)
-            words = WORD.findall(text, at, end)
-            known = self.known
-            new = self._learn(fresh) if (fresh := set(words).difference(known)) else {}
-            yield b"".join([known[w] if w in known else new[w] for w in words])
+            words, known = WORD.findall(text, at, end), self.words
+            fresh = set(words).difference(known)
+            if fresh:
+                here = {w: known[w] for w in set(words).difference(fresh)}  # what is kept may be cleared
+                known = here | self._learn(list(fresh))
+            yield b"".join(map(known.__getitem__, words))
             at = end
 
 
@@ -89,7 +123,7 @@ def pieces(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: s
             import public_tokenizers
 
             path = public_tokenizers.path(TOKENIZER)
-        ids = Ids(path)
+        ids = Ids.of(path)
         for batch in in_pieces(batches):
             rows: list[tuple[int, int, int, bytes]] = []
             size = 0
