@@ -67,8 +67,8 @@ def test_rows_that_share_an_id_are_spread(spark):
 def test_archives_by_record(spark, tmp_path):
     rows = [(k, f"http://x/{k}", "é" * k + "WARC/1.1\r\n\r\nWARC/1.1") for k in range(40)] + [(40, None, None), (41, "http://x/1", "z" * 3_000_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    warc.write(pages, str(tmp_path / "a"), per_file=40_000)
-    files = sorted((tmp_path / "a").glob("part-*"))
+    warc.write(pages, str(tmp_path / "a"), per_file=10_000)
+    files = sorted((tmp_path / "a").glob("archive=*/part-*"))
     assert len(files) > 1
     whole = b"".join(f.read_bytes() for f in files)
     assert whole.count(b"\x1f\x8b\x08\x00\x00\x00\x00\x00") >= 2 * 3 * len(rows)  # a member for each record, and an empty one after it
@@ -119,3 +119,39 @@ def test_pieces_of_batches():
     batch = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(["x" * 100_000 if k == 7 else "y" for k in range(5000)])], names=["a", "b"])
     parts = list(in_pieces([batch, batch.slice(0, 0)], 1000))
     assert [p.num_rows for p in parts] == [1000] * 5 and sum(p.num_rows for p in parts) == 5000
+
+
+def test_archives_are_cut_by_bytes_and_found_by_any_name(spark, tmp_path):
+    import random
+
+    noise = random.Random(1)
+    texts = [noise.randbytes(50_000 if k % 9 == 4 else 300).hex() for k in range(60)]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").withColumn("url", F.lit("http://x/")).coalesce(1)
+    warc.write(pages, str(tmp_path / "a"), per_file=30_000)
+    files = sorted((tmp_path / "a").glob("archive=*/part-*"))
+    assert len(files) >= 6 and max(f.stat().st_size for f in files) < 30_000 + 70_000  # one record more
+    (tmp_path / "b" / "deep").mkdir(parents=True)
+    (tmp_path / "b" / "CC-MAIN-0001.warc.gz").write_bytes(files[0].read_bytes())
+    (tmp_path / "b" / "deep" / "any.warc").write_bytes(gzip.decompress(files[1].read_bytes()))
+    n = [sum(1 for _ in warc._parse(io.BytesIO(gzip.decompress(f.read_bytes())))) for f in files]
+    assert warc.read(spark, str(tmp_path / "b")).count() == n[0] + n[1]
+    assert warc.read(spark, str(tmp_path / "a")).count() == 3 * len(texts)
+
+
+def test_every_language_is_learned_where_ids_are_null(spark):
+    one = {"en": "the house and the garden are old", "de": "das Haus und der Garten sind alt", "fr": "la maison et le jardin sont vieux"}
+    rows = [(None, f"{t} {k if lang == 'fr' else ''}", lang) for lang, t in one.items() for k in range(9000 if lang == "en" else 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    network = langid.fit(docs, docs_each=50)
+    assert network.languages == ["de", "en", "fr"]
+    found = langid.predict(docs.dropDuplicates(), network, keep=("lang",)).collect()
+    assert len(found) == 402 and all(r["lang"] == r["lang_pred"] for r in found)
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert langid.fit(docs) is None and langid.predict(docs, None).collect() == [] and langid.accepted(docs).collect() == []
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write(pages, str(tmp_path / "none"))
+    (tmp_path / "none").mkdir(exist_ok=True)
+    assert warc.resolved(warc.read(spark, str(tmp_path / "none"))).collect() == []
