@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,18 +32,217 @@ def siblings(edges: DataFrame) -> DataFrame:
     return edges.distinct().join(count, "dst").groupBy("src").agg(F.sum(F.col("children") - 1).alias("n_siblings"))
 
 
-def acyclic_part(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Splits edges into those that are on no path back and those that lie between cycles: nodes without an edge in or out are peeled, round by round.
+def _tarjan(edges: list[tuple]) -> dict:
+    """The least node of each node's strong component."""
+    out: dict = {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+        out.setdefault(b, [])
+    number, low, label, stack, on = {}, {}, {}, [], set()
+    for root in out:
+        if root in number:
+            continue
+        todo = [(root, iter(out[root]))]
+        number[root] = low[root] = len(number)
+        stack.append(root)
+        on.add(root)
+        while todo:
+            node, rest = todo[-1]
+            other = next(rest, None)
+            if other is None:
+                todo.pop()
+                if todo:
+                    low[todo[-1][0]] = min(low[todo[-1][0]], low[node])
+                if low[node] == number[node]:
+                    own = [stack.pop()]
+                    while own[-1] != node:
+                        own.append(stack.pop())
+                    on.difference_update(own)
+                    label.update(dict.fromkeys(own, min(own)))
+            elif other not in number:
+                number[other] = low[other] = len(number)
+                stack.append(other)
+                on.add(other)
+                todo.append((other, iter(out[other])))
+            elif other in on:
+                low[node] = min(low[node], number[other])
+    return label
+
+
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """Edges whose ends both have an edge in and an edge out."""
+    return edges.join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(edges.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
+
+
+def _chains(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes with one edge in and one out are passed over: node, head, tail (the first other nodes before and after it), the nodes of cycles that
+    have no other nodes (node, scc), and the edges between the other nodes. Each round doubles the steps taken, so a chain of n takes log2(n).
+    """
+    one = lambda by, of: edges.groupBy(by).agg(F.count("*").alias("n"), F.first(of).alias("v")).where("n = 1")
+    ends = one("src", "dst").select(F.col("src").alias("node"), F.col("v").alias("tail"))
+    found = cut(ends.join(one("dst", "src").select(F.col("dst").alias("node"), F.col("v").alias("head")), "node").withColumn("least", F.col("node")))
+    many = found.count()
+    for _ in range(many.bit_length() + 1):
+        ahead = found.select(F.col("node").alias("tail"), F.col("tail").alias("_t"), F.col("least").alias("_l"))
+        behind = found.select(F.col("node").alias("head"), F.col("head").alias("_h"))
+        met = found.join(ahead, "tail", "left").join(behind, "head", "left")
+        step = met.select("node", F.coalesce("_h", "head").alias("head"), F.coalesce("_t", "tail").alias("tail"), F.least("least", "_l").alias("least"), (F.col("_t").isNotNull() | F.col("_h").isNotNull()).alias("_moved"))
+        step = cut(step)
+        found = step.drop("_moved")
+        if step.where("_moved").isEmpty():
+            break
+    closed = found.join(found.select(F.col("node").alias("tail")), "tail", "left_semi")  # still among themselves: a cycle of such nodes alone
+    rings = closed.select("node", F.col("least").alias("scc"))
+    chains = found.join(closed.select("node"), "node", "left_anti").select("node", "head", "tail")
+    passed = found.select(F.col("node").alias("src"))
+    left = edges.join(passed, "src", "left_anti").join(chains.select(F.col("node").alias("dst"), "tail"), "dst", "left")
+    return chains, rings, left.select("src", F.coalesce("tail", "dst").alias("dst")).distinct()
+
+
+def _coloured(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node and scc of the strong components that one colouring finds, and the edges that may be in others.
 
-    Every round but the last removes an edge at both ends of each open path, so a chain of n edges takes n / 2 rounds.
+    Each node takes the greatest name that reaches it; whatever reaches the node of that name within its colour is its component.
     """
-    left = cut(edges.distinct())
+    colour = cut(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("c", F.col("node")))
     while True:
-        inner = cut(left.join(left.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
-        if inner.count() == left.count():
+        new = colour.withColumnRenamed("node", "src").join(edges, "src").select(F.col("dst").alias("node"), "c")
+        new = cut(colour.unionByName(new).groupBy("node").agg(F.max("c").alias("c")))
+        if new.exceptAll(colour).isEmpty():
             break
-        left = inner
-    return edges.distinct().join(left, ["src", "dst"], "left_anti"), left
+        colour = new
+    within = edges.join(colour.withColumnRenamed("node", "src"), "src").join(colour.select(F.col("node").alias("dst"), F.col("c").alias("c2")), "dst").where("c = c2")
+    within = cut(within.select("src", "dst"))
+    reached = cut(colour.where("node = c").select("node"))
+    while True:
+        new = cut(within.join(reached.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("src").alias("node")).unionByName(reached).distinct())
+        if new.count() == reached.count():
+            break
+        reached = new
+    found = reached.join(colour, "node")
+    least = found.groupBy("c").agg(F.min("node").alias("scc"))
+    left = within.join(reached.withColumnRenamed("node", "src"), "src", "left_anti").join(reached.withColumnRenamed("node", "dst"), "dst", "left_anti")
+    return found.join(least, "c").select("node", "scc"), cut(left.select("src", "dst"))
+
+
+def strong_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
+    """Of edges (src, dst): node, scc (the least node of its strong component) and cyclic (true only if the node is on a cycle, a loop included).
+
+    Nodes on no cycle are trimmed off where that is cheap, and chains are passed over by doubling, however long they are. What is left is
+    coloured until at most so many edges stay; these are one task's. Rounds of a colouring grow with the longest path between nodes that
+    neither step removes. Nulls in edges are ignored; an empty table gives no rows.
+    """
+    ship(edges.sparkSession)
+    edges = cut(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
+    kind = edges.schema["src"].dataType.simpleString()
+    left, labels, chained = edges.where("src <> dst"), [], []
+    size = left.count()
+
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        label = _tarjan(list(zip(frame.src, frame.dst)))
+        return pd.DataFrame({"node": list(label), "scc": list(label.values())})
+
+    while size > local:
+        before = size
+        left = cut(_trimmed(left))
+        chains, rings, rest = _chains(left)
+        chained.append(cut(chains))
+        labels.append(cut(rings))
+        left = cut(rest.where("src <> dst"))
+        size = left.count()
+        if local < size > 0.7 * before:
+            found, left = _coloured(left)
+            labels.append(cut(found))
+            size = left.count()
+    if size:
+        labels.append(cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, scc {kind}")))
+    known = reduce(DataFrame.unionByName, labels) if labels else edges.select(F.col("src").alias("node"), F.col("src").alias("scc")).limit(0)
+    known = cut(known.groupBy("node").agg(F.min("scc").alias("scc")))
+    for chains in reversed(chained):  # what a chain leads from and to is known by now; other nodes are alone
+        own = lambda c: known.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
+        met = chains.join(own("head"), "head", "left").join(own("tail"), "tail", "left")
+        met = met.where(F.coalesce("_head", "head") == F.coalesce("_tail", "tail")).select("node", F.coalesce("_head", "head").alias("scc"))
+        known = cut(known.unionByName(met))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    whole = nodes.join(known.withColumnRenamed("scc", "_scc"), "node", "left").select("node", F.coalesce("_scc", "node").alias("_scc"))
+    least = whole.groupBy("_scc").agg(F.min("node").alias("scc"), F.count("*").alias("n"))
+    loops = edges.where("src = dst").select(F.col("src").alias("node"), F.lit(True).alias("loop"))
+    return cut(whole.join(least, "_scc").join(loops, "node", "left").select("node", "scc", ((F.col("n") > 1) | F.coalesce("loop", F.lit(False))).alias("cyclic")))
+
+
+def levels(edges: DataFrame, local: int = 100_000) -> DataFrame:
+    """node, level, cyclic: the longest path, counted in strong components, that leads to each node's component; 0 where nothing comes before.
+
+    Nodes of one cycle share a level. Chains of components are passed over by doubling with the number of their steps, and waves go over what is
+    left, one for each component of its longest path, unless it has at most so many edges; these are one task's.
+    """
+    parts = strong_components(edges, local)
+    scc = lambda c: parts.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
+    above = edges.select("src", "dst").dropna().join(scc("src"), "src").join(scc("dst"), "dst").where("_src <> _dst").select(F.col("_src").alias("src"), F.col("_dst").alias("dst")).distinct()
+    above = cut(above.withColumn("far", F.lit(1).cast("long")))
+    chains, left = None, above
+    if above.count() > local:
+        inner, _, _ = _chains(above.select("src", "dst"))
+        # steps of a chain's nodes from its head: doubled over the edge before each
+        before = cut(inner.select("node").join(above.select(F.col("dst").alias("node"), F.col("src").alias("at")), "node").withColumn("steps", F.lit(1).cast("long")))
+        while True:
+            back = before.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"))
+            new = cut(before.join(back, "at", "left").select("node", F.coalesce("_at", "at").alias("at"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_at").isNotNull().alias("moved")))
+            before = new.drop("moved")
+            if new.where("moved").isEmpty():
+                break
+        chains = before.withColumnRenamed("at", "head")
+        ends = above.withColumnRenamed("src", "node").join(chains, "node").join(chains.select(F.col("node").alias("dst")), "dst", "left_anti")
+        direct = above.join(chains.select(F.col("node").alias("src")), "src", "left_anti").join(chains.select(F.col("node").alias("dst")), "dst", "left_anti")
+        left = cut(direct.unionByName(ends.select(F.col("head").alias("src"), "dst", (F.col("steps") + 1).alias("far"))).groupBy("src", "dst").agg(F.max("far").alias("far")))
+    kind = parts.schema["scc"].dataType.simpleString()
+    nodes = parts.select(F.col("scc").alias("node")).distinct()
+    if left.count() <= local:
+
+        def solve(frame: pd.DataFrame) -> pd.DataFrame:
+            out: dict = {}
+            for a, b, n in zip(frame.src, frame.dst, frame.far):
+                out.setdefault(a, []).append((b, n))
+            waiting = frame.groupby("dst").size().to_dict()
+            level = dict.fromkeys(set(frame.src) - set(waiting), 0)
+            todo = list(level)
+            for a in todo:
+                for b, n in out.get(a, ()):
+                    level[b] = max(level.get(b, 0), level[a] + n)
+                    waiting[b] -= 1
+                    if not waiting[b]:
+                        todo.append(b)
+            return pd.DataFrame({"node": list(level), "level": list(level.values())})
+
+        found = cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, level long"))
+    else:
+        found, wave = None, None
+        while True:  # a wave: nodes that no open edge leads to
+            open_ = left if found is None else left.join(found.select(F.col("node").alias("src")), "src", "left_anti")
+            done = left.select(F.col("src").alias("node")).unionByName(left.select(F.col("dst").alias("node"))).distinct().join(open_.select(F.col("dst").alias("node")).distinct(), "node", "left_anti")
+            if found is None:
+                new = done.withColumn("level", F.lit(0).cast("long"))
+            else:
+                fresh = done.join(found, "node", "left_anti")
+                new = left.join(fresh.withColumnRenamed("node", "dst"), "dst").join(found.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.max(F.col("level") + F.col("far")).alias("level"))
+            wave = cut(new)
+            if wave.isEmpty():
+                break
+            found = wave if found is None else cut(found.unionByName(wave))
+    known = found
+    if chains is not None:
+        inner = chains.join(known.withColumnRenamed("node", "head"), "head", "left").select("node", (F.coalesce("level", F.lit(0)) + F.col("steps")).alias("level"))
+        known = known.join(inner.select("node"), "node", "left_anti").unionByName(inner)
+    known = nodes.join(known, "node", "left").select(F.col("node").alias("scc"), F.coalesce("level", F.lit(0)).cast("long").alias("level"))
+    return parts.join(known, "scc").select("node", "level", "cyclic")
+
+
+def acyclic_part(edges: DataFrame, local: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """Splits edges into those that lie on no cycle and those that lie on one: both ends are in one strong component."""
+    parts = strong_components(edges, local)
+    scc = lambda c: parts.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
+    met = cut(edges.select("src", "dst").distinct().join(scc("src"), "src").join(scc("dst"), "dst"))
+    return met.where("_src <> _dst").select("src", "dst"), met.where("_src = _dst").select("src", "dst")
 
 
 def redirected(redirects: DataFrame) -> DataFrame:
@@ -110,25 +310,15 @@ def _found_cycles(edges: list[tuple[str, str]]) -> list[list[str]]:
 
 
 def _by_core(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The edges on no cycle, and the others (src, dst, core), where those that hang together share a core."""
-    ship(edges.sparkSession)  # for the search
-    free, left = acyclic_part(edges.select("src", "dst"))
-    label = cut(left.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("core", F.col("node")))
-    both = cut(left.unionByName(left.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    while True:  # the least name travels along edges, and from each node to the node whose name it bears
-        near = both.join(label.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("core").alias("c"))
-        low = label.unionByName(near.withColumnRenamed("c", "core")).groupBy("node").agg(F.min("core").alias("core"))
-        new = cut(low.join(low.select(F.col("node").alias("core"), F.col("core").alias("low")), "core", "left").select("node", F.least("core", "low").alias("core")))
-        if new.exceptAll(label).isEmpty():
-            return free, left.join(label.withColumnRenamed("node", "src"), "src")
-        label = new
+    """The edges on no cycle, and the others (src, dst, core) by strong component."""
+    free, left = acyclic_part(edges)
+    return free, left.join(strong_components(left).select(F.col("node").alias("src"), F.col("scc").alias("core")), "src")
 
 
 def cycles(edges: DataFrame) -> DataFrame:
-    """cycle (array of names, from its first node back to it): what a depth-first search of each cyclic core finds, from the core's least node on.
+    """cycle (array of names, from its first node back to it): what a depth-first search of each strong component finds, from its least node on.
 
-    Edges that lie on no cycle are peeled off first, and the rest falls into cores that have no edge between them; a core is searched whole, in
-    one task.
+    Edges between strong components lie on no cycle and are left out; a strong component is searched whole, in one task.
     """
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"cycle": _found_cycles(list(zip(frame.src, frame.dst)))})

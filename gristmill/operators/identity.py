@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import cosine
-from ..session import cut
+from .vectors import nearest_rows, resembling_earlier
+
+__all__ = ["nearest_rows", "resembling_earlier"]
 
 
 def resolve(df: DataFrame, known: DataFrame, id: str, strong: Sequence[str], weak: Sequence[str], strict: bool = False) -> DataFrame:
@@ -30,49 +30,9 @@ def resolve(df: DataFrame, known: DataFrame, id: str, strong: Sequence[str], wea
     return out.withColumns({"match": match, "_ids": ids}).withColumn("match_id", F.when(usable, F.get("_ids", F.lit(0)))).drop("_ids", *[f"_id{k}" for k in range(len(keys))])
 
 
-def nearest_rows(queries: DataFrame, known: DataFrame, id: str, vector: str, k: int, many: int = 512, rows: int = 8192, places: int = 9) -> DataFrame:
-    """Of each query row the k most similar known rows: id, nearest_id, similarity (cosine, rounded), rank from 1; ties to the smaller id.
-
-    A grid: queries are dealt over blocks of about so many, known rows over parts of about so many, and each block meets each part in a
-    group of bounded size as one matrix product, of which only the k best of each query are kept. Rows without a direction, and known rows of
-    another length, take no part. Meant for a batch of queries against what is there: the work is the product of both counts.
-    """
-    def blocks(df: DataFrame, size: int) -> tuple[DataFrame, int]:
-        sound = df.where(F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0)).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-        n = sound.count() // size + 1
-        return sound.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
-
-    (q, n_blocks), (w, n_parts) = blocks(queries, many), blocks(known, rows)
-    q = q.withColumnRenamed("at", "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
-    w = w.withColumnRenamed("at", "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-
-    def best(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        def by_length(t: pa.Table):
-            ids, vectors = t.column("id").to_numpy(), [np.asarray(v, np.float64) for v in t.column("v").to_pylist()]
-            for n in {len(v) for v in vectors}:
-                at = np.array([i for i, v in enumerate(vectors) if len(v) == n])
-                x = np.stack([vectors[i] for i in at])
-                order = np.argsort(ids[at])
-                yield n, ids[at][order], (x / np.linalg.norm(x, axis=1, keepdims=True))[order]
-
-        there = {n: (ids, x) for n, ids, x in by_length(right)}
-        found = []
-        for n, ids, x in by_length(left):
-            if n in there:
-                similar = np.round(x @ there[n][1].T, places)
-                top = np.argsort(-similar, axis=1, kind="stable")[:, :k]
-                found.append((np.repeat(ids, top.shape[1]), there[n][0][top].ravel(), np.take_along_axis(similar, top, axis=1).ravel()))
-        a, b, s = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"id": a, "nearest_id": b, "similarity": s})
-
-    met = q.groupBy("block", "part").cogroup(w.groupBy("block", "part")).applyInArrow(best, "id long, nearest_id long, similarity double")
-    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "nearest_id")).cast("long"))
-    return ranked.where(F.col("rank") <= k).withColumnRenamed("id", id)
-
-
-def nearest(queries: DataFrame, known: DataFrame, id: str, vector: str, many: int = 512, rows: int = 8192) -> DataFrame:
+def nearest(queries: DataFrame, known: DataFrame, id: str, vector: str, **index) -> DataFrame:
     """Of each query row its id, nearest_id and similarity, as nearest_rows has them; 0 and no nearest_id for a query without one."""
-    top = nearest_rows(queries, known, id, vector, 1, many, rows).drop("rank").withColumnRenamed(id, "_q")
+    top = nearest_rows(queries, known, id, vector, 1, **index).drop("rank").withColumnRenamed(id, "_q")
     return queries.select(id).join(top, F.col("_q") == F.col(id), "left").select(id, "nearest_id", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
@@ -119,56 +79,6 @@ def link(df: DataFrame, id: str, item: str, known: DataFrame, known_id: str, lev
     return found.select(F.col("_row").alias(id), item, F.coalesce(*hits).alias("id"), said(sures).alias("confidence"), F.coalesce(said(names), F.lit("none")).alias("method"))
 
 
-def resembling_earlier(df: DataFrame, id: str, vector: str, least: float, pivots: int = 64, block: int = 2048) -> DataFrame:
-    """The ids of rows that an earlier row (a smaller id) resembles: their cosine is greater than least. A row counts even if it is itself one of these.
-
-    Angles obey the triangle inequality. Each row is at home with its nearest pivot; whatever lies within the angle t of it is, to that pivot, at
-    most 2 t farther than to its own nearest one. So every row is also sent to the pivots that are at most 2 t farther than its nearest, and is
-    compared there with those at home. Homes are dealt over blocks, so a pivot that many rows are near is many tasks'. The fewer clusters the
-    vectors have, the more pivots a row is sent to. Rows without a direction take no part.
-    """
-    t = float(np.arccos(np.clip(least, -1, 1)))
-    good = df.where(F.exists(vector, lambda x: x != 0)).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    centres = [np.asarray(r[0], np.float64) for r in good.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]  # a bounded sample
-    if not centres:
-        return good.select(F.col("id").alias(id))
-    lengths = {len(c) for c in centres}
-
-    def near(batches):
-        for batch in batches:
-            ids, out = batch.column(0).to_numpy(), []
-            for k, v in enumerate(batch.column(1).to_pylist()):
-                v = np.asarray(v, np.float64)
-                angle = np.array([np.arccos(np.clip(v @ c / np.linalg.norm(v) / np.linalg.norm(c), -1, 1)) if len(c) == len(v) else np.inf for c in centres])
-                angle = angle if len(v) in lengths else np.zeros(1)
-                home = int(angle.argmin())
-                out += [(k, p, p == home) for p in np.flatnonzero(angle <= angle[home] + 2 * t + 1e-9).tolist()]
-            at = pa.array([o[0] for o in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids).take(at), batch.column(1).take(at), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.bool_())], names=["id", "v", "pivot", "home"])
-
-    sent = cut(good.mapInArrow(near, "id long, v array<double>, pivot int, home boolean"))
-    at_home = sent.where("home")
-    sizes = at_home.groupBy("pivot").agg((F.floor(F.count("*") / block) + 1).cast("int").alias("n"))  # at most `pivots` rows
-    mine = at_home.join(F.broadcast(sizes), "pivot").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).select("pivot", "block", "id", "v")
-    every = sent.join(F.broadcast(sizes), "pivot").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(F.col("pivot").alias("p"), F.col("block").alias("b"), F.col("id").alias("other"), F.col("v").alias("w"))
-
-    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        ids, vs = left.column("id").to_numpy(), [np.asarray(v, np.float64) for v in left.column("v").to_pylist()]
-        others, ws = right.column("other").to_numpy(), [np.asarray(v, np.float64) for v in right.column("w").to_pylist()]
-        for n in {len(v) for v in vs}:
-            a, b = np.array([k for k, v in enumerate(vs) if len(v) == n]), np.array([k for k, w in enumerate(ws) if len(w) == n])
-            x, y = (np.stack([z[k] for k in at]) for z, at in ((vs, a), (ws, b)))
-            x, y = x / np.linalg.norm(x, axis=1, keepdims=True), y / np.linalg.norm(y, axis=1, keepdims=True)
-            for s in range(0, len(b), 2048):
-                like = (x @ y[s : s + 2048].T > least) & (others[b][None, s : s + 2048] < ids[a][:, None])
-                found.append(ids[a][like.any(axis=1)])
-        return pa.table({"id": np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)})
-
-    met = mine.groupBy("pivot", "block").cogroup(every.groupBy("p", "b")).applyInArrow(compare, "id long")
-    return met.distinct().select(F.col("id").alias(id))
-
-
 def filled_in(commands: DataFrame, outputs: DataFrame, group: str, order: str, command: str, value: str) -> DataFrame:
     """Commands in which {stepN.value} stands for the output of step N of their group, if it is an earlier one; adds unresolved (how many stay).
 

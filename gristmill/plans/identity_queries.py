@@ -94,6 +94,23 @@ def edge_dag_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return free.withColumn("cyclic", F.lit(False)).unionByName(cyclic.withColumn("cyclic", F.lit(True))).select("src", "dst", "cyclic")
 
 
+@query("""
+with recursive e as (select p_partkey as src, p_partkey // 2 as dst from part where p_partkey > 0 union select p_partkey, p_partkey * 5 // 7 from part where p_partkey > 0 union select p_partkey, (p_partkey * 3 + 1) % 20 from part where p_partkey % 20 < 9),
+r as (select src as a, dst as b from e where src < 20 union select a, dst from r join e on src = b),
+nodes as (select src as node from e union select dst from e),
+s as (select node, least(node, coalesce((select min(x.b) from r x join r y on x.a = node and y.a = x.b and y.b = node), node)) as scc, exists (select 1 from r where a = node and b = node) as cyclic from nodes),
+c as (select distinct x.scc as src, y.scc as dst from e join s x on x.node = e.src join s y on y.node = e.dst where x.scc <> y.scc),
+l as (select scc as node, 0::bigint as level from s where scc not in (select dst from c) union select c.dst, level + 1 from l join c on c.src = l.node)
+select s.node, max(level) as level, any_value(cyclic) as cyclic from s join l on l.node = s.scc group by 1
+""")
+def task_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks by the longest path of dependencies that leads to them, tasks on a cycle as one; cyclic is true on a cycle alone."""
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("src"))
+    down = p.where("src > 0").select("src", F.explode(F.array(F.floor(F.col("src") / 2), F.floor(F.col("src") * 5 / 7))).alias("dst"))
+    round_ = p.where("src % 20 < 9").select("src", ((F.col("src") * 3 + 1) % 20).alias("dst"))
+    return graph.levels(down.unionByName(round_))
+
+
 @query("""
 select p_partkey, concat_ws(';', case when p_size is null then 'p_size missing' when p_size < 3 then 'p_size below 3' when p_size > 40 then 'p_size above 40' end,
   case when p_retailprice is null then 'WARN: p_retailprice missing' when p_retailprice < 950 then 'WARN: p_retailprice below 950' end) as issues, coalesce(p_size between 3 and 40, false) as ok from part

@@ -137,8 +137,8 @@ def edge_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.stubs(_edges(spark, sf_dir).where("type <> 'HAS_CULINARY_ROLE'"), known, "id")
 
 
-#: One edge out of each supplier: tails lead into cycles. Names have different lengths, which decides where a cycle is cut.
-_NEXT = "(s_suppkey * s_suppkey + 1) % (select count(*) from supplier)"
+#: One edge out of each supplier: tails lead into cycles of several lengths, loops among them. Names have different lengths, which decides where a cycle is cut.
+_NEXT = "(s_suppkey // 3 * 7 + s_suppkey % 3) % (select count(*) from supplier)"
 _CYCLES = f"""
 with recursive f as (select s_suppkey as a, {_NEXT} as b from supplier), w as (select a as root, b as here, 1 as n, ['s' || a] as path from f union all select root, f.b, n + 1, list_append(path, 's' || f.a) from w join f on f.a = w.here where w.here <> w.root and n <= 400),
 c as (select root, n, path from w where here = root), least as (select * from c x where not exists (select 1 from c y where list_contains(x.path, 's' || y.root) and 's' || y.root < 's' || x.root))
@@ -149,7 +149,7 @@ def _pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
     n = s.count()
     name = lambda c: F.concat(F.lit("s"), c.cast("string"))
-    return s.select(name(F.col("s_suppkey")).alias("src"), name((F.col("s_suppkey") * F.col("s_suppkey") + 1) % n).alias("dst"))
+    return s.select(name(F.col("s_suppkey")).alias("src"), name((F.floor(F.col("s_suppkey") / 3) * 7 + F.col("s_suppkey") % 3) % n).alias("dst"))
 
 
 @query(_CYCLES + "select array_to_string(list_append(path, path[1]), '>') as cycle, n::bigint as length from least")

@@ -120,7 +120,7 @@ def test_resembling_earlier(spark):
     unit = v / np.linalg.norm(v, axis=1, keepdims=True)
     want = sorted(j for j in range(len(v)) if (unit[:j] @ unit[j] > 0.9).any())
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    assert sorted(r.id for r in identity.resembling_earlier(df, "id", "v", 0.9, pivots=10, block=25).collect()) == want and 0 < len(want) < len(v)
+    assert sorted(r.id for r in identity.resembling_earlier(df, "id", "v", 0.9, leaves=10, rows=25).collect()) == want and 0 < len(want) < len(v)
     assert identity.resembling_earlier(df.limit(0), "id", "v", 0.9).count() == 0
 
 

@@ -178,7 +178,7 @@ def test_resolve(spark):
 def test_nearest_blocks(spark):
     known = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, [1.0, 0.0, 0.0]), (5, None)], "id long, v array<double>")
     new = spark.createDataFrame([(10, [3.0, 0.0]), (11, [0.1, 1.0]), (12, None), (13, [0.0, 0.0]), (14, [1.0]), (15, [0.0, 1.0, 0.0])], "id long, v array<double>")
-    got = {r.id: (r.nearest_id, round(r.similarity, 4)) for r in identity.nearest(new, known, "id", "v", many=2, rows=2).collect()}
+    got = {r.id: (r.nearest_id, round(r.similarity, 4)) for r in identity.nearest(new, known, "id", "v", leaves=2, rows=2).collect()}
     assert got == {10: (1, 1.0), 11: (3, 0.995), 12: (None, 0.0), 13: (None, 0.0), 14: (None, 0.0), 15: (4, 0.0)}
     assert {r.nearest_id for r in identity.nearest(new, known.limit(0), "id", "v").collect()} == {None}
 
