@@ -259,6 +259,84 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.run_once(spark, f"{sf_dir}/events.parquet", plan, "complete")
 
 
+_ARRIVES = "epoch(ts)::bigint // 259200 + (event_id % 11 = 0)::int * 2"  # every third day a batch; some events come two batches late
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> str:
+    day = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 259200)
+    return streams.arranged(read(spark, sf_dir, "events").withColumn("_arrives", day + F.when(F.col("event_id") % 11 == 0, 2).otherwise(0)), "_arrives")
+
+
+@query("""
+with w as (select date_trunc('millisecond', max(ts)) - interval 1 hour as w from events),
+e as (select user_id, event_type, ts, coalesce(lead(ts) over (partition by user_id order by ts), w) as until, lag(event_type) over (partition by user_id order by ts) as before, lag(ts) over (partition by user_id order by ts) as prior from events, w),
+due as (select user_id, case when k <= 3 then 'nudge' else 'failed' end as kind, least(k, 3) as n, ts + k * interval 6 hour as "at" from e, (select unnest([1, 2, 3, 4]) as k) where event_type <> 'purchase' and ts + k * interval 6 hour <= until)
+select user_id, kind, n::integer as n, "at" from due union all select user_id, 'done', 0, ts from e where event_type = 'purchase' and before <> 'purchase' and ts < prior + interval 24 hour
+""")
+def stream_reminders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users who haven't purchased are nudged after six hours without an event, three times at most, and then fail; timers of event time, no new event is needed."""
+    made = streams.run_once(spark, f"{sf_dir}/events.parquet", lambda e: streams.reminders(e, "user_id", "event_type", "purchase", "6 hours"))
+    return made.withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query("""
+with w as (select date_trunc('millisecond', max(ts)) - interval 1 hour as w from events where event_type in ('view', 'purchase')),
+x as (select *, lead(ts) over (partition by user_id order by ts) as following, lead(event_type) over (partition by user_id order by ts) as next_type, lag(ts) over (partition by user_id order by ts) as prior, lag(event_type) over (partition by user_id order by ts) as before from events where event_type in ('view', 'purchase'))
+select user_id, 'granted' as kind, ts as "at" from x where event_type = 'view'
+union all select user_id, 'expired', ts + interval 2 hour from x, w where event_type = 'view' and ts + interval 2 hour <= coalesce(following, w)
+union all select user_id, 'released', ts from x where event_type = 'purchase' and before = 'view' and ts < prior + interval 2 hour
+""")
+def stream_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view takes or renews a user's own place for two hours, a purchase gives it back; places fall free when their time is over."""
+    plan = lambda e: streams.leases(e.where("event_type in ('view', 'purchase')"), "user_id", "user_id", "event_type", "view", "2 hours", 1)
+    made = streams.run_once(spark, f"{sf_dir}/events.parquet", plan)
+    return made.select("user_id", "kind", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+@query(f"""
+with b as (select *, {_ARRIVES} as arrives from events), m as (select arrives, max(ts) as top from b group by 1),
+t as (select b.*, (select max(top) from m where m.arrives < b.arrives) - interval 1 day as mark from b)
+select event_id, coalesce(ts < mark, false) as late from t
+""")
+def stream_late_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come a day or more behind those before their trigger are set aside, and the others go on."""
+    in_time, late = streams.split_late(spark, _arrivals(spark, sf_dir), "1 day")
+    return in_time.select("event_id", F.lit(False).alias("late")).unionByName(late.select("event_id", F.lit(True).alias("late")))
+
+
+@query(f"""
+with b as (select *, dense_rank() over (order by {_ARRIVES}) as arrives from events), m as (select arrives, date_trunc('millisecond', max(ts)) as top from b group by 1),
+t as (select b.*, (select max(top) from m where m.arrives < b.arrives - 1) - interval 1 day as mark from b),
+s as (select event_type, time_bucket(interval 6 hour, ts) - k * interval 6 hour as start, mark from t, (select unnest([0, 1]) as k))
+select event_type, start, count(*) as n from s where coalesce(start + interval 12 hour > mark, true) and start + interval 12 hour <= (select max(top) from m) - interval 1 day group by 1, 2
+""")
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of twelve hours, one every six, each given once when the watermark has passed it; events that come later for it are dropped."""
+    made = streams.run_once(spark, _arrivals(spark, sf_dir), lambda e: streams.windowed(e, ["event_type"], "12 hours", "6 hours"), files_per_trigger=1)
+    return made.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("""
+with top as (select max(ts) - interval 8 hour as w from events), v as (select event_id, user_id, ts from events where event_type = 'view'), p as (select user_id, ts from events where event_type = 'purchase')
+select v.event_id, min(p.ts) as answered, count(p.ts) = 0 as expired from v left join p on p.user_id = v.user_id and p.ts >= v.ts and p.ts <= v.ts + interval 4 hour where v.ts < (select w from top) group by 1
+""")
+def stream_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views as tasks and purchases as their results, as two streams: a view with no purchase within four hours comes out as expired."""
+    def plan(e: DataFrame) -> DataFrame:
+        of = lambda kind, *columns: e.where(F.col("event_type") == kind).select(*columns)
+        return streams.matched(of("view", "event_id", "user_id", "ts"), of("purchase", "user_id", "ts"), "user_id", "4 hours")
+
+    made = streams.run_once(spark, _arrivals_in_order(spark, sf_dir), plan, files_per_trigger=1)
+    top = read(spark, sf_dir, "events").agg((F.max("ts") - F.expr("interval 8 hours")).alias("w"))  # one row; later tasks may still be open
+    settled = made.withColumn("ts", F.col("ts").cast("timestamp_ntz")).join(F.broadcast(top), F.col("ts") < F.col("w"))
+    return settled.groupBy("event_id").agg(F.min("result_ts").cast("timestamp_ntz").alias("answered"), (F.count("result_ts") == 0).alias("expired"))
+
+
+def _arrivals_in_order(spark: SparkSession, sf_dir: str) -> str:
+    week = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 604800)
+    return streams.arranged(read(spark, sf_dir, "events").withColumn("_arrives", week), "_arrives")
+
+
 @query(r"""
 select doc_id, len(regexp_extract_all(text, '[0-9A-Za-z_]+')) as n_words, len(regexp_extract_all(text, '[\x{4e00}-\x{9fff}]')) as n_cjk, left(sha256(source || ':' || doc_id || ':' || left(text, 80)), 16) as hash_id from documents where text is not null and source is not null
 """)

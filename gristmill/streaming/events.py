@@ -7,13 +7,16 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState
 
+from ..session import ship
+
 
 def source(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
     """A stream of Parquet event files; ts is read as an instant in the session's zone, so that it can have a watermark."""
-    schema = spark.read.parquet(path).schema
+    schema = spark.read.parquet(f"{path}*").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{path}*")  # a pattern, as a stream takes no single file
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -32,16 +35,21 @@ def _append(spark: SparkSession, stream: DataFrame, out: str, state: str, mode:
         # A batch that is tried again writes the same folder again, so no row is there twice.
         batch.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    name, kept = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # timers need it
+    try:
+        stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    finally:
+        spark.conf.set(name, kept)
 
 
-def run_once(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+def run_once(spark: SparkSession, path: str, plan: Callable[[DataFrame], DataFrame], mode: str = "append", files_per_trigger: int = 100) -> DataFrame:
     """Runs a plan over all files that are there, and returns the result as a batch table in the shared folder."""
     shared = _shared(spark)
     name = uuid.uuid4().hex
     out = f"{shared}/stream-{name}"
 
-    stream = plan(source(spark, path))
+    stream = plan(source(spark, path, files_per_trigger))
     _append(spark, stream, out, f"{shared}/state-{name}", mode)
     return spark.read.schema(stream.schema).parquet(out if mode == "complete" else f"{out}/batch=*")
 
@@ -78,3 +86,178 @@ def tasks(stream: DataFrame, key: str, event: str, order: list[str], begins: str
         yield pd.DataFrame({key: [found[0]], "state": [status], "attempts": [attempts], "seen": [seen + len(rows)]})
 
     return narrow.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, state string, attempts long, seen long", "state string, attempts long, seen long", "update", "NoTimeout")
+
+
+def arranged(df: DataFrame, arrives: str) -> str:
+    """A folder in which each value of a column (a few whole numbers) is files of its own, written in order; returns the start of their paths, for source()."""
+    folder = f"{_shared(df.sparkSession)}/arrivals-{uuid.uuid4().hex}"
+    kept = df.select("*").persist()
+    for k, row in enumerate(kept.select(arrives).distinct().orderBy(arrives).collect()):
+        kept.where(F.col(arrives) == row[0]).drop(arrives).coalesce(1).write.parquet(f"{folder}/b{k:06d}")
+    kept.unpersist()
+    return f"{folder}/b"
+
+
+class Reminders(StatefulProcessor):
+    """Keeps, for each key, when its open task was last heard of and how many nudges it has had; see reminders()."""
+
+    def __init__(self, event: str, ends: str, every_us: int, most: int) -> None:
+        self.event, self.ends, self.every, self.most = event, ends, every_us, most
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("open", "heard long, nudges int")
+
+    def _due(self, key: tuple, now_us: int) -> Iterator[Row]:
+        """What falls due up to now: nudges, and after the last one the failure, which closes the task."""
+        while self.state.exists():
+            heard, nudges = self.state.get()
+            at = heard + (nudges + 1) * self.every
+            if at > now_us:
+                return
+            if nudges == self.most:
+                self.state.clear()
+                yield Row(key=key[0], kind="failed", n=nudges, at=at)
+            else:
+                self.state.update((heard, nudges + 1))
+                yield Row(key=key[0], kind="nudge", n=nudges + 1, at=at)
+
+    def _set_timer(self) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if self.state.exists():
+            heard, nudges = self.state.get()
+            self.handle.registerTimer((heard + (nudges + 1) * self.every + 999) // 1000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for us, what in sorted((r["us"], r[self.event]) for r in rows):
+            yield from self._due(key, us)
+            if what == self.ends:
+                if self.state.exists():
+                    self.state.clear()
+                    yield Row(key=key[0], kind="done", n=0, at=us)
+            else:
+                self.state.update((us, 0))
+        yield from self._due(key, 1000 * timerValues.getCurrentWatermarkInMs())
+        self._set_timer()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._due(key, 1000 * timerValues.getCurrentWatermarkInMs())
+        self._set_timer()
+
+    def close(self) -> None:
+        pass
+
+
+def reminders(stream: DataFrame, key: str, event: str, ends: str, every: str, most: int = 3, late: str = "1 hour") -> DataFrame:
+    """key, kind (nudge, failed or done), n, at: an open task that isn't heard of for so long is nudged, again after the same time, and fails after so many nudges.
+
+    Any event opens its key's task or counts as a sign of it, but for one that ends it. What falls due does so by event time, without a new
+    event of its key: timers go off once the watermark passes them, and only open tasks have state. A key's events of one trigger are put in
+    order together; events behind the watermark are dropped.
+    """
+    ship(stream.sparkSession)
+    every_us = int(pd.Timedelta(every).total_seconds() * 1_000_000)
+    narrow = stream.withWatermark("ts", late).select(F.col(key).alias("key"), event, "ts", F.unix_micros("ts").alias("us"))
+    kind = narrow.schema["key"].dataType.simpleString()
+    made = narrow.groupBy("key").transformWithState(Reminders(event, ends, every_us, most), f"key {kind}, kind string, n int, at long", "Append", "EventTime")
+    return made.select(F.col("key").alias(key), "kind", "n", F.timestamp_micros("at").alias("at"))
+
+
+class Slots(StatefulProcessor):
+    """Who holds a place of each resource, until when; see leases()."""
+
+    def __init__(self, holder: str, takes: str, event: str, ttl_us: int, places: int) -> None:
+        self.holder, self.takes, self.event, self.ttl, self.places = holder, takes, event, ttl_us, places
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getMapState("held", "holder string", "until long")
+
+    def _expired(self, key: tuple, now_us: int) -> Iterator[Row]:
+        for until, (name,) in sorted((v[0], k) for k, v in list(self.state.iterator())):
+            if until <= now_us:
+                self.state.removeKey((name,))
+                yield Row(key=key[0], holder=name, kind="expired", at=until)
+
+    def _set_timer(self) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        ends = [v[0] for v in self.state.values()] if self.state.exists() else []
+        if ends:
+            self.handle.registerTimer((min(ends) + 999) // 1000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for us, name, what in sorted((r["us"], str(r[self.holder]), r[self.event]) for r in rows):
+            yield from self._expired(key, us)
+            if what != self.takes:
+                if self.state.containsKey((name,)):
+                    self.state.removeKey((name,))
+                    yield Row(key=key[0], holder=name, kind="released", at=us)
+            elif self.state.containsKey((name,)) or len(list(self.state.keys())) < self.places:
+                self.state.updateValue((name,), (us + self.ttl,))
+                yield Row(key=key[0], holder=name, kind="granted", at=us)
+            else:
+                yield Row(key=key[0], holder=name, kind="refused", at=us)
+        yield from self._expired(key, 1000 * timerValues.getCurrentWatermarkInMs())
+        self._set_timer()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._expired(key, 1000 * timerValues.getCurrentWatermarkInMs())
+        self._set_timer()
+
+    def close(self) -> None:
+        pass
+
+
+def leases(stream: DataFrame, resource: str, holder: str, event: str, takes: str, ttl: str, places: int, late: str = "1 hour") -> DataFrame:
+    """resource, holder, kind (granted, refused, released or expired), at: each resource has so many places, held for so long unless asked for again or released.
+
+    A place falls free by event time, without a new event of its resource, once the watermark passes its end.
+    """
+    ship(stream.sparkSession)
+    ttl_us = int(pd.Timedelta(ttl).total_seconds() * 1_000_000)
+    narrow = stream.withWatermark("ts", late).select(F.col(resource).alias("key"), holder, event, "ts", F.unix_micros("ts").alias("us"))
+    kind = narrow.schema["key"].dataType.simpleString()
+    made = narrow.groupBy("key").transformWithState(Slots(holder, takes, event, ttl_us, places), f"key {kind}, holder string, kind string, at long", "Append", "EventTime")
+    return made.select(F.col("key").alias(resource), "holder", "kind", F.timestamp_micros("at").alias("at"))
+
+
+def matched(tasks: DataFrame, results: DataFrame, key: str, within: str, late: str = "1 hour") -> DataFrame:
+    """Two streams (key, ts and columns of their own) joined: each task with each result of its key that comes so soon after it, or alone once none can come any more.
+
+    Both have watermarks; state older than these allow is dropped.
+    """
+    left = tasks.withWatermark("ts", late).alias("t")
+    right = results.withColumnRenamed(key, "_key").withColumnRenamed("ts", "result_ts").withWatermark("result_ts", late)
+    soon = F.expr(f"_key = {key} and result_ts >= ts and result_ts <= ts + interval {within}")
+    return left.join(right, soon, "left_outer").drop("_key")
+
+
+def windowed(stream: DataFrame, keys: list[str], width: str, slide: str | None = None, late: str = "1 day") -> DataFrame:
+    """keys, start, n: events by tumbling or sliding windows, each given once, when the watermark has passed its end; events of windows given in triggers before are dropped."""
+    window = F.window("ts", width, slide).alias("w")
+    counted = stream.withWatermark("ts", late).groupBy(*keys, window).agg(F.count("*").alias("n"))
+    return counted.select(*keys, F.col("w.start").alias("start"), "n")
+
+
+def split_late(spark: SparkSession, path: str, late: str, files_per_trigger: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The events of a stream that were in time, and those that were late: behind the latest event of all triggers before theirs by more than so much.
+
+    Each trigger writes both parts and its latest time into folders of its number, so one that is tried again writes the same again.
+    """
+    folder = f"{_shared(spark)}/split-{uuid.uuid4().hex}"
+    stream = source(spark, path, files_per_trigger)
+    marks = spark.createDataFrame([], "at timestamp, batch int")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        seen = spark.read.schema("at timestamp, batch int").parquet(f"{folder}/marks") if number else marks
+        before = seen.where(F.col("batch") < number).agg(F.max("at").alias("_before"))  # one row
+        behind = F.coalesce(F.col("ts") < F.col("_before") - F.expr(f"interval {late}"), F.lit(False))
+        told = batch.join(F.broadcast(before), F.lit(True)).withColumn("late", behind.cast("int")).drop("_before")
+        told.write.mode("overwrite").partitionBy("late").parquet(f"{folder}/rows/batch={number}")
+        batch.agg(F.max("ts").alias("at")).write.mode("overwrite").parquet(f"{folder}/marks/batch={number}")
+
+    stream.writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    rows = spark.read.parquet(f"{folder}/rows").drop("batch")
+    return rows.where("late = 0").drop("late"), rows.where("late = 1").drop("late")
