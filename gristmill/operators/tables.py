@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut
+from ..session import cut, ship
 
 
 def first_rule(rules: Sequence[tuple[Column, str]], otherwise: str | None = None) -> Column:
@@ -107,26 +110,116 @@ def conflicts(df: DataFrame, id: str, keys: Sequence[str]) -> DataFrame:
 
 
 def in_interval(points: DataFrame, point: str, intervals: DataFrame) -> DataFrame:
-    """Each point with the last (by ord) of the intervals (start, end, name, ord) that hold it, or none.
+    """Each point with the last (by ord, then by name) of the intervals (start, end, name, ord) that hold it, their ends included, or none.
 
-    Intervals are first cut into segments that don't overlap, each with the last interval there; a point is then in one segment at most. A
-    small table of segments is sent to the points; a larger one is met by equality of cells (the segments' starts, found by a sorted sweep
-    over ranges of both), so that points are moved once.
+    Starts, points and ends are sorted together into ranges, and each range is swept by itself. An interval is carried into the range where it
+    ends; of those that span a range whole only the last counts, found over the dyadic blocks of ranges that intervals cover. So intervals and
+    points are moved a fixed number of times, however many intervals hold a point. Numbers may have fractions. Equal points may lie in several
+    ranges. Intervals with a null bound, or that end before they start, hold nothing; a null point has none.
     """
-    edges = intervals.select(F.explode(F.array("start", F.col("end") + 1)).alias("from")).distinct()
-    cuts = edges.withColumn("to", F.lead("from").over(Window.orderBy("from"))).where("to is not null")  # interval ends alone meet in one task
-    over = cuts.join(small(intervals), (F.col("from") >= F.col("start")) & (F.col("from") <= F.col("end")))
-    segments = cut(over.groupBy("from", "to").agg(F.max_by("name", "ord").alias("name")))
-    if segments.limit(10_001).count() <= 10_000:
-        return points.join(F.broadcast(segments), (F.col(point) >= F.col("from")) & (F.col(point) < F.col("to")), "left").drop("from", "to")
-    both = points.withColumns({"_at": F.col(point).cast("long"), "_kind": F.lit(1), "_seg": F.lit(None).cast("struct<to:bigint,name:string>")})
-    marks = segments.select(F.col("from").cast("long").alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col("to").cast("long").alias("to"), "name").alias("_seg"))
-    ranged = cut(both.unionByName(marks, allowMissingColumns=True).repartitionByRange("_at", "_kind").withColumn("_range", F.spark_partition_id()))
-    last = ranged.groupBy("_range").agg(F.max_by("_seg", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))
-    carried = last.withColumn("_carried", F.last("_last", True).over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))).select("_range", "_carried")  # a row for each range
-    sweep = Window.partitionBy("_range").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    swept = ranged.withColumn("_begun", F.last("_seg", True).over(sweep)).where("_kind = 1").join(carried, "_range").withColumn("_s", F.coalesce("_begun", "_carried"))
-    return swept.select(*points.columns, F.when(F.col("_at") < F.col("_s.to"), F.col("_s.name")).alias("name"))
+    ship(points.sparkSession)
+    spans = intervals.select("start", "end", "name", "ord").where("start <= end")
+    spans = cut(spans.withColumn("_no", F.monotonically_increasing_id()))
+    columns = [f"_c{k}" for k in range(len(points.columns))]
+    flat = points.toDF(*columns).withColumns({"_kind": F.lit(1), "_at": F.col(columns[points.columns.index(point)]), "_salt": F.monotonically_increasing_id()})
+    mark = lambda at, kind: spans.select(F.col(at).alias("_at"), F.lit(kind).alias("_kind"), "_no", F.col("_no").alias("_salt"))
+    both = flat.unionByName(mark("start", 0), allowMissingColumns=True).unionByName(mark("end", 2), allowMissingColumns=True)
+    ranged = cut(both.repartitionByRange("_at", "_kind", "_salt").withColumn("_range", F.spark_partition_id()))
+    found = ranged.where("_no is not null").groupBy("_no").agg(F.min(F.when(F.col("_kind") == 0, F.col("_range"))).alias("_from"), F.min(F.when(F.col("_kind") == 2, F.col("_range"))).alias("_to"))
+    placed = cut(spans.join(found, "_no"))
+    last = ranged.agg(F.max("_range")).first()[0] or 0
+    depth = range(last.bit_length() + 1)
+    blocks = placed.where("_to - _from > 1").select("ord", "name", F.explode(_blocks(F.col("_from") + 1, F.col("_to"), depth)).alias("_b")).groupBy("_b.level", "_b.block").agg(F.max(F.struct("ord", "name")).alias("_top"))
+    every = points.sparkSession.range(last + 1).select(F.col("id").cast("int").alias("_range"), F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.col("id"), k).cast("int").alias("block")) for k in depth])).alias("_b"))
+    over = every.select("_range", "_b.*").join(blocks, ["level", "block"]).groupBy("_range").agg(F.max("_top").alias("_top"))  # a row for each range at most
+    begins = placed.select(F.col("_from").alias("_range"), F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.col("end").alias("_end"), "ord", "name")
+    carried = placed.where("_to > _from").select(F.col("_to").alias("_range"), F.lit(None).cast(spans.schema["start"].dataType).alias("_at"), F.lit(-1).alias("_kind"), F.col("end").alias("_end"), "ord", "name")
+    above = over.select("_range", F.lit(-2).alias("_kind"), F.col("_top.ord").alias("ord"), F.col("_top.name").alias("name"))
+    rows = ranged.where("_kind = 1").select("_range", "_at", "_kind", *columns)
+    for part in (begins, carried, above):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    kinds = [f"{c} {f.dataType.simpleString()}" for c, f in zip(columns, points.schema.fields, strict=True)]
+
+    def sweep(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("_at", "ascending"), ("_kind", "ascending")])
+        at, kind, end, order, name = (table[c].to_pylist() for c in ("_at", "_kind", "_end", "ord", "name"))
+        top, heap, points, names = None, [], [], []
+        for k in np.argsort([x >= 0 for x in kind], kind="stable").tolist():  # what begins before the range comes first
+            if kind[k] == -2:
+                top = (order[k], name[k])
+            elif kind[k] != 1:
+                heapq.heappush(heap, _Last(order[k], name[k], end[k]))
+            else:
+                points.append(k)
+                if at[k] is None:
+                    names.append(None)
+                    continue
+                while heap and heap[0].end < at[k]:
+                    heapq.heappop(heap)
+                best = max([x for x in (top, (heap[0].ord, heap[0].name) if heap else None) if x], key=lambda x: (x[0], x[1] or ""), default=(0, None))
+                names.append(best[1])
+        return table.select(columns).take(pa.array(points, pa.int64())).append_column("name", pa.array(names, pa.string()))
+
+    swept = rows.groupBy("_range").applyInArrow(sweep, ", ".join([*kinds, "name string"]))
+    return swept.toDF(*points.columns, "name")
+
+
+class _Last:
+    """An open interval; that with the greatest ord comes first out of a heap."""
+
+    __slots__ = ("end", "name", "ord")
+
+    def __init__(self, ord: object, name: str | None, end: object) -> None:
+        self.ord, self.name, self.end = ord, name, end
+
+    def __lt__(self, other: _Last) -> bool:
+        return (self.ord, self.name or "") > (other.ord, other.name or "")
+
+
+def _blocks(first: Column, after: Column, depth: range) -> Column:
+    """The dyadic blocks (level, block) that make up the whole numbers from first to after - 1: two on a level at most."""
+    made = []
+    for k in depth:
+        a, b = F.ceil(first / 2**k).cast("int"), F.floor(after / 2**k).cast("int")
+        there = lambda x, k=k: F.struct(F.lit(k).alias("level"), x.alias("block"))
+        made += [F.when((a < b) & (a % 2 == 1), there(a)), F.when((a < b) & (b % 2 == 1) & ((b - 1 > a) | (a % 2 == 0)), there(b - 1))]
+    return F.array_compact(F.array(*made))
+
+
+def rolling(df: DataFrame, by: Sequence[str], order: str, value: str, width: int, name: str) -> DataFrame:
+    """by, order, n and name: for each different place (a long) of each group, its rows, and the sum of value over all rows of the group from width before it up to it.
+
+    Rows of one place are added up before anything is moved. The places are sorted into ranges, and each range also gets those of its first
+    group that lie within width before it; so a group that holds most of the rows is many tasks' work. The bounds of the ranges, a row for
+    each, are what the driver sees. Null places are left out.
+    """
+    ship(df.sparkSession)
+    summed = df.where(F.col(order).isNotNull()).groupBy(*by, F.col(order).cast("long").alias("_at")).agg(F.count("*").alias("n"), F.sum(value).alias("_sum"))
+    ranged = cut(cut(summed.withColumn("_group", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}))).repartitionByRange("_group", "_at").withColumn("_range", F.spark_partition_id()))
+    begins: dict[str, list[tuple[int, int]]] = {}
+    for r, first in ranged.groupBy("_range").agg(F.min(F.struct("_group", "_at")).alias("first")).collect():
+        begins.setdefault(first["_group"], []).append((first["_at"], r))
+    begins = {g: tuple(np.array(c, np.int64) for c in zip(*sorted(x), strict=True)) for g, x in begins.items()}
+
+    def ahead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups, at = batch.column("_group").dictionary_encode(), batch.column("_at").to_numpy()
+            code, rows, targets = groups.indices.to_numpy(), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for k, group in enumerate(groups.dictionary.to_pylist()):
+                if group in begins:
+                    first, number = begins[group]
+                    own = np.flatnonzero(code == k)
+                    low, high = np.searchsorted(first, at[own], "right"), np.searchsorted(first, at[own] + width, "right")
+                    many = high - low
+                    rows.append(np.repeat(own, many))
+                    targets.append(number[np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)])
+            taken = batch.take(pa.array(np.concatenate(rows)))
+            yield taken.set_column(taken.schema.get_field_index("_range"), "_range", pa.array(np.concatenate(targets).astype(np.int32)))
+
+    halo = ranged.mapInArrow(ahead, ranged.schema).withColumn("_own", F.lit(False))
+    frame = Window.partitionBy("_range", "_group").orderBy("_at").rangeBetween(-width, 0)
+    met = ranged.withColumn("_own", F.lit(True)).unionByName(halo).withColumn(name, F.sum("_sum").over(frame))
+    return met.where("_own").select(*by, F.col("_at").alias(order), "n", name)
 
 
 def by_priority(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -226,8 +226,8 @@ select user_id, count(*) as calls, round(max(day), 4) as dearest_day, count(*) f
 """)
 def rolling_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select("user_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    day = F.sum("value").over(Window.partitionBy("user_id").orderBy("us").rangeBetween(-86_400_000_000, 0))
-    return e.select("user_id", day.alias("day")).groupBy("user_id").agg(F.count("*").alias("calls"), F.round(F.max("day"), 4).alias("dearest_day"), F.count_if(F.col("day") > 200).alias("over_budget"))
+    days = ops.rolling(e, ["user_id"], "us", "value", 86_400_000_000, "day")
+    return days.groupBy("user_id").agg(F.sum("n").alias("calls"), F.round(F.max("day"), 4).alias("dearest_day"), F.sum(F.when(F.col("day") > 200, F.col("n")).otherwise(0)).alias("over_budget"))
 
 
 @query("""
