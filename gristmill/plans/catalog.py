@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions import physics, text as fn
 from ..operators import graph, identity, tables as ops
 from ..streaming import events as streams
-from . import file_queries, formula_queries, graph_queries, identity_queries, ingredient_queries, lookup_queries, record_queries, stat_queries, text_queries  # noqa: F401  (they register their queries)
+from . import file_queries, formula_queries, graph_queries, identity_queries, ingredient_queries, lookup_queries, record_queries, search_queries, stat_queries, text_queries  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 _DISTRIBUTION = """
