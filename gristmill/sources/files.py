@@ -6,6 +6,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -119,13 +120,38 @@ def write_report(df: DataFrame, path: str, names: Sequence[str]) -> None:
     df.select(F.to_json(F.struct(*names)).alias("value")).coalesce(1).write.text(path)
 
 
-def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str]) -> str:
-    """Writes a new version of a table of versions (path/v=1, 2, ...): its rows, but for those whose keys changes has, and changes. Returns its path."""
-    last = _versions(spark, path)
-    new = f"{path}/v={(last[-1] if last else 0) + 1}"
-    old = spark.read.parquet(f"{path}/v={last[-1]}").join(changes.select(*keys).distinct(), list(keys), "left_anti") if last else None
-    (old.unionByName(changes) if old is not None else changes).write.parquet(new)
-    return new
+def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], tries: int = 20) -> str:
+    """Writes a new version of a table of versions (path/v=1, 2, ...): its rows, but for those whose keys changes has, and changes. Returns its path.
+
+    A version is written beside the others and then renamed, which is one step, so it is there whole or not at all; what a writer left that
+    failed half-way is no version. Of two writers at once one has the next number, and the other begins again from what that one wrote.
+    """
+    for _ in range(tries):
+        last = _versions(spark, path)
+        new = f"{path}/v={(last[-1] if last else 0) + 1}"
+        old = spark.read.parquet(f"{path}/v={last[-1]}").join(changes.select(*keys).distinct(), list(keys), "left_anti") if last else None
+        beside = f"{path}/_writing-{uuid.uuid4().hex}"
+        (old.unionByName(changes) if old is not None else changes).write.parquet(beside)
+        if _renamed(spark, beside, new):
+            return new
+        fs, at = _fs(spark, beside)
+        fs.delete(at, True)
+    raise RuntimeError(f"{tries} other writers came first")
+
+
+def _renamed(spark: SparkSession, before: str, after: str) -> bool:
+    """Whether the folder has its new name; False if that was taken."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    hadoop = jvm.org.apache.hadoop.fs
+    path = hadoop.Path(after)
+    files = hadoop.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) if path.toUri().getScheme() else hadoop.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(hadoop.Path(before), path, gateway.new_array(hadoop.Options.Rename, 0))  # refuses a name that is there
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    return True
 
 
 def _fs(spark: SparkSession, path: str):
@@ -135,7 +161,9 @@ def _fs(spark: SparkSession, path: str):
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, at = _fs(spark, path)
-    return sorted(int(f.getPath().getName().removeprefix("v=")) for f in fs.listStatus(at) if f.getPath().getName().startswith("v=")) if fs.exists(at) else []
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    whole = lambda name: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS"))
+    return sorted(int(n.removeprefix("v=")) for n in names if n.startswith("v=") and n.removeprefix("v=").isdigit() and whole(n))
 
 
 def digest(df: DataFrame) -> tuple[int, str]:
