@@ -245,6 +245,19 @@ def acyclic_part(edges: DataFrame, local: int = 100_000) -> tuple[DataFrame, Dat
     return met.where("_src <> _dst").select("src", "dst"), met.where("_src = _dst").select("src", "dst")
 
 
+def weak_components(edges: DataFrame) -> DataFrame:
+    """node, core: the least node that each node of edges hangs together with. The least name travels along edges, and from each node to the node whose name it bears."""
+    label = cut(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("core", F.col("node")))
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct())
+    while True:
+        near = both.join(label.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("core").alias("c"))
+        low = label.unionByName(near.withColumnRenamed("c", "core")).groupBy("node").agg(F.min("core").alias("core"))
+        new = cut(low.join(low.select(F.col("node").alias("core"), F.col("core").alias("low")), "core", "left").select("node", F.least("core", "low").alias("core")))
+        if new.exceptAll(label).isEmpty():
+            return label
+        label = new
+
+
 def redirected(redirects: DataFrame) -> DataFrame:
     """src, root, steps: where each src of redirects (src, dst; one dst for each src) ends after all redirects, and after how many.
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import cosine
+from ..session import cut, ship
+from .graph import weak_components
 from .vectors import nearest_rows, resembling_earlier
 
 __all__ = ["nearest_rows", "resembling_earlier"]
@@ -30,6 +33,51 @@ def resolve(df: DataFrame, known: DataFrame, id: str, strong: Sequence[str], wea
     return out.withColumns({"match": match, "_ids": ids}).withColumn("match_id", F.when(usable, F.get("_ids", F.lit(0)))).drop("_ids", *[f"_id{k}" for k in range(len(keys))])
 
 
+def registered(records: DataFrame, order: str, strong: Sequence[str], weak: Sequence[str], strict: bool = False) -> DataFrame:
+    """Records taken up in order: order, entry (the order of the record that founded its entry), outcome and the entry's keys after this record.
+
+    A record none of whose keys is known founds an entry (new). If its keys lead to one entry it is merged into that, and fills the keys that
+    the entry lacks; a key that the entry has with another value is not taken up. If only weak keys hit, it is merged as weak, or refused if
+    strict. Keys that lead to different entries are a conflict, which changes nothing. Null and '' are no keys; order tells all records apart.
+    Records that hang together by keys, whatever comes of it, are looked at in one task, in order; others don't touch each other.
+    """
+    ship(records.sparkSession)
+    keys = [*strong, *weak]
+    kept = cut(records.select(F.col(order).cast("long").alias("_order"), *[F.nullif(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys]))
+    named = kept.select("_order", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in keys])).alias("k")).where("k.value is not null")
+    first = named.groupBy("k").agg(F.min("_order").alias("_first"))
+    edges = named.join(first, "k").select(F.col("_order").alias("src"), F.col("_first").alias("dst")).distinct()
+    cores = weak_components(edges).withColumnRenamed("node", "_order")
+    placed = kept.join(cores, "_order", "left").withColumn("core", F.coalesce("core", "_order"))
+
+    def take_up(frame: pd.DataFrame) -> pd.DataFrame:
+        index: dict[tuple[str, str], int] = {}
+        entries: dict[int, dict[str, str]] = {}
+        out = []
+        for row in frame.sort_values("_order").itertuples(index=False):
+            number, values = int(row[0]), {k: v for k, v in zip(keys, row[1 : 1 + len(keys)]) if v is not None and v == v}
+            hits = {k: index[k, v] for k, v in values.items() if (k, v) in index}
+            ids = set(hits.values())
+            if len(ids) > 1:
+                entry, outcome = None, "conflict"
+            elif ids:
+                entry, firm = ids.pop(), any(k in hits for k in strong)
+                outcome = "merged" if firm else "refused" if strict else "weak"
+                entry = entry if outcome != "refused" else None
+            else:
+                entry, outcome = number, "new"
+                entries[number] = {}
+            if entry is not None:
+                for k, v in values.items():
+                    if k not in entries[entry]:
+                        entries[entry][k] = v
+                        index.setdefault((k, v), entry)
+            out.append((number, entry, outcome, *[entries[entry].get(k) if entry is not None else None for k in keys]))
+        return pd.DataFrame(out, columns=[order, "entry", "outcome", *keys]).astype({"entry": "Int64"})
+
+    return placed.select("_order", *keys, "core").groupBy("core").applyInPandas(take_up, ", ".join([f"{order} long", "entry long", "outcome string", *[f"{k} string" for k in keys]]))
+
+
 def nearest(queries: DataFrame, known: DataFrame, id: str, vector: str, **index) -> DataFrame:
     """Of each query row its id, nearest_id and similarity, as nearest_rows has them; 0 and no nearest_id for a query without one."""
     top = nearest_rows(queries, known, id, vector, 1, **index).drop("rank").withColumnRenamed(id, "_q")

@@ -75,6 +75,14 @@ def embed_cross_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "nearest_id", F.round("similarity", 6).alias("similarity"), identity.novelty(F.col("similarity")).alias("verdict"))
 
 
+@query()
+def registered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts taken up in order under two strong keys that overlap and a weak one; a plain loop over the same rows is the test."""
+    k = F.col("p_partkey")
+    p = read(spark, sf_dir, "part").select("p_partkey", F.when(k % 3 == 0, F.concat(F.lit("x"), F.floor(k / 12))).alias("code"), F.when(k % 4 < 2, F.concat(F.lit("y"), F.floor(k * 7 / 50))).alias("number"), F.when(k % 5 < 3, F.concat("p_name", "p_brand", F.lit("p_size"))).alias("name"))
+    return identity.registered(p, "p_partkey", ["code", "number"], ["name"]).select("p_partkey", "entry", "outcome")
+
+
 @query("select min(doc_id) as doc_id, count(*) as n_copies from documents group by text, lang, source")
 def exact_row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first of equal rows; digests are shuffled, not texts."""
