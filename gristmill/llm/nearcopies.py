@@ -263,7 +263,7 @@ def linked(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     prints = rows.where("wide is not null").groupBy("fp").agg(F.min("_id").alias("_id"), F.first("wide").alias("wide"))
     spread = prints.select("fp", "wide").mapInArrow(_replicate, "fp long, at long, more long")
     met = cut(spread.repartition(F.shiftright("at", 32)).sortWithinPartitions("at").mapInArrow(_compare, "a long, b long, d long").groupBy("a", "b").agg(F.min("d").alias("d")))
-    met = cut(met.repartition(met.count() // EDGES + 1, "a").mapInArrow(_thinned, "a long, b long, d long"))
+    met = cut(met.coalesce(met.count() // EDGES + 1).mapInArrow(_thinned, "a long, b long, d long"))  # as few tasks as can hold the edges, each leaves a forest
     clusters = components(met)
     sets = _sets_of(clusters.select(F.col("node").alias("fp")), prints, docs, id, text)
     clear = met.where(F.col("d") <= CLEAR)
