@@ -101,8 +101,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
     share an id but not the vector, each is a candidate; a query is never its own answer by id. Empty input gives no rows.
 
     Rows are scanned in groups of about BLOCK: small lists together, large ones in parts by a hash, so no list is one task's. The queries that
-    visit a group meet it in blocks of about QUERIES, so what a task holds is bounded. Groups are scanned twice: first each tells, of each query, the scores at every k / 2-th place, from which follows a score that at least
-    rerank * k candidates of all groups reach; then each sends its candidates that reach it, so none of the best rerank * k is left out.
+    visit a group meet it in blocks of about QUERIES, so what a task holds is bounded, and a group is sent as often as its own visitors fill
+    blocks. Groups are scanned twice: first each tells, of each query, the scores at every k / 2-th place, from which follows a score that at
+    least rerank * k candidates of all groups reach; then each sends its candidates that reach it, so none of the best rerank * k is left out.
     What is sent to tasks is the fitted index, whose size has a bound (see Index).
     """
     spark = vectors.sparkSession
@@ -157,10 +158,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_i
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(at)), visit))), pa.array(at.ravel().astype(np.int32))], names=["query_id", "list"])
 
     asked = cut(queries.select(F.col(id).cast("long").alias("query_id"), F.col(vector).cast(kind).alias("v")).where(F.col("query_id").isNotNull() & usable("v")).where(F.size("v") == dim).distinct())
-    n_blocks = asked.count() // QUERIES + 1
-    placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    goes = asked.mapInArrow(visits, "query_id long, list int").join(placing, "list").select("query_id", "part").distinct()
-    sent = goes.join(asked, "query_id").select("part", "query_id", F.col("v").alias("q"), F.pmod(F.xxhash64("query_id", "v"), F.lit(n_blocks)).cast("int").alias("block"))
+    goes = cut(asked.mapInArrow(visits, "query_id long, list int").join(placing, "list").select("query_id", "part").distinct())
+    turns = cut(goes.groupBy("part").agg((F.floor(F.count("*") / QUERIES) + 1).cast("int").alias("turns")))  # a row for each group
+    placed = placed.join(turns, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+    turn = F.pmod(F.xxhash64("query_id", "v"), F.col("turns")).cast("int")
+    sent = goes.join(turns, "part").join(asked, "query_id").select("part", "query_id", F.col("v").alias("q"), turn.alias("block"))
     most = rerank * k
 
     step = max(1, k // 2)
