@@ -259,19 +259,20 @@ def weak_components(edges: DataFrame) -> DataFrame:
 
 
 def redirected(redirects: DataFrame) -> DataFrame:
-    """src, root, steps: where each src of redirects (src, dst; one dst for each src) ends after all redirects, and after how many.
+    """src, root, steps: where each src of redirects (src, dst; one dst for each src) ends after all redirects, and after how many; both are null where they lead into a cycle.
 
-    Each round joins the redirects with themselves and doubles the steps that they take, so a chain of n takes log2(n) rounds; one that is
-    still open after that is a cycle and raises an error.
+    Each round joins the redirects with themselves and doubles the steps that they take, so a chain of n takes log2(n) rounds; what is still
+    open after that is on a cycle or leads into one.
     """
     left = cut(redirects.select("src", F.col("dst").alias("root"), F.lit(1).cast("long").alias("steps")))
+    ahead = lambda: left.select(F.col("src").alias("root"), F.col("root").alias("_next"), F.col("steps").alias("_more"))
     for _ in range(left.count().bit_length() + 1):
-        ahead = left.select(F.col("src").alias("root"), F.col("root").alias("_next"), F.col("steps").alias("_more"))
-        met = cut(left.join(ahead, "root", "left"))
+        met = cut(left.join(ahead(), "root", "left"))
         if met.where(F.col("_next").isNotNull()).isEmpty():
             return left
         left = met.select("src", F.coalesce("_next", "root").alias("root"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps"))
-    raise ValueError("redirects form a cycle")
+    ended = left.join(ahead().select("root"), "root", "left_anti").select("src", "root", "steps")
+    return redirects.select("src").join(ended, "src", "left").select("src", "root", "steps")
 
 
 def typed_edges(records: DataFrame, source: str, candidates: dict[str, tuple[list[str], Column]], among: dict[str, Sequence[str]] | None = None) -> DataFrame:

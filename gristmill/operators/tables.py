@@ -30,9 +30,10 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
     """df with the sum of a long column over all rows of its group up to and with this one, in an order that no two rows of a group share.
 
     Rows are range-partitioned by group and order, summed within each range, and each range starts where those before it end; so a group
-    that holds most of the rows is many tasks' work. What meets in one task is one sum for each range of a group.
+    that holds most of the rows is many tasks' work. What meets in one task is one sum for each range of a group. Rows that lagged() has left in
+    ranges of this order stay there.
     """
-    ranged = cut(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    ranged = df if "_range" in df.columns else cut(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy(*by, "_range").agg(F.sum(value).alias("_sum")).withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     within = F.sum(value).over(Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
@@ -47,8 +48,11 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str)
     return running(df.withColumn("_one", F.lit(1).cast("long")), by, order, "_one", name).drop("_one")
 
 
-def lagged(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """df with the value of the row before in its group, in an order that no two rows of a group share; a group may hold most of the rows (see running())."""
+def lagged(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, keep_ranges: bool = False) -> DataFrame:
+    """df with the value of the row before in its group, in an order that no two rows of a group share; a group may hold most of the rows (see running()).
+
+    keep_ranges: the rows stay marked with their ranges, for running() in the same order.
+    """
     ranged = cut(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
     last = ranged.groupBy(*by, "_range").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
     before = last.withColumn("_before", F.lag("_last").over(Window.partitionBy(*by).orderBy("_range"))).drop("_last")  # a row for each range of a group
@@ -56,7 +60,7 @@ def lagged(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, n
     same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in by]
     inner = Window.partitionBy(*by, "_range").orderBy(*order)
     met = ranged.withColumns({"_first": F.row_number().over(inner) == 1, "_lag": F.lag(value).over(inner)}).join(small(before), reduce(lambda x, y: x & y, same, F.col("_range") == F.col("_r")))
-    return met.withColumn(name, F.when(F.col("_first"), F.col(f"_before.{value}")).otherwise(F.col("_lag"))).drop("_range", "_r", "_first", "_lag", "_before", *[f"_{c}_" for c in by])
+    return met.withColumn(name, F.when(F.col("_first"), F.col(f"_before.{value}")).otherwise(F.col("_lag"))).drop(*["_range"] * (not keep_ranges), "_r", "_first", "_lag", "_before", *[f"_{c}_" for c in by])
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

@@ -305,7 +305,7 @@ select user_id, min(ts) as first_event, count(*) as n from s group by user_id, k
 """)
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user with no gap of more than 30 minutes between them; a user may have most of the events."""
-    e = ops.lagged(read(spark, sf_dir, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], "ts", "last")
+    e = ops.lagged(read(spark, sf_dir, "events").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], "ts", "last", keep_ranges=True)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     marked = e.withColumn("new", F.when(F.col("last").isNull() | (micros("ts") - micros("last") > 1_800_000_000), 1).otherwise(0).cast("long"))
     return ops.running(marked, ["user_id"], ["ts", "event_id"], "new", "k").groupBy("user_id", "k").agg(F.min("ts").alias("first_event"), F.count("*").alias("n")).drop("k")

@@ -122,9 +122,8 @@ def visible_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with r as (select event_id, user_id, event_type, row_number() over (partition by user_id order by ts, event_id) as k from events)
 select user_id, event_type, count(*) as n, count(*) > 30 as super from events group by 1, 2 having count(*) > 12
-""".replace("with r as (select event_id, user_id, event_type, row_number() over (partition by user_id order by ts, event_id) as k from events)\n", ""))
+""")
 def super_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes with many ends of edges; those with very many are flagged."""
     return read(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n")).where("n > 12").withColumn("super", F.col("n") > 30)

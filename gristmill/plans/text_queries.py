@@ -179,8 +179,8 @@ def ingredient_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 with c as (select conv_id, turn, trim(text) as t from conversations), n as (select *, len(regexp_extract_all(t, '[0-9\p{L}_]+')) as n from c)
-select conv_id, turn, case when turn % 3 = 1 then 'few words' when n < 12 and not regexp_matches(t, '[.!?]') then '' else t end = '' as dropped, case when turn % 3 = 0 then length(replace(t, '\n', chr(10))) end as n_chars, n between 120 and 320 as fits from n where turn % 3 <> 2
-""".replace("case when turn % 3 = 1 then 'few words' when", "case when turn % 3 = 1 then '' when"))
+select conv_id, turn, case when turn % 3 = 1 then '' when n < 12 and not regexp_matches(t, '[.!?]') then '' else t end = '' as dropped, case when turn % 3 = 0 then length(replace(t, '\n', chr(10))) end as n_chars, n between 120 and 320 as fits from n where turn % 3 <> 2
+""")
 def sound_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks put right: a JSON object's text is taken out, and few words without an end mark are dropped."""
     raw = F.when(F.col("turn") % 3 == 1, F.lit('{"text": "few words\\\\nonly"}')).otherwise(F.to_json(F.struct("text")))
