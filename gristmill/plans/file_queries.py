@@ -114,3 +114,38 @@ def resumed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("last"), F.countDistinct("o_custkey").alias("customers"))
     return files.through(spark, lambda path: files.write_report(o, path, ["n", "last", "customers"]), lambda path: spark.read.text(path).select(F.from_json("value", "n string, last string, customers string").alias("x")).select("x.*"))
+
+
+@query("select s_suppkey, s_acctbal + case when s_nationkey = 3 then 1 else 0 end as balance, case when s_nationkey = 3 then 2 else 1 end as run from supplier where s_nationkey <> 5")
+def ingested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers by nation as files, taken in twice: between the runs one file changes, one is written again as it was, and one goes; only what differs counts as new."""
+    rows = read(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")
+    by_nation = lambda df, path: df.coalesce(1).write.mode("overwrite").partitionBy("s_nationkey").json(path)
+
+    def write(path: str) -> None:
+        by_nation(rows, f"{path}/in")
+        files.ingested(spark, f"{path}/in", f"{path}/store", "part-*")
+        for nation, part in ((3, rows.where("s_nationkey = 3").withColumn("s_acctbal", F.col("s_acctbal") + 1)), (4, rows.where("s_nationkey = 4")), (5, None)):
+            files.replaced(spark, f"{path}/in/s_nationkey={nation}", None if part is None else part.drop("s_nationkey").coalesce(1))
+        files.ingested(spark, f"{path}/in", f"{path}/store", "part-*")
+
+    def found(path: str) -> DataFrame:
+        lines = spark.read.parquet(f"{path}/store/v=2").select("run", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''")
+        return lines.select(F.from_json("line", "s_suppkey long, s_acctbal double").alias("r"), F.col("run").cast("int").alias("run")).select("r.s_suppkey", F.col("r.s_acctbal").alias("balance"), "run")
+
+    return files.through(spark, write, found)
+
+
+@query("select c_mktsegment as label, count(*) filter (where c_mktsegment in ('BUILDING', 'MACHINERY')) as n_removed, count(*) filter (where c_mktsegment not in ('BUILDING', 'MACHINERY')) as n_left from customer group by 1 union all select 'UNKNOWN', 0, 0")
+def purged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two labels are purged from a table of versions, and one that nothing bears; what was removed and what is left by label."""
+    def write(path: str) -> None:
+        files.versioned(spark, f"{path}/t", lambda _: read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+        files.purged(spark, f"{path}/t", "c_mktsegment", ["BUILDING", "MACHINERY", "UNKNOWN"]).write.parquet(f"{path}/removed")
+
+    def found(path: str) -> DataFrame:
+        left = spark.read.parquet(f"{path}/t/v=2").groupBy(F.col("c_mktsegment").alias("label")).agg(F.count("*").alias("n_left"))
+        both = spark.read.parquet(f"{path}/removed").join(left, "label", "full")
+        return both.select("label", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_left", F.lit(0)).cast("long").alias("n_left"))
+
+    return files.through(spark, write, found)

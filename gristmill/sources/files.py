@@ -120,8 +120,8 @@ def write_report(df: DataFrame, path: str, names: Sequence[str]) -> None:
     df.select(F.to_json(F.struct(*names)).alias("value")).coalesce(1).write.text(path)
 
 
-def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], tries: int = 20) -> str:
-    """Writes a new version of a table of versions (path/v=1, 2, ...): its rows, but for those whose keys changes has, and changes. Returns its path.
+def versioned(spark: SparkSession, path: str, make: Callable[[DataFrame | None], DataFrame], tries: int = 20) -> str:
+    """Writes the next version of a table of versions (path/v=1, 2, ...), what make makes of the last one (None for the first). Returns its path.
 
     A version is written beside the others and then renamed, which is one step, so it is there whole or not at all; what a writer left that
     failed half-way is no version. Of two writers at once one has the next number, and the other begins again from what that one wrote.
@@ -129,9 +129,8 @@ def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[
     for _ in range(tries):
         last = _versions(spark, path)
         new = f"{path}/v={(last[-1] if last else 0) + 1}"
-        old = spark.read.parquet(f"{path}/v={last[-1]}").join(changes.select(*keys).distinct(), list(keys), "left_anti") if last else None
         beside = f"{path}/_writing-{uuid.uuid4().hex}"
-        (old.unionByName(changes) if old is not None else changes).write.parquet(beside)
+        make(spark.read.parquet(f"{path}/v={last[-1]}") if last else None).write.parquet(beside)
         if _renamed(spark, beside, new):
             return new
         fs, at = _fs(spark, beside)
@@ -139,6 +138,49 @@ def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[
     raise RuntimeError(f"{tries} other writers came first")
 
 
+def upserted(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str]) -> str:
+    """The next version: the rows of the last one, but for those whose keys changes has, and changes."""
+    gone = changes.select(*keys).distinct()
+    return versioned(spark, path, lambda old: changes if old is None else old.join(gone, list(keys), "left_anti").unionByName(changes))
+
+
+def purged(spark: SparkSession, path: str, label: str, labels: Sequence[str]) -> DataFrame:
+    """The next version without the rows that bear one of these labels. Returns label, n_removed: one row for each of them, 0 for those that weren't there."""
+    before = _versions(spark, path)
+    if not before:
+        raise ValueError(f"{path} has no version")
+    new = versioned(spark, path, lambda old: old.where(~F.coalesce(F.col(label).isin(*labels), F.lit(False))))
+    last = int(new.rsplit("=", 1)[1]) - 1
+    counts = spark.read.parquet(f"{path}/v={last}").where(F.col(label).isin(*labels)).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+    wanted = spark.createDataFrame([(x,) for x in dict.fromkeys(labels)], "label string")
+    return wanted.join(counts, "label", "left").select("label", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"))
+
+
+def ingested(spark: SparkSession, folder: str, store: str, suffix: str = "*") -> str:
+    """The next version of a store of files (path, bytes, changed, sha256, content, run): only files that are new or differ in size or time are read.
+
+    Those whose content is known already, under any name, keep its run; files that are gone leave the store. The driver sees the paths of the files to
+    be read, no others.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", suffix).load(folder)
+    listed = cut(listed.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("changed")))  # contents are not read
+
+    def make(old: DataFrame | None) -> DataFrame:
+        known = old.select("path", "bytes", "changed") if old is not None else None
+        stale = listed.join(known, ["path", "bytes", "changed"], "left_anti") if known is not None else listed
+        paths = [r[0] for r in stale.select("path").collect()]
+        run = (old.agg(F.max("run")).first()[0] or 0) + 1 if old is not None else 1
+        read = spark.read.format("binaryFile").load(paths) if paths else spark.read.format("binaryFile").load(folder).limit(0)
+        fresh = read.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("changed"), F.sha2("content", 256).alias("sha256"), "content")
+        if old is None:
+            return fresh.withColumn("run", F.lit(run))
+        before = old.groupBy("sha256").agg(F.min("run").alias("_run"))
+        told = fresh.join(before, "sha256", "left").withColumn("run", F.coalesce("_run", F.lit(run))).select(*old.columns)
+        return old.join(listed.select("path", "bytes", "changed"), ["path", "bytes", "changed"], "left_semi").unionByName(told)
+
+    return versioned(spark, store, make)
+
+
 def _renamed(spark: SparkSession, before: str, after: str) -> bool:
     """Whether the folder has its new name; False if that was taken."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
@@ -154,6 +196,14 @@ def _renamed(spark: SparkSession, before: str, after: str) -> bool:
     return True
 
 
+def replaced(spark: SparkSession, folder: str, rows: DataFrame | None) -> None:
+    """Puts other JSON lines into a folder's place, or none."""
+    fs, at = _fs(spark, folder)
+    fs.delete(at, True)
+    if rows is not None:
+        rows.write.json(folder)
+
+
 def _fs(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
