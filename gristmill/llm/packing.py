@@ -32,7 +32,11 @@ WORD, SPACE = re.compile("[^\t\n\x0b\x0c\r ]+"), re.compile("[\t\n\x0b\x0c\r ]")
 #: Words of ASCII (no apostrophes) and Latin-1 letters, which normalisation only lower-cases, and the parts that the tokenizer cuts these into.
 PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
+#: What str.split() takes for white space and the tokenizer doesn't.
+SEPARATOR = re.compile("[\x1c-\x1f]")
 PIECE = 1 << 20
+#: Longer words are not kept.
+LONGEST = 64
 
 
 class Ids:
@@ -54,45 +58,62 @@ class Ids:
         return cls(path)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encoded_parts(self, parts: list[str]) -> list[bytes]:
         """As _encoded, but as one text, which is cut after each token that ends a part."""
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
         if len(ends) != len(parts):  # a vocabulary without such tokens
             return self._encoded(parts)
         whole = ids.tobytes()
         return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain = {w: PARTS.findall(w.lower()) for w in words if PLAIN.fullmatch(w) and "<|" not in w}
-        fresh = list({p for parts in plain.values() for p in parts}.difference(self.parts))
-        new = dict(zip(fresh, self._encoded_parts(fresh), strict=True)) if fresh else {}
-        known = self.parts
-        found = {w: b"".join([known[p] if p in known else new[p] for p in parts]) for w, parts in plain.items()}
-        odd = [w for w in words if w not in plain]
-        found |= zip(odd, self._encoded(odd), strict=True) if odd else {}
-        kept, limit = [self.words, self.parts], self.most
-        for k, more in enumerate((found, new)):
-            if len(kept[k]) + len(more) > limit[k]:
-                kept[k].clear()
-            kept[k].update((w, ids) for w, ids in more.items() if len(w) <= 64)
-        return found
+    def _learn(self, words: Iterable[str]) -> None:
+        """Keeps the ids of words; of plain ones by their parts, and of these only what is new goes to the tokenizer."""
+        if len(self.parts) > self.most[1]:
+            self.parts = {}
+        found, known, late, odd = self.words, self.parts, [], []
+        plain, cut_parts = PLAIN.fullmatch, PARTS.findall
+        for w in words:
+            if plain(w) and "<|" not in w:
+                parts = cut_parts(w.lower())
+                try:
+                    found[w] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+                except KeyError:
+                    late.append((w, parts))
+            else:
+                odd.append(w)
+        if late:
+            fresh = list({p for _, parts in late for p in parts}.difference(known))
+            known.update(zip(fresh, self._encoded_parts(fresh), strict=True))
+            found.update((w, b"".join([known[p] for p in parts])) for w, parts in late)
+        if odd:
+            found.update(zip(odd, self._encoded(odd), strict=True))
 
     def chunks(self, text: str) -> Iterator[bytes]:
         """The ids of a text, in chunks of about a million characters."""
         at = 0
         while at < len(text):
-            edge = SPACE.search(text, at + PIECE)  # a chunk ends after a word
+            edge = SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None  # a chunk ends after a word
             end = edge.start() if edge else len(text)
-            words, known = WORD.findall(text, at, end), self.words
-            fresh = set(words).difference(known)
-            if fresh:
-                here = {w: known[w] for w in set(words).difference(fresh)}  # what is kept may be cleared
-                known = here | self._learn(list(fresh))
-            yield b"".join(map(known.__getitem__, words))
+            words = WORD.findall(text, at, end) if edge or at or SEPARATOR.search(text) else text.split()
+            if len(self.words) > self.most[0]:
+                self.words = {}
+            different = set(words)
+            self._learn(different.difference(self.words))
+            yield b"".join(map(self.words.__getitem__, words))
             at = end
+            if max(map(len, different), default=0) > LONGEST:
+                self._forget(different)
+
+    def _forget(self, words: Iterable[str]) -> None:
+        for w in words:
+            if len(w) > LONGEST:
+                self.words.pop(w, None)
+                for p in PARTS.findall(w.lower()):
+                    if len(p) > LONGEST:
+                        self.parts.pop(p, None)
 
 
 def cut_up(chunks: Iterable[bytes], length: int = LENGTH, end: int = END) -> Iterator[tuple[int, bytes]]:
