@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-
+from ..session import ship
 def field_errors(required: Sequence[str]) -> Column:
     """An array of messages, one for each required field that is null or ''."""
     missing = [F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(f"missing field: {c}")) for c in required]
@@ -85,3 +87,53 @@ def gapped_sections(df: DataFrame, id: str, text: str, heading: str, gap: int) -
     counted = F.aggregate(heads, F.array().cast("array<int>"), lambda s, i: F.when((F.size(s) == 0) | (i - F.try_element_at(s, F.lit(-1)) >= gap), F.array_append(s, i)).otherwise(s))
     found = df.select(id, F.size(lines).alias("_n"), counted.alias("_s"))
     return found.select(id, "_n", "_s", F.posexplode("_s").alias("_k", "begins")).select(id, F.col("begins").cast("long").alias("begins"), (F.coalesce(F.get("_s", F.col("_k") + 1), F.col("_n")) - F.col("begins")).cast("long").alias("n_lines"))
+
+
+#: The kinds of statement that there are.
+STATEMENT_TYPES = ("fact_atom", "causal_chain", "compound_condition", "mathematical_law")
+#: Marks that don't count when a quotation is looked for.
+_MARKS = re.compile(r"\s|[，。、；：\u201c\u201d\u2018\u2019（）\[\]【】《》「」\-\u2014\u2026·]")
+
+
+def _stands_in(quote: str, text: str) -> bool:
+    """As it is, or without white space, marks and case, or with up to a tenth of other characters then (of five at least)."""
+    if not quote or not text:
+        return False
+    if quote in text:
+        return True
+    own, whole = (_MARKS.sub("", x).lower() for x in (quote, text))
+    if not own or own in whole:
+        return bool(own)
+    n = len(own)
+    if n < 5 or n > len(whole):
+        return False
+    a, b = (np.array([ord(c) for c in x], np.uint32) for x in (own, whole))
+    other = np.zeros(len(b) - n + 1, np.int32)
+    for k in range(n):
+        other += b[k : k + len(other)] != a[k]
+    return bool((other <= max(1, n // 10)).any())
+
+
+def checked(records: DataFrame, domains: DataFrame, statement: str = "statement", domain: str = "domain", citation: str = "citation", chunk: str = "chunk", kind: str = "kind", steps: str = "steps") -> DataFrame:
+    """records with has_number, valid_domain, has_citation, citation_in_chunk, valid_type, causal_chain_format and passes (all but has_number).
+
+    chunk is the text that the record is from, steps an array. A null is an empty text; a record without steps has none. domains (domain) are
+    those that are valid. A citation is held against its own chunk only, whole, in Arrow batches; the work is the product of both lengths.
+    """
+    ship(records.sparkSession)
+    plain = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    named = records.withColumns({"_cite": plain(citation), "_chunk": plain(chunk), "_domain": plain(domain)})
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_stands_in(q.as_py(), t.as_py()) for q, t in zip(batch.column("_cite"), batch.column("_chunk"), strict=True)]
+            yield batch.append_column("citation_in_chunk", pa.array(found, pa.bool_()))
+
+    looked = named.mapInArrow(look, StructType([*named.schema.fields, StructField("citation_in_chunk", BooleanType())]))
+    known = domains.select(F.col("domain").alias("_domain")).distinct().withColumn("_known", F.lit(True))
+    chain = F.when(plain(kind) == "causal_chain", F.coalesce(F.size(steps) >= 2, F.lit(False))).otherwise(F.lit(True))
+    told = looked.join(known, "_domain", "left").withColumns({
+        "has_number": F.coalesce(F.col(statement), F.lit("")).rlike("[0-9]"), "valid_domain": F.coalesce("_known", F.lit(False)), "has_citation": F.col("_cite") != "",
+        "valid_type": plain(kind).isin(*STATEMENT_TYPES), "causal_chain_format": chain,
+    })
+    return told.withColumn("passes", F.expr("valid_domain and has_citation and citation_in_chunk and valid_type and causal_chain_format")).drop("_cite", "_chunk", "_domain", "_known")

@@ -259,6 +259,26 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.run_once(spark, f"{sf_dir}/events.parquet", plan, "complete")
 
 
+@query(r"""
+with r as (select doc_id, source as domain, trim(text) as chunk, string_split(text, chr(10))[1] as statement, string_split(text, chr(10)) as steps,
+  trim(case doc_id % 5 when 0 then substr(text, 3, 40) when 1 then replace(upper(substr(text, 3, 40)), ' ', '  ') when 2 then translate(substr(text, 3, 40), 'g', 'x') when 3 then '' else 'nowhere to be found' end) as citation,
+  case doc_id % 4 when 0 then 'fact_atom' when 1 then 'causal_chain' when 2 then 'guess' else 'mathematical_law' end as kind from documents where lang = 'en' and text is not null),
+n as (select *, regexp_replace(regexp_replace(lower(citation), '[\s-]', '', 'g'), '[^\x00-\x7F]', '~', 'g') as q, regexp_replace(regexp_replace(lower(chunk), '[\s-]', '', 'g'), '[^\x00-\x7F]', '~', 'g') as t from r),
+k as (select doc_id, regexp_matches(statement, '[0-9]') as has_number, domain in (select source from documents group by 1 having count(*) >= 50) as valid_domain, citation <> '' as has_citation,
+  citation <> '' and (contains(chunk, citation) or (q <> '' and contains(t, q)) or (length(q) >= 5 and length(q) <= length(t) and list_contains(list_transform(range(0, case when length(q) >= 5 then length(t) - length(q) + 1 else 0 end), lambda i: hamming(substr(t, i + 1, length(q)), q) <= greatest(1, length(q) // 10)), true))) as citation_in_chunk,
+  kind <> 'guess' as valid_type, kind <> 'causal_chain' or len(steps) >= 2 as causal_chain_format from n)
+select *, valid_domain and has_citation and citation_in_chunk and valid_type and causal_chain_format as passes from k
+""")
+def record_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements with the domain, citation, kind and steps that they came with, each held against its six rules; domains are those of many documents."""
+    d, k, t = read(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")
+    cite = F.when(k % 5 == 0, F.substring(t, 3, 40)).when(k % 5 == 1, F.replace(F.upper(F.substring(t, 3, 40)), F.lit(" "), F.lit("  "))).when(k % 5 == 2, F.translate(F.substring(t, 3, 40), "g", "x")).when(k % 5 == 3, "").otherwise("nowhere to be found")
+    kind = F.when(k % 4 == 0, "fact_atom").when(k % 4 == 1, "causal_chain").when(k % 4 == 2, "guess").otherwise("mathematical_law")
+    r = d.where("lang = 'en' and text is not null").select("doc_id", F.col("source").alias("domain"), t.alias("chunk"), F.split(t, "\n")[0].alias("statement"), F.split(t, "\n").alias("steps"), cite.alias("citation"), kind.alias("kind"))
+    domains = d.groupBy(F.col("source").alias("domain")).agg(F.count("*").alias("n")).where("n >= 50")
+    return records.checked(r, domains).select("doc_id", "has_number", "valid_domain", "has_citation", "citation_in_chunk", "valid_type", "causal_chain_format", "passes")
+
+
 _ARRIVES = "epoch(ts)::bigint // 259200 + (event_id % 11 = 0)::int * 2"  # every third day a batch; some events come two batches late
 
 
