@@ -3,8 +3,9 @@
 Vectors are taken as points on the unit sphere, where the distance of two points with cosine s is sqrt(2 - 2 s). A bounded sample is halved
 again and again, and the middles of the parts are centres. Each known row is at home with its nearest centre, in the shell of its distance from
 it, so all rows of a shell are at least as far from a query as its own distance from the centre and the shell's least and largest distance
-allow. A query is sent to the shells that may hold what it looks for, and to no others; results are exact. How much that saves depends on the
-vectors: those without clusters are all about as far from each other, and little is left out.
+allow. A query is compared with the shells that may hold what it looks for, and with no others; results are exact. How much that saves depends
+on the vectors: those without clusters are all about as far from each other, and little is left out. Shells are small, so they are dealt in
+groups of many rows; a query is sent once to each group that holds one of its shells, and a group once to each block of its queries.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def by_length(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndar
     """Of a column of vectors, for each length: the length, the rows that have it, and their directions."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     offsets = column.offsets.to_numpy()
-    flat, sizes = column.values.to_numpy(zero_copy_only=False), np.diff(offsets)
+    flat, sizes = column.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False), np.diff(offsets)
     for n in np.unique(sizes[sizes > 0]).tolist():
         at = np.flatnonzero(sizes == n)
         x = flat[offsets[at][:, None] + np.arange(n)]
@@ -58,24 +59,27 @@ def by_length(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndar
 
 
 def sound(df: DataFrame, id: str, vector: str) -> DataFrame:
-    """id and v of the rows that have a direction: not null, not all 0, nothing null, infinite or NaN in it."""
-    v = F.col(vector).cast("array<double>")
+    """id and v of the rows that have a direction: not null, not all 0, nothing null, infinite or NaN in it. Floats stay floats, which is half the bytes."""
+    v = F.col(vector) if df.select(vector).dtypes[0][1] == "array<float>" else F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return df.select(F.col(id).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.exists("v", lambda x: x != 0) & finite)
 
 
 class Balls:
-    """An index of known rows (id, v): cells (length, ball, shell), each dealt over parts of about so many rows."""
+    """An index of known rows (id, v): cells (length, ball, shell), of which groups of about so many rows are made; large cells are dealt over several groups.
 
-    def __init__(self, known: DataFrame, leaves: int = 256, sample: int = 4096, shells: int = 8, rows: int = 4096) -> None:
+    Without rows, groups hold a sixteenth of all rows, but 4,096 at least and 65,536 at most.
+    """
+
+    def __init__(self, known: DataFrame, leaves: int = 256, sample: int = 4096, shells: int = 8, rows: int | None = None) -> None:
         ship(known.sparkSession)
-        picked = [np.asarray(r[0]) for r in known.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()]  # a bounded sample
+        picked = [np.asarray(r[0], np.float64) for r in known.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()]  # a bounded sample
         self.centres: dict[int, np.ndarray] = {}
         for n in {len(p) for p in picked}:
             x = np.stack([p for p in picked if len(p) == n])
             x = np.unique(x / np.linalg.norm(x, axis=1, keepdims=True), axis=0)
             self.centres[n] = halved(x, min(leaves, len(x) // 8 + 1))
-        centres = self.centres
+        centres, kind = self.centres, dict(known.dtypes)["v"]
 
         def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -88,72 +92,120 @@ class Balls:
                         far[at] = apart.min(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(length, pa.int32()), pa.array(ball, pa.int32()), pa.array(far)], names=["id", "v", "length", "ball", "far"])
 
-        homes = cut(known.select("id", "v").mapInArrow(home, "id long, v array<double>, length int, ball int, far double"))
+        homes = cut(known.select("id", "v").mapInArrow(home, f"id long, v {kind}, length int, ball int, far double"))
         steps = F.percentile_approx("far", F.array(*[F.lit(k / shells) for k in range(1, shells)]), F.lit(1000))
         edges = homes.groupBy("length", "ball").agg(steps.alias("edges"))  # a row for each ball
         shelled = homes.join(F.broadcast(edges), ["length", "ball"]).withColumn("shell", F.size(F.filter("edges", lambda e: e < F.col("far"))))
         cells = shelled.groupBy("length", "ball", "shell").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high"))
-        # At most shells rows for each ball, and one for each length without centres.
-        self.cells = [tuple(r) for r in cells.withColumn("parts", F.floor(F.col("n") / rows) + 1).collect()]
-        table = known.sparkSession.createDataFrame([(*c[:3], int(c[6])) for c in self.cells], "length int, ball int, shell int, parts int")
-        dealt = shelled.join(F.broadcast(table), ["length", "ball", "shell"])
-        self.rows = cut(dealt.select("length", "ball", "shell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "v"))
+        found = sorted(tuple(r) for r in cells.collect())  # at most shells rows for each ball, and one for each length without centres
+        rows = rows or min(65_536, max(4096, sum(c[3] for c in found) // 16))
+        self.cells: dict[int, np.ndarray] = {}  # of each length: ball, rows of one part, low, high
+        self.held: dict[int, np.ndarray] = {}  # of each length: cell and group, group after group
+        table, group, filled = [], 0, 0
+        for n in sorted({c[0] for c in found}):
+            group, filled, own = group + (filled > 0), 0, [c for c in found if c[0] == n]
+            held = []
+            for cell, (_, ball, shell, count, _, _) in enumerate(own):
+                parts = count // rows + 1
+                for part in range(parts):
+                    group, filled = (group + 1, 0) if filled and filled + count / parts > rows else (group, filled)
+                    filled += count / parts
+                    held.append((cell, group))
+                    table.append((n, ball, shell, parts, part, cell, group))
+            self.cells[n] = np.array([(c[1], c[3] / (c[3] // rows + 1), c[4], c[5], c[3]) for c in own], np.float64)
+            self.held[n] = np.array(held)
+        dealt = known.sparkSession.createDataFrame(table, "length int, ball int, shell int, parts int, part int, cell int, group int")
+        counted = shelled.join(F.broadcast(dealt.select("length", "ball", "shell", "parts").distinct()), ["length", "ball", "shell"])
+        placed = counted.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts").join(F.broadcast(dealt.drop("parts")), ["length", "ball", "shell", "part"])
+        self.rows = cut(placed.select("group", "cell", "id", "v"))
+
+    def needs(self, n: int, x: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Queries, cells of this length: whether a cell may hold what is within reach. A reach of -k stands for the most promising cells until these hold k rows."""
+        ball, _, low, high, count = self.cells[n].T
+        known, least = ball >= 0, np.zeros((len(x), len(ball)))
+        if n in self.centres:
+            apart = distances(x, self.centres[n])[:, ball[known].astype(int)]
+            least[:, known] = np.maximum(0, np.maximum(apart - high[known], low[known] - apart))
+        needed = least <= reach[:, None] + SLACK
+        some = np.flatnonzero(reach < 0)
+        if len(some):
+            order = np.argsort(least[some], axis=1, kind="stable")
+            before = np.cumsum(count[order], axis=1) - count[order]
+            chosen = np.zeros((len(some), len(ball)), bool)
+            np.put_along_axis(chosen, order, before < -reach[some][:, None], axis=1)
+            needed[some] = chosen
+        return needed
 
     def visits(self, queries: DataFrame, reach: float | None, first: int | None = None) -> DataFrame:
-        """length, ball, shell, part, id, v: the parts that queries (id, v and, if reach is None, reach of their own) are sent to.
+        """group, id, v, reach: the groups that queries (id, v and, if reach is None, reach of their own) are sent to.
 
         With first, a query is sent to its most promising cells instead, until these hold so many rows.
         """
-        centres, cells = self.centres, {}
-        for length, ball, shell, n, low, high, parts in self.cells:
-            cells.setdefault(length, []).append((ball, shell, n, low, high, parts))
-        cells = {n: np.array(sorted(c), np.float64) for n, c in cells.items()}
-        columns = ["id", "v"] if reach is not None or first else ["id", "v", "reach"]
+        kind, balls = dict(queries.dtypes)["v"], self.plan()
+        own = F.col("reach") if reach is None and not first else F.lit(float(-first if first else reach))
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                bound = batch.column(2).to_numpy(zero_copy_only=False)
                 for n, at, x in by_length(batch.column(1)):
-                    if n not in cells:
+                    if n not in balls.cells:
                         continue
-                    ball, shell, count, low, high, parts = cells[n].T
-                    known = ball >= 0
+                    cell, group = balls.held[n].T
+                    starts = np.flatnonzero(np.diff(group, prepend=-1))
                     for a in range(0, len(at), 256):
-                        own, least = at[a : a + 256], np.zeros((len(at[a : a + 256]), len(ball)))
-                        if n in centres:
-                            apart = distances(x[a : a + 256], centres[n])[:, ball[known].astype(int)]
-                            least[:, known] = np.maximum(0, np.maximum(apart - high[known], low[known] - apart))
-                        if first:
-                            order = np.argsort(least, axis=1, kind="stable")
-                            before = np.cumsum(count[order], axis=1) - count[order]
-                            row, place = np.nonzero(before < first)
-                            cell = order[row, place]
-                        else:
-                            bound = np.full(len(own), reach) if reach is not None else batch.column(2).to_numpy(zero_copy_only=False)[own]
-                            row, cell = np.nonzero(least <= bound[:, None] + SLACK)
-                        many = parts[cell].astype(int)
-                        part = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                        row, cell = np.repeat(row, many), np.repeat(cell, many)
+                        some = at[a : a + 256]
+                        row, place = np.nonzero(np.logical_or.reduceat(balls.needs(n, x[a : a + 256], bound[some])[:, cell], starts, axis=1))
                         for b in range(0, len(row), 4096):
-                            s, taken = slice(b, b + 4096), pa.array(own[row[b : b + 4096]])
-                            keys = [np.full(len(taken), n), ball[cell[s]], shell[cell[s]], part[s]]
-                            yield pa.RecordBatch.from_arrays([*[pa.array(k.astype(np.int32)) for k in keys], batch.column(0).take(taken), batch.column(1).take(taken)], names=["length", "ball", "shell", "part", "id", "v"])
+                            taken = pa.array(some[row[b : b + 4096]])
+                            yield pa.RecordBatch.from_arrays([pa.array(group[starts][place[b : b + 4096]].astype(np.int32)), *[c.take(taken) for c in batch.columns]], names=["group", "id", "v", "reach"])
+
+        return queries.select("id", "v", own.alias("reach")).mapInArrow(send, f"group int, id long, v {kind}, reach double")
 
-        return queries.select(*columns).mapInArrow(send, "length int, ball int, shell int, part int, id long, v array<double>")
+    def plan(self) -> Balls:
+        """What tasks need: centres, cells and groups, without the rows."""
+        bare = object.__new__(Balls)
+        bare.centres, bare.cells, bare.held = self.centres, self.cells, self.held
+        return bare
 
-    def met(self, visits: DataFrame, compare, schema: str, many: int = 2048) -> DataFrame:
-        """What compare makes of the queries sent to a part, at most about so many at once, and the part's rows."""
-        keys = ["length", "ball", "shell", "part"]
+    def met(self, visits: DataFrame, compare, schema: str, many: int = 65_536) -> DataFrame:
+        """What compare makes of the queries sent to a group, at most about so many at once, and the group's rows."""
         sent = cut(visits)
-        turns = cut(sent.groupBy(*keys).agg((F.floor(F.count("*") / many) + 1).cast("int").alias("turns")))
-        asked = sent.join(turns, keys).withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).drop("turns")
-        there = self.rows.join(turns, keys).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
-        both = asked.groupBy(*keys, "turn").cogroup(there.groupBy(*keys, "turn"))
+        turns = cut(sent.groupBy("group").agg((F.floor(F.count("*") / many) + 1).cast("int").alias("turns")))
+        asked = sent.join(F.broadcast(turns), "group").withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).drop("turns")
+        there = self.rows.join(F.broadcast(turns), "group").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+        both = asked.groupBy("group", "turn").cogroup(there.groupBy("group", "turn"))
         return both.applyInArrow(compare, schema)
 
+    def blocks(self, left: pa.Table, right: pa.Table, many: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the queries and rows of one group, block by block: ids and directions of queries, and ids and directions, by id, of the rows in cells that one of them needs."""
+        if not left.num_rows or not right.num_rows:
+            return
+        (own, x), (ids, y) = _directions(left), _directions(right)
+        n, cell = next(k for k, _, _ in by_length(left["v"])), right["cell"].to_numpy()[np.argsort(right["id"].to_numpy(), kind="stable")]
+        reach = left["reach"].to_numpy()[np.argsort(left["id"].to_numpy(), kind="stable")]
+        if n in self.centres:  # queries of one ball need about the same cells
+            ball = np.concatenate([distances(x[a : a + 4096], self.centres[n]).argmin(axis=1) for a in range(0, len(x), 4096)])
+            order = np.argsort(ball, kind="stable")
+            if self.needs(n, x[:: len(x) // 256 + 1], reach[:: len(x) // 256 + 1]).mean() < 0.5:
+                own, x, reach = own[order], x[order], reach[order]
+        for a in range(0, len(own), many):
+            s = slice(a, a + many)
+            there = self.needs(n, x[s], reach[s]).any(axis=0)[cell]
+            yield (own[s], x[s], ids, y) if there.all() else (own[s], x[s], ids[there], y[there])
+
     def pairs(self, visits: DataFrame) -> int:
         """How many pairs of rows these visits compare."""
-        held = self.rows.groupBy("length", "ball", "shell", "part").agg(F.count("*").alias("n"))
-        return visits.join(held, ["length", "ball", "shell", "part"]).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        balls = self.plan()
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                total, group, bound = 0.0, batch.column(0).to_numpy(), batch.column(3).to_numpy()
+                for n, at, x in by_length(batch.column(2)):
+                    cell, held = balls.held[n].T
+                    total += ((balls.needs(n, x, bound[at])[:, cell] & (held == group[at][:, None])) * balls.cells[n][cell, 1]).sum()
+                yield pa.RecordBatch.from_arrays([pa.array([total])], names=["n"])
+
+        return round(visits.mapInArrow(count, "n double").agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0])
 
 
 def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -179,15 +231,22 @@ def nearest_rows(queries: DataFrame, known: DataFrame, id: str, vector: str, k:
     few = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     balls = Balls(sound(known, id, vector).withColumn("_r", few).where(F.col("_r") <= k).drop("_r"), **index)
 
+    plan = balls.plan()
+
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         found = {n: [np.zeros(0, t)] for n, t in (("id", np.int64), ("nearest_id", np.int64), ("similarity", np.float64))}
-        if left.num_rows and right.num_rows:
-            (own, x), (ids, y) = _directions(left), _directions(right)
-            for a in range(0, len(own), 512):
-                similar = np.round(x[a : a + 512] @ y.T, places)
-                top = np.argsort(-similar, axis=1, kind="stable")[:, :k]
-                for n, v in (("id", np.repeat(own[a : a + 512], top.shape[1])), ("nearest_id", ids[top].ravel()), ("similarity", np.take_along_axis(similar, top, axis=1).ravel())):
-                    found[n].append(v)
+        for own, x, ids, y in plan.blocks(left, right):
+            if not len(ids):
+                continue
+            similar = x @ y.T
+            # What may be among the k best once it is rounded; only that is rounded and put in order.
+            least = np.partition(similar, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(own), -2.0)
+            row, at = np.nonzero(similar >= least[:, None] - 2 * 10.0**-places)
+            value = np.round(similar[row, at], places)
+            order = np.lexsort((at, -value, row))
+            order = order[np.arange(len(order)) - np.searchsorted(row, row[order]) < k]
+            for n, v in (("id", own[row[order]]), ("nearest_id", ids[at[order]]), ("similarity", value[order])):
+                found[n].append(v)
         return pa.table({n: np.concatenate(v) for n, v in found.items()})
 
     schema = "id long, nearest_id long, similarity double"
@@ -208,13 +267,14 @@ def resembling_earlier(df: DataFrame, id: str, vector: str, least: float, **inde
     firsts = cut(rows.groupBy("v").agg(F.min("id").alias("id")))
     balls = Balls(firsts.select("id", "v"), **index)
 
+    plan = balls.plan()
+
     def earlier(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64)]
-        if left.num_rows and right.num_rows:
-            (own, x), (ids, y) = _directions(left), _directions(right)
-            for a in range(0, len(own), 512):
-                like = (x[a : a + 512] @ y.T > least) & (ids[None, :] < own[a : a + 512, None])
-                found.append(own[a : a + 512][like.any(axis=1)])
+        for own, x, ids, y in plan.blocks(left, right):
+            before = np.searchsorted(ids, own.max())
+            like = (x @ y[:before].T > least) & (ids[None, :before] < own[:, None])
+            found.append(own[like.any(axis=1)])
         return pa.table({"id": np.unique(np.concatenate(found))})
 
     met = balls.met(balls.visits(firsts, float(chord(least))), earlier, "id long")
