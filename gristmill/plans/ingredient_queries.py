@@ -139,9 +139,13 @@ def edge_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: One edge out of each supplier: tails lead into cycles of several lengths, loops among them. Names have different lengths, which decides where a cycle is cut.
 _NEXT = "(s_suppkey // 3 * 7 + s_suppkey % 3) % (select count(*) from supplier)"
+#: Steps are doubled until all are taken, so what is reached then lies on a cycle, and the least name on the way is that of the cycle; only cycles are walked.
 _CYCLES = f"""
-with recursive f as (select s_suppkey as a, {_NEXT} as b from supplier), w as (select a as root, b as here, 1 as n, ['s' || a] as path from f union all select root, f.b, n + 1, list_append(path, 's' || f.a) from w join f on f.a = w.here where w.here <> w.root and n <= 400),
-c as (select root, n, path from w where here = root), least as (select * from c x where not exists (select 1 from c y where list_contains(x.path, 's' || y.root) and 's' || y.root < 's' || x.root))
+with recursive f as (select s_suppkey as a, {_NEXT} as b from supplier),
+j as (select 0 as k, f.a, f.b, 's' || f.a as m from f semi join f g on f.b = g.a union all select x.k + 1, x.a, y.b, least(x.m, y.m) from j x join j y on x.b = y.a where 2 ** x.k < (select count(*) from supplier)),
+top as (select * from j where k = (select max(k) from j)), root as (select a from top where m = 's' || a and a in (select b from top)),
+w as (select a as root, a as here, 1 as n from root union all select root, f.b, n + 1 from w join f on f.a = w.here where f.b <> w.root),
+least as (select root, max(n) as n, list('s' || here order by n) as path from w group by root)
 """
 
 
