@@ -278,11 +278,19 @@ def keep_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select user_id, event_type, count(*) as calls, round(sum(value), 4) as cost, round(sum(value) filter (where ts >= timestamp '2024-01-24'), 4) as last_week, sum(value) > 500 as over_budget from events group by 1, 2
+with e as (select user_id, event_type, ts, value, try_cast(value as decimal(28, 10)) as exact from events),
+s as (select user_id, event_type, count(*) as calls, sum(exact) as cost, sum(value) filter (where exact is null) as other, sum(exact) filter (where ts >= timestamp '2024-01-24') as last_week, sum(value) filter (where exact is null and ts >= timestamp '2024-01-24') as last_other from e group by 1, 2)
+select user_id, event_type, calls, coalesce(round(cost, 4)::double + other, round(cost, 4)::double, other) as cost, coalesce(round(last_week, 4)::double + last_other, round(last_week, 4)::double, last_other) as last_week, coalesce(cost::double + other > 500, cost > 500, other > 500) as over_budget from s
 """)
 def cost_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = F.when(F.col("ts") >= F.lit("2024-01-24").cast("timestamp_ntz"), F.col("value"))
-    return read(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("calls"), F.round(F.sum("value"), 4).alias("cost"), F.round(F.sum(recent), 4).alias("last_week"), (F.sum("value") > 500).alias("over_budget"))
+    """Costs are summed as decimals, so neither a rounding nor the bound depends on the order of the rows; what is no decimal (NaN, infinite, too large) is added as it is."""
+    recent = F.col("ts") >= F.lit("2024-01-24").cast("timestamp_ntz")
+    e = read(spark, sf_dir, "events").withColumn("exact", F.col("value").try_cast("decimal(28,10)"))
+    other = F.when(F.col("exact").isNull(), F.col("value"))
+    s = e.groupBy("user_id", "event_type").agg(F.count("*").alias("calls"), F.sum("exact").alias("cost"), F.sum(other).alias("other"), F.sum(F.when(recent, F.col("exact"))).alias("week"), F.sum(F.when(recent, other)).alias("week_other"))
+    total = lambda c, o: F.coalesce(F.round(c, 4).cast("double") + F.col(o), F.round(c, 4).cast("double"), o)
+    over = F.coalesce(F.col("cost").cast("double") + F.col("other") > 500, F.col("cost") > 500, F.col("other") > 500)
+    return s.select("user_id", "event_type", "calls", total("cost", "other").alias("cost"), total("week", "week_other").alias("last_week"), over.alias("over_budget"))
 
 
 @query("""
