@@ -279,7 +279,7 @@ def record_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.checked(r, domains).select("doc_id", "has_number", "valid_domain", "has_citation", "citation_in_chunk", "valid_type", "causal_chain_format", "passes")
 
 
-_ARRIVES = "epoch(ts)::bigint // 259200 + (event_id % 11 = 0)::int * 2"  # every third day a batch; some events come two batches late
+_ARRIVES = "epoch_us(ts) // 259200000000 + (event_id % 11 = 0)::int * 2"  # every third day a batch; some events come two batches late
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> str:
