@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut, ship
@@ -150,7 +151,7 @@ def strong_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
         labels.append(cut(rings))
         left = cut(rest.where("src <> dst"))
         size = left.count()
-        if local < size > 0.7 * before:
+        if local < size > 0.9 * before:  # trimming that still takes a share is far cheaper than colouring
             found, left = _coloured(left)
             labels.append(cut(found))
             size = left.count()
@@ -197,38 +198,46 @@ def levels(edges: DataFrame, local: int = 100_000) -> DataFrame:
         left = cut(direct.unionByName(ends.select(F.col("head").alias("src"), "dst", (F.col("steps") + 1).alias("far"))).groupBy("src", "dst").agg(F.max("far").alias("far")))
     kind = parts.schema["scc"].dataType.simpleString()
     nodes = parts.select(F.col("scc").alias("node")).distinct()
-    if left.count() <= local:
 
-        def solve(frame: pd.DataFrame) -> pd.DataFrame:
-            out: dict = {}
-            for a, b, n in zip(frame.src, frame.dst, frame.far):
-                out.setdefault(a, []).append((b, n))
-            waiting = frame.groupby("dst").size().to_dict()
-            level = dict.fromkeys(set(frame.src) - set(waiting), 0)
-            todo = list(level)
-            for a in todo:
-                for b, n in out.get(a, ()):
-                    level[b] = max(level.get(b, 0), level[a] + n)
-                    waiting[b] -= 1
-                    if not waiting[b]:
-                        todo.append(b)
-            return pd.DataFrame({"node": list(level), "level": list(level.values())})
-
-        found = cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, level long"))
-    else:
-        found, wave = None, None
-        while True:  # a wave: nodes that no open edge leads to
-            open_ = left if found is None else left.join(found.select(F.col("node").alias("src")), "src", "left_anti")
-            done = left.select(F.col("src").alias("node")).unionByName(left.select(F.col("dst").alias("node"))).distinct().join(open_.select(F.col("dst").alias("node")).distinct(), "node", "left_anti")
-            if found is None:
-                new = done.withColumn("level", F.lit(0).cast("long"))
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        out: dict = {}
+        level: dict = {}
+        waiting: dict = {}
+        for a, b, n, base in zip(frame.src, frame.dst, frame.far, frame.base):
+            waiting.setdefault(b, 0)
+            if base == base and base is not None:
+                level[b] = max(level.get(b, 0), int(base) + n)
             else:
-                fresh = done.join(found, "node", "left_anti")
-                new = left.join(fresh.withColumnRenamed("node", "dst"), "dst").join(found.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.max(F.col("level") + F.col("far")).alias("level"))
-            wave = cut(new)
-            if wave.isEmpty():
-                break
-            found = wave if found is None else cut(found.unionByName(wave))
+                out.setdefault(a, []).append((b, n))
+                waiting[b] += 1
+        todo = [*(b for b, n in waiting.items() if not n), *(a for a in out if a not in waiting)]
+        for a in todo:
+            level.setdefault(a, 0)
+            for b, n in out.get(a, ()):
+                level[b] = max(level.get(b, 0), level[a] + n)
+                waiting[b] -= 1
+                if not waiting[b]:
+                    todo.append(b)
+        return pd.DataFrame({"node": list(level), "level": list(level.values())})
+
+    # Edges that lead to nodes without a level yet; base is the level of their src, once it is known.
+    left, waves = left.select("src", "dst", "far", F.lit(None).cast("long").alias("base")), []
+    open_ = left.count()
+    if open_ > local:
+        waves.append(cut(left.select(F.col("src").alias("node")).distinct().join(left.select(F.col("dst").alias("node")), "node", "left_anti").withColumn("level", F.lit(0).cast("long"))))
+    while open_ > local:  # a wave: nodes that no edge without a base leads to
+        ahead = waves[-1].select(F.col("node").alias("src"), F.col("level").alias("_level"))
+        left = left.join(waves[-1].select(F.col("node").alias("dst")), "dst", "left_anti").join(ahead, "src", "left")
+        left = cut(left.select("src", "dst", "far", F.coalesce("base", "_level").alias("base")))
+        open_ = left.count()
+        ready = left.groupBy(F.col("dst").alias("node")).agg(F.max(F.col("base") + F.col("far")).alias("level"), F.max(F.col("base").isNull()).alias("waits"))
+        if open_ > local:
+            waves.append(cut(ready.where("not waits").select("node", "level")))
+    if open_:
+        waves.append(cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, level long")))
+    found = reduce(DataFrame.unionByName, waves) if waves else nodes.limit(0).withColumn("level", F.lit(0).cast("long"))
+    if waves:  # a source has its level from the first wave, and as a src from the last task
+        found = cut(found.groupBy("node").agg(F.max("level").alias("level")))
     known = found
     if chains is not None:
         inner = chains.join(known.withColumnRenamed("node", "head"), "head", "left").select("node", (F.coalesce("level", F.lit(0)) + F.col("steps")).alias("level"))
@@ -245,17 +254,58 @@ def acyclic_part(edges: DataFrame, local: int = 100_000) -> tuple[DataFrame, Dat
     return met.where("_src <> _dst").select("src", "dst"), met.where("_src = _dst").select("src", "dst")
 
 
-def weak_components(edges: DataFrame) -> DataFrame:
-    """node, core: the least node that each node of edges hangs together with. The least name travels along edges, and from each node to the node whose name it bears."""
-    label = cut(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("core", F.col("node")))
-    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct())
-    while True:
-        near = both.join(label.withColumnRenamed("node", "dst"), "dst").select(F.col("src").alias("node"), F.col("core").alias("c"))
-        low = label.unionByName(near.withColumnRenamed("c", "core")).groupBy("node").agg(F.min("core").alias("core"))
-        new = cut(low.join(low.select(F.col("node").alias("core"), F.col("core").alias("low")), "core", "left").select("node", F.least("core", "low").alias("core")))
-        if new.exceptAll(label).isEmpty():
-            return label
-        label = new
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """src and the least node that it hangs together with, by the edges of one task."""
+    above: dict = {}
+
+    def top(x):
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = above[up]
+            x = up
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.column(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = top(a), top(b)
+            above[max(x, y)] = min(x, y)
+    if above:
+        yield pa.RecordBatch.from_arrays([pa.array(list(above), kind), pa.array([top(x) for x in above], kind)], names=["src", "dst"])
+
+
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Every node's neighbours (the larger ones, or all smaller ones and itself) are linked to its least neighbour instead."""
+    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if large else edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+    least = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
+    met = both.join(least, "src")
+    if large:
+        return met.where("dst > src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).where("src <> dst").distinct()
+    return met.select(F.col("dst").alias("src"), F.col("m").alias("dst")).unionByName(least.select("src", F.col("m").alias("dst"))).where("src <> dst").distinct()
+
+
+def weak_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
+    """node, core: the least node that each node of edges hangs together with.
+
+    Tasks join what hangs together by their own edges, in the order of src, so that what is near in that order is one star; stars are joined
+    round by round (their number grows with the logarithm of the longest chain of stars), or in one task once at most so many edges are left.
+    """
+    ship(edges.sparkSession)
+    kind = edges.schema["src"].dataType.simpleString()
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).where("node is not null").distinct()
+    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
+    near = edges.select("src", "dst").where("src <> dst").repartitionByRange("src", "dst").mapInArrow(_joined, f"src {kind}, dst {kind}")
+    links = cut(near.where("src <> dst").distinct())
+    before = state(links)
+    if before[0] <= local:
+        links = cut(links.coalesce(1).mapInArrow(_joined, f"src {kind}, dst {kind}"))
+    while before[0] > local:  # each round takes stars nearer to the least nodes, until none changes
+        links = cut(_star(cut(_star(links, True)), False))
+        now = state(links)
+        if now == before:
+            break
+        before = now
+    return cut(nodes.join(links.select(F.col("src").alias("node"), F.col("dst").alias("_core")), "node", "left").select("node", F.coalesce("_core", "node").alias("core")))
 
 
 def redirected(redirects: DataFrame) -> DataFrame:
