@@ -99,56 +99,63 @@ def arranged(df: DataFrame, arrives: str) -> str:
 
 
 class Reminders(StatefulProcessor):
-    """Keeps, for each key, when its open task was last heard of and how many nudges it has had; see reminders()."""
+    """Keeps, for each key, when its open task was last heard of, how many nudges it has had, and its timer; see reminders().
+
+    Each call on the handle or the state is a message to the JVM, so a key's state is read once and written once, however many events it has.
+    """
 
     def __init__(self, event: str, ends: str, every_us: int, most: int) -> None:
         self.event, self.ends, self.every, self.most = event, ends, every_us, most
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("open", "heard long, nudges int")
-
-    def _due(self, key: tuple, now_us: int) -> Iterator[Row]:
-        """What falls due up to now: nudges, and after the last one the failure, which closes the task."""
-        while self.state.exists():
-            heard, nudges = self.state.get()
-            at = heard + (nudges + 1) * self.every
-            if at > now_us:
-                return
-            if nudges == self.most:
-                self.state.clear()
-                yield Row(key=key[0], kind="failed", n=nudges, at=at)
-            else:
-                self.state.update((heard, nudges + 1))
-                yield Row(key=key[0], kind="nudge", n=nudges + 1, at=at)
-
-    def _set_timer(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if self.state.exists():
-            heard, nudges = self.state.get()
-            self.handle.registerTimer((heard + (nudges + 1) * self.every + 999) // 1000)
+        self.state = handle.getValueState("open", "heard long, nudges int, timer long")
+
+    def _run(self, key: tuple, events: list[tuple], now_us: int) -> Iterator[Row]:
+        """Events in order, and what falls due between them and up to now: nudges, and after the last one the failure, which closes the task."""
+        kept = self.state.get()
+        heard, nudges, timer = kept or (None, 0, None)
+        for us, what, last in [*((*e, False) for e in events), (now_us, None, True)]:
+            while heard is not None and (at := heard + (nudges + 1) * self.every) <= us:
+                if nudges == self.most:
+                    yield Row(key=key[0], kind="failed", n=nudges, at=at)
+                    heard = None
+                else:
+                    nudges += 1
+                    yield Row(key=key[0], kind="nudge", n=nudges, at=at)
+            if last:
+                break
+            if what != self.ends:
+                heard, nudges = us, 0
+            elif heard is not None:
+                yield Row(key=key[0], kind="done", n=0, at=us)
+                heard = None
+        due = None if heard is None else (heard + (nudges + 1) * self.every + 999) // 1000
+        _move_timer(self.handle, timer, due)
+        if heard is not None:
+            self.state.update((heard, nudges, due))
+        elif kept is not None:
+            self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for us, what in sorted((r["us"], r[self.event]) for r in rows):
-            yield from self._due(key, us)
-            if what == self.ends:
-                if self.state.exists():
-                    self.state.clear()
-                    yield Row(key=key[0], kind="done", n=0, at=us)
-            else:
-                self.state.update((us, 0))
-        yield from self._due(key, 1000 * timerValues.getCurrentWatermarkInMs())
-        self._set_timer()
+        yield from self._run(key, sorted((r["us"], r[self.event]) for r in rows), 1000 * timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._due(key, 1000 * timerValues.getCurrentWatermarkInMs())
-        self._set_timer()
+        yield from self._run(key, [], 1000 * timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
+def _move_timer(handle, old: int | None, new: int | None) -> None:
+    """A key has one timer at most; one that went off just now may be deleted again."""
+    if old != new:
+        if old is not None:
+            handle.deleteTimer(old)
+        if new is not None:
+            handle.registerTimer(new)
+
+
 def reminders(stream: DataFrame, key: str, event: str, ends: str, every: str, most: int = 3, late: str = "1 hour") -> DataFrame:
     """key, kind (nudge, failed or done), n, at: an open task that isn't heard of for so long is nudged, again after the same time, and fails after so many nudges.
 

@@ -55,3 +55,43 @@ def test_places_fall_free(spark):
     for k in "ab":
         expire(k, rows[-1][0])
     assert got == sorted(want) and {w[2] for w in want} == {"granted", "refused", "released", "expired"}
+
+
+class Counted:
+    """A state and a handle that count the calls made on them; each call is a message to the JVM in a real stream."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            match name:
+                case "getValueState" | "getMapState":
+                    return self
+                case "get":
+                    return self.value
+                case "update":
+                    self.value = args[0]
+                case "clear":
+                    self.value = None
+                case "registerTimer":
+                    self.timers.add(args[0])
+                case "deleteTimer":
+                    self.timers.discard(args[0])
+                case _:
+                    raise AssertionError(f"{name} is a call for each event or timer")
+        return call
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 0
+
+
+def test_a_key_takes_few_calls_however_many_events_it_has():
+    hour, rows = 3_600_000_000, [{"us": 60_000_000 * k, "who": "h", "kind": "end" if k % 7 == 6 else "take"} for k in range(5000)]
+    for made in (streams.Reminders("kind", "end", hour, 3),):
+        store = Counted()
+        made.init(store)
+        got = list(made.handleInputRows(("a",), iter(rows), store))
+        assert store.calls <= 5 and len(store.timers) == 1
+        assert sum(r["kind"] in ("done", "released") for r in got) == 5000 // 7
