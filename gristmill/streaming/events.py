@@ -172,46 +172,50 @@ def reminders(stream: DataFrame, key: str, event: str, ends: str, every: str, mo
 
 
 class Slots(StatefulProcessor):
-    """Who holds a place of each resource, until when; see leases()."""
+    """Who holds a place of each resource, until when, and the resource's timer; read once and written once for a resource's events, as in Reminders. See leases()."""
 
     def __init__(self, holder: str, takes: str, event: str, ttl_us: int, places: int) -> None:
         self.holder, self.takes, self.event, self.ttl, self.places = holder, takes, event, ttl_us, places
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getMapState("held", "holder string", "until long")
+        self.state = handle.getValueState("held", "holders array<string>, untils array<long>, timer long")
 
-    def _expired(self, key: tuple, now_us: int) -> Iterator[Row]:
-        for until, (name,) in sorted((v[0], k) for k, v in list(self.state.iterator())):
-            if until <= now_us:
-                self.state.removeKey((name,))
-                yield Row(key=key[0], holder=name, kind="expired", at=until)
-
-    def _set_timer(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        ends = [v[0] for v in self.state.values()] if self.state.exists() else []
-        if ends:
-            self.handle.registerTimer((min(ends) + 999) // 1000)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for us, name, what in sorted((r["us"], str(r[self.holder]), r[self.event]) for r in rows):
-            yield from self._expired(key, us)
+    def _run(self, key: tuple, events: list[tuple], now_us: int) -> Iterator[Row]:
+        """Events in order, and the places that fall free between them and up to now."""
+        kept = self.state.get()
+        holders, untils, timer = kept or ((), (), None)
+        held = dict(zip(holders, untils, strict=True))
+        first = min(untils, default=None)  # no place falls free before
+        for us, name, what in [*events, (now_us, None, None)]:
+            if first is not None and first <= us:
+                for until, who in sorted((u, w) for w, u in held.items() if u <= us):
+                    del held[who]
+                    yield Row(key=key[0], holder=who, kind="expired", at=until)
+                first = min(held.values(), default=None)
+            if name is None:
+                continue
             if what != self.takes:
-                if self.state.containsKey((name,)):
-                    self.state.removeKey((name,))
+                if held.pop(name, None) is not None:
                     yield Row(key=key[0], holder=name, kind="released", at=us)
-            elif self.state.containsKey((name,)) or len(list(self.state.keys())) < self.places:
-                self.state.updateValue((name,), (us + self.ttl,))
+            elif name in held or len(held) < self.places:
+                held[name] = us + self.ttl
+                first = held[name] if first is None else min(first, held[name])
                 yield Row(key=key[0], holder=name, kind="granted", at=us)
             else:
                 yield Row(key=key[0], holder=name, kind="refused", at=us)
-        yield from self._expired(key, 1000 * timerValues.getCurrentWatermarkInMs())
-        self._set_timer()
+        due = (min(held.values()) + 999) // 1000 if held else None
+        _move_timer(self.handle, timer, due)
+        if held:
+            self.state.update((list(held), list(held.values()), due))
+        elif kept is not None:
+            self.state.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from self._run(key, sorted((r["us"], str(r[self.holder]), r[self.event]) for r in rows), 1000 * timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._expired(key, 1000 * timerValues.getCurrentWatermarkInMs())
-        self._set_timer()
+        yield from self._run(key, [], 1000 * timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass

@@ -89,7 +89,7 @@ class Counted:
 
 def test_a_key_takes_few_calls_however_many_events_it_has():
     hour, rows = 3_600_000_000, [{"us": 60_000_000 * k, "who": "h", "kind": "end" if k % 7 == 6 else "take"} for k in range(5000)]
-    for made in (streams.Reminders("kind", "end", hour, 3),):
+    for made in (streams.Reminders("kind", "end", hour, 3), streams.Slots("who", "take", "kind", hour, 1)):
         store = Counted()
         made.init(store)
         got = list(made.handleInputRows(("a",), iter(rows), store))
