@@ -10,7 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..session import ship
+from ..session import cut, ship
+from .tables import small
+
+
 def field_errors(required: Sequence[str]) -> Column:
     """An array of messages, one for each required field that is null or ''."""
     missing = [F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(f"missing field: {c}")) for c in required]
@@ -39,30 +42,45 @@ def sections(df: DataFrame, id: str, text: str, heading: str) -> DataFrame:
 def heat_slab(df: DataFrame, id: str, nodes: int = 21, fo: float = 0.4) -> DataFrame:
     """id, centre, surface, mean after seconds t: a slab heated on both faces, by the explicit scheme on half of it (a mirror at the centre).
 
-    Columns: half (half thickness, m), alpha (m2/s), k (W/(m K)), h (W/(m2 K)), T0, Tinf, t. A whole Arrow batch advances at once; a row that
-    has fewer steps than its batch stops changing. The step keeps both the Fourier number and the convective face stable.
+    Columns: half (half thickness, m), alpha (m2/s), k (W/(m K)), h (W/(m2 K)), T0, Tinf, t. The step keeps both the Fourier number and the
+    convective face stable. The scheme is linear: what is left of the difference T0 - Tinf depends on the other five columns alone. So each
+    different slab is solved once, for a difference of 1, and the slabs are dealt over all tasks.
     """
-    names = ["half", "alpha", "k", "h", "T0", "Tinf", "t"]
+    names, shape = ["half", "alpha", "k", "h", "T0", "Tinf", "t"], ["half", "alpha", "k", "h", "t"]
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half, alpha, k, h, t0, tinf, t = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns[1:])
-            dx = half / (nodes - 1)
-            biot = h * dx / k
-            steps = np.maximum(1, np.ceil(alpha * t * (1 + biot) / (fo * dx**2))).astype(np.int64)
-            r = (alpha * t / steps / dx**2)[:, None]
-            field = np.repeat(t0[:, None], nodes, axis=1)
-            for n in range(int(steps.max(initial=0))):
-                new = np.empty_like(field)
-                new[:, 1:-1] = field[:, 1:-1] + r * (field[:, 2:] - 2 * field[:, 1:-1] + field[:, :-2])
-                new[:, 0] = field[:, 0] + 2 * r[:, 0] * (field[:, 1] - field[:, 0])
-                new[:, -1] = field[:, -1] + 2 * r[:, 0] * (field[:, -2] - field[:, -1] + biot * (tinf - field[:, -1]))
-                field = np.where((n < steps)[:, None], new, field)
-            mean = (field[:, 0] / 2 + field[:, 1:-1].sum(axis=1) + field[:, -1] / 2) / (nodes - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(field[:, 0]), pa.array(field[:, -1]), pa.array(mean)], names=[id, "centre", "surface", "mean"])
+            left = _left_over(*(c.to_numpy(zero_copy_only=False) for c in batch.columns), nodes, fo)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, left)], names=[*shape, "_centre", "_surface", "_mean"])
 
+    ship(df.sparkSession)
     usable = df.select(F.col(id).cast("long").alias(id), *[F.col(c).cast("double").alias(c) for c in names]).dropna()
-    return usable.mapInArrow(solve, f"{id} long, centre double, surface double, mean double")
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    solved = cut(usable.select(*shape).distinct().repartition(tasks, *shape).mapInArrow(solve, ", ".join(f"{c} double" for c in [*shape, "_centre", "_surface", "_mean"])))
+    at = lambda u: F.col("Tinf") + (F.col("T0") - F.col("Tinf")) * F.col(u)
+    return usable.join(small(solved), shape).select(id, *[at(f"_{c}").alias(c) for c in ("centre", "surface", "mean")])
+
+
+def _left_over(half: np.ndarray, alpha: np.ndarray, k: np.ndarray, h: np.ndarray, t: np.ndarray, nodes: int, fo: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What share of the difference to the surroundings is left at the centre, at the surface and on average; slabs advance together, and each leaves after its own last step."""
+    dx = half / (nodes - 1)
+    biot = h * dx / k
+    steps = np.maximum(1, np.ceil(alpha * t * (1 + biot) / (fo * dx**2))).astype(np.int64)
+    r = alpha * t / steps / dx**2
+    order = np.argsort(-steps, kind="stable")
+    steps, r, biot = steps[order], r[order], biot[order]
+    field = np.ones((nodes, len(steps)))  # a node's slabs lie together, those with most steps first
+    for n in range(int(steps.max(initial=0))):
+        going = int(np.searchsorted(-steps, -n, "left"))
+        u, q = field[:, :going], r[:going]
+        new = np.empty_like(u)
+        new[1:-1] = u[1:-1] + q * (u[2:] - 2 * u[1:-1] + u[:-2])
+        new[0] = u[0] + 2 * q * (u[1] - u[0])
+        new[-1] = u[-1] + 2 * q * (u[-2] - u[-1] - biot[:going] * u[-1])
+        field[:, :going] = new
+    mean = (field[0] / 2 + field[1:-1].sum(axis=0) + field[-1] / 2) / (nodes - 1)
+    back = np.argsort(order)
+    return field[0][back], field[-1][back], mean[back]
 
 
 def topped_up(df: DataFrame, by: Sequence[str], stratum: str, wanted: dict, order: Sequence[str]) -> DataFrame:
