@@ -26,6 +26,11 @@ def small(df: DataFrame, most: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def tasks_for(df: DataFrame, rows: int = 1_000_000) -> int:
+    """A number of tasks for repartition(): the session's, or more where one would get over so many of df's rows (counted first). It isn't lowered when the plan runs, as numbers of the session are by bytes."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // rows + 1)
+
+
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """df with the sum of a long column over all rows of its group up to and with this one, in an order that no two rows of a group share.
 

@@ -89,18 +89,25 @@ from region join nation on n_regionkey = r_regionkey join customer on c_nationke
 where r_name <> 'EUROPE' group by 1 having count(distinct o_orderkey) >= 5
 """)
 def path_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pass: an order's different parts are gathered first (a few), each (nation, part) is met once, then each (nation, type); no distinct count expands the joined lines."""
+    """A part's nations are the bits of whole numbers, so what a task keeps is a row for each part and not for each nation and part; types come to the parts after that."""
     t = {n: read(spark, sf_dir, n) for n in ("region", "nation", "customer", "orders", "lineitem", "part")}
-    lines = t["lineitem"].select("l_orderkey", "l_partkey").join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    orders = lines.groupBy("l_orderkey").agg(F.collect_set(F.struct("p_partkey", "p_type")).alias("parts"))
-    nations = t["nation"].join(t["region"].where("r_name <> 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("nation"))
+    named = t["nation"].join(t["region"].where("r_name <> 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("nation"))
+    numbered = named.withColumn("no", F.dense_rank().over(Window.orderBy("nation")) - 1)  # a row for each nation
+    nations = numbered.select("n_nationkey", "nation", F.expr("no div 64").alias("word"), F.expr("shiftleft(1L, cast(no % 64 as int))").alias("bit"))
     path = (
-        orders.join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        t["orders"].select("o_orderkey", "o_custkey").join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "word", "bit")
     )
-    each = path.select("nation", F.posexplode("parts").alias("at", "part")).groupBy("nation", "part.p_partkey", "part.p_type").agg(F.count_if(F.col("at") == 0).alias("n_orders"))
-    types = each.groupBy("nation", "p_type").agg(F.sum("n_orders").alias("n_orders"), F.count("*").alias("n_parts"))
-    return types.groupBy("nation").agg(F.sum("n_orders").alias("n_orders"), F.sum("n_parts").alias("n_parts"), F.count("*").alias("n_types")).where("n_orders >= 5")
+    lines, parts = t["lineitem"].select("l_orderkey", "l_partkey"), t["part"].select("p_partkey", "p_type")
+    tasks = ops.tasks_for(lines)
+    path = path.repartition(tasks, "o_orderkey")
+    held = lines.repartition(tasks, "l_orderkey").join(path, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_partkey", "word").agg(F.bit_or("bit").alias("bits"))
+    names = F.broadcast(nations.select("nation", "word", "bit").distinct())
+    each = held.join(parts.distinct(), F.col("l_partkey") == F.col("p_partkey")).join(names, "word").where("bits & bit <> 0")
+    types = each.groupBy("nation", "p_type").agg(F.count("*").alias("n_parts")).groupBy("nation").agg(F.sum("n_parts").alias("n_parts"), F.count("*").alias("n_types"))
+    known = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left_semi").select("l_orderkey").repartition(tasks, "l_orderkey")
+    orders = path.join(known, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").distinct().join(names, ["word", "bit"]).groupBy(F.col("nation").alias("_nation")).agg(F.count("*").alias("n_orders"))
+    return orders.where("n_orders >= 5").join(types, F.col("_nation").eqNullSafe(F.col("nation"))).select("nation", "n_orders", "n_parts", "n_types")
 
 
 @query("""
