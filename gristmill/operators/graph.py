@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut, ship
+from ..session import settled, ship
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -81,14 +81,14 @@ def _chains(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """
     one = lambda by, of: edges.groupBy(by).agg(F.count("*").alias("n"), F.first(of).alias("v")).where("n = 1")
     ends = one("src", "dst").select(F.col("src").alias("node"), F.col("v").alias("tail"))
-    found = cut(ends.join(one("dst", "src").select(F.col("dst").alias("node"), F.col("v").alias("head")), "node").withColumn("least", F.col("node")))
+    found = settled(ends.join(one("dst", "src").select(F.col("dst").alias("node"), F.col("v").alias("head")), "node").withColumn("least", F.col("node")))
     many = found.count()
     for _ in range(many.bit_length() + 1):
         ahead = found.select(F.col("node").alias("tail"), F.col("tail").alias("_t"), F.col("least").alias("_l"))
         behind = found.select(F.col("node").alias("head"), F.col("head").alias("_h"))
         met = found.join(ahead, "tail", "left").join(behind, "head", "left")
         step = met.select("node", F.coalesce("_h", "head").alias("head"), F.coalesce("_t", "tail").alias("tail"), F.least("least", "_l").alias("least"), (F.col("_t").isNotNull() | F.col("_h").isNotNull()).alias("_moved"))
-        step = cut(step)
+        step = settled(step)
         found = step.drop("_moved")
         if step.where("_moved").isEmpty():
             break
@@ -105,36 +105,36 @@ def _coloured(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Each node takes the greatest name that reaches it; whatever reaches the node of that name within its colour is its component.
     """
-    colour = cut(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("c", F.col("node")))
+    colour = settled(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("c", F.col("node")))
     while True:
         new = colour.withColumnRenamed("node", "src").join(edges, "src").select(F.col("dst").alias("node"), "c")
-        new = cut(colour.unionByName(new).groupBy("node").agg(F.max("c").alias("c")))
+        new = settled(colour.unionByName(new).groupBy("node").agg(F.max("c").alias("c")))
         if new.exceptAll(colour).isEmpty():
             break
         colour = new
     within = edges.join(colour.withColumnRenamed("node", "src"), "src").join(colour.select(F.col("node").alias("dst"), F.col("c").alias("c2")), "dst").where("c = c2")
-    within = cut(within.select("src", "dst"))
-    reached = cut(colour.where("node = c").select("node"))
+    within = settled(within.select("src", "dst"))
+    reached = settled(colour.where("node = c").select("node"))
     while True:
-        new = cut(within.join(reached.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("src").alias("node")).unionByName(reached).distinct())
+        new = settled(within.join(reached.withColumnRenamed("node", "dst"), "dst", "left_semi").select(F.col("src").alias("node")).unionByName(reached).distinct())
         if new.count() == reached.count():
             break
         reached = new
     found = reached.join(colour, "node")
     least = found.groupBy("c").agg(F.min("node").alias("scc"))
     left = within.join(reached.withColumnRenamed("node", "src"), "src", "left_anti").join(reached.withColumnRenamed("node", "dst"), "dst", "left_anti")
-    return found.join(least, "c").select("node", "scc"), cut(left.select("src", "dst"))
+    return found.join(least, "c").select("node", "scc"), settled(left.select("src", "dst"))
 
 
 def strong_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
     """Of edges (src, dst): node, scc (the least node of its strong component) and cyclic (true only if the node is on a cycle, a loop included).
 
-    Nodes on no cycle are trimmed off where that is cheap, and chains are passed over by doubling, however long they are. What is left is
+    Nodes on no cycle are trimmed off while that takes a fifth of the edges, and chains are passed over by doubling, however long they are. What is left is
     coloured until at most so many edges stay; these are one task's. Rounds of a colouring grow with the longest path between nodes that
     neither step removes. Nulls in edges are ignored; an empty table gives no rows.
     """
     ship(edges.sparkSession)
-    edges = cut(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
+    edges = settled(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
     kind = edges.schema["src"].dataType.simpleString()
     left, labels, chained = edges.where("src <> dst"), [], []
     size = left.count()
@@ -145,30 +145,33 @@ def strong_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
 
     while size > local:
         before = size
-        left = cut(_trimmed(left))
+        left = settled(_trimmed(left))
+        size = left.count()
+        if size <= max(local, 0.8 * before):  # a trimming is one round; chains take many
+            continue
         chains, rings, rest = _chains(left)
-        chained.append(cut(chains))
-        labels.append(cut(rings))
-        left = cut(rest.where("src <> dst"))
+        chained.append(settled(chains))
+        labels.append(settled(rings))
+        left = settled(rest.where("src <> dst"))
         size = left.count()
         if local < size > 0.9 * before:  # trimming that still takes a share is far cheaper than colouring
             found, left = _coloured(left)
-            labels.append(cut(found))
+            labels.append(settled(found))
             size = left.count()
     if size:
-        labels.append(cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, scc {kind}")))
+        labels.append(settled(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, scc {kind}")))
     known = reduce(DataFrame.unionByName, labels) if labels else edges.select(F.col("src").alias("node"), F.col("src").alias("scc")).limit(0)
-    known = cut(known.groupBy("node").agg(F.min("scc").alias("scc")))
+    known = settled(known.groupBy("node").agg(F.min("scc").alias("scc")))
     for chains in reversed(chained):  # what a chain leads from and to is known by now; other nodes are alone
         own = lambda c: known.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
         met = chains.join(own("head"), "head", "left").join(own("tail"), "tail", "left")
         met = met.where(F.coalesce("_head", "head") == F.coalesce("_tail", "tail")).select("node", F.coalesce("_head", "head").alias("scc"))
-        known = cut(known.unionByName(met))
+        known = settled(known.unionByName(met))
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     whole = nodes.join(known.withColumnRenamed("scc", "_scc"), "node", "left").select("node", F.coalesce("_scc", "node").alias("_scc"))
     least = whole.groupBy("_scc").agg(F.min("node").alias("scc"), F.count("*").alias("n"))
     loops = edges.where("src = dst").select(F.col("src").alias("node"), F.lit(True).alias("loop"))
-    return cut(whole.join(least, "_scc").join(loops, "node", "left").select("node", "scc", ((F.col("n") > 1) | F.coalesce("loop", F.lit(False))).alias("cyclic")))
+    return settled(whole.join(least, "_scc").join(loops, "node", "left").select("node", "scc", ((F.col("n") > 1) | F.coalesce("loop", F.lit(False))).alias("cyclic")))
 
 
 def levels(edges: DataFrame, local: int = 100_000) -> DataFrame:
@@ -180,22 +183,22 @@ def levels(edges: DataFrame, local: int = 100_000) -> DataFrame:
     parts = strong_components(edges, local)
     scc = lambda c: parts.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
     above = edges.select("src", "dst").dropna().join(scc("src"), "src").join(scc("dst"), "dst").where("_src <> _dst").select(F.col("_src").alias("src"), F.col("_dst").alias("dst")).distinct()
-    above = cut(above.withColumn("far", F.lit(1).cast("long")))
+    above = settled(above.withColumn("far", F.lit(1).cast("long")))
     chains, left = None, above
     if above.count() > local:
         inner, _, _ = _chains(above.select("src", "dst"))
         # steps of a chain's nodes from its head: doubled over the edge before each
-        before = cut(inner.select("node").join(above.select(F.col("dst").alias("node"), F.col("src").alias("at")), "node").withColumn("steps", F.lit(1).cast("long")))
+        before = settled(inner.select("node").join(above.select(F.col("dst").alias("node"), F.col("src").alias("at")), "node").withColumn("steps", F.lit(1).cast("long")))
         while True:
             back = before.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"))
-            new = cut(before.join(back, "at", "left").select("node", F.coalesce("_at", "at").alias("at"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_at").isNotNull().alias("moved")))
+            new = settled(before.join(back, "at", "left").select("node", F.coalesce("_at", "at").alias("at"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_at").isNotNull().alias("moved")))
             before = new.drop("moved")
             if new.where("moved").isEmpty():
                 break
         chains = before.withColumnRenamed("at", "head")
         ends = above.withColumnRenamed("src", "node").join(chains, "node").join(chains.select(F.col("node").alias("dst")), "dst", "left_anti")
         direct = above.join(chains.select(F.col("node").alias("src")), "src", "left_anti").join(chains.select(F.col("node").alias("dst")), "dst", "left_anti")
-        left = cut(direct.unionByName(ends.select(F.col("head").alias("src"), "dst", (F.col("steps") + 1).alias("far"))).groupBy("src", "dst").agg(F.max("far").alias("far")))
+        left = settled(direct.unionByName(ends.select(F.col("head").alias("src"), "dst", (F.col("steps") + 1).alias("far"))).groupBy("src", "dst").agg(F.max("far").alias("far")))
     kind = parts.schema["scc"].dataType.simpleString()
     nodes = parts.select(F.col("scc").alias("node")).distinct()
 
@@ -224,20 +227,20 @@ def levels(edges: DataFrame, local: int = 100_000) -> DataFrame:
     left, waves = left.select("src", "dst", "far", F.lit(None).cast("long").alias("base")), []
     open_ = left.count()
     if open_ > local:
-        waves.append(cut(left.select(F.col("src").alias("node")).distinct().join(left.select(F.col("dst").alias("node")), "node", "left_anti").withColumn("level", F.lit(0).cast("long"))))
+        waves.append(settled(left.select(F.col("src").alias("node")).distinct().join(left.select(F.col("dst").alias("node")), "node", "left_anti").withColumn("level", F.lit(0).cast("long"))))
     while open_ > local:  # a wave: nodes that no edge without a base leads to
         ahead = waves[-1].select(F.col("node").alias("src"), F.col("level").alias("_level"))
         left = left.join(waves[-1].select(F.col("node").alias("dst")), "dst", "left_anti").join(ahead, "src", "left")
-        left = cut(left.select("src", "dst", "far", F.coalesce("base", "_level").alias("base")))
+        left = settled(left.select("src", "dst", "far", F.coalesce("base", "_level").alias("base")))
         open_ = left.count()
         ready = left.groupBy(F.col("dst").alias("node")).agg(F.max(F.col("base") + F.col("far")).alias("level"), F.max(F.col("base").isNull()).alias("waits"))
         if open_ > local:
-            waves.append(cut(ready.where("not waits").select("node", "level")))
+            waves.append(settled(ready.where("not waits").select("node", "level")))
     if open_:
-        waves.append(cut(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, level long")))
+        waves.append(settled(left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, f"node {kind}, level long")))
     found = reduce(DataFrame.unionByName, waves) if waves else nodes.limit(0).withColumn("level", F.lit(0).cast("long"))
     if waves:  # a source has its level from the first wave, and as a src from the last task
-        found = cut(found.groupBy("node").agg(F.max("level").alias("level")))
+        found = settled(found.groupBy("node").agg(F.max("level").alias("level")))
     known = found
     if chains is not None:
         inner = chains.join(known.withColumnRenamed("node", "head"), "head", "left").select("node", (F.coalesce("level", F.lit(0)) + F.col("steps")).alias("level"))
@@ -250,7 +253,7 @@ def acyclic_part(edges: DataFrame, local: int = 100_000) -> tuple[DataFrame, Dat
     """Splits edges into those that lie on no cycle and those that lie on one: both ends are in one strong component."""
     parts = strong_components(edges, local)
     scc = lambda c: parts.select(F.col("node").alias(c), F.col("scc").alias(f"_{c}"))
-    met = cut(edges.select("src", "dst").distinct().join(scc("src"), "src").join(scc("dst"), "dst"))
+    met = settled(edges.select("src", "dst").distinct().join(scc("src"), "src").join(scc("dst"), "dst"))
     return met.where("_src <> _dst").select("src", "dst"), met.where("_src = _dst").select("src", "dst")
 
 
@@ -295,17 +298,17 @@ def weak_components(edges: DataFrame, local: int = 100_000) -> DataFrame:
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).where("node is not null").distinct()
     state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
     near = edges.select("src", "dst").where("src <> dst").repartitionByRange("src", "dst").mapInArrow(_joined, f"src {kind}, dst {kind}")
-    links = cut(near.where("src <> dst").distinct())
+    links = settled(near.where("src <> dst").distinct())
     before = state(links)
     if before[0] <= local:
-        links = cut(links.coalesce(1).mapInArrow(_joined, f"src {kind}, dst {kind}"))
+        links = settled(links.coalesce(1).mapInArrow(_joined, f"src {kind}, dst {kind}"))
     while before[0] > local:  # each round takes stars nearer to the least nodes, until none changes
-        links = cut(_star(cut(_star(links, True)), False))
+        links = settled(_star(settled(_star(links, True)), False))
         now = state(links)
         if now == before:
             break
         before = now
-    return cut(nodes.join(links.select(F.col("src").alias("node"), F.col("dst").alias("_core")), "node", "left").select("node", F.coalesce("_core", "node").alias("core")))
+    return settled(nodes.join(links.select(F.col("src").alias("node"), F.col("dst").alias("_core")), "node", "left").select("node", F.coalesce("_core", "node").alias("core")))
 
 
 def redirected(redirects: DataFrame) -> DataFrame:
@@ -314,10 +317,10 @@ def redirected(redirects: DataFrame) -> DataFrame:
     Each round joins the redirects with themselves and doubles the steps that they take, so a chain of n takes log2(n) rounds; what is still
     open after that is on a cycle or leads into one.
     """
-    left = cut(redirects.select("src", F.col("dst").alias("root"), F.lit(1).cast("long").alias("steps")))
+    left = settled(redirects.select("src", F.col("dst").alias("root"), F.lit(1).cast("long").alias("steps")))
     ahead = lambda: left.select(F.col("src").alias("root"), F.col("root").alias("_next"), F.col("steps").alias("_more"))
     for _ in range(left.count().bit_length() + 1):
-        met = cut(left.join(ahead(), "root", "left"))
+        met = settled(left.join(ahead(), "root", "left"))
         if met.where(F.col("_next").isNotNull()).isEmpty():
             return left
         left = met.select("src", F.coalesce("_next", "root").alias("root"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps"))
@@ -403,5 +406,5 @@ def without_cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
                     gone.append(worst)
         return pd.DataFrame(gone, columns=["src", "dst"])
 
-    removed = cut(_by_core(edges)[1].groupBy("core").applyInPandas(search, "src string, dst string"))
+    removed = settled(_by_core(edges)[1].groupBy("core").applyInPandas(search, "src string, dst string"))
     return edges.join(removed, ["src", "dst"], "left_anti"), removed

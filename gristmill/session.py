@@ -42,3 +42,23 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gristmill-"))
     return df.checkpoint()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df cut as by cut(), for rounds that join what earlier rounds have made: from here on Spark knows its true size.
+
+    A checkpoint keeps the size that was estimated for its plan, which for a join is the product of both sides. Over rounds of joins that number's
+    digits double each time, until the driver's memory is full of them. A cached table's size is measured instead.
+    """
+    conf, adapt = df.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"  # else a cached plan keeps all shuffle partitions, however small
+    before = conf.get(adapt)
+    conf.set(adapt, "true")
+    try:
+        held = df.persist()
+    finally:
+        conf.set(adapt, before)
+    try:
+        held.count()
+        return cut(held.select("*"))
+    finally:
+        held.unpersist()
