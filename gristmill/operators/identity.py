@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import cosine
-from ..session import cut, ship
-from .graph import weak_components
+from ..session import cut, settled, ship
 from .vectors import nearest_rows, resembling_earlier
 
 __all__ = ["nearest_rows", "resembling_earlier"]
@@ -33,49 +32,94 @@ def resolve(df: DataFrame, known: DataFrame, id: str, strong: Sequence[str], wea
     return out.withColumns({"match": match, "_ids": ids}).withColumn("match_id", F.when(usable, F.get("_ids", F.lit(0)))).drop("_ids", *[f"_id{k}" for k in range(len(keys))])
 
 
-def registered(records: DataFrame, order: str, strong: Sequence[str], weak: Sequence[str], strict: bool = False) -> DataFrame:
+def _taken_up(rows: pa.Table, known: pa.Table, strong: int, keys: int, strict: bool) -> tuple[list[tuple], dict]:
+    """Of a range of records, in order: _order, entry, outcome and the entry's keys; and its values with the entry that took each up here, if one did.
+
+    known: what ranges before it hold of its values: (key, value) is of an entry, or (filled) an entry has this value for a key.
+    """
+    index: dict[tuple[int, str], int] = {}
+    entries: dict[int, dict[int, str]] = {}
+    for key, value, entry, filled in zip(*(known.column(c).to_pylist() for c in ("key", "value", "entry", "filled")), strict=True):
+        own = entries.setdefault(entry, {})
+        if filled:
+            own[key] = value
+        else:
+            index[key, value] = entry
+    out, claimed = [], {}
+    rows = rows.sort_by("_order")
+    for number, *values in zip(*(rows.column(c).to_pylist() for c in ["_order", *map(str, range(keys))]), strict=True):
+        own = [(k, v) for k, v in enumerate(values) if v is not None]
+        ids = {index[x] for x in own if x in index}
+        if len(ids) > 1:
+            entry, outcome = None, "conflict"
+        elif ids:
+            firm = any(k < strong and (k, v) in index for k, v in own)
+            outcome = "merged" if firm else "refused" if strict else "weak"
+            entry = ids.pop() if firm or not strict else None
+        else:
+            entry, outcome = number, "new"
+            entries[number] = {}
+        for x in own:
+            claimed.setdefault(x, None)
+        held = entries[entry] if entry is not None else {}
+        if entry is not None:
+            for k, v in own:
+                if k not in held:
+                    held[k] = v
+                    if (k, v) not in index:
+                        index[k, v] = claimed[k, v] = entry
+        out.append((number, entry, outcome, *[held.get(k) for k in range(keys)]))
+    return out, claimed
+
+
+def _held_before(state: DataFrame) -> DataFrame:
+    """Of state (_range, key, value, entry: which took the value up in that range, if one did), what each range finds held by those before it."""
+    before = Window.partitionBy("key", "value").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    held = cut(state.select("_range", "key", "value", F.first("entry", True).over(before).alias("entry")).where("entry is not null"))
+    taken = state.where("entry is not null").select("entry", "key", "value", F.col("_range").alias("_at"))
+    own = held.select("_range", "entry").distinct().join(taken, "entry").where("_at < _range").groupBy("_range", "entry", "key").agg(F.min_by("value", "_at").alias("value"))
+    return cut(held.withColumn("filled", F.lit(False)).unionByName(own.withColumn("filled", F.lit(True))))
+
+
+def registered(records: DataFrame, order: str, strong: Sequence[str], weak: Sequence[str], strict: bool = False, local: int = 100_000) -> DataFrame:
     """Records taken up in order: order, entry (the order of the record that founded its entry), outcome and the entry's keys after this record.
 
     A record none of whose keys is known founds an entry (new). If its keys lead to one entry it is merged into that, and fills the keys that
     the entry lacks; a key that the entry has with another value is not taken up. If only weak keys hit, it is merged as weak, or refused if
     strict. Keys that lead to different entries are a conflict, which changes nothing. Null and '' are no keys; order tells all records apart.
-    Records that hang together by keys, whatever comes of it, are looked at in one task, in order; others don't touch each other.
+
+    Tasks take up ranges of about so many records, all at once, each with what the ranges before it held in the last round; a range for which
+    that has changed is taken up again, until none has. The first k ranges are right after k rounds, so this ends, with the result of one loop.
     """
-    ship(records.sparkSession)
-    keys = [*strong, *weak]
-    kept = cut(records.select(F.col(order).cast("long").alias("_order"), *[F.nullif(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys]))
-    named = kept.select("_order", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in keys])).alias("k")).where("k.value is not null")
-    first = named.groupBy("k").agg(F.min("_order").alias("_first"))
-    edges = named.join(first, "k").select(F.col("_order").alias("src"), F.col("_first").alias("dst")).distinct()
-    cores = weak_components(edges).withColumnRenamed("node", "_order")
-    placed = kept.join(cores, "_order", "left").withColumn("core", F.coalesce("core", "_order"))
-
-    def take_up(frame: pd.DataFrame) -> pd.DataFrame:
-        index: dict[tuple[str, str], int] = {}
-        entries: dict[int, dict[str, str]] = {}
-        out = []
-        for row in frame.sort_values("_order").itertuples(index=False):
-            number, values = int(row[0]), {k: v for k, v in zip(keys, row[1 : 1 + len(keys)]) if v is not None and v == v}
-            hits = {k: index[k, v] for k, v in values.items() if (k, v) in index}
-            ids = set(hits.values())
-            if len(ids) > 1:
-                entry, outcome = None, "conflict"
-            elif ids:
-                entry, firm = ids.pop(), any(k in hits for k in strong)
-                outcome = "merged" if firm else "refused" if strict else "weak"
-                entry = entry if outcome != "refused" else None
-            else:
-                entry, outcome = number, "new"
-                entries[number] = {}
-            if entry is not None:
-                for k, v in values.items():
-                    if k not in entries[entry]:
-                        entries[entry][k] = v
-                        index.setdefault((k, v), entry)
-            out.append((number, entry, outcome, *[entries[entry].get(k) if entry is not None else None for k in keys]))
-        return pd.DataFrame(out, columns=[order, "entry", "outcome", *keys]).astype({"entry": "Int64"})
-
-    return placed.select("_order", *keys, "core").groupBy("core").applyInPandas(take_up, ", ".join([f"{order} long", "entry long", "outcome string", *[f"{k} string" for k in keys]]))
+    spark = records.sparkSession
+    ship(spark)
+    keys, n_strong = [*strong, *weak], len(strong)
+    kept = cut(records.select(F.col(order).cast("long").alias("_order"), *[F.nullif(F.col(k).cast("string"), F.lit("")).alias(str(i)) for i, k in enumerate(keys)]))
+    ranges = kept.count() // local + 1
+    ranged = cut(kept.repartitionByRange(ranges, "_order").withColumn("_range", F.spark_partition_id()))
+    schema = ", ".join([f"`{order}` long, entry long, outcome string", *[f"`{k}` string" for k in keys]])
+    kinds = pa.schema([(order, pa.int64()), ("entry", pa.int64()), ("outcome", pa.string()), *[(k, pa.string()) for k in keys]])
+
+    def claims(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
+        claimed = _taken_up(rows, known, n_strong, len(keys), strict)[1]
+        columns = [pa.array([key[0].as_py()] * len(claimed), pa.int32()), pa.array([k for k, _ in claimed], pa.int32()), pa.array([v for _, v in claimed], pa.string()), pa.array(list(claimed.values()), pa.int64())]
+        return pa.Table.from_arrays(columns, names=["_range", "key", "value", "entry"])
+
+    def outcomes(rows: pa.Table, known: pa.Table) -> pa.Table:
+        out = _taken_up(rows, known, n_strong, len(keys), strict)[0]
+        return pa.Table.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(kinds)], schema=kinds)
+
+    met = lambda rows, known: rows.groupBy("_range").cogroup(known.groupBy("_range"))
+    known = spark.createDataFrame([], "_range int, key int, value string, entry long, filled boolean")
+    state, found, changed = None, {}, list(range(ranges))
+    while changed:
+        these = F.col("_range").isin(changed)
+        made = met(ranged.where(these), known.where(these)).applyInArrow(claims, "_range int, key int, value string, entry long")
+        state = settled((made if state is None else made.unionByName(state.where(~these))).repartition("key", "value"))
+        known = _held_before(state)
+        now = {r[0]: tuple(r[1:]) for r in known.groupBy("_range").agg(F.count("*"), F.sum(F.xxhash64("key", "value", "entry", "filled").cast("decimal(38,0)"))).collect()}  # a row for each range
+        changed, found = [r for r in range(ranges) if now.get(r) != found.get(r)], now
+    return met(ranged, known).applyInArrow(outcomes, schema)
 
 
 def nearest(queries: DataFrame, known: DataFrame, id: str, vector: str, **index) -> DataFrame:
